@@ -71,3 +71,173 @@ def q_page_publications(spark: SparkSession, sf_dir: str) -> DataFrame:
         U.is_valid_url("url").alias("url_ok"),
         V.related_ok("related").alias("related_ok"),
     ).withColumn("is_valid", F.col("title_ok") & F.col("url_ok") & F.col("related_ok"))
+
+
+def _hrefs_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, root, pos, href) for every anchor, positions 1-based."""
+    return _page_fields(spark, sf_dir).select(
+        "page_id", "root", F.posexplode("hrefs").alias("pos0", "href")
+    ).select("page_id", "root", (F.col("pos0") + 1).cast("bigint").alias("pos"), "href")
+
+
+# --------------------------------------------------------------------------
+# page scan / extraction / links
+# --------------------------------------------------------------------------
+@register
+def q_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stdlib-parser pass per page (mapInArrow) → every anchor with
+    its position and text."""
+    from gazette.sources.extract import extract
+    from gazette.sources.specs import ANCHORS
+
+    items = extract(_pages(spark, sf_dir), ANCHORS, keys=("page_id",))
+    return items.filter(F.col("page_status") == "ok").select(
+        "page_id",
+        F.col("item_pos").alias("pos"),
+        F.col("href"),
+        F.col("text").alias("link_text"),
+    )
+
+
+@register
+def q_first_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First match per element → first resolved link of each page."""
+    df = _resolved(_page_fields(spark, sf_dir))
+    return df.select("page_id", F.get("related", 0).alias("first_link"))
+
+
+@register
+def q_collect_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: ordered collect — exploded links filtered to valid ones, grouped
+    back per page in document order (group size is bounded by a page)."""
+    links = _hrefs_exploded(spark, sf_dir).select(
+        "page_id", "pos", U.resolve_url(T.strip_ws("href"), F.col("root")).alias("url")
+    ).filter(U.is_valid_url("url"))
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "url")))
+    return links.groupBy("page_id").agg(
+        F.array_join(F.transform(ordered, lambda s: s["url"]), "|").alias("links"),
+        F.count(F.lit(1)).alias("n_links"),
+    )
+
+
+@register
+def q_resolve_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every href resolved against its page's site root."""
+    return _hrefs_exploded(spark, sf_dir).select(
+        "page_id", "pos", "href", U.resolve_url(T.strip_ws("href"), F.col("root")).alias("resolved_url")
+    )
+
+
+@register
+def q_url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scheme, host, path, query, fragment of every page URL."""
+    return _pages(spark, sf_dir).select(
+        "page_id",
+        U.scheme("url").alias("scheme"),
+        U.netloc("url").alias("netloc"),
+        U.path("url").alias("path"),
+        U.query("url").alias("query"),
+        U.fragment("url").alias("fragment"),
+    )
+
+
+@register
+def q_url_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scheme + host check on the page URL, the raw hrefs and the
+    resolved links."""
+    df = _resolved(_page_fields(spark, sf_dir))
+    return df.select(
+        "page_id",
+        U.is_valid_url("url").alias("url_ok"),
+        F.size(F.filter("hrefs", lambda h: U.is_valid_url(h))).cast("bigint").alias("n_valid_raw"),
+        F.size(F.filter("related", lambda h: U.is_valid_url(h))).cast("bigint").alias("n_valid_resolved"),
+    )
+
+
+@register
+def q_http_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """http(s) prefix on the link (rejects the row) and on attachments
+    (only skipped): raw hrefs have none, resolved links all do."""
+    df = _resolved(_page_fields(spark, sf_dir))
+    return df.select(
+        "page_id",
+        U.has_http_prefix("url").alias("link_ok"),
+        F.size(F.filter("hrefs", lambda h: U.has_http_prefix(h))).cast("bigint").alias("n_http_raw"),
+        F.size(F.filter("related", lambda h: U.has_http_prefix(h))).cast("bigint").alias("n_http_resolved"),
+    )
+
+
+@register
+def q_path_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C3 vs C4: path-suffix test (case-insensitive, query ignored) against a
+    plain substring test, extension ``.html``."""
+    return _pages(spark, sf_dir).select(
+        "page_id",
+        U.path_ends_with("url", ".html").alias("path_ends_html"),
+        F.col("url").contains(".html").alias("contains_html"),
+    )
+
+
+@register
+def q_english_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strip queries, keep English URLs, distinct per host
+    (language marker of these sites: the ``/en/`` path segment)."""
+    return (
+        _pages(spark, sf_dir)
+        .select(U.host("url").alias("host"), U.strip_query("url").alias("clean_url"))
+        .filter(F.col("clean_url").contains("/en/"))
+        .distinct()
+    )
+
+
+RELATED_CAP = 5  # the tables carry 4-6 links per page; 50 would never bind
+
+
+@register
+def q_related_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Related links kept in order, no dedupe, capped."""
+    df = _resolved(_page_fields(spark, sf_dir))
+    return df.select("page_id", F.posexplode(F.slice("related", 1, RELATED_CAP)).alias("pos0", "related_url")).select(
+        "page_id", (F.col("pos0") + 1).cast("bigint").alias("pos"), "related_url"
+    )
+
+
+@register
+def q_related_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First list (capitalised links, like the PDF links), then the
+    second (the rest); order and duplicates kept."""
+    df = _page_fields(spark, sf_dir)
+    first = F.filter("hrefs", lambda h: h.rlike("^/[A-Z]"))
+    second = F.filter("hrefs", lambda h: ~h.rlike("^/[A-Z]"))
+    both = F.transform(F.concat(first, second), lambda h: U.resolve_url(T.strip_ws(h), F.col("root")))
+    return df.select("page_id", F.posexplode(both).alias("pos0", "url")).select(
+        "page_id", (F.col("pos0") + 1).cast("bigint").alias("pos"), "url"
+    )
+
+
+@register
+def q_related_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C11: a related list passes when it has at most the cap and every
+    item is a valid URL; one bad item rejects the row."""
+    df = _resolved(_page_fields(spark, sf_dir))
+    return df.select(
+        "page_id",
+        F.size("related").cast("bigint").alias("n_related"),
+        F.forall("related", lambda u: U.is_valid_url(u)).alias("all_valid"),
+        V.related_ok("related", RELATED_CAP).alias("related_ok"),
+    )
+
+
+@register
+def q_manifest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A link manifest (one row per host, with its lazy-render flag)
+    joined to the landed pages by host."""
+    pages = _pages(spark, sf_dir).select("page_id", U.host("url").alias("host"))
+    manifest = pages.select("host").distinct().withColumn(
+        "lazy", F.col("host").startswith("m.") | F.col("host").startswith("blog.")
+    )
+    return (
+        pages.join(manifest, "host")
+        .groupBy("host", "lazy")
+        .agg(F.count(F.lit(1)).alias("n_pages"))
+    )

@@ -82,3 +82,95 @@ SELECT page_id, title AS web_title, url AS web_url,
         AND len(related) <= 50 AND coalesce(list_bool_and(list_transform(related, lambda u: {_valid('u')})), true)) AS is_valid
 FROM ({_PAGE_FIELDS}) p
 """
+
+_HREF_ANCHOR = "'<a\\s[^>]*?href=\"([^\"]*)\"[^>]*>([^<]*)</a>'"
+
+ORACLES["q_page_links"] = f"""
+SELECT page_id, CAST(pos AS BIGINT) AS pos, href, link_text FROM (
+  SELECT page_id, unnest(range(1, len(h) + 1)) AS pos, unnest(h) AS href,
+         unnest(list_transform(t, lambda x: {_unescape('x')})) AS link_text
+  FROM (SELECT page_id, regexp_extract_all(html, {_HREF_ANCHOR}, 1) AS h,
+               regexp_extract_all(html, {_HREF_ANCHOR}, 2) AS t FROM pages))
+"""
+
+ORACLES["q_first_link"] = f"SELECT page_id, related[1] AS first_link FROM ({_PAGE_FIELDS})"
+
+ORACLES["q_collect_links"] = f"""
+SELECT page_id, string_agg(url, '|' ORDER BY pos) AS links, count(*) AS n_links FROM (
+  SELECT page_id, unnest(range(1, len(related) + 1)) AS pos, unnest(related) AS url FROM ({_PAGE_FIELDS}))
+WHERE {_valid('url')}
+GROUP BY page_id
+"""
+
+ORACLES["q_resolve_url"] = f"""
+SELECT page_id, CAST(pos AS BIGINT) AS pos, href, {_resolve(_strip('href'), 'root')} AS resolved_url FROM (
+  SELECT page_id, {_root('url')} AS root, unnest(range(1, len(h) + 1)) AS pos, unnest(h) AS href
+  FROM (SELECT page_id, url, {_HREFS} AS h FROM pages))
+"""
+
+ORACLES["q_url_parts"] = """
+SELECT page_id,
+       lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) AS scheme,
+       regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1) AS netloc,
+       regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1) AS path,
+       regexp_extract(url, '^[^?#]*\\?([^#]*)', 1) AS query,
+       regexp_extract(url, '^[^#]*#(.*)', 1) AS fragment
+FROM pages
+"""
+
+ORACLES["q_url_valid"] = f"""
+SELECT page_id, {_valid('url')} AS url_ok,
+       CAST(len(list_filter(h, lambda x: {_valid('x')})) AS BIGINT) AS n_valid_raw,
+       CAST(len(list_filter(related, lambda x: {_valid('x')})) AS BIGINT) AS n_valid_resolved
+FROM (SELECT p.*, {_HREFS} AS h FROM ({_PAGE_FIELDS.replace('FROM pages', ', html FROM pages')}) p)
+"""
+
+ORACLES["q_http_prefix"] = f"""
+SELECT page_id,
+       coalesce(starts_with(url, 'http://') OR starts_with(url, 'https://'), false) AS link_ok,
+       CAST(len(list_filter(h, lambda x: starts_with(x, 'http://') OR starts_with(x, 'https://'))) AS BIGINT) AS n_http_raw,
+       CAST(len(list_filter(related, lambda x: starts_with(x, 'http://') OR starts_with(x, 'https://'))) AS BIGINT) AS n_http_resolved
+FROM (SELECT p.*, {_HREFS} AS h FROM ({_PAGE_FIELDS.replace('FROM pages', ', html FROM pages')}) p)
+"""
+
+ORACLES["q_path_suffix"] = """
+SELECT page_id,
+       coalesce(ends_with(lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1)), '.html'), false) AS path_ends_html,
+       contains(url, '.html') AS contains_html
+FROM pages
+"""
+
+_HOST = "lower(regexp_extract(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1), '^(?:[^@]*@)?([^:]*)', 1))"
+
+ORACLES["q_english_dedupe"] = f"""
+SELECT DISTINCT {_HOST} AS host, split_part(url, '?', 1) AS clean_url
+FROM pages WHERE contains(split_part(url, '?', 1), '/en/')
+"""
+
+ORACLES["q_related_capped"] = f"""
+SELECT page_id, CAST(pos AS BIGINT) AS pos, related_url FROM (
+  SELECT page_id, unnest(range(1, len(r) + 1)) AS pos, unnest(r) AS related_url
+  FROM (SELECT page_id, related[1:5] AS r FROM ({_PAGE_FIELDS})))
+"""
+
+ORACLES["q_related_concat"] = f"""
+SELECT page_id, CAST(pos AS BIGINT) AS pos, url FROM (
+  SELECT page_id, unnest(range(1, len(c) + 1)) AS pos, unnest(c) AS url FROM (
+    SELECT page_id, list_transform(
+             list_concat(list_filter(h, lambda x: regexp_matches(x, '^/[A-Z]')),
+                         list_filter(h, lambda x: NOT regexp_matches(x, '^/[A-Z]'))),
+             lambda x: {_resolve(_strip('x'), 'root')}) AS c
+    FROM (SELECT page_id, {_root('url')} AS root, {_HREFS} AS h FROM pages)))
+"""
+
+ORACLES["q_related_valid"] = f"""
+SELECT page_id, CAST(len(related) AS BIGINT) AS n_related,
+       coalesce(list_bool_and(list_transform(related, lambda u: {_valid('u')})), true) AS all_valid,
+       (len(related) <= 5 AND coalesce(list_bool_and(list_transform(related, lambda u: {_valid('u')})), true)) AS related_ok
+FROM ({_PAGE_FIELDS})
+"""
+
+ORACLES["q_manifest_join"] = f"""
+SELECT host, (starts_with(host, 'm.') OR starts_with(host, 'blog.')) AS lazy, count(*) AS n_pages
+FROM (SELECT {_HOST} AS host FROM pages) GROUP BY host
+"""
