@@ -39,19 +39,24 @@ def ntz(c: Column | str) -> Column:
 
 def parse_day(c: Column | str, pattern: str) -> Column:
     """A day-level format → midnight TIMESTAMP_NTZ, NULL when invalid."""
-    return F.try_to_date(col(c), F.lit(pattern)).cast("timestamp_ntz")
+    return F.try_to_date(col(c), pattern).cast("timestamp_ntz")
 
 
 def parse_rss(c: Column | str) -> Column:
     """``Wed, 22 Jan 2025 12:00:00 GMT`` → TIMESTAMP_NTZ (zone must be GMT/UTC)."""
     c = col(c)
     parts = [F.regexp_extract(c, _RSS_RE, i) for i in range(1, 7)]
-    day = F.try_to_date(F.concat_ws(" ", parts[0], parts[1], parts[2]), F.lit("d MMM yyyy"))
+    day = F.try_to_date(F.concat_ws(" ", parts[0], parts[1], parts[2]), "d MMM yyyy")
     as_int = [p.try_cast("int") for p in parts[3:]]
     return F.when(
         day.isNotNull(),
         F.try_make_timestamp_ntz(
-            F.year(day), F.month(day), F.dayofmonth(day), as_int[0], as_int[1], as_int[2].cast("decimal(16,6)")
+            years=F.year(day),
+            months=F.month(day),
+            days=F.dayofmonth(day),
+            hours=as_int[0],
+            mins=as_int[1],
+            secs=as_int[2].cast("decimal(16,6)"),
         ),
     )
 
@@ -92,11 +97,11 @@ def listing_date(text: Column | str, prefix: str | None = None) -> Column:
 
 def from_epoch_seconds(c: Column | str) -> Column:
     """Epoch seconds → TIMESTAMP_NTZ (UTC wall clock), zone independent."""
-    return F.timestampadd("SECOND", col(c).cast("bigint"), _epoch())
+    return F.timestamp_add("SECOND", col(c).cast("bigint"), _epoch())
 
 
 def to_epoch_seconds(c: Column | str) -> Column:
-    return F.timestampdiff("SECOND", _epoch(), ntz(c))
+    return F.timestamp_diff("SECOND", _epoch(), ntz(c))
 
 
 def time_bucket(c: Column | str, seconds: int) -> Column:

@@ -85,7 +85,7 @@ def _remove_dot_segments(p: Column) -> Column:
         )
 
     folded = F.aggregate(inner, F.array().cast("array<string>"), step)
-    last = F.element_at(inner, -1)
+    last = F.try_element_at(inner, F.lit(-1))
     folded = F.when(last.isin(".", ".."), F.array_append(folded, F.lit(""))).otherwise(folded)
     joined = F.array_join(folded, "/")
     return (

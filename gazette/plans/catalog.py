@@ -241,3 +241,385 @@ def q_manifest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("host", "lazy")
         .agg(F.count(F.lit(1)).alias("n_pages"))
     )
+
+
+# --------------------------------------------------------------------------
+# documents / labels: text cleaning, validation, rejects, lookups, reports
+# --------------------------------------------------------------------------
+def _doc_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents → (doc_id, lang, source, title, n_lines); the text column is
+    consumed in the first projection."""
+    return read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source").select(
+        "doc_id",
+        "lang",
+        "source",
+        T.nullif_empty(T.strip_ws(T.first_line("text"))).alias("title"),
+        F.size(F.split("text", "\n")).cast("bigint").alias("n_lines"),
+    )
+
+
+@register
+def q_title_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title (first line, stripped) must have 3..500 characters."""
+    df = _doc_titles(spark, sf_dir)
+    return df.select(
+        "doc_id",
+        F.coalesce(F.length("title"), F.lit(0)).cast("bigint").alias("title_len"),
+        V.title_ok("title").alias("title_ok"),
+    )
+
+
+@register
+def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strip, split-and-pick, lower, quote unescape."""
+    df = read_table(spark, sf_dir, "documents", "doc_id", "text").select(
+        "doc_id", T.strip_ws(T.first_line("text")).alias("title")
+    )
+    return df.select(
+        "doc_id",
+        "title",
+        T.split_pick("title", " ", 1).alias("first_word"),
+        T.split_pick("title", " ", 2).alias("second_word"),
+        F.lower("title").alias("title_lower"),
+        T.unescape_json_quotes("title").alias("title_unquoted"),
+    )
+
+
+@register
+def q_nfkc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NFKC-normalised titles (Arrow-batched; ASCII rows pass through)."""
+    df = read_table(spark, sf_dir, "documents", "doc_id", "text").select(
+        "doc_id", T.strip_ws(T.first_line("text")).alias("title")
+    )
+    return df.select("doc_id", T.nfkc("title").alias("title_nfkc"))
+
+
+def _doc_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate rows: titles left-joined to their labels, with reasons."""
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    df = _doc_titles(spark, sf_dir).join(labels, "doc_id", "left")
+    reasons = F.array_compact(
+        F.array(
+            F.when(F.col("title").isNull(), F.lit("empty_title")),
+            F.when(F.col("title").isNotNull() & ~V.title_ok("title"), F.lit("title_length")),
+        )
+    )
+    return df.withColumn("reasons", F.concat(reasons, V.missing_fields(quality="quality")))
+
+
+@register
+def q_reject_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validate-and-split, then count rejects per reason."""
+    rejects = V.reject_rows(_doc_candidates(spark, sf_dir), "source", "doc_id")
+    return V.reason_summary(rejects)
+
+
+@register
+def q_source_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C14: per source — rows, valid rows and status."""
+    from gazette.operators.runs import source_health
+
+    return source_health(_doc_candidates(spark, sf_dir), "source", F.size("reasons") == 0)
+
+
+@register
+def q_lookup_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing rows left-joined to their detail rows, only where
+    the gates hold (type gate: English; file gate: not a PDF)."""
+    from gazette.operators.enrich import gated_lookup
+
+    listing = read_table(spark, sf_dir, "documents", "doc_id", "lang", "source")
+    details = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic").withColumnRenamed(
+        "doc_id", "detail_id"
+    )
+    gate = (listing["lang"] == F.lit("en")) & ~U.path_ends_with(listing["source"], ".pdf")
+    joined = gated_lookup(listing, details, [("doc_id", "detail_id")], gate)
+    return joined.select(
+        "doc_id", "lang", "quality", "toxic", F.col("detail_id").isNotNull().alias("enriched")
+    )
+
+
+@register
+def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3/A1: counts per source and language — rows, errors, related items."""
+    df = _doc_titles(spark, sf_dir)
+    return df.groupBy("source", "lang").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(~V.title_ok("title")).alias("n_errors"),
+        F.sum("n_lines").cast("bigint").alias("n_related"),
+    )
+
+
+@register
+def q_flatten_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Correlated flatten — each record's children (lines) each carry a
+    list (their words); the record's related list is all of them in order."""
+    from gazette.operators.enrich import flatten_children
+
+    df = read_table(spark, sf_dir, "documents", "doc_id", "text").select(
+        "doc_id",
+        F.transform(
+            F.split("text", "\n"),
+            lambda line: F.struct(F.filter(F.split(line, " "), lambda w: w != F.lit("")).alias("words")),
+        ).alias("children"),
+    )
+    flat = flatten_children("children", "words")
+    return df.select(
+        "doc_id",
+        F.size("children").cast("bigint").alias("n_children"),
+        F.size(flat).cast("bigint").alias("n_flat"),
+        F.get(flat, 0).alias("first_flat"),
+        F.get(flat, F.size(flat) - 1).alias("last_flat"),
+    )
+
+
+@register
+def q_union_namespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources tagged with their namespace, UNION ALL by name
+    (duplicates kept), counted per namespace."""
+    from gazette.operators.sinks import union_sources
+
+    ev = read_table(spark, sf_dir, "events", "event_id", "event_type").select(
+        F.concat(F.lit("events-"), F.col("event_type")).alias("namespace"), F.col("event_id").alias("key")
+    )
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "lang").select(
+        F.concat(F.lit("documents-"), F.col("lang")).alias("namespace"), F.col("doc_id").alias("key")
+    )
+    return union_sources(ev, docs).groupBy("namespace").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# --------------------------------------------------------------------------
+# conversations: short listings, all-or-nothing, positional zip
+# --------------------------------------------------------------------------
+@register
+def q_short_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings with fewer than 10 rows."""
+    from gazette.operators.runs import short_groups
+
+    return short_groups(read_table(spark, sf_dir, "conversations", "conv_id"), "conv_id")
+
+
+@register
+def q_page_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One bad row loses its whole group (non-empty text, known role)."""
+    from gazette.operators.runs import all_or_nothing
+
+    df = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    ok = (F.coalesce(F.length(T.strip_ws("text")), F.lit(0)) > 0) & F.col("role").isin("user", "assistant")
+    return all_or_nothing(df.select("conv_id", "turn", ok.alias("ok")), "conv_id", F.col("ok")).select(
+        "conv_id", "turn"
+    )
+
+
+@register
+def q_zip_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The n-th user turn with the n-th assistant turn of each
+    conversation, stopping at the shorter side."""
+    from gazette.operators.select import zip_pairs
+
+    conv = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role")
+    users = conv.filter(F.col("role") == "user").select("conv_id", "turn", F.col("turn").alias("user_turn"))
+    bots = conv.filter(F.col("role") == "assistant").select(
+        "conv_id", "turn", F.col("turn").alias("assistant_turn")
+    )
+    pairs = zip_pairs(users, bots, ["conv_id"], "turn", "turn")
+    return pairs.select("conv_id", "pair_idx", "user_turn", "assistant_turn")
+
+
+# --------------------------------------------------------------------------
+# events: top-N, latest per link, JSON, epoch, snapshots, fetch logs, bounds
+# --------------------------------------------------------------------------
+def _events(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    return read_table(spark, sf_dir, "events", *cols)
+
+
+@register
+def q_type_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1: the 10 newest records per type (total order: ts, then id)."""
+    from gazette.operators.select import top_n_per_group
+
+    ev = _events(spark, sf_dir, "event_type", "event_id", "ts")
+    top = top_n_per_group(ev, ["event_type"], [F.col("ts").desc(), F.col("event_id").desc()], 10, "rn")
+    return top.select("event_type", F.col("rn").cast("bigint").alias("rn"), "event_id", "ts")
+
+
+@register
+def q_latest_per_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3: ten latest items per listing link (here: per user)."""
+    from gazette.operators.select import latest_per_link
+
+    ev = _events(spark, sf_dir, "user_id", "event_id", "ts")
+    top = latest_per_link(ev, "user_id", "ts", "event_id")
+    return top.select("user_id", F.col("rank").cast("bigint").alias("rn"), "event_id")
+
+
+@register
+def q_json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON field of a string column; malformed → NULL."""
+    ev = _events(spark, sf_dir, "event_id", "props")
+    return ev.select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
+
+
+@register
+def q_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time → epoch seconds → time (zone independent)."""
+    from gazette.functions import dates as D
+
+    ev = _events(spark, sf_dir, "event_id", "ts").select("event_id", D.to_epoch_seconds("ts").alias("epoch_s"))
+    return ev.select("event_id", "epoch_s", D.from_epoch_seconds("epoch_s").alias("ts_back"))
+
+
+@register
+def q_time_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first record per key in each 5-minute bucket — what a
+    5-minute memo returns for every call in the bucket."""
+    from gazette.operators.runs import snapshot_per_bucket
+
+    ev = _events(spark, sf_dir, "user_id", "ts", "event_id")
+    return snapshot_per_bucket(ev.withColumn("first_event", F.col("event_id")), ["user_id"], "ts", "event_id", "first_event")
+
+
+@register
+def q_fetch_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fetch log (attempts in time order per URL; here per user, an
+    ``error`` event is a failed try) → first success within 6 attempts."""
+    from gazette import constants as K
+    from gazette.operators.runs import resolve_fetches
+    from gazette.operators.select import top_n_per_group
+
+    ev = _events(spark, sf_dir, "user_id", "ts", "event_id", "event_type")
+    attempts = top_n_per_group(ev, ["user_id"], [F.col("ts"), F.col("event_id")], K.FEED_MAX_ATTEMPTS, "attempt")
+    res = resolve_fetches(
+        attempts,
+        key="user_id",
+        attempt="attempt",
+        success=F.coalesce(F.col("event_type") != F.lit("error"), F.lit(False)),
+        body="event_id",
+        max_attempts=K.FEED_MAX_ATTEMPTS,
+    )
+    return res.select(
+        "user_id",
+        F.col("attempt_used").cast("bigint").alias("attempt_used"),
+        F.col("body").alias("first_ok_event"),
+        F.col("attempts_seen").cast("bigint").alias("attempts_seen"),
+        "status",
+    )
+
+
+AS_OF = "2024-01-15 00:00:00"
+
+
+@register
+def q_date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publication time within [1975-01-01, as_of + 5 days]."""
+    import datetime as dt
+
+    from gazette.functions import dates as D
+
+    as_of = dt.datetime.fromisoformat(AS_OF)
+    ev = _events(spark, sf_dir, "event_id", "ts").withColumn("r", D.date_bounds_reasons("ts", as_of))
+    return ev.select("event_id", (F.size("r") == 0).alias("date_ok"), F.array_join("r", ",").alias("reasons"))
+
+
+@register
+def q_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``{REG} {type} from {yyyy-MM-dd}: {title} ({url})``."""
+    from gazette.functions import dates as D
+
+    ev = _events(spark, sf_dir, "event_id", "event_type", "ts")
+    return ev.select(
+        "event_id",
+        F.format_string(
+            "%s %s from %s: %s (%s)",
+            F.upper(F.substring("event_type", 1, 3)),
+            F.col("event_type"),
+            D.display_day("ts"),
+            F.concat(F.lit("Event "), F.col("event_id").cast("string")),
+            F.concat(F.lit("https://events.example.com/e/"), F.col("event_id").cast("string")),
+        ).alias("display"),
+    )
+
+
+# --------------------------------------------------------------------------
+# orders: first version, date formats, year manifest
+# --------------------------------------------------------------------------
+@register
+def q_first_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Position semantics — the first entry per key (lowest key order),
+    not the maximum; ``min_by`` combines map-side."""
+    o = read_table(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_orderstatus")
+    return o.groupBy("o_custkey").agg(
+        F.min("o_orderkey").alias("first_orderkey"),
+        F.min_by("o_orderstatus", "o_orderkey").alias("first_status"),
+    )
+
+
+@register
+def q_parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source date format written and parsed back, plus the
+    card rule (URL date first, else the text before ':')."""
+    from gazette.functions import dates as D
+
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
+    day = F.col("o_orderdate")
+    url = F.concat(F.lit("https://www.example.com/press/"), F.date_format(day, "yyyy-MM-dd"), F.lit("-item.html"))
+    nourl = F.lit("https://www.example.com/press/item.html")
+    desc = F.concat(F.date_format(day, "dd.MM.yyyy"), F.lit(": text"))
+    return o.select(
+        "o_orderkey",
+        D.parse_rss(D.rss_format(day)).alias("rss_parsed"),
+        D.parse_dotted(F.date_format(day, "d.M.yyyy")).alias("dotted_parsed"),
+        D.parse_iso_day(F.date_format(day, "yyyy-MM-dd")).alias("iso_parsed"),
+        D.parse_long_day(F.date_format(day, "d MMMM yyyy")).alias("long_parsed"),
+        D.card_date(url, F.lit("no date here")).alias("card_url_parsed"),
+        D.card_date(nourl, desc).alias("card_text_parsed"),
+    )
+
+
+@register
+def q_year_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One listing URL per year from the first to the last year,
+    newest first, with the number of records each year holds."""
+    o = read_table(spark, sf_dir, "orders", "o_orderdate").select(F.year("o_orderdate").alias("year"))
+    span = o.agg(F.min("year").alias("lo"), F.max("year").alias("hi")).select(
+        F.explode(F.sequence("lo", "hi")).alias("year")
+    )
+    counts = o.groupBy("year").agg(F.count(F.lit(1)).alias("n_orders"))
+    return (
+        span.join(counts, "year", "left")
+        .select(
+            F.col("year").cast("bigint").alias("year"),
+            F.format_string("https://www.example.com/press/accounts/%d/html/index_include.en.html", "year").alias("url"),
+            F.coalesce("n_orders", F.lit(0)).cast("bigint").alias("n_orders"),
+        )
+        .orderBy(F.desc("year"))
+    )
+
+
+# --------------------------------------------------------------------------
+# dimensions
+# --------------------------------------------------------------------------
+@register
+def q_dimension_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes from small dimensions (size-checked broadcast);
+    unknown keys stay visible as unmatched."""
+    from gazette.operators.enrich import join_dimension
+
+    sup = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
+    nat = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
+    reg = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
+    dim = join_dimension(nat, reg, "n_regionkey", "r_regionkey")
+    out = join_dimension(sup, dim, "s_nationkey", "n_nationkey")
+    return out.select("s_suppkey", "n_name", "r_name", F.col("n_name").isNotNull().alias("matched"))
+
+
+@register
+def q_dictionary_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dictionary-encoded column decoded by a broadcast equi-join to
+    the dictionary (index → value)."""
+    from gazette.operators.enrich import join_dimension
+
+    cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    dictionary = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    out = join_dimension(cust, dictionary, "c_nationkey", "n_nationkey")
+    return out.select("c_custkey", "c_nationkey", F.col("n_name").alias("decoded"))

@@ -174,3 +174,204 @@ ORACLES["q_manifest_join"] = f"""
 SELECT host, (starts_with(host, 'm.') OR starts_with(host, 'blog.')) AS lazy, count(*) AS n_pages
 FROM (SELECT {_HOST} AS host FROM pages) GROUP BY host
 """
+
+# --------------------------------------------------------------------------
+# documents / labels
+# --------------------------------------------------------------------------
+_FIRST_LINE = "split_part(text, chr(10), 1)"
+_TITLE_OK = "coalesce(length(title) BETWEEN 3 AND 500, false)"
+_DOC_TITLES = f"""
+  SELECT doc_id, lang, source, nullif({_strip(_FIRST_LINE)}, '') AS title,
+         CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines
+  FROM documents
+"""
+
+ORACLES["q_title_bounds"] = f"""
+SELECT doc_id, CAST(coalesce(length(title), 0) AS BIGINT) AS title_len, {_TITLE_OK} AS title_ok
+FROM ({_DOC_TITLES})
+"""
+
+ORACLES["q_clean_text"] = f"""
+SELECT doc_id, title,
+       nullif(split_part(title, ' ', 1), '') AS first_word,
+       nullif(split_part(title, ' ', 2), '') AS second_word,
+       lower(title) AS title_lower,
+       replace(title, '\\"', '"') AS title_unquoted
+FROM (SELECT doc_id, {_strip(_FIRST_LINE)} AS title FROM documents)
+"""
+
+_DOC_CANDIDATES = f"""
+  SELECT d.*, l.quality, l.toxic,
+         list_filter([CASE WHEN title IS NULL THEN 'empty_title' END,
+                      CASE WHEN title IS NOT NULL AND NOT {_TITLE_OK} THEN 'title_length' END,
+                      CASE WHEN l.quality IS NULL THEN 'missing:quality' END], lambda x: x IS NOT NULL) AS reasons
+  FROM ({_DOC_TITLES}) d LEFT JOIN labels l USING (doc_id)
+"""
+
+ORACLES["q_reject_summary"] = f"""
+SELECT reason, count(*) AS n FROM (SELECT unnest(reasons) AS reason FROM ({_DOC_CANDIDATES}))
+GROUP BY reason
+"""
+
+ORACLES["q_source_health"] = f"""
+SELECT source, count(*) AS n_rows, count(*) FILTER (WHERE len(reasons) = 0) AS n_valid,
+       CASE WHEN count(*) = 0 THEN 'empty'
+            WHEN count(*) FILTER (WHERE len(reasons) = 0) = 0 THEN 'no_valid' ELSE 'ok' END AS status
+FROM ({_DOC_CANDIDATES}) GROUP BY source
+"""
+
+ORACLES["q_lookup_enrich"] = """
+SELECT d.doc_id, d.lang, l.quality, l.toxic, l.doc_id IS NOT NULL AS enriched
+FROM documents d LEFT JOIN labels l
+  ON d.lang = 'en'
+ AND NOT coalesce(ends_with(lower(regexp_extract(d.source, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1)), '.pdf'), false)
+ AND d.doc_id = l.doc_id
+"""
+
+ORACLES["q_run_report"] = f"""
+SELECT source, lang, count(*) AS n_rows,
+       count(*) FILTER (WHERE NOT {_TITLE_OK}) AS n_errors,
+       CAST(sum(n_lines) AS BIGINT) AS n_related
+FROM ({_DOC_TITLES}) GROUP BY source, lang
+"""
+
+ORACLES["q_flatten_children"] = """
+SELECT doc_id, CAST(len(children) AS BIGINT) AS n_children, CAST(len(flat) AS BIGINT) AS n_flat,
+       flat[1] AS first_flat, flat[-1] AS last_flat
+FROM (SELECT doc_id, children,
+             flatten(list_transform(children, lambda l: list_filter(string_split(l, ' '), lambda w: w <> ''))) AS flat
+      FROM (SELECT doc_id, string_split(text, chr(10)) AS children FROM documents))
+"""
+
+ORACLES["q_union_namespaces"] = """
+SELECT namespace, count(*) AS n_rows FROM (
+  SELECT 'events-' || event_type AS namespace FROM events
+  UNION ALL
+  SELECT 'documents-' || lang AS namespace FROM documents)
+GROUP BY namespace
+"""
+
+# --------------------------------------------------------------------------
+# conversations
+# --------------------------------------------------------------------------
+ORACLES["q_short_pages"] = """
+SELECT conv_id, count(*) AS n_rows FROM conversations GROUP BY conv_id HAVING count(*) < 10
+"""
+
+ORACLES["q_page_atomic"] = f"""
+SELECT conv_id, turn FROM conversations WHERE conv_id IN (
+  SELECT conv_id FROM conversations GROUP BY conv_id
+  HAVING bool_and(coalesce(length({_strip('text')}), 0) > 0 AND role IN ('user', 'assistant')))
+"""
+
+ORACLES["q_zip_pairs"] = """
+WITH u AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i
+           FROM conversations WHERE role = 'user'),
+     a AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i
+           FROM conversations WHERE role = 'assistant')
+SELECT u.conv_id, u.i AS pair_idx, u.turn AS user_turn, a.turn AS assistant_turn
+FROM u JOIN a ON u.conv_id = a.conv_id AND u.i = a.i
+"""
+
+# --------------------------------------------------------------------------
+# events
+# --------------------------------------------------------------------------
+_EPOCH_S = "date_diff('second', TIMESTAMP '1970-01-01 00:00:00', ts)"
+
+ORACLES["q_type_topn"] = """
+SELECT event_type, rn, event_id, ts FROM (
+  SELECT event_type, event_id, ts,
+         row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn <= 10
+"""
+
+ORACLES["q_latest_per_link"] = """
+SELECT user_id, rn, event_id FROM (
+  SELECT user_id, event_id,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id ASC) AS rn
+  FROM events) WHERE rn <= 10
+"""
+
+ORACLES["q_json_props"] = """
+SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
+"""
+
+ORACLES["q_epoch"] = f"""
+SELECT event_id, {_EPOCH_S} AS epoch_s,
+       TIMESTAMP '1970-01-01 00:00:00' + to_seconds({_EPOCH_S}) AS ts_back
+FROM events
+"""
+
+ORACLES["q_time_bucket"] = f"""
+SELECT user_id, CAST(floor({_EPOCH_S} / 300) AS BIGINT) AS bucket,
+       first(event_id ORDER BY ts, event_id) AS first_event
+FROM events GROUP BY user_id, CAST(floor({_EPOCH_S} / 300) AS BIGINT)
+"""
+
+ORACLES["q_fetch_resolution"] = """
+WITH a AS (
+  SELECT user_id, event_id, coalesce(event_type <> 'error', false) AS ok,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS attempt
+  FROM events QUALIFY attempt <= 6)
+SELECT user_id,
+       CAST(min(attempt) FILTER (WHERE ok) AS BIGINT) AS attempt_used,
+       arg_min(event_id, attempt) FILTER (WHERE ok) AS first_ok_event,
+       count(*) AS attempts_seen,
+       CASE WHEN count(*) FILTER (WHERE ok) > 0 THEN 'ok' ELSE 'failed' END AS status
+FROM a GROUP BY user_id
+"""
+
+ORACLES["q_date_bounds"] = """
+SELECT event_id,
+       NOT (ts > TIMESTAMP '2024-01-20 00:00:00' OR ts < TIMESTAMP '1975-01-01 00:00:00') AS date_ok,
+       concat_ws(',', CASE WHEN ts > TIMESTAMP '2024-01-20 00:00:00' THEN 'date_in_future' END,
+                      CASE WHEN ts < TIMESTAMP '1975-01-01 00:00:00' THEN 'date_too_old' END) AS reasons
+FROM events
+"""
+
+ORACLES["q_display"] = """
+SELECT event_id,
+       upper(substr(event_type, 1, 3)) || ' ' || event_type || ' from ' || strftime(ts, '%Y-%m-%d')
+       || ': Event ' || CAST(event_id AS VARCHAR) || ' (https://events.example.com/e/' || CAST(event_id AS VARCHAR) || ')' AS display
+FROM events
+"""
+
+# --------------------------------------------------------------------------
+# orders
+# --------------------------------------------------------------------------
+ORACLES["q_first_version"] = """
+SELECT o_custkey, min(o_orderkey) AS first_orderkey, arg_min(o_orderstatus, o_orderkey) AS first_status
+FROM orders GROUP BY o_custkey
+"""
+
+ORACLES["q_parse_dates"] = """
+SELECT o_orderkey,
+       date_trunc('second', o_orderdate) AS rss_parsed,
+       date_trunc('day', o_orderdate) AS dotted_parsed,
+       date_trunc('day', o_orderdate) AS iso_parsed,
+       date_trunc('day', o_orderdate) AS long_parsed,
+       date_trunc('day', o_orderdate) AS card_url_parsed,
+       date_trunc('day', o_orderdate) AS card_text_parsed
+FROM orders
+"""
+
+ORACLES["q_year_manifest"] = """
+WITH y AS (SELECT year(o_orderdate) AS year FROM orders),
+     span AS (SELECT unnest(generate_series(min(year), max(year))) AS year FROM y),
+     c AS (SELECT year, count(*) AS n FROM y GROUP BY year)
+SELECT CAST(span.year AS BIGINT) AS year,
+       'https://www.example.com/press/accounts/' || span.year || '/html/index_include.en.html' AS url,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS n_orders
+FROM span LEFT JOIN c USING (year)
+"""
+
+ORACLES["q_dimension_join"] = """
+SELECT s.s_suppkey, n.n_name, r.r_name, n.n_name IS NOT NULL AS matched
+FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+"""
+
+ORACLES["q_dictionary_decode"] = """
+SELECT c.c_custkey, c.c_nationkey, n.n_name AS decoded
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+"""
