@@ -8,8 +8,6 @@ summarised) so an order-insensitive comparison is exact.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,16 +15,9 @@ from gazette.functions import text as T
 from gazette.functions import urls as U
 from gazette.operators import validate as V
 from gazette.sources import pages as P
+from gazette.plans.registry import register
 from gazette.sources.tables import read_table
 
-Query = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, Query] = {}
-
-
-def register(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
-    return fn
-
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "pages", "page_id", "url", "html")

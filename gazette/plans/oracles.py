@@ -375,3 +375,108 @@ ORACLES["q_dictionary_decode"] = """
 SELECT c.c_custkey, c.c_nationkey, n.n_name AS decoded
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 """
+
+# --------------------------------------------------------------------------
+# chunk database (events written as chunks of 100, groups of 10)
+# --------------------------------------------------------------------------
+_K = "TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)"
+
+ORACLES["q_chunk_decode"] = f"""
+SELECT event_id AS record_id, event_id, user_id, event_type, {_K} AS k FROM events
+"""
+
+_INDEX_STATS = """
+  SELECT event_type, CAST(floor((rn - 1) / 100) AS BIGINT) AS index_chunk,
+         min(event_id) AS first_sort_id, max(event_id) AS last_sort_id, count(*) AS n_records
+  FROM (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rn FROM events)
+  GROUP BY 1, 2
+"""
+
+ORACLES["q_index_stats"] = _INDEX_STATS
+
+ORACLES["q_index_prune"] = """
+SELECT event_id AS record_id, event_id, user_id FROM events WHERE event_type = 'error'
+"""
+
+ORACLES["q_chunk_locator"] = f"""
+SELECT 'data' AS kind, CAST(NULL AS VARCHAR) AS key, chunk_id AS item,
+       'https://db.example.com/dbs/publications.en/1/0f0f/data/' || (chunk_id // 10) || '/chunk_' || chunk_id || '.json' AS url
+FROM (SELECT DISTINCT CAST(event_id // 100 AS BIGINT) AS chunk_id FROM events)
+UNION ALL
+SELECT 'index_chunk' AS kind, s.event_type AS key, s.index_chunk AS item,
+       'https://db.example.com/dbs/publications.en/1/0f0f/indexes/event_type/' || v.value_id || '/chunk_' || s.index_chunk || '.json' AS url
+FROM ({_INDEX_STATS}) s
+JOIN (SELECT event_type, dense_rank() OVER (ORDER BY event_type) - 1 AS value_id
+      FROM (SELECT DISTINCT event_type FROM events)) v ON s.event_type = v.event_type
+"""
+
+ORACLES["q_chunk_count"] = """
+SELECT event_type, count(*) AS total_records,
+       CAST(ceil(count(*) / 100) AS BIGINT) AS n_chunks,
+       CAST(round_even(count(*) / 100, 0) AS BIGINT) AS n_chunks_rounded,
+       least(5000, count(*)) AS fetch_bound
+FROM events GROUP BY event_type
+"""
+
+ORACLES["q_record_to_publication"] = f"""
+SELECT event_id,
+       'Event ' || event_id || ' ' || event_type AS web_title,
+       date_trunc('second', ts) AS published_at,
+       'https://www.ecb.europa.eu/e/' || event_id || '.html' AS web_url,
+       CASE WHEN event_type <> 'error' THEN event_type ELSE '' END AS category,
+       CAST(coalesce(k % 3, 0) AS BIGINT) AS n_related,
+       CASE WHEN coalesce(k % 3, 0) >= 1 THEN 'https://www.ecb.europa.eu/pdf/' || event_id || '-1.pdf' END AS first_related
+FROM (SELECT *, {_K} AS k FROM events)
+"""
+
+ORACLES["q_type_latest_db"] = """
+SELECT * FROM (SELECT 'regulation' AS update_type, event_id FROM events
+               WHERE event_type = 'purchase' ORDER BY event_id LIMIT 10)
+UNION ALL
+SELECT * FROM (SELECT 'news' AS update_type, event_id FROM events
+               WHERE event_type IS DISTINCT FROM 'purchase' ORDER BY event_id LIMIT 10)
+"""
+
+ORACLES["q_child_decode"] = """
+SELECT p_partkey, 'P' || p_partkey AS pub_id, '2024' AS year,
+       lpad(CAST(p_size % 12 + 1 AS VARCHAR), 2, '0') AS month, '15' AS day,
+       CAST(CASE WHEN p_size % 4 = 3 THEN 2 ELSE 0 END AS BIGINT) AS n_pdfs,
+       CASE WHEN p_size % 4 = 3 THEN '/pdf/' || p_partkey || '-a.pdf' END AS first_pdf,
+       CASE WHEN p_size % 4 IN (1, 3) THEN p_brand END AS meta_brand
+FROM part WHERE p_size % 4 <> 0
+"""
+
+# --------------------------------------------------------------------------
+# formats
+# --------------------------------------------------------------------------
+def _title(html: str) -> str:
+    raw = f"regexp_extract({html}, '(?s)<title[^>]*>(.*?)</title>', 1)"
+    return f"nullif({_strip(_unescape(f'regexp_replace({raw}, {chr(39)}<[^>]*>{chr(39)}, {chr(39)}{chr(39)}, {chr(39)}g{chr(39)})'))}, '')"
+
+
+ORACLES["q_rss_decode"] = f"""
+SELECT page_id, web_title, web_url, published_at, n_enclosures,
+       (coalesce(length(web_title) BETWEEN 3 AND 500, false) AND {_valid('web_url')}
+        AND n_enclosures <= 50
+        AND published_at <= TIMESTAMP '2024-01-20 00:00:00'
+        AND published_at >= TIMESTAMP '1975-01-01 00:00:00') AS is_valid
+FROM (SELECT page_id, {_title('html')} AS web_title, url AS web_url,
+             TIMESTAMP '2024-01-01 00:00:00' + to_hours(page_id) AS published_at,
+             CAST(len({_HREFS}) AS BIGINT) AS n_enclosures
+      FROM pages)
+"""
+
+ORACLES["q_dl_listing"] = """
+SELECT o_custkey, CAST(o_orderkey // 32 AS BIGINT) AS page_no,
+       row_number() OVER (PARTITION BY o_custkey, o_orderkey // 32 ORDER BY o_orderkey) AS item_pos,
+       o_orderkey, 'Order ' || o_orderkey || ' ' || o_orderpriority AS web_title,
+       date_trunc('day', o_orderdate) AS published_at,
+       'https://www.example.com/orders/' || o_orderkey || '.en.html' AS web_url,
+       CAST(1 AS BIGINT) AS n_related,
+       'https://www.example.com/pdf/' || o_orderkey || '.en.pdf' AS first_related
+FROM orders
+"""
+
+ORACLES["q_csv_roundtrip"] = """
+SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part
+"""
