@@ -70,12 +70,12 @@ def strip_query(c: Column | str) -> Column:
     return F.split_part(col(c), F.lit("?"), F.lit(1))
 
 
-def _remove_dot_segments(p: Column) -> Column:
+def _remove_dot_segments(p: Column, was_relative: Column) -> Column:
     """RFC 3986 §5.2.4 on an absolute path, as Python's urljoin does it
-    (empty inner segments are dropped too)."""
+    (for a relative reference, empty inner segments are dropped too)."""
     segs = F.split(p, "/", -1)
     n = F.size(segs)
-    inner = F.filter(segs, lambda s, i: (i == 0) | (i == n - 1) | (s != F.lit("")))
+    inner = F.filter(segs, lambda s, i: (i == 0) | (i == n - 1) | (s != F.lit("")) | ~was_relative)
 
     def step(acc, s):
         return (
@@ -118,12 +118,32 @@ def resolve_url(href: Column | str, root: Column | str) -> Column:
     rest_netloc = F.regexp_extract(rest, r"^//([^/?#]*)", 1)
     use_scheme = F.when(has_scheme, h_scheme).otherwise(r_scheme)
     relative_path = F.when(rest_path.startswith("/"), rest_path).otherwise(F.concat(F.lit("/"), rest_path))
-    resolved_relative = F.concat(root, _remove_dot_segments(relative_path), tail)
+    resolved_relative = F.concat(root, _remove_dot_segments(relative_path, ~rest_path.startswith("/")), tail)
     no_path_no_query = F.concat(
         root, F.when(frag != F.lit(""), F.concat(F.lit("#"), frag)).otherwise(F.lit(""))
     )
+    # Fast paths first: CASE stops at the first true branch, so the common
+    # shapes cost a few prefix/substring tests and never reach the regexes.
+    plain_path = (
+        href.startswith("/")
+        & ~href.startswith("//")
+        & ~href.contains("/.")
+        & ~href.endswith("?")
+        & ~href.endswith("#")
+        & ~href.contains("?#")
+    )
+    plain_absolute = (
+        (href.startswith("https://") & root.startswith("https://"))
+        | (href.startswith("http://") & root.startswith("http://"))
+    ) & ~href.endswith("?") & ~href.endswith("#") & ~href.contains("?#")
+    other_web_scheme = (href.startswith("https://") & root.startswith("http://")) | (
+        href.startswith("http://") & root.startswith("https://")
+    )
     return (
         F.when(href.isNull() | root.isNull(), F.lit(None).cast("string"))
+        .when(plain_path, F.concat(root, href))
+        .when(plain_absolute, href)
+        .when(other_web_scheme, href)
         .when(href == F.lit(""), root)
         .when(has_scheme & (h_scheme != r_scheme), href)
         .when(rest.startswith("//"), F.concat(use_scheme, F.lit("://"), rest_netloc, rest_path, tail))

@@ -163,13 +163,16 @@ def decode_chunks(
     """
     width = len(header)
     wanted = list(fields) if fields is not None else list(header)
-    flat = F.from_json(F.col(chunk_col), "array<string>")
+    # parse each chunk once: the array is a column before the lambda uses it
+    # (an expression inside a lambda is evaluated per element)
+    parsed = chunks.select(F.col(id_col), F.from_json(F.col(chunk_col), "array<string>").alias("_flat"))
+    flat = F.col("_flat")
     n = F.floor(F.size(flat) / F.lit(width)).cast("int")
     records = F.when(
         n > 0,
         F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice(flat, i * width + 1, width)),
     ).otherwise(F.array().cast("array<array<string>>"))
-    exploded = chunks.select(F.col(id_col), F.posexplode(records).alias("idx", "vals"))
+    exploded = parsed.select(F.col(id_col), F.posexplode(records).alias("idx", "vals"))
     return exploded.select(
         (F.col(id_col) * F.lit(chunk_size) + F.col("idx")).cast("bigint").alias("record_id"),
         *[F.get("vals", header.index(f)).alias(f) for f in wanted],
@@ -189,12 +192,10 @@ def child_schema() -> str:
 _CSV_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "\u0000", "emptyValue": ""}
 
 
-def decode_child(raw: Column | str) -> Column:
-    """One child CSV string → ``struct<publicationId, timestamp, date{year,
-    month, day}, pdfUrls, metadata>``; NULL when fields 0–4 are missing.
-    Inner JSON quotes written as ``\\"`` are restored before decoding; a bad
+def _child_record(p: Column) -> Column:
+    """Parsed CSV fields → the child struct (NULL when fields 0–4 are
+    missing).  Inner JSON quotes written as ``\\"`` are restored first; a bad
     list or map decodes as empty."""
-    p = F.from_csv(col(raw), child_schema(), _CSV_OPTIONS)
     pdfs = F.coalesce(F.from_json(T.unescape_json_quotes(p["f9"]), "array<string>"), F.array().cast("array<string>"))
     meta = F.coalesce(
         F.from_json(T.unescape_json_quotes(p["f10"]), "map<string,string>"),
@@ -207,13 +208,26 @@ def decode_child(raw: Column | str) -> Column:
         pdfs.alias("pdfUrls"),
         meta.alias("metadata"),
     )
-    return F.when(col(raw).isNotNull() & (col(raw) != "") & p["f4"].isNotNull(), rec)
+    return F.when(p["f4"].isNotNull(), rec)
+
+
+def _parse_child_csv(raw: Column) -> Column:
+    return F.when(raw.isNotNull() & (raw != F.lit("")), F.from_csv(raw, child_schema(), _CSV_OPTIONS))
+
+
+def decode_child(raw: Column | str) -> Column:
+    """One child CSV string → ``struct<publicationId, timestamp, date{year,
+    month, day}, pdfUrls, metadata>``; NULL when fields 0–4 are missing."""
+    return F.transform(F.array(_parse_child_csv(col(raw))), _child_record)[0]
 
 
 def decode_children(raw_list: Column | str) -> Column:
-    """A JSON list of child CSV strings → decoded children, failures dropped."""
+    """A JSON list of child CSV strings → decoded children, failures and
+    empty strings dropped.  Each CSV string is parsed once (inner
+    ``transform``); the outer one only reads fields of the parsed struct."""
     arr = F.coalesce(F.from_json(col(raw_list), "array<string>"), F.array().cast("array<string>"))
-    return F.filter(F.transform(arr, decode_child), lambda c: c.isNotNull())
+    parsed = F.transform(arr, _parse_child_csv)
+    return F.filter(F.transform(parsed, _child_record), lambda c: c.isNotNull())
 
 
 def db_type_code(update_type: str) -> int:
