@@ -43,22 +43,18 @@ def parse_day(c: Column | str, pattern: str) -> Column:
 
 
 def parse_rss(c: Column | str) -> Column:
-    """``Wed, 22 Jan 2025 12:00:00 GMT`` → TIMESTAMP_NTZ (zone must be GMT/UTC)."""
+    """``Wed, 22 Jan 2025 12:00:00 GMT`` → TIMESTAMP_NTZ (zone must be GMT/UTC).
+
+    One regex guard and one rewrite into ``d MMM yyyy|H|m|s``; the parts are
+    then cut with literal ``split_part`` (the canonical string is a common
+    subexpression, computed once per row)."""
     c = col(c)
-    parts = [F.regexp_extract(c, _RSS_RE, i) for i in range(1, 7)]
-    day = F.try_to_date(F.concat_ws(" ", parts[0], parts[1], parts[2]), "d MMM yyyy")
-    as_int = [p.try_cast("int") for p in parts[3:]]
-    return F.when(
-        day.isNotNull(),
-        F.try_make_timestamp_ntz(
-            years=F.year(day),
-            months=F.month(day),
-            days=F.dayofmonth(day),
-            hours=as_int[0],
-            mins=as_int[1],
-            secs=as_int[2].cast("decimal(16,6)"),
-        ),
-    )
+    canon = F.regexp_replace(c, _RSS_RE, "$1 $2 $3|$4|$5|$6")
+    part = [F.split_part(canon, F.lit("|"), F.lit(i)) for i in range(1, 5)]
+    day = F.try_to_date(part[0], "d MMM yyyy").cast("timestamp_ntz")
+    secs = part[1].try_cast("int") * 3600 + part[2].try_cast("int") * 60 + part[3].try_cast("int")
+    # ``day`` is referenced once: a parsed date is not shared between uses
+    return F.when(c.rlike(_RSS_RE), F.timestamp_add("SECOND", secs, day))
 
 
 def parse_dotted(c: Column | str) -> Column:

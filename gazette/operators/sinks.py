@@ -33,14 +33,25 @@ def union_sources(*frames: DataFrame) -> DataFrame:
     return out
 
 
+def write_candidates(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Candidates with ``reasons`` and ``namespace`` → one table partitioned
+    by ``status`` and ``namespace``; only the partitions present in ``df``
+    are replaced."""
+    status = F.when(F.size("reasons") == 0, F.lit("valid")).otherwise(F.lit("rejected"))
+    (
+        df.withColumn("status", status)
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("status", "namespace")
+        .parquet(path)
+    )
+
+
 def write_publications(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Valid publications only, partitioned by namespace."""
     (
         df.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("namespace")
         .parquet(path)
     )
-
-
-def write_rejects(df: DataFrame, path: str, mode: str = "append") -> None:
-    df.write.mode(mode).parquet(path)
