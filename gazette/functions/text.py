@@ -73,3 +73,9 @@ def _nfkc_series(s: pd.Series) -> pd.Series:
 
 nfkc = F.pandas_udf(_nfkc_series, StringType())
 nfkc.__doc__ = "Unicode NFKC normalisation (Arrow batches; ASCII passes through)."
+
+
+def display_line(regulator, update_type, day, title, url) -> Column:
+    """``{REG} {type} from {yyyy-MM-dd}: {title} ({url})``; ``day`` is the
+    formatted date column."""
+    return F.format_string("%s %s from %s: %s (%s)", col(regulator), col(update_type), col(day), col(title), col(url))

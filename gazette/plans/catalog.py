@@ -223,15 +223,14 @@ def q_related_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_manifest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A link manifest (one row per host, with its lazy-render flag)
     joined to the landed pages by host."""
-    pages = _pages(spark, sf_dir).select("page_id", U.host("url").alias("host"))
-    manifest = pages.select("host").distinct().withColumn(
+    pages = _pages(spark, sf_dir).select(U.host("url").alias("host"))
+    manifest = pages.distinct().withColumn(
         "lazy", F.col("host").startswith("m.") | F.col("host").startswith("blog.")
     )
-    return (
-        pages.join(manifest, "host")
-        .groupBy("host", "lazy")
-        .agg(F.count(F.lit(1)).alias("n_pages"))
-    )
+    # count per host first (map-side combine), then join one row per host:
+    # a host holding most pages never reaches the join whole
+    counts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
+    return counts.join(manifest, "host").select("host", "lazy", "n_pages")
 
 
 # --------------------------------------------------------------------------
@@ -520,8 +519,7 @@ def q_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir, "event_id", "event_type", "ts")
     return ev.select(
         "event_id",
-        F.format_string(
-            "%s %s from %s: %s (%s)",
+        T.display_line(
             F.upper(F.substring("event_type", 1, 3)),
             F.col("event_type"),
             D.display_day("ts"),

@@ -304,6 +304,19 @@ def keep_latest(candidates: DataFrame, per_link: int | None = K.PER_LINK_LATEST)
     return top.unionByName(rejects)
 
 
+def atomic_pages(candidates: DataFrame) -> DataFrame:
+    """Opt-in all-or-nothing mode: a listing page with any rejected row loses
+    all its rows (they become rejects with reason ``page_rejected``)."""
+    from gazette.operators.runs import all_or_nothing
+
+    good_pages = all_or_nothing(candidates, "listing_url", F.size("reasons") == 0).select("listing_url").distinct()
+    flagged = candidates.join(good_pages.withColumn("_page_ok", F.lit(True)), "listing_url", "left")
+    reasons = F.when(
+        F.col("_page_ok").isNull() & (F.size("reasons") == 0), F.array(F.lit("page_rejected"))
+    ).otherwise(F.col("reasons"))
+    return flagged.withColumn("reasons", reasons).select(*candidates.columns)
+
+
 def split(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(publications, rejects) of a candidate frame (lazy; both read it)."""
     pubs = candidates.filter(F.size("reasons") == 0).select(*S.PUBLICATION_COLUMNS, "source", "listing_url")

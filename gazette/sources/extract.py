@@ -8,7 +8,8 @@ site is a new spec, not new code.
 
 Every page yields at least one row: item rows with ``page_status = 'ok'``,
 or one row whose status says why there are none (``no_container`` /
-``no_items``) — the health report counts those instead of raising.
+``no_items`` / ``parse_error``) — the health report counts those instead of
+raising.
 """
 
 from __future__ import annotations
@@ -47,10 +48,17 @@ class Node:
         return [c for c in self.content if isinstance(c, Node)]
 
     def descendants(self) -> Iterator[Node]:
-        for c in self.content:
-            if isinstance(c, Node):
-                yield c
-                yield from c.descendants()
+        """Element descendants in document order (iterative: real pages can
+        nest unclosed tags deeper than Python's recursion limit)."""
+        stack = [iter(self.content)]
+        while stack:
+            for c in stack[-1]:
+                if isinstance(c, Node):
+                    yield c
+                    stack.append(iter(c.content))
+                    break
+            else:
+                stack.pop()
 
     def text_nodes(self) -> list[str]:
         """XPath ``text()``: direct text children (adjacent chunks merged)."""
@@ -75,19 +83,27 @@ class Node:
         return "".join(buf) if buf else None
 
     def all_text_nodes(self) -> list[str]:
-        """XPath ``.//text()`` in document order."""
+        """XPath ``.//text()`` in document order (adjacent chunks of one
+        parent merged)."""
         out: list[str] = []
-        buf: list[str] = []
-        for c in self.content:
-            if isinstance(c, str):
-                buf.append(c)
+        stack = [iter(self.content)]
+        bufs: list[list[str]] = [[]]
+        while stack:
+            for c in stack[-1]:
+                if isinstance(c, str):
+                    bufs[-1].append(c)
+                else:
+                    if bufs[-1]:
+                        out.append("".join(bufs[-1]))
+                        bufs[-1] = []
+                    stack.append(iter(c.content))
+                    bufs.append([])
+                    break
             else:
-                if buf:
-                    out.append("".join(buf))
-                    buf = []
-                out.extend(c.all_text_nodes())
-        if buf:
-            out.append("".join(buf))
+                stack.pop()
+                last = bufs.pop()
+                if last:
+                    out.append("".join(last))
         return out
 
 
@@ -346,7 +362,10 @@ def extract(df: DataFrame, spec: SourceSpec, html_col: str = "html", keys: Seque
             key_vals = [batch.column(k).to_pylist() for k in key_names]
             pages = batch.column(html_col).to_pylist()
             for i, page in enumerate(pages):
-                status, items = extract_page(spec, page)
+                try:
+                    status, items = extract_page(spec, page)
+                except Exception:  # noqa: BLE001 - one bad page must not fail the job
+                    status, items = "parse_error", []
                 rows = items or [None]
                 for rec in rows:
                     for k, vals in zip(key_names, key_vals):

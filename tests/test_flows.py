@@ -234,3 +234,24 @@ def test_keep_latest_per_link(spark):
     kept = PUB.keep_latest(df, 10).collect()
     assert len(kept) == 10
     assert min(r.published_at for r in kept) >= dt.datetime(2024, 1, 10)
+
+
+def test_page_atomic_option(spark):
+    listing = _pages(spark, [(f"{BASE}/press/accounts", DL_PAGE), (f"{BASE}/press/bare", DL_BODY_PAGE)])
+    cands = PUB.dl_publications(listing, BASE, "regulation", "ECB", as_of=AS_OF)
+    atomic = PUB.atomic_pages(cands)
+    assert atomic.count() == cands.count()
+    ok = atomic.filter(F.size("reasons") == 0).collect()
+    assert {r.listing_url for r in ok} == {f"{BASE}/press/bare"}
+    assert atomic.filter(F.array_contains("reasons", "page_rejected")).count() == 2
+
+
+def test_landed_files_scan_repairs_utf8(spark, scratch):
+    from gazette.sources.pages import read_landed_files
+
+    d = os.path.join(scratch, "landed")
+    os.makedirs(d)
+    with open(os.path.join(d, "p1.html"), "wb") as f:
+        f.write(b"<html><title>caf\xe9 \xff</title></html>")
+    row = read_landed_files(spark, d, "*.html").first()
+    assert row.html == b"<html><title>caf\xe9 \xff</title></html>".decode("utf-8", "replace")

@@ -1,4 +1,4 @@
-"""Validation boundaries (the reference's own unit cases plus edges)."""
+"""Validation boundaries: the original unit cases plus edges."""
 
 import datetime as dt
 
