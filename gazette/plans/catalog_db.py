@@ -183,13 +183,8 @@ def q_type_latest_db(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 10 records (storage order) of the type code each
     update type maps to (regulation → 18, news → 1)."""
     recs = C.decode_chunks(_record_chunks(spark, sf_dir), RECORD_HEADER, CHUNK_SIZE, fields=["type"])
-    out = None
-    for ut in ("regulation", "news"):
-        part = C.latest_of_type(recs, ut, K.PER_LINK_LATEST).select(
-            F.lit(ut).alias("update_type"), F.col("record_id").alias("event_id")
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    top = C.latest_of_types(recs, ["regulation", "news"], K.PER_LINK_LATEST)
+    return top.select("update_type", F.col("record_id").alias("event_id"))
 
 
 @register

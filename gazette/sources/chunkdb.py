@@ -258,8 +258,22 @@ def record_to_publication(records: DataFrame, base_url: str, update_type: str, r
 def latest_of_type(records: DataFrame, update_type: str, n: int = 10) -> DataFrame:
     """The first ``n`` records (storage order = newest first) of the type
     code an update type maps to."""
-    code = db_type_code(update_type)
-    return records.filter(F.col("type").try_cast("int") == code).orderBy("record_id").limit(n)
+    return latest_of_types(records, [update_type], n).drop("update_type")
+
+
+def latest_of_types(records: DataFrame, update_types: Sequence[str], n: int = 10) -> DataFrame:
+    """The first ``n`` records of each update type's code, all types in one
+    pass: the code → type map is a literal ``CASE``; the ranking plans a
+    partial ``WindowGroupLimit`` (≤ n rows per type leave each map task)."""
+    from gazette.operators.select import top_n_per_group
+
+    code = F.col("type").try_cast("int")
+    mapped = None
+    for ut in update_types:
+        cond = code == F.lit(db_type_code(ut))
+        mapped = F.when(cond, F.lit(ut)) if mapped is None else mapped.when(cond, F.lit(ut))
+    tagged = records.withColumn("update_type", mapped).filter(F.col("update_type").isNotNull())
+    return top_n_per_group(tagged, ["update_type"], [F.col("record_id")], n, "_rank").drop("_rank")
 
 
 def chunk_count(total: Column | str, chunk_size: Column | str) -> Column:
