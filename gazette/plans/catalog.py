@@ -99,15 +99,16 @@ def q_first_link(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def q_collect_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A2: ordered collect — exploded links filtered to valid ones, grouped
-    back per page in document order (group size is bounded by a page)."""
-    links = _hrefs_exploded(spark, sf_dir).select(
-        "page_id", "pos", U.resolve_url(T.strip_ws("href"), F.col("root")).alias("url")
-    ).filter(U.is_valid_url("url"))
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "url")))
-    return links.groupBy("page_id").agg(
-        F.array_join(F.transform(ordered, lambda s: s["url"]), "|").alias("links"),
-        F.count(F.lit(1)).alias("n_links"),
+    """A2: the ordered list of a page's valid resolved links, joined as one
+    string — row-local (the page's anchors are already in document order,
+    so no explode/regroup shuffle is needed)."""
+    df = _resolved(_page_fields(spark, sf_dir)).select(
+        "page_id", F.filter("related", lambda u: U.is_valid_url(u)).alias("links")
+    ).filter(F.size("links") > 0)
+    return df.select(
+        "page_id",
+        F.array_join("links", "|").alias("links"),
+        F.size("links").cast("bigint").alias("n_links"),
     )
 
 
@@ -261,9 +262,12 @@ def q_title_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Strip, split-and-pick, lower, quote unescape."""
+    """Strip, split-and-pick, lower, quote unescape (title line) and
+    the stripped length of the whole text."""
     df = read_table(spark, sf_dir, "documents", "doc_id", "text").select(
-        "doc_id", T.strip_ws(T.first_line("text")).alias("title")
+        "doc_id",
+        T.strip_ws(T.first_line("text")).alias("title"),
+        F.length(T.strip_ws("text")).cast("bigint").alias("text_len"),
     )
     return df.select(
         "doc_id",
@@ -272,16 +276,20 @@ def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         T.split_pick("title", " ", 2).alias("second_word"),
         F.lower("title").alias("title_lower"),
         T.unescape_json_quotes("title").alias("title_unquoted"),
+        "text_len",
     )
 
 
 @register
 def q_nfkc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """NFKC-normalised titles (Arrow-batched; ASCII rows pass through)."""
-    df = read_table(spark, sf_dir, "documents", "doc_id", "text").select(
-        "doc_id", T.strip_ws(T.first_line("text")).alias("title")
+    """NFKC-normalised titles and whole texts (Arrow-batched; ASCII
+    values pass through untouched)."""
+    df = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return df.select(
+        "doc_id",
+        T.nfkc(T.strip_ws(T.first_line("text"))).alias("title_nfkc"),
+        F.length(T.nfkc("text")).cast("bigint").alias("text_nfkc_len"),
     )
-    return df.select("doc_id", T.nfkc("title").alias("title_nfkc"))
 
 
 def _doc_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:

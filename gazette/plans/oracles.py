@@ -96,10 +96,9 @@ SELECT page_id, CAST(pos AS BIGINT) AS pos, href, link_text FROM (
 ORACLES["q_first_link"] = f"SELECT page_id, related[1] AS first_link FROM ({_PAGE_FIELDS})"
 
 ORACLES["q_collect_links"] = f"""
-SELECT page_id, string_agg(url, '|' ORDER BY pos) AS links, count(*) AS n_links FROM (
-  SELECT page_id, unnest(range(1, len(related) + 1)) AS pos, unnest(related) AS url FROM ({_PAGE_FIELDS}))
-WHERE {_valid('url')}
-GROUP BY page_id
+SELECT page_id, array_to_string(links, '|') AS links, CAST(len(links) AS BIGINT) AS n_links
+FROM (SELECT page_id, list_filter(related, lambda u: {_valid('u')}) AS links FROM ({_PAGE_FIELDS}))
+WHERE len(links) > 0
 """
 
 ORACLES["q_resolve_url"] = f"""
@@ -196,8 +195,9 @@ SELECT doc_id, title,
        nullif(split_part(title, ' ', 1), '') AS first_word,
        nullif(split_part(title, ' ', 2), '') AS second_word,
        lower(title) AS title_lower,
-       replace(title, '\\"', '"') AS title_unquoted
-FROM (SELECT doc_id, {_strip(_FIRST_LINE)} AS title FROM documents)
+       replace(title, '\\"', '"') AS title_unquoted,
+       text_len
+FROM (SELECT doc_id, {_strip(_FIRST_LINE)} AS title, CAST(length({_strip('text')}) AS BIGINT) AS text_len FROM documents)
 """
 
 _DOC_CANDIDATES = f"""

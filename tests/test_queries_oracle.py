@@ -57,3 +57,24 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "web_title" in df.columns
+
+
+def test_nfkc_query_against_python(spark):
+    import unicodedata
+
+    from gazette.sources.tables import read_table
+
+    got = {r.doc_id: (r.title_nfkc, r.text_nfkc_len) for r in entry.queries()["q_nfkc"](spark, SF_SMALL).collect()}
+    docs = read_table(spark, SF_SMALL, "documents", "doc_id", "text").collect()
+    assert len(got) == len(docs)
+    for d in docs:
+        title = unicodedata.normalize("NFKC", d.text.split("\n", 1)[0].strip())
+        assert got[d.doc_id] == (title, len(unicodedata.normalize("NFKC", d.text))), d.doc_id
+
+
+def test_binary_files_query_against_stat(spark):
+    import os
+
+    got = {r.file_name: r.n_bytes for r in entry.queries()["q_binary_files"](spark, SF_SMALL).collect()}
+    expected = {f: os.stat(os.path.join(SF_SMALL, f)).st_size for f in os.listdir(SF_SMALL) if f.endswith(".parquet")}
+    assert got == expected
