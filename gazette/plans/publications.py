@@ -54,10 +54,12 @@ def _empty() -> Column:
 
 
 def _finish(df: DataFrame, as_of: _dt.datetime | None, parse_reasons: Column | None = None,
-            related_cap: int = K.MAX_RELATED_URLS) -> DataFrame:
+            related_cap: int = K.MAX_RELATED_URLS, validate_related: bool = True) -> DataFrame:
     """Add record-level reasons (after any parse reasons) and the fixed
-    column order."""
-    record = V.publication_reasons("web_title", "published_at", "web_url", "related_urls", as_of, related_cap)
+    column order.  ``validate_related=False`` leaves the related list
+    unchecked (web cards attach it after validation, capped instead)."""
+    related = "related_urls" if validate_related else None
+    record = V.publication_reasons("web_title", "published_at", "web_url", related, as_of, related_cap)
     reasons = record if parse_reasons is None else F.when(F.size(parse_reasons) > 0, parse_reasons).otherwise(record)
     out = df.withColumn("reasons", reasons)
     for c in CANDIDATE_COLUMNS:
@@ -128,7 +130,7 @@ def card_publications(
         )
     )
     df = df.withColumn("category", F.lit("")).withColumn("ai_topic", F.lit(None).cast("string"))
-    return _finish(df, as_of, parse)
+    return _finish(df, as_of, parse, validate_related=False)
 
 
 # ---------------------------------------------------------------------------
@@ -267,28 +269,30 @@ def search_publications(
 def db_publications(
     spark: SparkSession,
     db_root: str,
-    update_type: str,
+    update_type: str | Sequence[str],
     base_url: str,
     regulator: str = "ECB",
     n: int = K.PER_LINK_LATEST,
     source: str = "db",
 ) -> DataFrame:
-    """Landed chunk database → the first ``n`` records (storage order) of the
-    update type's code, as candidates.  A missing or empty database fails
-    the run instead of yielding an empty table."""
+    """Landed chunk database → the first ``n`` records (storage order) of each
+    update type's code, as candidates.  Several update types share ONE
+    decode of the chunks (the reuse a memoised load gave).  A missing or
+    empty database fails the run instead of yielding an empty table."""
+    types = [update_type] if isinstance(update_type, str) else list(update_type)
     ver = C.first_version(spark, db_root).first()
     if ver is None or ver["version"] is None:
         raise ValueError(f"no version listed under {db_root}")
     root = f"{db_root.rstrip('/')}/{ver['version']}/{ver['hash']}"
     meta = C.read_metadata(spark, root)
     records = C.decode_chunks(C.read_data_chunks(spark, root), meta["header"], int(meta["chunk_size"]))
-    chosen = C.latest_of_type(records, update_type, n)
-    pubs = C.record_to_publication(chosen, base_url, update_type, regulator)
+    chosen = C.latest_of_types(records, types, n)
+    pubs = C.record_to_publication(chosen, base_url, "", regulator).withColumn("type", F.col("update_type"))
     df = pubs.select(
         F.lit(source).alias("source"),
         F.lit(db_root).alias("listing_url"),
         F.col("record_id").alias("item_pos"),
-        *[c for c in pubs.columns if c != "record_id"],
+        *[c for c in pubs.columns if c not in ("record_id", "update_type")],
     )
     return _finish(df, None)
 

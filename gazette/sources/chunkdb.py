@@ -242,8 +242,10 @@ def record_to_publication(records: DataFrame, base_url: str, update_type: str, r
         F.transform(children, lambda c: F.transform(c["pdfUrls"], lambda u: U.resolve_url(u, base)))
     )
     doc_types = F.from_json(F.col("documentTypes"), "array<string>")
+    passthrough = [c for c in ("update_type",) if c in records.columns]
     return records.select(
         "record_id",
+        *passthrough,
         F.lit(regulator).alias("regulator"),
         F.lit(update_type).alias("type"),
         F.get_json_object("publicationProperties", "$.Title").alias("web_title"),

@@ -255,3 +255,18 @@ def test_landed_files_scan_repairs_utf8(spark, scratch):
         f.write(b"<html><title>caf\xe9 \xff</title></html>")
     row = read_landed_files(spark, d, "*.html").first()
     assert row.html == b"<html><title>caf\xe9 \xff</title></html>".decode("utf-8", "replace")
+
+
+def test_db_both_types_share_one_decode(spark, scratch):
+    records = [
+        _rec(18, 1737547200, "Letter one", "/press/l1.en.html", None, []),
+        _rec(1, 1737547100, "Press one", "/press/p1.en.html", None, []),
+        _rec(18, 1737546900, "Letter two", "/press/l2.en.html", None, []),
+    ]
+    root = os.path.join(scratch, "db")
+    _write_db(root, records, HEADER, 2, 2)
+    both = PUB.db_publications(spark, root, ["regulation", "news"], BASE)
+    got = sorted((r.type, r.web_title) for r in both.collect())
+    assert got == [("news", "Press one"), ("regulation", "Letter one"), ("regulation", "Letter two")]
+    final = both._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan text") == 1  # one decode serves both types
