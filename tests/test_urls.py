@@ -2,7 +2,6 @@
 
 from urllib.parse import urljoin, urlparse
 
-from pyspark.sql import functions as F
 
 from gazette.functions import urls as U
 
