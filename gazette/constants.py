@@ -65,17 +65,18 @@ REGULATORS = (
 )
 
 # ---------------------------------------------------------------------------
-# FIXED VALUES — Python's str.strip() whitespace set, as one regex class.
+# FIXED VALUES — Python's str.strip() whitespace set (code points).
 #   tab, LF, VT, FF, CR, the four information separators (1C-1F), space,
 #   NEL (85), no-break space (A0), ogham space (1680), en quad .. hair space
 #   (2000-200A), line/paragraph separators (2028, 2029), narrow no-break space
 #   (202F), medium math space (205F), ideographic space (3000).
-# Written with \x{...} escapes, which both Java regex and RE2 accept.
 # ---------------------------------------------------------------------------
-WS_CLASS = (
-    r"[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+WS_CODEPOINTS = (
+    0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680,
+    0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009, 0x200A,
+    0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 )
+WS_CHARS = "".join(chr(c) for c in WS_CODEPOINTS)
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES — HTML character references decoded by the JVM fast path.

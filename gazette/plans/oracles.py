@@ -5,15 +5,17 @@ Java regex and RE2 agree; times are TIMESTAMP (naive) like Spark's NTZ.
 
 from __future__ import annotations
 
-# FIXED VALUES — Python str.strip() whitespace as an RE2 class (see constants)
-_WS = (
-    r"[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+# FIXED VALUES — Python str.strip() whitespace set (see constants.WS_CODEPOINTS)
+_WS_CHARS_SQL = " || ".join(
+    f"chr({c})"
+    for c in (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680,
+              0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009, 0x200A,
+              0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 )
 
 
 def _strip(expr: str) -> str:
-    return f"regexp_replace({expr}, '\\A{_WS}+|{_WS}+\\z', '', 'g')"
+    return f"trim({expr}, {_WS_CHARS_SQL})"
 
 
 def _unescape(expr: str) -> str:
