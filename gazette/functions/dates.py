@@ -25,9 +25,10 @@ def ntz_lit(value: _dt.datetime) -> Column:
 def _epoch() -> Column:
     return ntz_lit(_dt.datetime(1970, 1, 1))
 
-# strptime-compatible shapes of the RSS date, weekday and zone included
+# strptime-compatible shapes of the RSS date, weekday and zone included; the
+# leading "#" is a marker the caller prepends (see parse_rss)
 _RSS_RE = (
-    r"^(?i)(?:mon|tue|wed|thu|fri|sat|sun),\s+"
+    r"^#(?i)(?:mon|tue|wed|thu|fri|sat|sun),\s+"
     r"(3[01]|[12][0-9]|0[1-9]|[1-9])\s+([a-z]{3})\s+([0-9]{4})\s+"
     r"(2[0-3]|[01][0-9]|[0-9]):([0-5][0-9]|[0-9]):([0-5][0-9]|[0-9])\s+(?:gmt|utc)$"
 )
@@ -42,19 +43,24 @@ def parse_day(c: Column | str, pattern: str) -> Column:
     return F.try_to_date(col(c), pattern).cast("timestamp_ntz")
 
 
+# FIXED VALUES — English month abbreviations, in calendar order
+_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+
+
 def parse_rss(c: Column | str) -> Column:
     """``Wed, 22 Jan 2025 12:00:00 GMT`` → TIMESTAMP_NTZ (zone must be GMT/UTC).
 
-    One regex guard and one rewrite into ``d MMM yyyy|H|m|s``; the parts are
-    then cut with literal ``split_part`` (the canonical string is a common
-    subexpression, computed once per row)."""
+    One full-match regex rewrites the value to ``yyyy-mon-d H:m:s``; month
+    names become numbers with plain ``replace``; ``try_cast`` to
+    TIMESTAMP_NTZ validates the calendar (31 Feb → NULL) without any session
+    zone.  The value is prefixed with a ``#`` marker that only a full match
+    consumes, so a non-matching value keeps it and the cast gives NULL — no
+    ``CASE`` (a branch would re-run the regex), one regex per row."""
     c = col(c)
-    canon = F.regexp_replace(c, _RSS_RE, "$1 $2 $3|$4|$5|$6")
-    part = [F.split_part(canon, F.lit("|"), F.lit(i)) for i in range(1, 5)]
-    day = F.try_to_date(part[0], "d MMM yyyy").cast("timestamp_ntz")
-    secs = part[1].try_cast("int") * 3600 + part[2].try_cast("int") * 60 + part[3].try_cast("int")
-    # ``day`` is referenced once: a parsed date is not shared between uses
-    return F.when(c.rlike(_RSS_RE), F.timestamp_add("SECOND", secs, day))
+    canon = F.lower(F.regexp_replace(F.concat(F.lit("#"), c), _RSS_RE, "$3-$2-$1 $4:$5:$6"))
+    for i, m in enumerate(_MONTHS, start=1):
+        canon = F.replace(canon, F.lit(f"-{m}-"), F.lit(f"-{i}-"))
+    return canon.try_cast("timestamp_ntz")
 
 
 def parse_dotted(c: Column | str) -> Column:
