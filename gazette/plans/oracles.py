@@ -469,14 +469,13 @@ FROM (SELECT page_id, {_title('html')} AS web_title, url AS web_url,
 """
 
 ORACLES["q_dl_listing"] = """
-SELECT o_custkey, CAST(o_orderkey // 32 AS BIGINT) AS page_no,
-       row_number() OVER (PARTITION BY o_custkey, o_orderkey // 32 ORDER BY o_orderkey) AS item_pos,
+SELECT o_custkey, CAST((rn - 1) // 10 AS BIGINT) AS page_no, CAST((rn - 1) % 10 + 1 AS BIGINT) AS item_pos,
        o_orderkey, 'Order ' || o_orderkey || ' ' || o_orderpriority AS web_title,
        date_trunc('day', o_orderdate) AS published_at,
        'https://www.example.com/orders/' || o_orderkey || '.en.html' AS web_url,
        CAST(1 AS BIGINT) AS n_related,
        'https://www.example.com/pdf/' || o_orderkey || '.en.pdf' AS first_related
-FROM orders
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders)
 """
 
 ORACLES["q_csv_roundtrip"] = """

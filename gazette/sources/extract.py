@@ -110,6 +110,11 @@ class Node:
 class _TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
+        self.start()
+
+    def start(self):
+        """Fresh tree; the parser object itself is reused across pages."""
+        self.reset()
         self.count = 0
         self.root = Node("#root", {}, None, 0)
         self.stack = [self.root]
@@ -153,8 +158,17 @@ class _TreeBuilder(HTMLParser):
         self.stack[-1].content.append(data)
 
 
+_BUILDER: _TreeBuilder | None = None
+
+
 def parse_html(text: str | None) -> Node:
-    b = _TreeBuilder()
+    """Parse one page.  One builder per Python worker is reused (workers
+    run one task at a time), which saves its set-up on every small page."""
+    global _BUILDER
+    if _BUILDER is None:
+        _BUILDER = _TreeBuilder()
+    b = _BUILDER
+    b.start()
     if text:
         b.feed(text)
         b.close()
