@@ -34,6 +34,10 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # small local inputs shuffle well under AQE's default 1 MB minimum
+        # partition, which would squeeze CPU-heavy stages (JSON/CSV decoding,
+        # HTML extraction) onto one core; on a cluster the defaults apply
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
