@@ -270,3 +270,25 @@ def test_db_both_types_share_one_decode(spark, scratch):
     assert got == [("news", "Press one"), ("regulation", "Letter one"), ("regulation", "Letter two")]
     final = both._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("FileScan text") == 1  # one decode serves both types
+
+
+def test_search_cards_missing_link_or_title(spark):
+    from fixtures import result
+
+    page = "<html><body><ul>" + result(link=False) + result(title=False) + "</ul></body></html>"
+    rows = PUB.search_publications(_pages(spark, [(f"{BASE}/p", page)]), None, BASE, "news", "MAS", AS_OF).collect()
+    assert sorted(tuple(r.reasons) for r in rows) == [("missing:link", "missing:title"), ("missing:title",)]
+
+
+def test_single_feed_entry(spark):
+    """One entry with title, link and RFC-822 date and no enclosures gives
+    exactly one publication with that title."""
+    from gazette.sources.feed import parse_item
+
+    item = (
+        "<item><title>Test Article</title><link>https://example.com/article</link>"
+        "<pubDate>Wed, 22 Jan 2025 12:00:00 GMT</pubDate><description>Description</description></item>"
+    )
+    entries = spark.createDataFrame([(item,)], "x string").select(parse_item("x").alias("e")).select("e.*")
+    rows = PUB.feed_publications(entries, AS_OF).collect()
+    assert len(rows) == 1 and rows[0].web_title == "Test Article" and rows[0].reasons == []
