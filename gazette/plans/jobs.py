@@ -131,7 +131,8 @@ def run_job(
     as_of = as_of or _dt.datetime.now().replace(microsecond=0)
     base = BASES[job.regulator]
     manifest = link_manifest(spark, job, as_of)
-    listed = PUB.manifest_join(captures.select("url", "html"), manifest)
+    captures = PUB.latest_captures(captures).select("url", "html")
+    listed = PUB.manifest_join(captures, manifest)
     frames = []
     flows = {lk.flow for lk in job.links} | ({"dl"} if job.year_links else set())
     for flow in sorted(flows):

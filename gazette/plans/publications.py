@@ -352,6 +352,19 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def latest_captures(captures: DataFrame, ts: str = "fetched_at") -> DataFrame:
+    """One capture per URL — the latest by ``ts`` (ties: the larger body, so
+    the choice is deterministic on recomputation).  A ``row_number() <= 1``
+    top-N: each map task forwards at most one capture per URL, so a page
+    captured thousands of times never forms a large group."""
+    from gazette.operators.select import top_n_per_group
+
+    if ts not in captures.columns:
+        return captures
+    order = [F.col(ts).desc_nulls_last(), F.col("html").desc_nulls_last()]
+    return top_n_per_group(captures, ["url"], order, 1, "_rank").drop("_rank")
+
+
 def manifest_join(pages: DataFrame, manifest: DataFrame) -> DataFrame:
     """Landed pages restricted to a link manifest ``(url, lazy, namespace,
     type, ...)`` by URL — the batch form of a list of links to visit."""

@@ -62,3 +62,15 @@ def test_mas_news_job_reads_every_sector_link(spark):
     rows = J.run_job(spark, job, captures, None, AS_OF).collect()
     assert len({r.listing_url for r in rows}) == 3
     assert all(r.related_urls == [] for r in rows)
+
+
+def test_recaptured_pages_use_the_latest_capture(spark):
+    job = J.JOBS["mas-news"]
+    old = SEARCH_PAGE.replace("Consultation paper", "Old title")
+    t = dt.datetime(2024, 5, 1)
+    captures = spark.createDataFrame(
+        [(job.links[0].url, old, t), (job.links[0].url, SEARCH_PAGE, t + dt.timedelta(days=1))],
+        "url string, html string, fetched_at timestamp",
+    )
+    titles = {r.web_title for r in J.run_job(spark, job, captures, None, AS_OF).collect()}
+    assert "Consultation paper" in titles and "Old title" not in titles
