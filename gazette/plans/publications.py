@@ -356,7 +356,11 @@ def latest_captures(captures: DataFrame, ts: str = "fetched_at") -> DataFrame:
     """One capture per URL — the latest by ``ts`` (ties: the larger body, so
     the choice is deterministic on recomputation).  A ``row_number() <= 1``
     top-N: each map task forwards at most one capture per URL, so a page
-    captured thousands of times never forms a large group."""
+    captured thousands of times never forms a large group.
+
+    This is the one place a page body crosses a shuffle.  Landing tables
+    written bucketed by ``url`` (``bucketBy(n, "url")``) make it shuffle-free;
+    tables without ``fetched_at`` are taken as one capture per URL."""
     from gazette.operators.select import top_n_per_group
 
     if ts not in captures.columns:
