@@ -68,6 +68,24 @@ def source_health(df: DataFrame, source: str, valid: Column) -> DataFrame:
     )
 
 
+def source_health_expected(df: DataFrame, expected: DataFrame, source: str, valid: Column) -> DataFrame:
+    """``source_health`` over a manifest of expected sources: a source with no
+    rows at all (an empty feed, a page without its list) reports ``empty``.
+    Counts are aggregated before the join (one row per source)."""
+    counts = df.groupBy(source).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(valid).alias("n_valid"))
+    joined = expected.select(source).distinct().join(counts, source, "left")
+    return joined.select(
+        source,
+        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        F.coalesce("n_valid", F.lit(0)).alias("n_valid"),
+    ).withColumn(
+        "status",
+        F.when(F.col("n_rows") == 0, F.lit("empty"))
+        .when(F.col("n_valid") == 0, F.lit("no_valid"))
+        .otherwise(F.lit("ok")),
+    )
+
+
 def short_groups(df: DataFrame, key: str, min_rows: int = K.SHORT_PAGE_ROWS) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") < min_rows)
 

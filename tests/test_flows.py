@@ -79,17 +79,21 @@ def test_rss_flow_from_files(spark, scratch):
 
 
 def test_rss_empty_feed_is_reported(spark, scratch):
-    from gazette.operators.runs import source_health
+    from gazette.operators.runs import source_health_expected
 
     feeds = os.path.join(scratch, "feeds")
     os.makedirs(feeds)
-    with open(os.path.join(feeds, "empty.xml"), "w") as f:
-        f.write(EMPTY_FEED)
-    manifest = spark.createDataFrame([("file:" + os.path.join(feeds, "empty.xml"),)], "feed string")
-    got = read_feeds(spark, feeds)
-    counts = manifest.join(got.groupBy("feed").count(), "feed", "left").collect()
-    assert counts[0]["count"] is None  # no items: 'empty' in the health report
-    assert source_health(got, "feed", F.lit(True)).count() == 0
+    for name, body in (("empty.xml", EMPTY_FEED), ("main.xml", RSS_FEED)):
+        with open(os.path.join(feeds, name), "w") as f:
+            f.write(body)
+    entries = read_feeds(spark, feeds)
+    cands = PUB.feed_publications(entries, AS_OF)
+    expected = spark.createDataFrame(
+        [("file://" + os.path.join(feeds, n),) for n in ("empty.xml", "main.xml")], "listing_url string"
+    )
+    got = {r.listing_url.rsplit("/", 1)[-1]: (r.n_rows, r.n_valid, r.status)
+           for r in source_health_expected(cands, expected, "listing_url", F.size("reasons") == 0).collect()}
+    assert got == {"empty.xml": (0, 0, "empty"), "main.xml": (6, 1, "ok")}
 
 
 def test_dl_flow(spark):
