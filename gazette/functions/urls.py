@@ -153,6 +153,16 @@ def resolve_url(href: Column | str, root: Column | str) -> Column:
     )
 
 
+def resolve_all(hrefs: Column | str, root: Column | str) -> Column:
+    """Resolve every href of an array: strip in one ``transform``, resolve in
+    a second, so the lambda's many uses of its argument read a plain value
+    (lambdas are evaluated without common-subexpression sharing)."""
+    from gazette.functions.text import strip_ws
+
+    stripped = F.transform(col(hrefs), lambda h: strip_ws(h))
+    return F.transform(stripped, lambda h: resolve_url(h, root))
+
+
 def english_only(urls: Column | str, marker: str) -> Column:
     """Strip queries, keep URLs containing ``marker``, de-duplicate; sorted
     so the result does not depend on input order."""

@@ -35,9 +35,7 @@ def _page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _resolved(df: DataFrame) -> DataFrame:
-    return df.withColumn(
-        "related", F.transform("hrefs", lambda h: U.resolve_url(T.strip_ws(h), F.col("root")))
-    )
+    return df.withColumn("related", U.resolve_all("hrefs", F.col("root")))
 
 
 # --------------------------------------------------------------------------
@@ -115,9 +113,8 @@ def q_collect_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def q_resolve_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every href resolved against its page's site root."""
-    return _hrefs_exploded(spark, sf_dir).select(
-        "page_id", "pos", "href", U.resolve_url(T.strip_ws("href"), F.col("root")).alias("resolved_url")
-    )
+    df = _hrefs_exploded(spark, sf_dir).withColumn("clean", T.strip_ws("href"))
+    return df.select("page_id", "pos", "href", U.resolve_url("clean", F.col("root")).alias("resolved_url"))
 
 
 @register
@@ -201,7 +198,7 @@ def q_related_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _page_fields(spark, sf_dir)
     first = F.filter("hrefs", lambda h: h.rlike("^/[A-Z]"))
     second = F.filter("hrefs", lambda h: ~h.rlike("^/[A-Z]"))
-    both = F.transform(F.concat(first, second), lambda h: U.resolve_url(T.strip_ws(h), F.col("root")))
+    both = U.resolve_all(F.concat(first, second), F.col("root"))
     return df.select("page_id", F.posexplode(both).alias("pos0", "url")).select(
         "page_id", (F.col("pos0") + 1).cast("bigint").alias("pos"), "url"
     )

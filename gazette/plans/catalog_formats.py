@@ -94,15 +94,15 @@ def q_dl_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     items = extract(_dl_pages(spark, sf_dir), DL_CHILDREN, keys=("o_custkey", "page_no"))
     root = F.lit(SITE)
-    related = U.english_only(F.transform("related", lambda h: U.resolve_url(T.strip_ws(h), root)), ".en.")
-    out = items.filter(F.col("page_status") == "ok").select(
+    related = U.english_only(U.resolve_all("related", root), ".en.")
+    out = items.filter(F.col("page_status") == "ok").withColumn("link_clean", T.strip_ws("link")).select(
         "o_custkey",
         "page_no",
         "item_pos",
         F.regexp_extract("link", r"/orders/([0-9]+)\.", 1).cast("bigint").alias("o_orderkey"),
         T.nfkc(T.strip_ws("title")).alias("web_title"),
         D.listing_date("date_text").alias("published_at"),
-        U.resolve_url(T.strip_ws("link"), root).alias("web_url"),
+        U.resolve_url("link_clean", root).alias("web_url"),
         related.alias("related"),
     )
     return out.select(
@@ -134,3 +134,107 @@ def q_binary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("length").alias("n_bytes"),
     )
 
+
+
+def _pages_of_ten(df: DataFrame, key: str, order: str, item: "F.Column", spark: SparkSession, wrap: tuple[str, str]):
+    """Rows → listing pages of ten items per ``key`` (document order =
+    ``order``); in-key positions from the skew-safe ordinal, an explicit
+    partition count ahead of the Python extractor."""
+    from gazette.operators.select import ordinal_within
+
+    ranked = ordinal_within(df, [key], order, order, out="rn")
+    keyed = ranked.select(
+        key,
+        F.floor((F.col("rn") - 1) / F.lit(DL_PAGE_ITEMS)).cast("bigint").alias("page_no"),
+        F.struct("rn", item.alias("item")).alias("s"),
+    )
+    body = F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["item"]), "")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pages = keyed.repartition(n, key, "page_no").groupBy(key, "page_no").agg(
+        F.concat(F.lit(wrap[0]), body, F.lit(wrap[1])).alias("html")
+    )
+    # the flows key pages by URL: one listing URL per (key, page)
+    return pages.select(
+        F.format_string(f"{SITE}/listing/%d/%d", F.col(key), F.col("page_no")).alias("url"), "html"
+    )
+
+
+_CARD_WRAP = (
+    "<html><body><div id='main-content'><div><div><main><div>intro</div>"
+    "<div><div><div><nav><ul>",
+    "</ul></nav></div></div></div></main></div></div></div></body></html>",
+)
+
+
+@register
+def q_card_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article-card listing pages (ten orders per customer page)
+    through the card flow: link and title from the card, date from the URL
+    when it carries one, else from the description; empty titles and
+    undatable cards are rejected with their reasons."""
+    from gazette.plans.publications import card_publications
+
+    o = read_table(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority")
+    k = F.col("o_orderkey")
+    ks = k.cast("string")
+    href = F.when(
+        k % 2 == 0, F.concat(F.lit("/en/press/"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("-order-"), ks, F.lit(".html"))
+    ).otherwise(F.concat(F.lit("/en/press/order-"), ks, F.lit(".html")))
+    title = F.when(k % 7 == 0, F.lit("  ")).otherwise(F.concat(F.lit("Order "), ks))
+    desc = F.when((k % 2 == 1) & (k % 5 == 0), F.lit("no date: ")).otherwise(
+        F.concat(F.date_format("o_orderdate", "dd.MM.yyyy"), F.lit(": "))
+    )
+    item = F.concat(
+        F.lit('<li><div class="collection__item"><a class="teasable__link" href="'), href,
+        F.lit('"><div class="teasable__title teasable__title--marked"><div>'), title,
+        F.lit('</div></div><div class="teasable__text"><p>'), desc, F.col("o_orderpriority"),
+        F.lit("</p></div></a></div></li>"),
+    )
+    pages = _pages_of_ten(o, "o_custkey", "o_orderkey", item, spark, _CARD_WRAP)
+    cands = card_publications(pages, None, SITE, AS_OF)
+    return cands.select(
+        F.regexp_extract("listing_url", r"/listing/([0-9]+)/", 1).cast("bigint").alias("o_custkey"),
+        F.regexp_extract("listing_url", r"/([0-9]+)$", 1).cast("bigint").alias("page_no"),
+        "item_pos",
+        F.regexp_extract("web_url", r"order-([0-9]+)\.html", 1).cast("bigint").alias("o_orderkey"),
+        "web_title",
+        "published_at",
+        "web_url",
+        F.array_join("reasons", ",").alias("reasons"),
+    )
+
+
+_SEARCH_WRAP = ("<html><body><ul class='results'>", "</ul></body></html>")
+
+
+@register
+def q_search_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search-result pages (ten events per user page) through the
+    search flow: ``Date: d MMMM yyyy``, link, title and category per card; a
+    card missing a part is rejected with the missing names."""
+    from gazette.plans.publications import search_publications
+
+    ev = read_table(spark, sf_dir, "events", "user_id", "event_id", "ts", "event_type")
+    ids = F.col("event_id").cast("string")
+    category = F.when(
+        F.col("event_type") != "error",
+        F.concat(F.lit('<div class="mas-tag mas-tag__text">'), F.col("event_type"), F.lit("</div>")),
+    ).otherwise(F.lit(""))
+    item = F.concat(
+        F.lit('<li class="mas-search-page__result"><div class="ts:xs">Date: '),
+        F.date_format("ts", "d MMMM yyyy"),
+        F.lit('</div><a class="mas-link mas-link--no-underline" href="/e/'), ids,
+        F.lit('"><span class="mas-link__text">Event '), ids, F.lit("</span></a>"), category, F.lit("</li>"),
+    )
+    pages = _pages_of_ten(ev, "user_id", "event_id", item, spark, _SEARCH_WRAP)
+    cands = search_publications(pages, None, SITE, "news", "MAS", dt.datetime(2024, 6, 1))
+    return cands.select(
+        F.regexp_extract("listing_url", r"/listing/([0-9]+)/", 1).cast("bigint").alias("user_id"),
+        F.regexp_extract("listing_url", r"/([0-9]+)$", 1).cast("bigint").alias("page_no"),
+        "item_pos",
+        F.regexp_extract("web_url", r"/e/([0-9]+)$", 1).cast("bigint").alias("event_id"),
+        "web_title",
+        "published_at",
+        "category",
+        F.array_join("reasons", ",").alias("reasons"),
+    )

@@ -481,3 +481,25 @@ FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) A
 ORACLES["q_csv_roundtrip"] = """
 SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part
 """
+
+ORACLES["q_card_listing"] = """
+SELECT o_custkey, CAST((rn - 1) // 10 AS BIGINT) AS page_no, CAST((rn - 1) % 10 + 1 AS BIGINT) AS item_pos,
+       o_orderkey,
+       CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE 'Order ' || o_orderkey END AS web_title,
+       CASE WHEN o_orderkey % 2 = 1 AND o_orderkey % 5 = 0 THEN NULL ELSE date_trunc('day', o_orderdate) END AS published_at,
+       CASE WHEN o_orderkey % 2 = 0
+            THEN 'https://www.example.com/en/press/' || strftime(o_orderdate, '%Y-%m-%d') || '-order-' || o_orderkey || '.html'
+            ELSE 'https://www.example.com/en/press/order-' || o_orderkey || '.html' END AS web_url,
+       concat_ws(',', CASE WHEN o_orderkey % 7 = 0 THEN 'missing:title' END,
+                      CASE WHEN o_orderkey % 2 = 1 AND o_orderkey % 5 = 0 THEN 'invalid_date' END) AS reasons
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders)
+"""
+
+ORACLES["q_search_listing"] = """
+SELECT user_id, CAST((rn - 1) // 10 AS BIGINT) AS page_no, CAST((rn - 1) % 10 + 1 AS BIGINT) AS item_pos,
+       event_id, 'Event ' || event_id AS web_title,
+       date_trunc('day', ts) AS published_at,
+       CASE WHEN event_type <> 'error' THEN event_type END AS category,
+       CASE WHEN event_type = 'error' THEN 'missing:category' ELSE '' END AS reasons
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events)
+"""

@@ -84,7 +84,7 @@ def detail_links(detail_pages: DataFrame, base_url: str, spec: SourceSpec = LINK
     relative links resolved, order kept, no dedupe, capped at 50."""
     items = extract(detail_pages, spec, keys=("url",)).filter(F.col("page_status") == "ok")
     href = F.col("href")
-    resolved = F.when(U.is_valid_url(href), href).otherwise(U.resolve_url(href, F.lit(base_url)))
+    resolved = F.when(U.is_valid_url(href), href).otherwise(U.resolve_url("href", F.lit(base_url)))
     links = items.filter(href.isNotNull() & (href != "")).select(
         F.col("url").alias("detail_url"), "item_pos", resolved.alias("link")
     )
@@ -104,17 +104,23 @@ def card_publications(
     detail page (left join — a missing page gives an empty list)."""
     cards = extract(listing_pages, CARD_LIST, keys=("url",))
     base = F.lit(base_url)
-    link = T.nullif_empty(T.strip_ws("link"))
-    title = T.nullif_empty(T.strip_ws("title"))
-    desc = T.strip_ws("description")
-    df = cards.select(
+    # cleaned fields become columns first: resolve_url reads its input many
+    # times, and a column reference keeps that cheap (no re-evaluation)
+    clean = cards.select(
         F.lit(source).alias("source"),
         F.col("url").alias("listing_url"),
         "item_pos",
         "page_status",
-        F.when(link.isNotNull(), U.resolve_url(link, base)).alias("web_url"),
-        title.alias("web_title"),
-        D.card_date(U.resolve_url(F.coalesce(link, F.lit("")), base), desc).alias("published_at"),
+        T.nullif_empty(T.strip_ws("link")).alias("_link"),
+        T.nullif_empty(T.strip_ws("title")).alias("web_title"),
+        T.strip_ws("description").alias("_desc"),
+    )
+    resolved = clean.select(
+        "*", F.when(F.col("_link").isNotNull(), U.resolve_url("_link", base)).alias("web_url")
+    )
+    df = resolved.select(
+        "source", "listing_url", "item_pos", "page_status", "web_url", "web_title",
+        D.card_date(F.coalesce("web_url", F.lit("")), "_desc").alias("published_at"),
     )
     if detail_pages is not None:
         details = detail_links(detail_pages, base_url)
@@ -172,20 +178,24 @@ def dl_publications(
     the first anchor of the dd, related links from lists nested in the dd."""
     items = extract(listing_pages, spec, keys=("url",))
     base = F.lit(base_url)
-    related = F.transform(F.coalesce(F.col("related"), _empty()), lambda h: U.resolve_url(T.strip_ws(h), base))
+    related = U.resolve_all(F.coalesce(F.col("related"), _empty()), base)
     if english_only:
         related = U.english_only(related, K.ENGLISH_MARKER)
-    title = T.nullif_empty(T.strip_ws("title"))
-    df = items.select(
+    clean = items.select(
+        "*",
+        T.nullif_empty(T.strip_ws("title")).alias("_title"),
+        T.strip_ws("link").alias("_link"),
+    )
+    df = clean.select(
         F.lit(source).alias("source"),
         F.col("url").alias("listing_url"),
         "item_pos",
         "page_status",
         F.lit(regulator).alias("regulator"),
         F.lit(update_type).alias("type"),
-        T.nfkc(title).alias("web_title"),
+        T.nfkc("_title").alias("web_title"),
         D.listing_date("date_text").alias("published_at"),
-        F.when(F.col("link").isNotNull(), U.resolve_url(T.strip_ws("link"), base)).alias("web_url"),
+        F.when(F.col("link").isNotNull(), U.resolve_url("_link", base)).alias("web_url"),
         F.lit("").alias("category"),
         related.alias("related_urls"),
     )
@@ -211,7 +221,7 @@ def related_cards(detail_pages: DataFrame, base_url: str) -> DataFrame:
     both = F.concat(F.coalesce("pdf_links", _empty()), F.coalesce("card_links", _empty()))
     return one.select(
         F.col("url").alias("detail_url"),
-        F.transform(both, lambda h: U.resolve_url(T.strip_ws(h), base)).alias("related_urls"),
+        U.resolve_all(both, base).alias("related_urls"),
     )
 
 
@@ -228,17 +238,22 @@ def search_publications(
     with the names of the missing parts; only regulations are enriched."""
     items = extract(listing_pages, SEARCH_RESULTS, keys=("url",))
     base = F.lit(base_url)
-    date_text = T.strip_ws("date_text")
-    df = items.select(
+    clean = items.select(
+        "*",
+        T.strip_ws("date_text").alias("_date_text"),
+        T.strip_ws("link").alias("_link"),
+        T.strip_ws("title").alias("_title"),
+    )
+    df = clean.select(
         F.lit(source).alias("source"),
         F.col("url").alias("listing_url"),
         "item_pos",
         "page_status",
         F.lit(regulator).alias("regulator"),
         F.lit(update_type).alias("type"),
-        T.nfkc(T.strip_ws("title")).alias("web_title"),
-        D.parse_long_day(F.split_part(date_text, F.lit(": "), F.lit(2))).alias("published_at"),
-        F.when(F.col("link").isNotNull(), U.resolve_url(T.strip_ws("link"), base)).alias("web_url"),
+        T.nfkc("_title").alias("web_title"),
+        D.parse_long_day(F.split_part("_date_text", F.lit(": "), F.lit(2))).alias("published_at"),
+        F.when(F.col("link").isNotNull(), U.resolve_url("_link", base)).alias("web_url"),
         T.strip_ws("category").alias("category"),
         V.missing_fields(date="date_text", link="link", title="title", category="category").alias("_missing"),
     )
