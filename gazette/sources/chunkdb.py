@@ -243,6 +243,9 @@ def record_to_publication(records: DataFrame, base_url: str, update_type: str, r
     )
     doc_types = F.from_json(F.col("documentTypes"), "array<string>")
     passthrough = [c for c in ("update_type",) if c in records.columns]
+    # the first document link becomes a column before resolve_url reads it
+    # (it references its input many times; a JSON parse must not repeat)
+    records = records.withColumn("_doc0", F.get(doc_types, 0))
     return records.select(
         "record_id",
         *passthrough,
@@ -250,7 +253,7 @@ def record_to_publication(records: DataFrame, base_url: str, update_type: str, r
         F.lit(update_type).alias("type"),
         F.get_json_object("publicationProperties", "$.Title").alias("web_title"),
         D.from_epoch_seconds(F.col("pub_timestamp").try_cast("bigint")).alias("published_at"),
-        U.resolve_url(F.get(doc_types, 0), base).alias("web_url"),
+        U.resolve_url("_doc0", base).alias("web_url"),
         F.coalesce(F.col("Taxonomy"), F.lit("")).alias("category"),
         F.lit(None).cast("string").alias("ai_topic"),
         related.alias("related_urls"),

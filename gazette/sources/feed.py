@@ -56,10 +56,11 @@ def entries_to_candidates(entries: DataFrame, as_of: _dt.datetime | None = None)
         F.col("link").alias("web_url"),
         related.alias("related_urls"),
         V.missing_fields(title="title", link="link", published="pubDate").alias("_missing"),
-        F.when(F.col("pubDate").isNotNull() & D.parse_rss("pubDate").isNull(), F.lit("invalid_date")).alias("_bad_date"),
+        F.col("pubDate").alias("_pub_raw"),
         F.when(F.col("link").isNotNull() & ~U.has_http_prefix("link"), F.lit("invalid_link")).alias("_bad_link"),
     )
-    parse_reasons = F.concat(F.col("_missing"), F.array_compact(F.array("_bad_date", "_bad_link")))
+    bad_date = F.when(F.col("_pub_raw").isNotNull() & F.col("published_at").isNull(), F.lit("invalid_date"))
+    parse_reasons = F.concat(F.col("_missing"), F.array_compact(F.array(bad_date, F.col("_bad_link"))))
     record_reasons = V.publication_reasons("web_title", "published_at", "web_url", "related_urls", as_of)
     reasons = F.when(F.size(parse_reasons) > 0, parse_reasons).otherwise(record_reasons)
-    return out.withColumn("reasons", reasons).drop("_missing", "_bad_date", "_bad_link")
+    return out.withColumn("reasons", reasons).drop("_missing", "_pub_raw", "_bad_link")
