@@ -28,8 +28,9 @@ def strip_ws(c: Column | str) -> Column:
 
 
 def nullif_empty(c: Column | str) -> Column:
-    c = col(c)
-    return F.when(c != F.lit(""), c)
+    """Empty string → NULL.  The built-in ``nullif`` evaluates its argument
+    once; a ``CASE`` would evaluate an expensive argument twice."""
+    return F.nullif(col(c), F.lit(""))
 
 
 def first_line(c: Column | str) -> Column:
