@@ -99,7 +99,8 @@ def resolve_url(href: Column | str, root: Column | str) -> Column:
     """``urljoin(root, href)`` for a site root ``scheme://host``.
 
     * another scheme, or same scheme with a host: returned (re-assembled)
-    * ``//host/...``: takes the root's scheme
+    * ``//host/...``: takes the root's scheme (``//`` with no host keeps the
+      root's host and reads the rest as a path)
     * empty: the root itself
     * anything else: path resolved against ``/`` with dot segments removed
     """
@@ -146,7 +147,7 @@ def resolve_url(href: Column | str, root: Column | str) -> Column:
         .when(other_web_scheme, href)
         .when(href == F.lit(""), root)
         .when(has_scheme & (h_scheme != r_scheme), href)
-        .when(rest.startswith("//"), F.concat(use_scheme, F.lit("://"), rest_netloc, rest_path, tail))
+        .when(rest.startswith("//") & (rest_netloc != F.lit("")), F.concat(use_scheme, F.lit("://"), rest_netloc, rest_path, tail))
         .when((rest_path == F.lit("")) & (q == F.lit("")), no_path_no_query)
         .when(rest_path == F.lit(""), F.concat(root, tail))
         .otherwise(resolved_relative)
