@@ -83,3 +83,25 @@ def test_epoch_round_trip_and_bounds(spark):
     df = spark.createDataFrame(rows, "t timestamp_ntz")
     got = [r.r for r in df.select(D.date_bounds_reasons("t", as_of).alias("r")).collect()]
     assert got == [[], ["date_in_future"], [], ["date_too_old"]]
+
+
+def test_rss_fuzz_against_strptime(spark):
+    """4,000 combinations of weekday/day/month/year/time/zone spellings,
+    valid and not, parsed in one job and compared with strptime."""
+    import itertools
+    import random
+
+    parts = (
+        ["Wed", "wed", "WED", "Monday", "Xyz"],
+        ["1", "01", "22", "31", "32", "0", " 5"],
+        ["Jan", "jan", "JAN", "Feb", "Sept", "Foo"],
+        ["2025", "25", "02025"],
+        ["12:00:00", "7:5:9", "24:00:00", "12:60:00", "23:59:59", "12:00:60", "12:00"],
+        ["GMT", "UTC", "gmt", "CET", "+0100", ""],
+        [", ", ",  ", " , "],
+    )
+    cands = [f"{w}{s}{d} {m} {y} {t} {z}".rstrip() for w, d, m, y, t, z, s in itertools.product(*parts)]
+    cands = random.Random(3).sample(cands, 4000)
+    df = spark.createDataFrame([(c,) for c in cands], "s string")
+    got = {r.s: r.t for r in df.select("s", D.parse_rss("s").alias("t")).collect()}
+    assert [s for s in cands if got[s] != _py_rss(s)] == []
