@@ -189,36 +189,48 @@ def child_schema() -> str:
     return ", ".join(f"f{i} string" for i in range(CHILD_FIELDS))
 
 
-_CSV_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "\u0000", "emptyValue": ""}
+_CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
 
-def _child_record(p: Column) -> Column:
-    """Parsed CSV fields → the child struct (NULL when fields 0–4 are
-    missing).  Inner JSON quotes written as ``\\"`` are restored first; a bad
-    list or map decodes as empty."""
-    pdfs = F.coalesce(F.from_json(T.unescape_json_quotes(p["f9"]), "array<string>"), F.array().cast("array<string>"))
+def _child_record(x: Column) -> Column:
+    """Parsed CSV row → the child struct (NULL when it has fewer than five
+    fields).  A present field is never NULL: Spark's CSV reader turns an
+    unquoted empty field into NULL, so presence comes from the field count
+    and present fields read as ``""``.  Inner JSON quotes written as ``\\"``
+    are restored before decoding; a bad list or map decodes as empty."""
+    p, n = x["p"], x["n"]
+
+    def field(i: int) -> Column:
+        return F.when(n > i, F.coalesce(p[f"f{i}"], F.lit("")))
+
+    pdfs = F.coalesce(F.from_json(T.unescape_json_quotes(field(9)), "array<string>"), F.array().cast("array<string>"))
     meta = F.coalesce(
-        F.from_json(T.unescape_json_quotes(p["f10"]), "map<string,string>"),
+        F.from_json(T.unescape_json_quotes(field(10)), "map<string,string>"),
         F.create_map().cast("map<string,string>"),
     )
     rec = F.struct(
-        p["f0"].alias("publicationId"),
-        p["f1"].alias("timestamp"),
-        F.struct(p["f2"].alias("year"), p["f3"].alias("month"), p["f4"].alias("day")).alias("date"),
+        field(0).alias("publicationId"),
+        field(1).alias("timestamp"),
+        F.struct(field(2).alias("year"), field(3).alias("month"), field(4).alias("day")).alias("date"),
         pdfs.alias("pdfUrls"),
         meta.alias("metadata"),
     )
-    return F.when(p["f4"].isNotNull(), rec)
+    return F.when(n >= 5, rec)
 
 
 def _parse_child_csv(raw: Column) -> Column:
-    return F.when(raw.isNotNull() & (raw != F.lit("")), F.from_csv(raw, child_schema(), _CSV_OPTIONS))
+    """One CSV string → ``struct<p: parsed fields, n: field count>``; the
+    count is the commas outside quoted sections plus one."""
+    outside = F.regexp_replace(raw, r'"(?:[^"]|"")*"', "")
+    n = F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit(""))) + 1
+    parsed = F.struct(F.from_csv(raw, child_schema(), _CSV_OPTIONS).alias("p"), n.alias("n"))
+    return F.when(raw.isNotNull() & (raw != F.lit("")), parsed)
 
 
 def decode_child(raw: Column | str) -> Column:
     """One child CSV string → ``struct<publicationId, timestamp, date{year,
     month, day}, pdfUrls, metadata>``; NULL when fields 0–4 are missing."""
-    return F.transform(F.array(_parse_child_csv(col(raw))), _child_record)[0]
+    return F.transform(F.array(_parse_child_csv(col(raw))), lambda x: F.when(x.isNotNull(), _child_record(x)))[0]
 
 
 def decode_children(raw_list: Column | str) -> Column:
@@ -226,7 +238,7 @@ def decode_children(raw_list: Column | str) -> Column:
     empty strings dropped.  Each CSV string is parsed once (inner
     ``transform``); the outer one only reads fields of the parsed struct."""
     arr = F.coalesce(F.from_json(col(raw_list), "array<string>"), F.array().cast("array<string>"))
-    parsed = F.transform(arr, _parse_child_csv)
+    parsed = F.filter(F.transform(arr, _parse_child_csv), lambda x: x.isNotNull())
     return F.filter(F.transform(parsed, _child_record), lambda c: c.isNotNull())
 
 
