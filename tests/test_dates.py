@@ -105,3 +105,38 @@ def test_rss_fuzz_against_strptime(spark):
     df = spark.createDataFrame([(c,) for c in cands], "s string")
     got = {r.s: r.t for r in df.select("s", D.parse_rss("s").alias("t")).collect()}
     assert [s for s in cands if got[s] != _py_rss(s)] == []
+
+
+def test_card_date_fuzz_against_python_rule(spark):
+    import random
+    import re
+
+    rnd = random.Random(9)
+
+    def py_card(url, desc):
+        m = re.search(r"/(\d{4}-\d{2}-\d{2})-", url)
+        if m:
+            try:
+                return dt.datetime.strptime(m.group(1), "%Y-%m-%d")
+            except ValueError:
+                return None
+        if desc is not None:
+            try:
+                return dt.datetime.strptime(desc.split(":")[0].strip(), "%d.%m.%Y")
+            except ValueError:
+                return None
+        return None
+
+    dates = ["2025-01-22", "2025-13-01", "2025-02-30", "1999-12-31", "2025-1-2"]
+
+    def gen():
+        u = ("https://e.com/" + rnd.choice(["press/", "a/b/", ""])
+             + (rnd.choice(dates) + "-" if rnd.random() < 0.5 else "")
+             + rnd.choice(["item.html", "x", "2025-01-22.html"]))
+        d = rnd.choice([None, "22.01.2025: t", "2.1.2025: t", " 22.01.2025 :t", "31.02.2025: t", "no date",
+                        "22.01.25: x", "22.01.2025"])
+        return u, d
+
+    rows = [gen() for _ in range(3000)]
+    got = spark.createDataFrame(rows, "u string, d string").select("u", "d", D.card_date("u", "d").alias("t")).collect()
+    assert [(r.u, r.d) for r in got if r.t != py_card(r.u, r.d)] == []

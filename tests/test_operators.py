@@ -111,3 +111,14 @@ def test_valid_utf8_repair(spark):
 
     df = spark.createDataFrame([(bytearray(b"ok \xff\xfe end"),)], "b binary")
     assert df.select(T.valid_utf8("b").alias("s")).first().s == b"ok \xff\xfe end".decode("utf-8", "replace")
+
+
+def test_strip_fuzz_against_python(spark):
+    from gazette.functions import text as T
+
+    rnd = random.Random(9)
+    ws = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    alpha = list("ab é✓") + ["​", "﻿", "\x00", "\x1f"]
+    strs = ["".join(rnd.choice(ws + alpha) for _ in range(rnd.randint(0, 8))) for _ in range(3000)]
+    got = [r.s for r in spark.createDataFrame([(x,) for x in strs], "x string").select(T.strip_ws("x").alias("s")).collect()]
+    assert [a for a, b in zip(strs, got) if a.strip() != b] == []
