@@ -18,7 +18,7 @@ from gazette.sources.tables import read_table
 
 AS_OF = dt.datetime(2024, 1, 15)
 SITE = "https://www.example.com"
-DL_PAGE_ITEMS = 10  # orders per listing page of a customer
+DL_PAGE_ITEMS = 10  # items per listing page
 
 
 @register
@@ -54,34 +54,24 @@ def q_rss_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One listing page per customer and ten orders (in order-key order): the
-    in-customer position comes from the skew-safe ordinal, so a customer with
-    a third of all orders is still numbered across many tasks; each page
-    group holds at most ten items."""
-    from gazette.operators.select import ordinal_within
-
+    """Definition-list listing pages: ten orders per customer page."""
     o = read_table(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority")
-    ranked = ordinal_within(o, ["o_custkey"], "o_orderkey", "o_orderkey", out="rn")
-    k = F.col("o_orderkey").cast("string")
-    item = F.concat(
-        F.lit("<dt>"), F.date_format("o_orderdate", "d MMMM yyyy"), F.lit('</dt><dd><a href="/orders/'), k,
-        F.lit('.en.html">Order '), k, F.lit(" "), F.col("o_orderpriority"),
-        F.lit('</a><dl><dt>files</dt><dd><a href="/pdf/'), k, F.lit('.en.pdf?v=1">pdf</a> <a href="/pdf/'), k,
-        F.lit('.de.pdf">de</a></dd></dl></dd>'),
-    )
-    keyed = ranked.select(
-        "o_custkey",
-        F.floor((F.col("rn") - 1) / F.lit(DL_PAGE_ITEMS)).cast("bigint").alias("page_no"),
-        F.struct("rn", item.alias("item")).alias("s"),
-    )
-    body = F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["item"]), "")
-    # the pages feed a CPU-bound Python stage: an explicit partition count
-    # keeps AQE from coalescing it onto a few cores (the aggregation reuses
-    # this partitioning, so it adds no exchange)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return keyed.repartition(n, "o_custkey", "page_no").groupBy("o_custkey", "page_no").agg(
-        F.concat(F.lit("<html><body><h1>Orders</h1><dl>"), body, F.lit("</dl></body></html>")).alias("html")
-    )
+    fields = {
+        "k": F.col("o_orderkey").cast("string"),
+        "day": F.date_format("o_orderdate", "d MMMM yyyy"),
+        "prio": F.col("o_orderpriority"),
+    }
+
+    def render(s):
+        k = s["k"]
+        return F.concat(
+            F.lit("<dt>"), s["day"], F.lit('</dt><dd><a href="/orders/'), k, F.lit('.en.html">Order '), k,
+            F.lit(" "), s["prio"], F.lit('</a><dl><dt>files</dt><dd><a href="/pdf/'), k,
+            F.lit('.en.pdf?v=1">pdf</a> <a href="/pdf/'), k, F.lit('.de.pdf">de</a></dd></dl></dd>'),
+        )
+
+    wrap = ("<html><body><h1>Orders</h1><dl>", "</dl></body></html>")
+    return _pages_of_ten(o, "o_custkey", "o_orderkey", fields, render, spark, wrap)
 
 
 @register
@@ -136,26 +126,40 @@ def q_binary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-def _pages_of_ten(df: DataFrame, key: str, order: str, item: "F.Column", spark: SparkSession, wrap: tuple[str, str]):
+def _pages_of_ten(
+    df: DataFrame,
+    key: str,
+    order: str,
+    fields: dict,
+    render,
+    spark: SparkSession,
+    wrap: tuple[str, str],
+) -> DataFrame:
     """Rows → listing pages of ten items per ``key`` (document order =
-    ``order``); in-key positions from the skew-safe ordinal, an explicit
-    partition count ahead of the Python extractor."""
+    ``order``) as ``(key, page_no, url, html)``.
+
+    Only the raw ``fields`` cross the shuffle; ``render`` turns each item's
+    struct into markup after the group-by.  In-key positions come from the
+    skew-safe ordinal (a key holding a third of all rows is still numbered
+    across many tasks); each page group holds at most ten items; an explicit
+    partition count keeps AQE from squeezing the CPU-bound Python stage that
+    reads the pages onto a few cores (the aggregation reuses this
+    partitioning, so it adds no exchange)."""
     from gazette.operators.select import ordinal_within
 
     ranked = ordinal_within(df, [key], order, order, out="rn")
     keyed = ranked.select(
         key,
         F.floor((F.col("rn") - 1) / F.lit(DL_PAGE_ITEMS)).cast("bigint").alias("page_no"),
-        F.struct("rn", item.alias("item")).alias("s"),
+        F.struct(F.col("rn"), *[c.alias(name) for name, c in fields.items()]).alias("s"),
     )
-    body = F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["item"]), "")
+    body = F.array_join(F.transform(F.array_sort(F.collect_list("s")), render), "")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pages = keyed.repartition(n, key, "page_no").groupBy(key, "page_no").agg(
         F.concat(F.lit(wrap[0]), body, F.lit(wrap[1])).alias("html")
     )
-    # the flows key pages by URL: one listing URL per (key, page)
     return pages.select(
-        F.format_string(f"{SITE}/listing/%d/%d", F.col(key), F.col("page_no")).alias("url"), "html"
+        key, "page_no", F.format_string(f"{SITE}/listing/%d/%d", F.col(key), F.col("page_no")).alias("url"), "html"
     )
 
 
@@ -177,20 +181,28 @@ def q_card_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority")
     k = F.col("o_orderkey")
     ks = k.cast("string")
-    href = F.when(
-        k % 2 == 0, F.concat(F.lit("/en/press/"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("-order-"), ks, F.lit(".html"))
-    ).otherwise(F.concat(F.lit("/en/press/order-"), ks, F.lit(".html")))
-    title = F.when(k % 7 == 0, F.lit("  ")).otherwise(F.concat(F.lit("Order "), ks))
-    desc = F.when((k % 2 == 1) & (k % 5 == 0), F.lit("no date: ")).otherwise(
-        F.concat(F.date_format("o_orderdate", "dd.MM.yyyy"), F.lit(": "))
-    )
-    item = F.concat(
-        F.lit('<li><div class="collection__item"><a class="teasable__link" href="'), href,
-        F.lit('"><div class="teasable__title teasable__title--marked"><div>'), title,
-        F.lit('</div></div><div class="teasable__text"><p>'), desc, F.col("o_orderpriority"),
-        F.lit("</p></div></a></div></li>"),
-    )
-    pages = _pages_of_ten(o, "o_custkey", "o_orderkey", item, spark, _CARD_WRAP)
+    fields = {
+        "href": F.when(
+            k % 2 == 0,
+            F.concat(F.lit("/en/press/"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("-order-"), ks, F.lit(".html")),
+        ).otherwise(F.concat(F.lit("/en/press/order-"), ks, F.lit(".html"))),
+        "title": F.when(k % 7 == 0, F.lit("  ")).otherwise(F.concat(F.lit("Order "), ks)),
+        "desc": F.concat(
+            F.when((k % 2 == 1) & (k % 5 == 0), F.lit("no date: ")).otherwise(
+                F.concat(F.date_format("o_orderdate", "dd.MM.yyyy"), F.lit(": "))
+            ),
+            F.col("o_orderpriority"),
+        ),
+    }
+
+    def render(s):
+        return F.concat(
+            F.lit('<li><div class="collection__item"><a class="teasable__link" href="'), s["href"],
+            F.lit('"><div class="teasable__title teasable__title--marked"><div>'), s["title"],
+            F.lit('</div></div><div class="teasable__text"><p>'), s["desc"], F.lit("</p></div></a></div></li>"),
+        )
+
+    pages = _pages_of_ten(o, "o_custkey", "o_orderkey", fields, render, spark, _CARD_WRAP).select("url", "html")
     cands = card_publications(pages, None, SITE, AS_OF)
     return cands.select(
         F.regexp_extract("listing_url", r"/listing/([0-9]+)/", 1).cast("bigint").alias("o_custkey"),
@@ -215,18 +227,23 @@ def q_search_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gazette.plans.publications import search_publications
 
     ev = read_table(spark, sf_dir, "events", "user_id", "event_id", "ts", "event_type")
-    ids = F.col("event_id").cast("string")
-    category = F.when(
-        F.col("event_type") != "error",
-        F.concat(F.lit('<div class="mas-tag mas-tag__text">'), F.col("event_type"), F.lit("</div>")),
-    ).otherwise(F.lit(""))
-    item = F.concat(
-        F.lit('<li class="mas-search-page__result"><div class="ts:xs">Date: '),
-        F.date_format("ts", "d MMMM yyyy"),
-        F.lit('</div><a class="mas-link mas-link--no-underline" href="/e/'), ids,
-        F.lit('"><span class="mas-link__text">Event '), ids, F.lit("</span></a>"), category, F.lit("</li>"),
-    )
-    pages = _pages_of_ten(ev, "user_id", "event_id", item, spark, _SEARCH_WRAP)
+    fields = {
+        "id": F.col("event_id").cast("string"),
+        "day": F.date_format("ts", "d MMMM yyyy"),
+        "cat": F.when(F.col("event_type") != "error", F.col("event_type")),
+    }
+
+    def render(s):
+        category = F.when(
+            s["cat"].isNotNull(), F.concat(F.lit('<div class="mas-tag mas-tag__text">'), s["cat"], F.lit("</div>"))
+        ).otherwise(F.lit(""))
+        return F.concat(
+            F.lit('<li class="mas-search-page__result"><div class="ts:xs">Date: '), s["day"],
+            F.lit('</div><a class="mas-link mas-link--no-underline" href="/e/'), s["id"],
+            F.lit('"><span class="mas-link__text">Event '), s["id"], F.lit("</span></a>"), category, F.lit("</li>"),
+        )
+
+    pages = _pages_of_ten(ev, "user_id", "event_id", fields, render, spark, _SEARCH_WRAP).select("url", "html")
     cands = search_publications(pages, None, SITE, "news", "MAS", dt.datetime(2024, 6, 1))
     return cands.select(
         F.regexp_extract("listing_url", r"/listing/([0-9]+)/", 1).cast("bigint").alias("user_id"),
