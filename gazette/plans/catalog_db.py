@@ -102,9 +102,10 @@ def q_chunk_locator(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # index_value_id = position of the value in the key's index document;
     # numbered over the distinct values only (one row per value, not per record)
-    values = _type_index(spark, sf_dir).select("value").distinct()
+    stats = _type_index(spark, sf_dir)
+    values = stats.select("value").distinct()
     value_ids = values.select("value", (F.dense_rank().over(Window.orderBy("value")) - 1).alias("value_id"))
-    idx = _type_index(spark, sf_dir).join(value_ids, "value").select(
+    idx = stats.join(value_ids, "value").select(
         F.lit("index_chunk").alias("kind"),
         F.col("value").alias("key"),
         F.col("index_chunk").alias("item"),
