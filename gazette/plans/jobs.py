@@ -11,7 +11,7 @@ ten latest valid items per link and writes everything in one pass.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +40,6 @@ class Job:
     use_database: bool = False
     enrich_details: bool = False
     per_link: int | None = K.PER_LINK_LATEST
-    extra: dict = field(default_factory=dict)
 
 
 # ---------------------------------------------------------------------------
@@ -94,8 +93,9 @@ JOBS: dict[str, Job] = {
 
 
 def link_manifest(spark: SparkSession, job: Job, as_of: _dt.datetime) -> DataFrame:
-    """The job's links as a control table ``(url, flow, lazy, link_order)``;
-    year links run from the first year to ``as_of``'s year, newest first."""
+    """The job's links as a control table ``(url, flow, lazy)`` — ``lazy``
+    records that the page was captured after client-side rendering; year
+    links run from the first year to ``as_of``'s year, newest first."""
     rows = [(lk.url, lk.flow, lk.lazy) for lk in job.links]
     manifest = spark.createDataFrame(rows, "url string, flow string, lazy boolean") if rows else None
     if job.year_links is not None:
