@@ -41,6 +41,17 @@ def landing_stream(
     return reader.load(landing_dir)
 
 
+def feed_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """New feed files as a stream of ``<item>`` rows (Spark's XML file
+    source, explicit schema), each tagged with its feed file."""
+    from gazette.sources.feed import ITEM_SCHEMA
+
+    reader = spark.readStream.format("xml").option("rowTag", "item").option("attributePrefix", "_").schema(ITEM_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(landing_dir).withColumn("feed", F.input_file_name())
+
+
 def dedupe_recaptures(stream: DataFrame, key: str = "url", event_time: str = "fetched_at", window: str = "1 day") -> DataFrame:
     """Drop a capture of a URL already seen within ``window`` of event time
     (state is evicted once the watermark passes)."""
@@ -62,7 +73,7 @@ def _write_batch(df: DataFrame, epoch_id: int, out_path: str, namespace: str) ->
 
 def run_incremental(
     spark: SparkSession,
-    landing_dir: str,
+    landing_dir: str | None,
     transform: Callable[[DataFrame], DataFrame],
     out_path: str,
     namespace: str,
@@ -70,16 +81,22 @@ def run_incremental(
     checkpoint: str | None = None,
     dedupe_window: str | None = "1 day",
     await_end: bool = True,
+    stream: DataFrame | None = None,
 ) -> StreamingQuery:
     """Process every pending landed file once: stream → (dedupe) →
-    ``transform`` per micro-batch → partitioned write."""
+    ``transform`` per micro-batch → partitioned write.  ``stream`` replaces
+    the default page stream (e.g. ``feed_stream``); re-landed URLs are only
+    de-duplicated for page streams (they carry ``url`` and ``fetched_at``)."""
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/gazette-incremental/{name}"
-    stream = landing_stream(spark, landing_dir)
-    if dedupe_window:
-        stream = dedupe_recaptures(stream, window=dedupe_window)
+    if stream is None:
+        stream = landing_stream(spark, landing_dir)
+        if dedupe_window:
+            stream = dedupe_recaptures(stream, window=dedupe_window)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        _write_batch(transform(batch.drop("fetched_at")), epoch_id, out_path, namespace)
+        if "fetched_at" in batch.columns:
+            batch = batch.drop("fetched_at")
+        _write_batch(transform(batch), epoch_id, out_path, namespace)
 
     query = (
         stream.writeStream.queryName(name)

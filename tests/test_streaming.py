@@ -64,3 +64,33 @@ def test_recaptured_url_is_dropped_within_watermark(spark, scratch):
     _land(spark, landing, "p1", rows)
     run_incremental(spark, landing, transform, out, "ecb-regulations", "dl", checkpoint=ckpt)
     assert spark.read.parquet(out).count() == 3  # one page, three items
+
+
+def test_feed_files_stream_once_each(spark, scratch):
+    from fixtures import RSS_FEED
+
+    from gazette.streaming.incremental import feed_stream
+
+    landing = os.path.join(scratch, "feeds")
+    out = os.path.join(scratch, "out")
+    ckpt = os.path.join(scratch, "ckpt")
+    os.makedirs(landing)
+
+    def transform(entries):
+        return PUB.feed_publications(entries, AS_OF)
+
+    def run():
+        run_incremental(spark, None, transform, out, "bank-feed", "feed", checkpoint=ckpt,
+                        stream=feed_stream(spark, landing))
+
+    with open(os.path.join(landing, "a.xml"), "w") as f:
+        f.write(RSS_FEED)
+    run()
+    assert spark.read.parquet(out).count() == 6
+    run()  # nothing new
+    assert spark.read.parquet(out).count() == 6
+    with open(os.path.join(landing, "b.xml"), "w") as f:
+        f.write(RSS_FEED)
+    run()
+    got = spark.read.parquet(out)
+    assert got.count() == 12 and got.filter("status = 'valid'").count() == 2
