@@ -23,6 +23,10 @@ from gazette.plans import publications as PUB
 BASES = {code: base for code, _, _, base in K.REGULATORS}
 
 
+def base_url(job: "Job") -> str:
+    return job.base_url or BASES[job.regulator]
+
+
 @dataclass(frozen=True)
 class Link:
     url: str
@@ -40,6 +44,7 @@ class Job:
     use_database: bool = False
     enrich_details: bool = False
     per_link: int | None = K.PER_LINK_LATEST
+    base_url: str | None = None  # site root for relative links (default: the regulator's)
 
 
 # ---------------------------------------------------------------------------
@@ -123,13 +128,14 @@ def run_job(
     out_path: str | None = None,
     as_of: _dt.datetime | None = None,
     db_root: str | None = None,
+    feeds_path: str | None = None,
 ) -> DataFrame:
-    """Candidates of one namespace job from landed ``captures(url, html)``;
-    written (one pass, partitioned by status/namespace) when ``out_path``
-    is given."""
+    """Candidates of one namespace job from landed ``captures(url, html)``
+    (plus landed feed files under ``feeds_path``); written (one pass,
+    partitioned by status/namespace) when ``out_path`` is given."""
     job = JOBS[job] if isinstance(job, str) else job
     as_of = as_of or _dt.datetime.now().replace(microsecond=0)
-    base = BASES[job.regulator]
+    base = base_url(job)
     manifest = link_manifest(spark, job, as_of)
     captures = PUB.latest_captures(captures).select("url", "html")
     listed = PUB.manifest_join(captures, manifest)
@@ -147,6 +153,13 @@ def run_job(
     candidates = S.union_sources(*frames) if frames else None
     if candidates is not None:
         candidates = PUB.keep_latest(candidates, job.per_link)
+    if feeds_path:
+        from gazette.sources.feed import read_feeds
+
+        feed = PUB.feed_publications(read_feeds(spark, feeds_path), as_of).withColumn(
+            "regulator", F.lit(job.regulator)
+        ).withColumn("type", F.lit(job.update_type))
+        candidates = feed if candidates is None else candidates.unionByName(feed)
     if job.use_database and db_root:
         db = PUB.db_publications(spark, db_root, job.update_type, base, job.regulator, K.PER_LINK_LATEST)
         candidates = db if candidates is None else db.unionByName(candidates)

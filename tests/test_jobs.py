@@ -74,3 +74,27 @@ def test_recaptured_pages_use_the_latest_capture(spark):
     )
     titles = {r.web_title for r in J.run_job(spark, job, captures, None, AS_OF).collect()}
     assert "Consultation paper" in titles and "Old title" not in titles
+
+
+def test_custom_cards_and_feed_job(spark, scratch):
+    """A user-defined job: an article-card list with detail pages plus a
+    folder of landed feed files, published under one namespace."""
+    from fixtures import BASE, CARD_LISTING, DETAIL_RATES, RSS_FEED
+
+    job = J.Job(namespace="bank-press", regulator="BANK", update_type="news",
+                links=(J.Link(f"{BASE}/en/press", "cards"),), base_url=BASE)
+    captures = spark.createDataFrame(
+        [(f"{BASE}/en/press", CARD_LISTING), (f"{BASE}/en/press/2025-01-22-rates.html", DETAIL_RATES)],
+        "url string, html string",
+    )
+    feeds = os.path.join(scratch, "feeds")
+    os.makedirs(feeds)
+    with open(os.path.join(feeds, "main.xml"), "w") as f:
+        f.write(RSS_FEED)
+    out = os.path.join(scratch, "pubs")
+    J.run_job(spark, job, captures, out, dt.datetime(2025, 2, 10), feeds_path=feeds)
+    pubs = PUB.read_publications(spark, out).collect()
+    sources = {r.source for r in pubs}
+    assert sources == {"cards", "rss"}
+    rates = [r for r in pubs if r.web_url == f"{BASE}/en/press/2025-01-22-rates.html"][0]
+    assert len(rates.related_urls) == 3  # from its detail page
