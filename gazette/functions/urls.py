@@ -62,8 +62,14 @@ def has_http_prefix(c: Column | str) -> Column:
 
 
 def path_ends_with(c: Column | str, ext: str) -> Column:
-    """Path (query and fragment ignored) ends with ``ext``, case-insensitive."""
-    return F.coalesce(F.lower(path(c)).endswith(ext.lower()), F.lit(False))
+    """Path (query, fragment and — for the schemes that use them —
+    ``;params`` of the last segment ignored, as ``urlparse(url).path``) ends
+    with ``ext``, case-insensitive."""
+    from urllib.parse import uses_params  # schemes whose last segment carries ;params
+
+    p = path(c)
+    bare = F.when(scheme(c).isin(*uses_params), F.regexp_replace(p, r";[^/]*$", "")).otherwise(p)
+    return F.coalesce(F.lower(bare).endswith(ext.lower()), F.lit(False))
 
 
 def strip_query(c: Column | str) -> Column:

@@ -136,7 +136,7 @@ FROM (SELECT p.*, {_HREFS} AS h FROM ({_PAGE_FIELDS.replace('FROM pages', ', htm
 
 ORACLES["q_path_suffix"] = """
 SELECT page_id,
-       coalesce(ends_with(lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1)), '.html'), false) AS path_ends_html,
+       coalesce(ends_with(lower(regexp_replace(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1), ';[^/]*$', '')), '.html'), false) AS path_ends_html,
        contains(url, '.html') AS contains_html
 FROM pages
 """
@@ -226,7 +226,7 @@ ORACLES["q_lookup_enrich"] = """
 SELECT d.doc_id, d.lang, l.quality, l.toxic, l.doc_id IS NOT NULL AS enriched
 FROM documents d LEFT JOIN labels l
   ON d.lang = 'en'
- AND NOT coalesce(ends_with(lower(regexp_extract(d.source, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1)), '.pdf'), false)
+ AND NOT coalesce(ends_with(lower(regexp_replace(regexp_extract(d.source, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1), ';[^/]*$', '')), '.pdf'), false)
  AND d.doc_id = l.doc_id
 """
 

@@ -117,3 +117,16 @@ def test_resolve_fuzz_against_stdlib(spark):
         if r.o != urljoin(r.root, r.href)
     ]
     assert bad == []
+
+
+def test_pdf_suffix_fuzz_against_urlparse(spark):
+    import random
+
+    rnd = random.Random(4)
+    heads = ["https://e.com", "http://e.com:8080", "", "//cdn.e.com", "file:", "https://u@e.com"]
+    paths = ["/a.pdf", "/A.PDF", "/a.pdf/", "/a.pdfx", "/dir.pdf/a", "/a.Pdf;v=1", "/a", "", "/x.pdf.html"]
+    tails = ["", "?f=b.pdf", "#p.pdf", "?q=1#x", "?"]
+    urls = [rnd.choice(heads) + rnd.choice(paths) + rnd.choice(tails) for _ in range(2000)]
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    got = {r.u: r.p for r in df.select("u", U.path_ends_with("u", ".pdf").alias("p")).collect()}
+    assert [u for u in urls if got[u] != urlparse(u).path.lower().endswith(".pdf")] == []
