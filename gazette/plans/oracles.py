@@ -14,6 +14,17 @@ _WS_CHARS_SQL = " || ".join(
 )
 
 
+def _bare_path(url: str) -> str:
+    """``urlparse(url).path``: the path without query/fragment and, for the
+    schemes that use them, without the last segment's ``;params``."""
+    from urllib.parse import uses_params
+
+    schemes = ", ".join(f"'{x}'" for x in uses_params)
+    p = f"regexp_extract({url}, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1)"
+    sch = f"lower(regexp_extract({url}, '^([A-Za-z][A-Za-z0-9+.-]*):', 1))"
+    return f"CASE WHEN {sch} IN ({schemes}) THEN regexp_replace({p}, ';[^/]*$', '') ELSE {p} END"
+
+
 def _strip(expr: str) -> str:
     return f"trim({expr}, {_WS_CHARS_SQL})"
 
@@ -134,9 +145,9 @@ SELECT page_id,
 FROM (SELECT p.*, {_HREFS} AS h FROM ({_PAGE_FIELDS.replace('FROM pages', ', html FROM pages')}) p)
 """
 
-ORACLES["q_path_suffix"] = """
+ORACLES["q_path_suffix"] = f"""
 SELECT page_id,
-       coalesce(ends_with(lower(regexp_replace(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1), ';[^/]*$', '')), '.html'), false) AS path_ends_html,
+       coalesce(ends_with(lower({_bare_path('url')}), '.html'), false) AS path_ends_html,
        contains(url, '.html') AS contains_html
 FROM pages
 """
@@ -222,11 +233,11 @@ SELECT source, count(*) AS n_rows, count(*) FILTER (WHERE len(reasons) = 0) AS n
 FROM ({_DOC_CANDIDATES}) GROUP BY source
 """
 
-ORACLES["q_lookup_enrich"] = """
+ORACLES["q_lookup_enrich"] = f"""
 SELECT d.doc_id, d.lang, l.quality, l.toxic, l.doc_id IS NOT NULL AS enriched
 FROM documents d LEFT JOIN labels l
   ON d.lang = 'en'
- AND NOT coalesce(ends_with(lower(regexp_replace(regexp_extract(d.source, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1), ';[^/]*$', '')), '.pdf'), false)
+ AND NOT coalesce(ends_with(lower({_bare_path('d.source')}), '.pdf'), false)
  AND d.doc_id = l.doc_id
 """
 
