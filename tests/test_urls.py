@@ -130,3 +130,16 @@ def test_pdf_suffix_fuzz_against_urlparse(spark):
     df = spark.createDataFrame([(u,) for u in urls], "u string")
     got = {r.u: r.p for r in df.select("u", U.path_ends_with("u", ".pdf").alias("p")).collect()}
     assert [u for u in urls if got[u] != urlparse(u).path.lower().endswith(".pdf")] == []
+
+
+def test_english_only_fuzz(spark):
+    import random
+
+    rnd = random.Random(8)
+    pool = ["https://e.com/a.en.pdf", "https://e.com/a.en.pdf?x=1", "https://e.com/a.de.pdf", "https://e.com/en/a",
+            "https://e.com/b.en.html?v=2#f", "https://e.com/b.en.html", "https://e.com/x.EN.pdf", "?.en.", ""]
+    lists = [[rnd.choice(pool) for _ in range(rnd.randint(0, 6))] for _ in range(1000)]
+    df = spark.createDataFrame([(i, xs) for i, xs in enumerate(lists)], "i int, u array<string>")
+    got = {r.i: r.o for r in df.select("i", U.english_only("u", ".en.").alias("o")).collect()}
+    for i, xs in enumerate(lists):
+        assert got[i] == sorted({x.split("?")[0] for x in xs if ".en." in x.split("?")[0]}), xs
