@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gazette.session import checkpoint_dir
 
@@ -30,7 +31,7 @@ def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def ascii_lower(texts: pa.Array) -> pa.Array:
     """UTF-8 bytes with A-Z alone lower-cased; null reads as empty."""
     return pc.ascii_lower(pc.fill_null(texts, "")).cast(pa.binary())

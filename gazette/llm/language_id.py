@@ -18,6 +18,7 @@ from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gazette.llm.common import blocks, fold, materialise, name_of
 
@@ -59,7 +60,7 @@ def gram_vector(text: str) -> np.ndarray:
     return root / max(np.sqrt(counts.sum()), 1.0)
 
 
-@F.arrow_udf("array<double>")
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
 def _vectors(texts: pa.Array) -> pa.Array:
     return pa.array([gram_vector(t or "") for t in texts.to_pylist()], pa.list_(pa.float64()))
 
@@ -178,7 +179,7 @@ def has_letter(text: Column) -> Column:
 def predictor(model: LanguageModel):
     """Arrow UDF text -> (lang_pred, score); null input is undetermined."""
 
-    @F.arrow_udf("lang_pred string, score double")
+    @F.arrow_udf(T.StructType().add("lang_pred", T.StringType()).add("score", T.DoubleType()))
     def predict(texts: pa.Array) -> pa.Array:
         out = [
             (UNKNOWN, 0.0) if t is None or not model.languages else model.predict(gram_vector(t))
