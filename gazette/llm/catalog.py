@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gazette.llm import exact_dedup, language_id
+from gazette.llm import exact_dedup, language_id, near_dedup, packing, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op7_packing": packing.op7_packing,
+    "op9_near_dedup": near_dedup.op9_near_dedup,
+    "op10_token_counts": token_counts.op10_token_counts,
 }
 
 ORACLES: dict[str, str] = {
