@@ -6,16 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gazette.llm import exact_dedup, language_id, near_dedup, packing, token_counts
+from gazette.llm import (
+    exact_dedup,
+    language_id,
+    licenses,
+    near_dedup,
+    packing,
+    token_counts,
+    topk_search,
+    url_filters,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
+    "op3_url_filters": url_filters.op3_url_filters,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_topk_search": topk_search.op5_topk_search,
     "op7_packing": packing.op7_packing,
+    "op8_license_scan": licenses.op8_license_scan,
     "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 
 ORACLES: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.ORACLE,
+    "op5_topk_search": topk_search.ORACLE,
 }
