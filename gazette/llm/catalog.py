@@ -10,8 +10,10 @@ from gazette.llm import (
     exact_dedup,
     language_id,
     licenses,
+    lm_score,
     near_dedup,
     packing,
+    sentence_pieces,
     token_counts,
     topk_search,
     url_filters,
@@ -19,9 +21,11 @@ from gazette.llm import (
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
+    "op2_sentence_pieces": sentence_pieces.op2_sentence_pieces,
     "op3_url_filters": url_filters.op3_url_filters,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_topk_search": topk_search.op5_topk_search,
+    "op6_lm_score": lm_score.op6_lm_score,
     "op7_packing": packing.op7_packing,
     "op8_license_scan": licenses.op8_license_scan,
     "op9_near_dedup": near_dedup.op9_near_dedup,
