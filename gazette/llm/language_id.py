@@ -47,14 +47,15 @@ def gram_vector(text: str) -> np.ndarray:
     """Unit vector of hashed byte 2-, 3- and 4-gram counts of a whole text."""
     counts = np.zeros(BUCKETS, np.int64)
     data = b" " + text.lower().encode("utf-8", "replace").translate(_LETTERS) + b" "
-    for block in blocks(data, overlap=3):
+    for at, block in enumerate(blocks(data, overlap=3)):
         grams = block.astype(np.uint32)
         code = grams
         for n in (2, 3, 4):
             if len(block) < n:
                 break
             code = code[:-1] * np.uint32(0x01000193) ^ grams[n - 1 :]
-            mixed = code * np.uint32(0x9E3779B1)
+            # shorter grams of the overlap were counted in the block before
+            mixed = code[4 - n if at else 0 :] * np.uint32(0x9E3779B1)
             counts += np.bincount(mixed >> np.uint32(20), minlength=BUCKETS)
     root = np.sqrt(counts)
     return root / max(np.sqrt(counts.sum()), 1.0)

@@ -155,7 +155,7 @@ class SuffixTree:
         size, many = n[first].astype(float), len(names)
         shorter = 10.0 ** self._shorter(suffix[order], token)
         chance = (c + PRIOR * shorter) / (size[group] + PRIOR)
-        sums = lambda x: np.bincount(group, x, many)
+        sums = lambda x: np.bincount(group, x, many).astype(float)
         rest, rest_shorter = np.maximum(1 - sums(chance), 1e-12), np.maximum(1 - sums(shorter), 1e-12)
         left = np.maximum(size - sums(c), 0)
         ratio = 2 * sums(c * np.log(c / size[group] / shorter))
