@@ -34,9 +34,9 @@ DB_FETCH_REQUESTED = 5000  # records requested from the chunk database
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES — date formats (Spark datetime patterns for the source formats)
-#   RSS         "Wed, 22 Jan 2025 12:00:00 GMT"   weekday dropped before parsing
-#   card text   "22.01.2025: ..."                 day.month.year
-#   card URL    ".../2025-01-22-..."              year-month-day
+#   RSS         "Wed, 29 Jan 2025 12:00:00 GMT"   weekday dropped before parsing
+#   card text   "29.01.2025: ..."                 day.month.year
+#   card URL    ".../2025-01-29-..."              year-month-day
 #   listings    "9 January 2024"                  day full-month year
 # ---------------------------------------------------------------------------
 RSS_PATTERN = "d MMM yyyy HH:mm:ss"

@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gazette import constants as K
-from gazette.functions.text import col, nullif_empty, strip_ws
+from gazette.functions.text import col, int_div, nullif_empty, strip_ws
 
 
 
@@ -48,7 +48,7 @@ _MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct",
 
 
 def parse_rss(c: Column | str) -> Column:
-    """``Wed, 22 Jan 2025 12:00:00 GMT`` → TIMESTAMP_NTZ (zone must be GMT/UTC).
+    """``Wed, 29 Jan 2025 12:00:00 GMT`` → TIMESTAMP_NTZ (zone must be GMT/UTC).
 
     One full-match regex rewrites the value to ``yyyy-mon-d H:m:s``; month
     names become numbers with plain ``replace``; ``try_cast`` to
@@ -108,7 +108,8 @@ def to_epoch_seconds(c: Column | str) -> Column:
 
 def time_bucket(c: Column | str, seconds: int) -> Column:
     """``int(epoch / seconds)`` — the snapshot bucket of a time."""
-    return F.floor(to_epoch_seconds(c) / F.lit(seconds)).cast("bigint")
+    epoch = to_epoch_seconds(c)
+    return int_div(epoch - F.pmod(epoch, F.lit(seconds)), seconds)
 
 
 def display_day(c: Column | str) -> Column:

@@ -63,16 +63,23 @@ def valid_utf8(c: Column | str) -> Column:
 
 
 def _nfkc_series(s: pd.Series) -> pd.Series:
-    def one(v):
-        if v is None or v.isascii():
-            return v
-        return unicodedata.normalize("NFKC", v)
+    return s.map(lambda v: v if v is None else unicodedata.normalize("NFKC", v))
 
-    return s.map(one)
 
+_nfkc_udf = F.pandas_udf(_nfkc_series, StringType())
 
-nfkc = F.pandas_udf(_nfkc_series, StringType())
-nfkc.__doc__ = "Unicode NFKC normalisation (Arrow batches; ASCII passes through)."
+
+def nfkc(c: Column | str) -> Column:
+    """Unicode NFKC normalisation.  Only values with a character beyond ASCII
+    reach Python (Arrow batches); the others stay as they are."""
+    c = col(c)
+    beyond = c.rlike("[^\\x00-\\x7F]")
+    return F.when(beyond, _nfkc_udf(F.when(beyond, c))).otherwise(c)
+
+
+def int_div(a: Column | str, b: Column | int) -> Column:
+    """Integer division, exact beyond 2^53 (``a`` not negative)."""
+    return F.call_function("div", col(a).cast("bigint"), b if isinstance(b, Column) else F.lit(b).cast("bigint"))
 
 
 def display_line(regulator, update_type, day, title, url) -> Column:

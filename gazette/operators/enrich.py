@@ -1,9 +1,7 @@
-"""Lookups: dimension joins, gated detail-page joins, dictionary decode,
-correlated flatten.
+"""Lookups: dimension joins, gated detail-page joins, correlated flatten.
 
-Broadcast policy: a side is hinted for broadcast only after a bounded check
-(``limit(max_rows + 1).count()`` reads at most ``max_rows + 1`` rows).  Beyond
-the bound the hint is not given and the planner/AQE choose a shuffle join.
+No join is hinted: the planner's statistics and AQE decide what is small
+enough to broadcast.
 """
 
 from __future__ import annotations
@@ -16,26 +14,14 @@ from pyspark.sql import functions as F
 from gazette import constants as K
 from gazette.functions.text import col
 
-BROADCAST_MAX_ROWS = 100_000
-
-
-def guarded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows,
-    otherwise ``df`` unchanged (sort-merge / AQE decide)."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def regulator_dimension(spark: SparkSession) -> DataFrame:
-    """The fixed regulator dimension (2 rows, broadcast by construction)."""
+    """The fixed regulator dimension (a row for each known code)."""
     rows = [(code, full, lang, base) for code, full, lang, base in K.REGULATORS]
     return spark.createDataFrame(rows, "code string, full_name string, language string, base_url string")
 
 
 def join_dimension(
-    df: DataFrame, dim: DataFrame, left_key: Column | str, right_key: str, case_insensitive: bool = False,
-    max_rows: int = BROADCAST_MAX_ROWS,
+    df: DataFrame, dim: DataFrame, left_key: Column | str, right_key: str, case_insensitive: bool = False
 ) -> DataFrame:
     """Left join to a small dimension; unmatched rows keep NULL attributes
     (callers turn those into reject reasons)."""
@@ -47,7 +33,17 @@ def join_dimension(
     else:
         dim = dim.withColumn("_dim_key", rk)
         cond = lk == F.col("_dim_key")
-    return df.join(guarded_broadcast(dim, max_rows), cond, "left").drop("_dim_key")
+    return df.join(dim, cond, "left").drop("_dim_key")
+
+
+def reject_unknown_regulators(candidates: DataFrame, spark: SparkSession) -> DataFrame:
+    """Candidates whose regulator code (any case) is not in the dimension get
+    the reason ``unknown_regulator``; rows without a code are left alone."""
+    known = regulator_dimension(spark).select("code", F.lit(True).alias("_known"))
+    joined = join_dimension(candidates, known, "regulator", "code", case_insensitive=True)
+    unknown = F.col("regulator").isNotNull() & F.col("_known").isNull()
+    reasons = F.when(unknown, F.concat("reasons", F.array(F.lit("unknown_regulator")))).otherwise(F.col("reasons"))
+    return joined.withColumn("reasons", reasons).select(*candidates.columns)
 
 
 def gated_lookup(

@@ -52,26 +52,11 @@ def snapshot_per_bucket(
     )
 
 
-def source_health(df: DataFrame, source: str, valid: Column) -> DataFrame:
-    """Per source: rows, valid rows and a status (``empty`` / ``no_valid`` /
-    ``ok``).  Sources present in the input can only be ``no_valid`` or ``ok``;
-    an expected-source manifest joined in supplies ``empty``."""
-    return (
-        df.groupBy(source)
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(valid).alias("n_valid"))
-        .withColumn(
-            "status",
-            F.when(F.col("n_rows") == 0, F.lit("empty"))
-            .when(F.col("n_valid") == 0, F.lit("no_valid"))
-            .otherwise(F.lit("ok")),
-        )
-    )
-
-
-def source_health_expected(df: DataFrame, expected: DataFrame, source: str, valid: Column) -> DataFrame:
-    """``source_health`` over a manifest of expected sources: a source with no
-    rows at all (an empty feed, a page without its list) reports ``empty``.
-    Counts are aggregated before the join (one row per source)."""
+def source_health(df: DataFrame, expected: DataFrame, source: str, valid: Column) -> DataFrame:
+    """Per expected source: rows, valid rows and a status (``empty``,
+    ``no_valid`` or ``ok``); a source with no rows at all (an empty feed, a
+    page without its list) is ``empty``.  Counts are aggregated before the
+    join (one row per source)."""
     counts = df.groupBy(source).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(valid).alias("n_valid"))
     joined = expected.select(source).distinct().join(counts, source, "left")
     return joined.select(
@@ -86,6 +71,22 @@ def source_health_expected(df: DataFrame, expected: DataFrame, source: str, vali
     )
 
 
+class UnhealthySource(RuntimeError):
+    """A strict run met a source without a valid row."""
+
+
+def require_healthy(health: DataFrame, source: str) -> None:
+    """Raise for the first sources (by name) that are not ``ok``."""
+    bad = health.filter(F.col("status") != "ok").orderBy(source).limit(10).collect()
+    if bad:
+        raise UnhealthySource("; ".join(f"{r[source]}: {r['status']}" for r in bad))
+
+
+def listing_success() -> Column:
+    """A listing capture counts if its status is OK and its body is not empty."""
+    return (F.col("status") == 200) & (F.length(F.coalesce(F.col("body"), F.lit(""))) > 0)
+
+
 def short_groups(df: DataFrame, key: str, min_rows: int = K.SHORT_PAGE_ROWS) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") < min_rows)
 

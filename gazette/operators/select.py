@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gazette import constants as K
-from gazette.functions.text import col
+from gazette.functions.text import col, int_div
 
 
 def top_n_per_group(
@@ -41,22 +41,18 @@ def latest_per_link(
     return top_n_per_group(df, [link], [F.col(published_at).desc_nulls_last(), F.col(pos).asc()], n, "rank")
 
 
-def cap_list(c: Column | str, n: int = K.MAX_RELATED_URLS) -> Column:
-    return F.slice(col(c), 1, n)
-
-
 def ordinal_within(
     df: DataFrame, keys: Sequence[str], order_col: str, tie: str, width: int = 1 << 16, out: str = "ordinal"
 ) -> DataFrame:
     """1-based position of each row inside its group by ``(order_col, tie)``.
 
-    ``order_col`` is numeric; rows are bucketed by ``floor(order_col / width)``.
-    With distinct integer order values a bucket holds at most ``width`` rows
-    of a group, and a group's bucket table (prefix-summed in one task) has
+    ``order_col`` is an integer; rows are bucketed by ``order_col`` div ``width``.
+    It must be (nearly) distinct within a group: then a bucket holds at most
+    ``width`` rows of it, while rows that repeat one value share a bucket; and a group's bucket table (prefix-summed in one task) has
     ``range / width`` rows — ~15 M for a key spanning 10^12 ids.
     """
     b = "_bucket"
-    with_b = df.withColumn(b, F.floor(F.col(order_col) / F.lit(width)).cast("bigint"))
+    with_b = df.withColumn(b, int_div(F.col(order_col) - F.pmod(F.col(order_col), F.lit(width)), width))
     sizes = with_b.groupBy(*keys, b).agg(F.count(F.lit(1)).alias("_n"))
     prior = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, b, F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_offset"))
@@ -82,10 +78,3 @@ def zip_pairs(
     ro = ordinal_within(right, keys, order_col, tie, out=pair_col)
     return lo.join(ro, [*keys, pair_col], "inner")
 
-
-def zip_arrays(a: Column | str, b: Column | str) -> Column:
-    """Positional zip of two arrays that stops at the shorter one
-    (``arrays_zip`` pads with NULL)."""
-    z = F.arrays_zip(col(a).alias("l"), col(b).alias("r"))
-    n = F.least(F.size(col(a)), F.size(col(b)))
-    return F.slice(z, 1, F.greatest(n, F.lit(0)))

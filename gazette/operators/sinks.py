@@ -1,7 +1,7 @@
-"""Sinks: the publications table partitioned by namespace, and the rejects
-table.  Writes go through Spark's commit protocol (task retries and lost
-executors do not leave partial files) and overwrite only the namespaces a
-run produced (dynamic partition overwrite).
+"""Sinks: one table of candidates with a folder for each namespace.  Writes go
+through Spark's commit protocol (task retries and lost executors leave no
+partial files); a run replaces the whole folder of every namespace it names,
+so neither a reject nor a publication of an earlier run outlives it.
 """
 
 from __future__ import annotations
@@ -33,25 +33,14 @@ def union_sources(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def write_candidates(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Candidates with ``reasons`` and ``namespace`` → one table partitioned
-    by ``status`` and ``namespace``; only the partitions present in ``df``
-    are replaced."""
+def write_namespace(df: DataFrame, path: str, namespace: str) -> None:
+    """Candidates with ``reasons`` → ``path/namespace=<namespace>``, with
+    ``status`` (valid / rejected) as a column.  An empty frame empties the
+    folder."""
     status = F.when(F.size("reasons") == 0, F.lit("valid")).otherwise(F.lit("rejected"))
     (
         df.withColumn("status", status)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("status", "namespace")
-        .parquet(path)
-    )
-
-
-def write_publications(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Valid publications only, partitioned by namespace."""
-    (
-        df.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("namespace")
-        .parquet(path)
+        .drop("namespace")
+        .write.mode("overwrite")
+        .parquet(f"{path.rstrip('/')}/namespace={namespace}")
     )

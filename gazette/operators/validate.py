@@ -59,14 +59,6 @@ def publication_reasons(
     return base
 
 
-def with_reasons(df: DataFrame, reasons: Column, name: str = "reasons") -> DataFrame:
-    return df.withColumn(name, reasons)
-
-
-def valid_rows(df: DataFrame, name: str = "reasons") -> DataFrame:
-    return df.filter(F.size(F.col(name)) == 0).drop(name)
-
-
 def reject_rows(df: DataFrame, source: Column | str, key: Column | str, name: str = "reasons") -> DataFrame:
     """Rejects table ``(source, key, reason, detail)`` — one row per reason."""
     return df.filter(F.size(F.col(name)) > 0).select(

@@ -279,13 +279,16 @@ def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def q_nfkc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """NFKC-normalised titles and whole texts (Arrow-batched; ASCII
-    values pass through untouched)."""
-    df = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    return df.select(
-        "doc_id",
-        T.nfkc(T.strip_ws(T.first_line("text"))).alias("title_nfkc"),
-        F.length(T.nfkc("text")).cast("bigint").alias("text_nfkc_len"),
+    """Titles written in full-width forms normalise back to themselves;
+    the ASCII names of parts pass through untouched."""
+    ascii_marks = "".join(chr(c) for c in range(0x21, 0x7F))
+    wide_marks = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F))
+    part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type")
+    return part.select(
+        "p_partkey",
+        T.nfkc(F.translate("p_name", ascii_marks, wide_marks)).alias("name_nfkc"),
+        T.nfkc(F.concat(F.col("p_type"), F.lit(" \u2460 \ufb01"))).alias("type_nfkc"),
+        T.nfkc("p_name").alias("name_plain"),
     )
 
 
@@ -311,10 +314,14 @@ def q_reject_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def q_source_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C14: per source — rows, valid rows and status."""
+    """C14: per expected source — rows, valid rows and status; the sources of
+    documents and, as feeds that brought nothing, the hosts of pages."""
     from gazette.operators.runs import source_health
 
-    return source_health(_doc_candidates(spark, sf_dir), "source", F.size("reasons") == 0)
+    rows = _doc_candidates(spark, sf_dir)
+    hosts = read_table(spark, sf_dir, "pages", "url").select(U.host("url").alias("source"))
+    expected = rows.select("source").unionByName(hosts)
+    return source_health(rows, expected, "source", F.size("reasons") == 0)
 
 
 @register
@@ -337,12 +344,10 @@ def q_lookup_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3/A1: counts per source and language — rows, errors, related items."""
-    df = _doc_titles(spark, sf_dir)
-    return df.groupBy("source", "lang").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(~V.title_ok("title")).alias("n_errors"),
-        F.sum("n_lines").cast("bigint").alias("n_related"),
-    )
+    from gazette.operators.runs import run_report
+
+    df = _doc_titles(spark, sf_dir).withColumn("lines", F.sequence(F.lit(1), F.col("n_lines").cast("int")))
+    return run_report(df, ["source", "lang"], ~V.title_ok("title"), "lines")
 
 
 @register

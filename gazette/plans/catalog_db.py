@@ -4,12 +4,14 @@ so every step runs on the whole table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazette import constants as K
 from gazette.functions import dates as D
+from gazette.functions.text import int_div
 from gazette.plans.registry import register
+from gazette.plans import chunk_writer as W
 from gazette.sources import chunkdb as C
 from gazette.sources.tables import read_table
 
@@ -30,8 +32,10 @@ RECORD_HEADER = [
 ]
 
 
-def _event_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _event_chunks(spark: SparkSession, sf_dir: str, wanted: DataFrame | None = None) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "props")
+    if wanted is not None:
+        ev = ev.join(wanted, int_div("event_id", CHUNK_SIZE) == wanted["chunk_id"], "left_semi")
     code = F.when(F.col("event_type") == "purchase", F.lit(K.DB_TYPE_CODE_REGULATION)).otherwise(
         F.lit(K.DB_TYPE_CODE_NEWS)
     )
@@ -40,10 +44,10 @@ def _event_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         D.to_epoch_seconds("ts").cast("string"),
         F.col("user_id").cast("string"),
         code.cast("string"),
-        C.json_value("event_type"),
+        W.json_value("event_type"),
         F.coalesce(F.col("props"), F.lit("null")),
     ]
-    return C.encode_chunks(ev, "event_id", raw, CHUNK_SIZE)
+    return W.encode_chunks(ev, "event_id", raw, CHUNK_SIZE)
 
 
 @register
@@ -72,20 +76,30 @@ def q_index_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _type_index(spark, sf_dir).withColumnRenamed("value", "event_type")
 
 
-PRUNE_VALUE = "error"
+PRUNE_BLOCK = 250  # records of one value of the clustered key
+PRUNE_VALUE = 3
 
 
 @register
 def q_index_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Read only the data chunks the index ranges of one value touch
-    (semi join on chunk id), decode them and keep that value's records."""
-    wanted = C.chunks_for_ranges(_type_index(spark, sf_dir).filter(F.col("value") == PRUNE_VALUE), CHUNK_SIZE)
-    chunks = _event_chunks(spark, sf_dir).join(wanted, "chunk_id", "left_semi")
+    """Of a key that is clustered in storage order, read only the data
+    chunks that the index ranges of one value touch, decode them and keep
+    that value's records; ``n_chunks`` is how many were read."""
+    ev = read_table(spark, sf_dir, "events", "event_id")
+    block = int_div("event_id", PRUNE_BLOCK)
+    index = C.index_chunk_stats(ev.select(block.alias("block"), "event_id"), "block", "event_id", CHUNK_SIZE)
+    manifest = ev.select(int_div("event_id", CHUNK_SIZE).alias("chunk_id")).distinct()
+    wanted = C.chunks_for_ranges(index.filter(F.col("value") == PRUNE_VALUE), manifest, CHUNK_SIZE)
+    # the writer's rows are pruned too: no other chunk is built
+    chunks = _event_chunks(spark, sf_dir, wanted)
     recs = C.decode_chunks(chunks, EVENT_HEADER, CHUNK_SIZE, fields=["event_id", "user_id", "event_type"])
-    return recs.filter(F.col("event_type") == PRUNE_VALUE).select(
+    read = chunks.agg(F.count(F.lit(1)).alias("n_chunks"))
+    kept = recs.withColumn("id", F.col("event_id").try_cast("bigint")).filter(int_div("id", PRUNE_BLOCK) == PRUNE_VALUE)
+    return kept.select(
         "record_id",
-        F.col("event_id").try_cast("bigint").alias("event_id"),
+        F.col("id").alias("event_id"),
         F.col("user_id").try_cast("bigint").alias("user_id"),
+        read.scalar().alias("n_chunks"),
     )
 
 
@@ -100,11 +114,10 @@ def q_chunk_locator(spark: SparkSession, sf_dir: str) -> DataFrame:
         C.locate(F.lit("data"), DB_ROOT, F.lit(DB_VERSION), F.lit(DB_HASH), chunk_id="chunk_id",
                  group_size=GROUP_SIZE).alias("url"),
     )
-    # index_value_id = position of the value in the key's index document;
-    # numbered over the distinct values only (one row per value, not per record)
+    # index_value_id = position of the value in the key's index document
     stats = _type_index(spark, sf_dir)
-    values = stats.select("value").distinct()
-    value_ids = values.select("value", (F.dense_rank().over(Window.orderBy("value")) - 1).alias("value_id"))
+    document = stats.agg(F.sort_array(F.collect_set("value")).alias("values"))
+    value_ids = document.select(F.posexplode("values").alias("value_id", "value"))
     idx = stats.join(value_ids, "value").select(
         F.lit("index_chunk").alias("kind"),
         F.col("value").alias("key"),
@@ -156,10 +169,10 @@ def _record_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         D.to_epoch_seconds("ts").cast("string"),
         F.to_json(F.struct(F.concat(F.lit("Event "), sid, F.lit(" "), F.col("event_type")).alias("Title"))),
         F.to_json(F.array(F.concat(F.lit("/e/"), sid, F.lit(".html")))),
-        C.json_value(F.when(F.col("event_type") != "error", F.col("event_type"))),
+        W.json_value(F.when(F.col("event_type") != "error", F.col("event_type"))),
         F.to_json(children),
     ]
-    return C.encode_chunks(ev, "event_id", raw, CHUNK_SIZE)
+    return W.encode_chunks(ev, "event_id", raw, CHUNK_SIZE)
 
 
 @register

@@ -114,18 +114,6 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(F.from_csv(line, _PART_SCHEMA, _CSV).alias("r")).select("r.*")
 
 
-@register
-def q_binary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed files read as bytes (name and size; content stays in the
-    scan and is never collected)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(sf_dir.rstrip("/"))
-    return files.select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-        F.col("length").alias("n_bytes"),
-    )
-
-
-
 def _pages_of_ten(
     df: DataFrame,
     key: str,

@@ -227,10 +227,16 @@ GROUP BY reason
 """
 
 ORACLES["q_source_health"] = f"""
-SELECT source, count(*) AS n_rows, count(*) FILTER (WHERE len(reasons) = 0) AS n_valid,
-       CASE WHEN count(*) = 0 THEN 'empty'
-            WHEN count(*) FILTER (WHERE len(reasons) = 0) = 0 THEN 'no_valid' ELSE 'ok' END AS status
-FROM ({_DOC_CANDIDATES}) GROUP BY source
+WITH c AS ({_DOC_CANDIDATES}),
+     e AS (SELECT source FROM c UNION SELECT {_HOST} AS source FROM pages)
+SELECT e.source, count(c.doc_id) AS n_rows, count(c.doc_id) FILTER (WHERE len(reasons) = 0) AS n_valid,
+       CASE WHEN count(c.doc_id) = 0 THEN 'empty'
+            WHEN count(c.doc_id) FILTER (WHERE len(reasons) = 0) = 0 THEN 'no_valid' ELSE 'ok' END AS status
+FROM e LEFT JOIN c ON e.source = c.source GROUP BY e.source
+"""
+
+ORACLES["q_nfkc"] = """
+SELECT p_partkey, p_name AS name_nfkc, p_type || ' 1 fi' AS type_nfkc, p_name AS name_plain FROM part
 """
 
 ORACLES["q_lookup_enrich"] = f"""
@@ -408,7 +414,9 @@ _INDEX_STATS = """
 ORACLES["q_index_stats"] = _INDEX_STATS
 
 ORACLES["q_index_prune"] = """
-SELECT event_id AS record_id, event_id, user_id FROM events WHERE event_type = 'error'
+SELECT event_id AS record_id, event_id, user_id,
+       (SELECT count(DISTINCT event_id // 100) FROM events WHERE event_id // 250 = 3) AS n_chunks
+FROM events WHERE event_id // 250 = 3
 """
 
 ORACLES["q_chunk_locator"] = f"""

@@ -26,7 +26,10 @@ from gazette.functions import text as T
 from gazette.functions import urls as U
 from gazette.operators import sinks as S
 from gazette.operators import validate as V
-from gazette.operators.select import latest_per_link
+from gazette.operators.enrich import gated_lookup
+from gazette.operators.runs import all_or_nothing
+from gazette.operators.select import latest_per_link, top_n_per_group
+from gazette.session import written
 from gazette.sources import chunkdb as C
 from gazette.sources.extract import SourceSpec, extract
 from gazette.sources.feed import entries_to_candidates
@@ -76,6 +79,13 @@ def _ordered_list(df: DataFrame, key: str, pos: str, value: str, out: str) -> Da
     )
 
 
+def looked_up(detail_pages: DataFrame, listing: DataFrame) -> DataFrame:
+    """The latest capture of the detail pages that listing rows point to; no
+    other page's body leaves its scan or is parsed."""
+    wanted = listing.select(F.col("web_url").alias("url")).distinct()
+    return latest_captures(detail_pages.join(wanted, "url", "left_semi")).select("url", "html")
+
+
 # ---------------------------------------------------------------------------
 # article cards + attachment lists on detail pages
 # ---------------------------------------------------------------------------
@@ -112,7 +122,7 @@ def card_publications(
         "item_pos",
         "page_status",
         T.nullif_empty(T.strip_ws("link")).alias("_link"),
-        T.nullif_empty(T.strip_ws("title")).alias("web_title"),
+        T.nfkc(T.nullif_empty(T.strip_ws("title"))).alias("web_title"),
         T.strip_ws("description").alias("_desc"),
     )
     resolved = clean.select(
@@ -123,9 +133,10 @@ def card_publications(
         D.card_date(F.coalesce("web_url", F.lit("")), "_desc").alias("published_at"),
     )
     if detail_pages is not None:
-        details = detail_links(detail_pages, base_url)
-        gate = ~U.path_ends_with(df["web_url"], ".pdf")
-        df = df.join(details, gate & (df["web_url"] == details["detail_url"]), "left").drop("detail_url")
+        df = written(df.sparkSession, df, "cards")
+        gate = ~U.path_ends_with("web_url", ".pdf")
+        details = detail_links(looked_up(detail_pages, df.filter(gate)), base_url)
+        df = gated_lookup(df, details, [("web_url", "detail_url")], ~U.path_ends_with(df["web_url"], ".pdf")).drop("detail_url")
     df = df.withColumn("related_urls", F.coalesce(F.col("related_urls") if "related_urls" in df.columns else _empty(), _empty()))
     parse = F.array_compact(
         F.array(
@@ -258,8 +269,9 @@ def search_publications(
         V.missing_fields(date="date_text", link="link", title="title", category="category").alias("_missing"),
     )
     if detail_pages is not None and update_type == "regulation":
-        details = related_cards(detail_pages, base_url)
-        df = df.join(details, df["web_url"] == details["detail_url"], "left").drop("detail_url")
+        df = written(df.sparkSession, df, "results")
+        details = related_cards(looked_up(detail_pages, df), base_url)
+        df = gated_lookup(df, details, [("web_url", "detail_url")], df["type"] == "regulation").drop("detail_url")
     if "related_urls" not in df.columns:
         df = df.withColumn("related_urls", _empty())
     df = df.withColumn("related_urls", F.coalesce("related_urls", _empty()))
@@ -289,18 +301,21 @@ def db_publications(
     regulator: str = "ECB",
     n: int = K.PER_LINK_LATEST,
     source: str = "db",
+    as_of: _dt.datetime | None = None,
 ) -> DataFrame:
     """Landed chunk database → the first ``n`` records (storage order) of each
-    update type's code, as candidates.  Several update types share ONE
-    decode of the chunks (the reuse a memoised load gave).  A missing or
-    empty database fails the run instead of yielding an empty table."""
+    update type's code, as candidates.  Only the chunks that the type index
+    names for those records are read; without a type index all are, in one
+    pass for all update types.  A missing or empty database fails the run
+    instead of yielding an empty table."""
     types = [update_type] if isinstance(update_type, str) else list(update_type)
     ver = C.first_version(spark, db_root).first()
     if ver is None or ver["version"] is None:
         raise ValueError(f"no version listed under {db_root}")
     root = f"{db_root.rstrip('/')}/{ver['version']}/{ver['hash']}"
     meta = C.read_metadata(spark, root)
-    records = C.decode_chunks(C.read_data_chunks(spark, root), meta["header"], int(meta["chunk_size"]))
+    paths = C.leading_chunk_paths(spark, root, meta, [C.db_type_code(t) for t in types], n)
+    records = C.decode_chunks(C.read_data_chunks(spark, root, paths), meta["header"], int(meta["chunk_size"]))
     chosen = C.latest_of_types(records, types, n)
     pubs = C.record_to_publication(chosen, base_url, "", regulator).withColumn("type", F.col("update_type"))
     df = pubs.select(
@@ -309,25 +324,32 @@ def db_publications(
         F.col("record_id").alias("item_pos"),
         *[c for c in pubs.columns if c not in ("record_id", "update_type")],
     )
-    return _finish(df, None)
+    return _finish(df, as_of)
 
 
 # ---------------------------------------------------------------------------
 # selection, union, publish
 # ---------------------------------------------------------------------------
 def keep_latest(candidates: DataFrame, per_link: int | None = K.PER_LINK_LATEST) -> DataFrame:
-    """Ten latest valid items per listing link (rejects are all kept)."""
+    """Ten latest valid items per listing link (rejects are all kept).  Reads
+    ``candidates`` twice: give it a written table, not an extraction."""
     valid = candidates.filter(F.size("reasons") == 0)
     rejects = candidates.filter(F.size("reasons") > 0)
     top = latest_per_link(valid, "listing_url", "published_at", "item_pos", per_link).drop("rank")
     return top.unionByName(rejects)
 
 
+def first_per_url(candidates: DataFrame, key: str = "web_url") -> DataFrame:
+    """Of valid candidates that share ``key`` the newest stays (ties: listing,
+    then position); rejects are kept."""
+    order = [F.col("published_at").desc_nulls_last(), F.col("listing_url"), F.col("item_pos"), F.col("source")]
+    top = top_n_per_group(candidates.filter(F.size("reasons") == 0), [key], order, 1, "rank").drop("rank")
+    return top.unionByName(candidates.filter(F.size("reasons") > 0))
+
+
 def atomic_pages(candidates: DataFrame) -> DataFrame:
     """Opt-in all-or-nothing mode: a listing page with any rejected row loses
     all its rows (they become rejects with reason ``page_rejected``)."""
-    from gazette.operators.runs import all_or_nothing
-
     good_pages = all_or_nothing(candidates, "listing_url", F.size("reasons") == 0).select("listing_url").distinct()
     flagged = candidates.join(good_pages.withColumn("_page_ok", F.lit(True)), "listing_url", "left")
     reasons = F.when(
@@ -344,12 +366,13 @@ def split(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def publish(frames: Sequence[tuple[str, DataFrame]], path: str) -> None:
-    """Tag each candidate frame with its namespace, union them and write
-    them in ONE pass, partitioned by ``status`` (valid / rejected) and
-    ``namespace``.  ``read_publications`` / ``read_rejects`` then prune to
-    their partitions, so no source is scanned twice."""
-    tagged = S.union_sources(*[S.tag_namespace(df, ns) for ns, df in frames])
-    S.write_candidates(tagged, path)
+    """Write candidate frames to their namespaces; frames of one namespace
+    are united.  A namespace is replaced whole, also by an empty run."""
+    by_namespace: dict[str, list[DataFrame]] = {}
+    for namespace, df in frames:
+        by_namespace.setdefault(namespace, []).append(df)
+    for namespace, parts in by_namespace.items():
+        S.write_namespace(S.union_sources(*parts), path, namespace)
 
 
 def read_publications(spark: SparkSession, path: str) -> DataFrame:
@@ -368,20 +391,15 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_captures(captures: DataFrame, ts: str = "fetched_at") -> DataFrame:
-    """One capture per URL — the latest by ``ts`` (ties: the larger body, so
-    the choice is deterministic on recomputation).  A ``row_number() <= 1``
-    top-N: each map task forwards at most one capture per URL, so a page
-    captured thousands of times never forms a large group.
-
-    This is the one place a page body crosses a shuffle.  Landing tables
-    written bucketed by ``url`` (``bucketBy(n, "url")``) make it shuffle-free;
-    tables without ``fetched_at`` are taken as one capture per URL."""
-    from gazette.operators.select import top_n_per_group
-
-    if ts not in captures.columns:
-        return captures
-    order = [F.col(ts).desc_nulls_last(), F.col("html").desc_nulls_last()]
-    return top_n_per_group(captures, ["url"], order, 1, "_rank").drop("_rank")
+    """One capture per URL: the latest by ``ts`` where there is one, ties by a
+    hash of the body, so that batch, stream and recomputation agree.  Each map
+    task forwards one capture per URL; give it captures already restricted to
+    the wanted URLs, as this is where bodies are shuffled."""
+    order = [F.col("_body").desc_nulls_last()]
+    if ts in captures.columns:
+        order.insert(0, F.col(ts).desc_nulls_last())
+    keyed = captures.withColumn("_body", F.xxhash64("html"))
+    return top_n_per_group(keyed, ["url"], order, 1, "_rank").drop("_rank", "_body")
 
 
 def manifest_join(pages: DataFrame, manifest: DataFrame) -> DataFrame:

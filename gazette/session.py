@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -23,8 +24,8 @@ def build_session(
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Session for tests and the bench.  On a cluster, use the session the
-    platform hands you; every plan here only needs ``spark.sql.session.timeZone``
-    to be irrelevant (outputs are TIMESTAMP_NTZ) and AQE on."""
+    platform hands you with AQE on and ``spark.sql.session.timeZone`` UTC
+    (times are TIMESTAMP_NTZ, but formatting one passes through the zone)."""
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = (
         SparkSession.builder.master(master or f"local[{cpus}]")
@@ -72,3 +73,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="gazette-ckpt-")
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir() or folder
+
+
+def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: evaluated once, however
+    often it is used, and independent of the executors that computed it."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/gazette-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

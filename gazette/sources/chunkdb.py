@@ -27,7 +27,7 @@ from gazette import constants as K
 from gazette.functions import dates as D
 from gazette.functions import text as T
 from gazette.functions import urls as U
-from gazette.functions.text import col
+from gazette.functions.text import col, int_div
 
 CHILD_FIELDS = 11  # id, timestamp, year, month, day, 4 unused, pdf list, metadata
 
@@ -37,7 +37,7 @@ CHILD_FIELDS = 11  # id, timestamp, year, month, day, 4 unused, pdf list, metada
 # ---------------------------------------------------------------------------
 def chunk_group(chunk_id: Column | str, group_size: int | Column) -> Column:
     gs = group_size if isinstance(group_size, Column) else F.lit(group_size)
-    return F.floor(col(chunk_id) / gs).cast("bigint")
+    return int_div(col(chunk_id), gs)
 
 
 def locate(
@@ -75,7 +75,7 @@ def locate(
         .when(kind == "index", F.concat(versioned, F.lit("indexes/"), key_c, F.lit("/index.json")))
         .when(kind == "index_chunk", index_chunk)
         .when(kind == "data", data)
-        .otherwise(F.raise_error(F.concat(F.lit("Unknown request type: "), kind)))
+        .otherwise(F.raise_error(F.concat(F.lit("no such database object: "), kind)))
     )
 
 
@@ -167,7 +167,7 @@ def decode_chunks(
     # (an expression inside a lambda is evaluated per element)
     parsed = chunks.select(F.col(id_col), F.from_json(F.col(chunk_col), "array<string>").alias("_flat"))
     flat = F.col("_flat")
-    n = F.floor(F.size(flat) / F.lit(width)).cast("int")
+    n = int_div(F.size(flat), width).cast("int")
     records = F.when(
         n > 0,
         F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice(flat, i * width + 1, width)),
@@ -179,12 +179,6 @@ def decode_chunks(
     )
 
 
-def decode_dictionary(value: Column | str, dictionary: Column) -> Column:
-    """Dictionary-encoded value → decoded value (``MAP<STRING,STRING>``);
-    unknown codes stay NULL."""
-    return F.try_element_at(dictionary, col(value))
-
-
 def child_schema() -> str:
     return ", ".join(f"f{i} string" for i in range(CHILD_FIELDS))
 
@@ -263,7 +257,7 @@ def record_to_publication(records: DataFrame, base_url: str, update_type: str, r
         *passthrough,
         F.lit(regulator).alias("regulator"),
         F.lit(update_type).alias("type"),
-        F.get_json_object("publicationProperties", "$.Title").alias("web_title"),
+        T.nfkc(F.get_json_object("publicationProperties", "$.Title")).alias("web_title"),
         D.from_epoch_seconds(F.col("pub_timestamp").try_cast("bigint")).alias("published_at"),
         U.resolve_url("_doc0", base).alias("web_url"),
         F.coalesce(F.col("Taxonomy"), F.lit("")).alias("category"),
@@ -272,12 +266,6 @@ def record_to_publication(records: DataFrame, base_url: str, update_type: str, r
     )
 
 
-def latest_of_type(records: DataFrame, update_type: str, n: int = 10) -> DataFrame:
-    """The first ``n`` records (storage order = newest first) of the type
-    code an update type maps to."""
-    return latest_of_types(records, [update_type], n).drop("update_type")
-
-
 def latest_of_types(records: DataFrame, update_types: Sequence[str], n: int = 10) -> DataFrame:
     """The first ``n`` records of each update type's code, all types in one
     pass: the code → type map is a literal ``CASE``; the ranking plans a
@@ -295,34 +283,12 @@ def latest_of_types(records: DataFrame, update_types: Sequence[str], n: int = 10
 
 def chunk_count(total: Column | str, chunk_size: Column | str) -> Column:
     """Chunks holding ``total`` records: ceiling (a short tail chunk counts)."""
-    return F.ceil(col(total) / col(chunk_size)).cast("bigint")
+    return int_div(col(total) + col(chunk_size) - 1, col(chunk_size))
 
 
 # ---------------------------------------------------------------------------
-# encode (the writer side of the same format; used to land tables as chunks)
+# index pruning
 # ---------------------------------------------------------------------------
-def json_value(c: Column | str) -> Column:
-    """A column as raw JSON text (strings quoted and escaped, NULL → null)."""
-    c = col(c)
-    quoted = F.regexp_replace(F.to_json(F.array(c.cast("string"))), r"^\[|\]$", "")
-    return F.when(c.isNull(), F.lit("null")).otherwise(quoted)
-
-
-def encode_chunks(df: DataFrame, sort_id: str, raw_values: Sequence[Column], chunk_size: int) -> DataFrame:
-    """Rows → ``(chunk_id, chunk)`` flat JSON arrays of ``chunk_size`` records
-    in ``sort_id`` order (``sort_id`` dense from 0).  Each group holds at most
-    ``chunk_size`` records, so no group can grow with the data."""
-    rec = F.concat_ws(",", *raw_values)
-    keyed = df.select(
-        F.floor(F.col(sort_id) / F.lit(chunk_size)).cast("bigint").alias("chunk_id"),
-        F.struct(F.col(sort_id).alias("sid"), rec.alias("rec")).alias("r"),
-    )
-    ordered = F.array_sort(F.collect_list("r"))
-    return keyed.groupBy("chunk_id").agg(
-        F.concat(F.lit("["), F.array_join(F.transform(ordered, lambda s: s["rec"]), ","), F.lit("]")).alias("chunk")
-    )
-
-
 def index_chunk_stats(df: DataFrame, key: str, sort_id: str, chunk_size: int) -> DataFrame:
     """Index of ``key``: per value, its sort ids cut into chunks of
     ``chunk_size`` → ``(value, index_chunk, first_sort_id, last_sort_id,
@@ -332,7 +298,7 @@ def index_chunk_stats(df: DataFrame, key: str, sort_id: str, chunk_size: int) ->
 
     ranked = ordinal_within(df.select(F.col(key).alias("value"), F.col(sort_id).alias("sid")), ["value"], "sid", "sid")
     return (
-        ranked.withColumn("index_chunk", F.floor((F.col("ordinal") - 1) / F.lit(chunk_size)).cast("bigint"))
+        ranked.withColumn("index_chunk", int_div(F.col("ordinal") - 1, chunk_size))
         .groupBy("value", "index_chunk")
         .agg(
             F.min("sid").alias("first_sort_id"),
@@ -342,14 +308,56 @@ def index_chunk_stats(df: DataFrame, key: str, sort_id: str, chunk_size: int) ->
     )
 
 
-def chunks_for_ranges(stats: DataFrame, chunk_size: int) -> DataFrame:
-    """Index ranges → ids of the data chunks they touch (an equi-joinable
-    expansion of the range, bounded by the number of data chunks)."""
-    return stats.select(
-        F.explode(
-            F.sequence(
-                F.floor(F.col("first_sort_id") / F.lit(chunk_size)).cast("bigint"),
-                F.floor(F.col("last_sort_id") / F.lit(chunk_size)).cast("bigint"),
-            )
-        ).alias("chunk_id")
-    ).distinct()
+#: Buckets that the chunk ids are cut into for the range join.
+_RANGE_BUCKETS = 1024
+
+
+def chunks_for_ranges(stats: DataFrame, chunks: DataFrame, chunk_size: int) -> DataFrame:
+    """Ids of the chunks in a manifest ``(chunk_id)`` that index ranges
+    (``first_sort_id``, ``last_sort_id``) touch.  An equi-join on buckets of
+    the manifest's ids: a range meets at most ``_RANGE_BUCKETS`` + 1 of them,
+    however wide it is."""
+    last = chunks.agg(F.max("chunk_id")).first()[0]
+    width = (0 if last is None else last) // _RANGE_BUCKETS + 1
+    top = F.lit(0 if last is None else last).cast("bigint")
+    ranges = stats.select(
+        int_div("first_sort_id", chunk_size).alias("lo"),
+        F.least(int_div("last_sort_id", chunk_size), top).alias("hi"),
+    ).filter("lo <= hi")
+    cut = ranges.select(
+        "lo", "hi", F.explode(F.sequence(int_div("lo", width), int_div("hi", width))).alias("bucket")
+    )
+    ids = chunks.select("chunk_id", int_div("chunk_id", width).alias("bucket")).distinct()
+    # a bucket that one range spans needs no other range
+    reach = cut.groupBy("bucket", "lo").agg(F.max("hi").alias("hi"))
+    return (
+        ids.join(reach, "bucket")
+        .filter((F.col("chunk_id") >= F.col("lo")) & (F.col("chunk_id") <= F.col("hi")))
+        .select("chunk_id")
+        .distinct()
+    )
+
+
+def leading_chunk_paths(
+    spark: SparkSession, versioned_root: str, meta: dict, codes: Sequence[int], n: int, key: str = "type"
+) -> list[str] | None:
+    """Files of the data chunks that can hold the first ``n`` records of each
+    code, by the index of ``key``; None without such an index.  An index chunk
+    names its first and last sort id, so the leading index chunks that hold
+    ``n`` records bound them: at most n + 1 ranges of sort ids per code."""
+    if key not in (meta.get("indexes") or []):
+        return None
+    size, group = int(meta["chunk_size"]), int(meta["chunk_group_size"])
+    index = read_index(spark, versioned_root, key).filter(F.col("value").isin([str(c) for c in codes]))
+    cut = index.select("total_records", F.posexplode(F.arrays_zip("first_sort_id_per_chunk", "last_sort_id_per_chunk")).alias("item", "r"))
+    leading = cut.filter(F.col("item") * size < n).select(
+        F.col("r.first_sort_id_per_chunk").alias("first_sort_id"), F.col("r.last_sort_id_per_chunk").alias("last_sort_id")
+    )
+    total = meta.get("total_records") or 0
+    chunks = spark.range(0, -(-int(total) // size)).withColumnRenamed("id", "chunk_id")
+    wanted = chunks_for_ranges(leading, chunks, size)
+    root = versioned_root.rstrip("/")
+    named = wanted.select(
+        F.format_string(f"{root}/data/%d/chunk_%d.json", chunk_group("chunk_id", group), "chunk_id").alias("path")
+    )
+    return sorted(r["path"] for r in named.collect())

@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 from gazette.functions import text as T
 from gazette.functions.text import col
 
-TITLE_RE = r"(?s)<title[^>]*>(.*?)</title>"
-H1_RE = r"(?s)<h1[^>]*>(.*?)</h1>"
-HREF_RE = r"<a\s[^>]*?href=\"([^\"]*)\""
-ANCHOR_TEXT_RE = r"<a\s[^>]*?href=\"[^\"]*\"[^>]*>([^<]*)</a>"
+TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
+H1_RE = r"(?is)<h1[^>]*>(.*?)</h1>"
+# an anchor's href with its quotes, if any; other attributes may hold ">" in quotes
+HREF_RE = r"""(?i)<a(?:\s+[^\s=>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)*?\s+href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 TAG_RE = r"<[^>]*>"
+#: What a browser does not read as markup.
+UNREAD_RE = r"(?is)<!--.*?(?:-->|$)|<(script|style)\b[^>]*>.*?</\1\s*>"
 
 
 def element_text(html: Column | str, pattern: str) -> Column:
@@ -42,12 +44,13 @@ def page_heading(html: Column | str) -> Column:
 
 
 def page_hrefs(html: Column | str) -> Column:
-    """All anchor hrefs in document order (ARRAY<STRING>)."""
-    return F.regexp_extract_all(col(html), F.lit(HREF_RE), 1)
-
-
-def page_anchor_texts(html: Column | str) -> Column:
-    return F.regexp_extract_all(col(html), F.lit(ANCHOR_TEXT_RE), 1)
+    """All anchor hrefs in document order (ARRAY<STRING>): any quotes or none,
+    any case, entities decoded; not those in comments or scripts."""
+    html = col(html)
+    read = F.when(html.rlike("<!--|(?i:<script|<style)"), F.regexp_replace(html, UNREAD_RE, " ")).otherwise(html)
+    quoted = F.regexp_extract_all(read, F.lit(HREF_RE), 1)
+    bare = F.transform(quoted, lambda h: F.regexp_replace(h, "^[\"']|[\"']$", ""))
+    return F.transform(bare, lambda h: F.when(h.contains("&"), T.unescape_basic(h)).otherwise(h))
 
 
 def read_landed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

@@ -2,10 +2,14 @@
 
 The sources are polled captures (a cron job in the original setting).  Here
 new captures land as files in a folder; a Structured Streaming query picks up
-only files it has not seen (the checkpoint remembers them), de-duplicates
-re-landed URLs inside a watermark, and hands each micro-batch to the same
-batch transform the batch jobs use.  ``trigger(availableNow=True)`` processes
-everything pending and stops, so a scheduler can run it like a batch job.
+only files it has not seen (the checkpoint remembers them) and hands each
+micro-batch to the same batch transform the batch jobs use.
+``trigger(availableNow=True)`` processes everything pending and stops, so a
+scheduler can run it like a batch job.
+
+No capture is dropped for being late: every landing is transformed, its rows
+carry the time of their capture, and ``read_latest`` shows the rows of the
+latest capture of each page, as a batch run over all landings does.
 
 Exactly-once output: each micro-batch is written to its own ``batch_id``
 partition with dynamic partition overwrite, so a retried batch replaces its
@@ -21,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gazette.plans.publications import latest_captures
 from gazette.session import checkpoint_dir
 
 LANDED_PAGE_SCHEMA = "url string, html string, fetched_at timestamp"
@@ -52,12 +57,6 @@ def feed_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: in
     return reader.load(landing_dir).withColumn("feed", F.input_file_name())
 
 
-def dedupe_recaptures(stream: DataFrame, key: str = "url", event_time: str = "fetched_at", window: str = "1 day") -> DataFrame:
-    """Drop a capture of a URL already seen within ``window`` of event time
-    (state is evicted once the watermark passes)."""
-    return stream.withWatermark(event_time, window).dropDuplicatesWithinWatermark([key])
-
-
 def _write_batch(df: DataFrame, epoch_id: int, out_path: str, namespace: str) -> None:
     status = F.when(F.size("reasons") == 0, F.lit("valid")).otherwise(F.lit("rejected"))
     (
@@ -66,7 +65,7 @@ def _write_batch(df: DataFrame, epoch_id: int, out_path: str, namespace: str) ->
         .withColumn("batch_id", F.lit(epoch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", "status", "namespace")
+        .partitionBy("batch_id", "namespace")
         .parquet(out_path)
     )
 
@@ -79,24 +78,25 @@ def run_incremental(
     namespace: str,
     name: str,
     checkpoint: str | None = None,
-    dedupe_window: str | None = "1 day",
     await_end: bool = True,
     stream: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Process every pending landed file once: stream → (dedupe) →
-    ``transform`` per micro-batch → partitioned write.  ``stream`` replaces
-    the default page stream (e.g. ``feed_stream``); re-landed URLs are only
-    de-duplicated for page streams (they carry ``url`` and ``fetched_at``)."""
+    """Process every pending landed file once: stream → ``transform`` per
+    micro-batch (the latest capture of each URL in it) → partitioned write.
+    ``stream`` replaces the default page stream (e.g. ``feed_stream``)."""
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/gazette-incremental/{name}"
     if stream is None:
         stream = landing_stream(spark, landing_dir)
-        if dedupe_window:
-            stream = dedupe_recaptures(stream, window=dedupe_window)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         if "fetched_at" in batch.columns:
-            batch = batch.drop("fetched_at")
-        _write_batch(transform(batch), epoch_id, out_path, namespace)
+            pages = latest_captures(batch)
+            at = pages.select(F.col("url").alias("_url"), F.col("fetched_at").alias("captured_at"))
+            rows = transform(pages.drop("fetched_at"))
+            rows = rows.join(at, rows["listing_url"] == at["_url"], "left").drop("_url")
+        else:
+            rows = transform(batch).withColumn("captured_at", F.lit(None).cast("timestamp"))
+        _write_batch(rows, epoch_id, out_path, namespace)
 
     query = (
         stream.writeStream.queryName(name)
@@ -108,3 +108,16 @@ def run_incremental(
     if await_end:
         query.awaitTermination()
     return query
+
+
+def read_latest(spark: SparkSession, out_path: str) -> DataFrame:
+    """All rows of the latest capture of each listing page (by capture time,
+    then by micro-batch)."""
+    rows = spark.read.parquet(out_path)
+    when = F.struct(F.col("captured_at").isNotNull(), "captured_at", "batch_id")
+    last = rows.groupBy("namespace", "listing_url").agg(F.max(when).alias("_last"))
+    return (
+        rows.join(last, ["namespace", "listing_url"])
+        .filter(F.col("batch_id") == F.col("_last.batch_id"))
+        .drop("_last")
+    )

@@ -22,7 +22,7 @@ def card_page(cards_html: str) -> str:
 
 
 CARD_LISTING = card_page(
-    card("/en/press/2025-01-22-rates.html", "Rates decision", "22.01.2025: Decision on rates")
+    card("/en/press/2025-01-29-rates.html", "Rates decision", "29.01.2025: Decision on rates")
     + card("/en/press/statement.html", "  Statement  ", "3.2.2025: A statement")
     + card("/en/press/no-date.html", "No date anywhere", None)
     + card("/en/press/2025-13-45-bad.html", "Bad URL date", "01.01.2025: text wins? no")
@@ -100,15 +100,15 @@ RELATED_DETAIL = (
 RSS_FEED = """<?xml version="1.0" encoding="utf-8"?>
 <rss version="2.0"><channel><title>Feed</title>
 <item><title>  Valid entry  </title><link>https://www.example.com/a</link>
-  <pubDate>Wed, 22 Jan 2025 12:00:00 GMT</pubDate>
+  <pubDate>Wed, 29 Jan 2025 12:00:00 GMT</pubDate>
   <enclosure url="https://www.example.com/a.pdf" type="application/pdf"/>
   <enclosure url="ftp://files.example.com/a.pdf"/></item>
-<item><title>Missing link</title><pubDate>Wed, 22 Jan 2025 12:00:00 GMT</pubDate></item>
+<item><title>Missing link</title><pubDate>Wed, 29 Jan 2025 12:00:00 GMT</pubDate></item>
 <item><title>Bad date</title><link>https://www.example.com/b</link><pubDate>22/01/2025</pubDate></item>
-<item><title>Zone offset</title><link>https://www.example.com/c</link><pubDate>Wed, 22 Jan 2025 12:00:00 +0100</pubDate></item>
-<item><title>Not http</title><link>www.example.com/d</link><pubDate>Wed, 22 Jan 2025 12:00:00 GMT</pubDate></item>
+<item><title>Zone offset</title><link>https://www.example.com/c</link><pubDate>Wed, 29 Jan 2025 12:00:00 +0100</pubDate></item>
+<item><title>Not http</title><link>www.example.com/d</link><pubDate>Wed, 29 Jan 2025 12:00:00 GMT</pubDate></item>
 <item><title>Many enclosures</title><link>https://www.example.com/e</link>
-  <pubDate>Wed, 22 Jan 2025 12:00:00 GMT</pubDate>
+  <pubDate>Wed, 29 Jan 2025 12:00:00 GMT</pubDate>
   ENCLOSURES51</item>
 </channel></rss>
 """.replace(

@@ -10,6 +10,8 @@ from fixtures import (
     SEARCH_PAGE,
 )
 
+from pyspark.sql import functions as F
+
 from gazette.sources.extract import extract, extract_page, parse_html, select, desc, child
 from gazette.sources.specs import (
     ANCHORS,
@@ -34,9 +36,9 @@ def test_card_list_spec():
     status, items = extract_page(CARD_LIST, CARD_LISTING)
     assert status == "ok" and len(items) == 7
     first = items[0]
-    assert first["link"] == "/en/press/2025-01-22-rates.html"
+    assert first["link"] == "/en/press/2025-01-29-rates.html"
     assert first["title"] == "Rates decision"  # text before the first child
-    assert first["description"] == "22.01.2025: Decision on rates"
+    assert first["description"] == "29.01.2025: Decision on rates"
     assert items[2]["description"] is None
     assert items[6]["link"] is None
 
@@ -113,3 +115,26 @@ def test_anchor_spec_counts_driver_pages(spark):
 
     n_regex = sum(len(re.findall(r"<a\s[^>]*?href=", r.html)) for r in pages.collect())
     assert n_spark == n_regex
+
+
+def test_hrefs_equal_the_extractor(spark):
+    """The column expression and the parser read the same links."""
+    from gazette.sources.extract import extract
+    from gazette.sources.pages import page_hrefs
+    from gazette.sources.specs import ANCHORS
+
+    pages = [
+        '<a href="/n">x</a><a href=\'/s\'>x</a><a href=/u>x</a><A HREF="/upper">x</A>',
+        '<a href="/q?a=1&amp;b=2">x</a><!-- <a href="/c">no</a> --><a\n  class=k  href = "/nl">x</a>',
+        '<a data-x="a > b" href="/attr">x</a><abbr href="/no">x</abbr><a name=top>x</a>',
+        '<script>var s = "<a href=\'/js\'>";</script><a href="">x</a><a title=\'href="/t"\' href="/real">x</a>',
+        "no links", "", None,
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id int, html string")
+    got = {r.page_id: r.h for r in df.select("page_id", page_hrefs("html").alias("h")).collect()}
+    want = {i: [] for i in range(len(pages))}
+    items = extract(df.withColumn("url", F.lit("https://e.com/")), ANCHORS, keys=("page_id",))
+    for r in sorted(items.filter("page_status = 'ok'").collect(), key=lambda r: r.item_pos):
+        if r.href is not None:  # an anchor without one is no link
+            want[r.page_id].append(r.href)
+    assert {i: h or [] for i, h in got.items()} == want

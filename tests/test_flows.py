@@ -35,7 +35,7 @@ def test_card_flow_with_detail_pages(spark):
     details = _pages(
         spark,
         [
-            (f"{BASE}/en/press/2025-01-22-rates.html", DETAIL_RATES),
+            (f"{BASE}/en/press/2025-01-29-rates.html", DETAIL_RATES),
             (f"{BASE}/en/press/statement.html", DETAIL_STATEMENT),
             (f"{BASE}/en/press/no-date.html", DETAIL_NO_LIST),
             (f"{BASE}/files/report.pdf", DETAIL_RATES),  # never looked up: PDF gate
@@ -43,7 +43,7 @@ def test_card_flow_with_detail_pages(spark):
     )
     cands = PUB.card_publications(listing, details, BASE, AS_OF)
     rows = {r.item_pos: r for r in cands.collect()}
-    assert rows[1].reasons == [] and rows[1].published_at == dt.datetime(2025, 1, 22)
+    assert rows[1].reasons == [] and rows[1].published_at == dt.datetime(2025, 1, 29)
     assert rows[1].related_urls == [f"{BASE}/files/a.pdf", "https://other.example.org/b.pdf", f"{BASE}/c/d.html"]
     assert rows[2].web_title == "Statement" and rows[2].published_at == dt.datetime(2025, 2, 3)
     assert len(rows[2].related_urls) == 50  # web lists are capped, not rejected
@@ -69,7 +69,7 @@ def test_rss_flow_from_files(spark, scratch):
     cands = {r.web_title: r for r in PUB.feed_publications(entries, AS_OF).collect()}
     assert len(cands) == 6  # the empty feed has no items
     ok = cands["Valid entry"]
-    assert ok.reasons == [] and ok.published_at == dt.datetime(2025, 1, 22, 12, 0)
+    assert ok.reasons == [] and ok.published_at == dt.datetime(2025, 1, 29, 12, 0)
     assert ok.related_urls == ["https://www.example.com/a.pdf"]  # ftp enclosure skipped
     assert cands["Missing link"].reasons == ["missing:link"]
     assert cands["Bad date"].reasons == ["invalid_date"]
@@ -79,7 +79,7 @@ def test_rss_flow_from_files(spark, scratch):
 
 
 def test_rss_empty_feed_is_reported(spark, scratch):
-    from gazette.operators.runs import source_health_expected
+    from gazette.operators.runs import source_health
 
     feeds = os.path.join(scratch, "feeds")
     os.makedirs(feeds)
@@ -92,7 +92,7 @@ def test_rss_empty_feed_is_reported(spark, scratch):
         [("file://" + os.path.join(feeds, n),) for n in ("empty.xml", "main.xml")], "listing_url string"
     )
     got = {r.listing_url.rsplit("/", 1)[-1]: (r.n_rows, r.n_valid, r.status)
-           for r in source_health_expected(cands, expected, "listing_url", F.size("reasons") == 0).collect()}
+           for r in source_health(cands, expected, "listing_url", F.size("reasons") == 0).collect()}
     assert got == {"empty.xml": (0, 0, "empty"), "main.xml": (6, 1, "ok")}
 
 
@@ -168,7 +168,7 @@ def test_chunk_database_flow(spark, scratch):
     from gazette.sources import chunkdb as C
 
     records = [
-        _rec(18, 1737547200, "Letter one", "/press/l1.en.html", None, [CHILD_OK, CHILD_SHORT, ""]),
+        _rec(18, 1738152000, "Letter one", "/press/l1.en.html", None, [CHILD_OK, CHILD_SHORT, ""]),
         _rec(1, 1737547100, "Press one", "/press/p1.en.html", "Monetary", [CHILD_BAD_JSON]),
         _rec(1, 1737547000, "Press two", "/press/p2.en.html", None, []),
         _rec(18, 1737546900, "Letter two", "/press/l2.en.html", "Supervision", []),
@@ -189,7 +189,7 @@ def test_chunk_database_flow(spark, scratch):
     assert [r.web_title for r in regs] == ["Letter one", "Letter two"] or sorted(r.web_title for r in regs) == [
         "Letter one", "Letter two"]
     first = [r for r in regs if r.web_title == "Letter one"][0]
-    assert first.published_at == dt.datetime(2025, 1, 22, 12, 0)
+    assert first.published_at == dt.datetime(2025, 1, 29, 12, 0)
     assert first.web_url == f"{BASE}/press/l1.en.html" and first.category == ""
     assert first.related_urls == [f"{BASE}/pdf/one.pdf", f"{BASE}/pdf/two.pdf"]
     news = PUB.db_publications(spark, root, "news", BASE, n=2).collect()
@@ -263,7 +263,7 @@ def test_landed_files_scan_repairs_utf8(spark, scratch):
 
 def test_db_both_types_share_one_decode(spark, scratch):
     records = [
-        _rec(18, 1737547200, "Letter one", "/press/l1.en.html", None, []),
+        _rec(18, 1738152000, "Letter one", "/press/l1.en.html", None, []),
         _rec(1, 1737547100, "Press one", "/press/p1.en.html", None, []),
         _rec(18, 1737546900, "Letter two", "/press/l2.en.html", None, []),
     ]
@@ -290,9 +290,9 @@ def test_single_feed_entry(spark):
     from gazette.sources.feed import parse_item
 
     item = (
-        "<item><title>Test Article</title><link>https://example.com/article</link>"
-        "<pubDate>Wed, 22 Jan 2025 12:00:00 GMT</pubDate><description>Description</description></item>"
+        "<item><title>Ferry timetable</title><link>https://port.example.org/ferries</link>"
+        "<pubDate>Wed, 29 Jan 2025 12:00:00 GMT</pubDate><description>From May on</description></item>"
     )
     entries = spark.createDataFrame([(item,)], "x string").select(parse_item("x").alias("e")).select("e.*")
     rows = PUB.feed_publications(entries, AS_OF).collect()
-    assert len(rows) == 1 and rows[0].web_title == "Test Article" and rows[0].reasons == []
+    assert len(rows) == 1 and rows[0].web_title == "Ferry timetable" and rows[0].reasons == []

@@ -31,12 +31,6 @@ def test_zip_pairs_stops_at_shorter_side(spark):
     assert got == [(1, 1), (1, 2), (2, 1)]
 
 
-def test_zip_arrays(spark):
-    df = spark.createDataFrame([(["a", "b", "c"], ["x", "y"])], "a array<string>, b array<string>")
-    z = df.select(S.zip_arrays("a", "b").alias("z")).first().z
-    assert [(p.l, p.r) for p in z] == [("a", "x"), ("b", "y")]
-
-
 def test_top_n_plans_a_partial_group_limit(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id"))
     top = S.top_n_per_group(df, ["k"], [F.col("id").desc()], 5)
@@ -88,15 +82,6 @@ def test_regulator_dimension_case_insensitive(spark):
     assert out == {"ecb": "European Central Bank", "MAS": "Monetary Authority of Singapore", "fed": None}
 
 
-def test_guarded_broadcast_respects_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    a = spark.range(5).join(E.guarded_broadcast(small, 100), "id")
-    b = spark.range(5).join(E.guarded_broadcast(big, 100), "id")
-    assert "broadcast" in a._jdf.queryExecution().analyzed().toString().lower() or "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
-    assert "ResolvedHint" not in b._jdf.queryExecution().analyzed().toString()
-
-
 def test_text_helpers(spark):
     from gazette.functions import text as T
 
@@ -122,3 +107,10 @@ def test_strip_fuzz_against_python(spark):
     strs = ["".join(rnd.choice(ws + alpha) for _ in range(rnd.randint(0, 8))) for _ in range(3000)]
     got = [r.s for r in spark.createDataFrame([(x,) for x in strs], "x string").select(T.strip_ws("x").alias("s")).collect()]
     assert [a for a, b in zip(strs, got) if a.strip() != b] == []
+
+
+def test_unknown_regulators_are_rejected(spark):
+    rows = [("ecb", []), ("MAS", ["x"]), ("BOE", []), (None, [])]
+    df = spark.createDataFrame(rows, "regulator string, reasons array<string>")
+    got = {r.regulator: r.reasons for r in E.reject_unknown_regulators(df, spark).collect()}
+    assert got == {"ecb": [], "MAS": ["x"], "BOE": ["unknown_regulator"], None: []}

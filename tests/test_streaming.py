@@ -6,7 +6,7 @@ import os
 from fixtures import BASE, CARD_LISTING, DL_PAGE
 
 from gazette.plans import publications as PUB
-from gazette.streaming.incremental import run_incremental
+from gazette.streaming.incremental import read_latest, run_incremental
 
 AS_OF = dt.datetime(2025, 2, 10)
 
@@ -51,7 +51,7 @@ def test_available_now_processes_each_file_once(spark, scratch):
     assert len(ids) == 2 and 0 in ids  # epochs may skip no-data batches
 
 
-def test_recaptured_url_is_dropped_within_watermark(spark, scratch):
+def test_recaptured_url_counts_once_in_a_batch(spark, scratch):
     landing = os.path.join(scratch, "landing")
     out = os.path.join(scratch, "out")
     ckpt = os.path.join(scratch, "ckpt")
@@ -66,6 +66,33 @@ def test_recaptured_url_is_dropped_within_watermark(spark, scratch):
     assert spark.read.parquet(out).count() == 3  # one page, three items
 
 
+def test_late_and_repeated_captures_match_a_batch_run(spark, scratch):
+    """Landings weeks older than the newest are published; a page captured
+    again shows its latest capture, whatever the order of landing."""
+    landing, out, ckpt = (os.path.join(scratch, x) for x in ("landing", "out", "ckpt"))
+    t = dt.datetime(2025, 1, 20)
+
+    def transform(pages):
+        return PUB.dl_publications(pages, BASE, "regulation", "ECB", as_of=AS_OF)
+
+    newer = DL_PAGE.replace("Account one", "Account one, corrected")
+    landings = [
+        [("https://a.example.org/x", newer, t)],
+        [("https://b.example.org/y", DL_PAGE, t - dt.timedelta(days=10))],
+        [("https://a.example.org/x", DL_PAGE, t - dt.timedelta(days=20)), ("https://c.example.org/z", DL_PAGE, t - dt.timedelta(days=9))],
+    ]
+    for i, rows in enumerate(landings):
+        _land(spark, landing, f"p{i}", rows)
+        run_incremental(spark, landing, transform, out, "ecb-regulations", "dl", checkpoint=ckpt)
+    columns = ["listing_url", "item_pos", "web_title", "web_url"]
+    everything = spark.createDataFrame([r for rows in landings for r in rows], "url string, html string, fetched_at timestamp")
+    batch = transform(PUB.latest_captures(everything).drop("fetched_at"))
+    want = sorted(map(tuple, batch.select(*columns).collect()), key=str)
+    got = sorted(map(tuple, read_latest(spark, out).select(*columns).collect()), key=str)
+    assert got == want and len({r[0] for r in got}) == 3
+    assert any("corrected" in (r[2] or "") for r in got)
+
+
 def test_feed_files_stream_once_each(spark, scratch):
     from fixtures import RSS_FEED
 
