@@ -48,12 +48,10 @@ DISPLAY_DAY_PATTERN = "yyyy-MM-dd"
 URL_DATE_REGEX = r"/([0-9]{4}-[0-9]{2}-[0-9]{2})-"
 
 # ---------------------------------------------------------------------------
-# FIXED VALUES — update types, database type codes and namespaces
+# FIXED VALUES — database type codes
 # ---------------------------------------------------------------------------
-UPDATE_TYPES = ("regulation", "news")
 DB_TYPE_CODE_REGULATION = 18  # letters to parliament members
 DB_TYPE_CODE_NEWS = 1  # press releases
-NAMESPACES = ("ecb-regulations", "ecb-news", "mas-regulations", "mas-news")
 ENGLISH_MARKER = ".en."
 
 # ---------------------------------------------------------------------------

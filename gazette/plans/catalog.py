@@ -8,7 +8,7 @@ summarised) so an order-insensitive comparison is exact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazette.functions import text as T
@@ -97,12 +97,12 @@ def q_first_link(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def q_collect_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A2: the ordered list of a page's valid resolved links, joined as one
-    string — row-local (the page's anchors are already in document order,
-    so no explode/regroup shuffle is needed)."""
-    df = _resolved(_page_fields(spark, sf_dir)).select(
-        "page_id", F.filter("related", lambda u: U.is_valid_url(u)).alias("links")
-    ).filter(F.size("links") > 0)
+    """A2: links as rows, collected again per page in document order."""
+    from gazette.plans.publications import ordered_list
+
+    rows = _hrefs_exploded(spark, sf_dir).withColumn("clean", T.strip_ws("href"))
+    rows = rows.select("page_id", "pos", U.resolve_url("clean", F.col("root")).alias("link"))
+    df = ordered_list(rows.filter(U.is_valid_url("link")), "page_id", "pos", "link", "links")
     return df.select(
         "page_id",
         F.array_join("links", "|").alias("links"),
@@ -117,6 +117,23 @@ def q_resolve_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("page_id", "pos", "href", U.resolve_url("clean", F.col("root")).alias("resolved_url"))
 
 
+# FIXED VALUES: one href for each branch of reference resolution.
+HREF_BRANCHES = (
+    "https://other.example.org/x/../y", "//cdn.example.org/p?q#f", "/a/../b", "./c", "../up/d", "e/./f/../g", "?q=1",
+    "#frag", "", "mailto:x@example.org", "/h//i", "/..", "j;p=1/../k", "HTTP://Upper.example.org/p", "/l.pdf?v=1#p2",
+)
+
+
+@register
+def q_resolve_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every branch of URL resolution, against the roots of the pages."""
+    pages = _pages(spark, sf_dir).select("page_id", U.site_root("url").alias("root"))
+    branch = F.element_at(F.array(*map(F.lit, HREF_BRANCHES)), (F.col("page_id") % len(HREF_BRANCHES) + 1).cast("int"))
+    return pages.withColumn("href", branch).select(
+        "page_id", "href", U.resolve_url("href", F.col("root")).alias("resolved_url")
+    )
+
+
 @register
 def q_url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scheme, host, path, query, fragment of every page URL."""
@@ -156,14 +173,24 @@ def q_http_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _suffix_case() -> Column:
+    """A path for each page, in turn: plain, upper case, in the query only, with parameters."""
+    cases = ["/a.html", "/a.HTML?x=1", "/a?f=b.html", "/a.html;v=1#top"]
+    return F.element_at(F.array(*map(F.lit, cases)), (F.col("page_id") % len(cases) + 1).cast("int"))
+
+
 @register
 def q_path_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C3 vs C4: path-suffix test (case-insensitive, query ignored) against a
-    plain substring test, extension ``.html``."""
-    return _pages(spark, sf_dir).select(
+    """C3 vs C4: path-suffix test (any case; query, fragment and parameters
+    ignored) against a plain substring test, extension ``.html``, on the page
+    URLs and on links where the two disagree."""
+    pages = _pages(spark, sf_dir).withColumn("link", F.concat(U.site_root("url"), _suffix_case()))
+    return pages.select(
         "page_id",
         U.path_ends_with("url", ".html").alias("path_ends_html"),
         F.col("url").contains(".html").alias("contains_html"),
+        U.path_ends_with("link", ".html").alias("link_ends_html"),
+        F.col("link").contains(".html").alias("link_contains_html"),
     )
 
 
@@ -179,29 +206,7 @@ def q_english_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-RELATED_CAP = 5  # the tables carry 4-6 links per page; 50 would never bind
-
-
-@register
-def q_related_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Related links kept in order, no dedupe, capped."""
-    df = _resolved(_page_fields(spark, sf_dir))
-    return df.select("page_id", F.posexplode(F.slice("related", 1, RELATED_CAP)).alias("pos0", "related_url")).select(
-        "page_id", (F.col("pos0") + 1).cast("bigint").alias("pos"), "related_url"
-    )
-
-
-@register
-def q_related_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First list (capitalised links, like the PDF links), then the
-    second (the rest); order and duplicates kept."""
-    df = _page_fields(spark, sf_dir)
-    first = F.filter("hrefs", lambda h: h.rlike("^/[A-Z]"))
-    second = F.filter("hrefs", lambda h: ~h.rlike("^/[A-Z]"))
-    both = U.resolve_all(F.concat(first, second), F.col("root"))
-    return df.select("page_id", F.posexplode(both).alias("pos0", "url")).select(
-        "page_id", (F.col("pos0") + 1).cast("bigint").alias("pos"), "url"
-    )
+RELATED_CAP = 5  # the pages carry 4-6 links; 50 would never bind here
 
 
 @register
@@ -219,16 +224,15 @@ def q_related_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def q_manifest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A link manifest (one row per host, with its lazy-render flag)
-    joined to the landed pages by host."""
-    pages = _pages(spark, sf_dir).select(U.host("url").alias("host"))
-    manifest = pages.distinct().withColumn(
-        "lazy", F.col("host").startswith("m.") | F.col("host").startswith("blog.")
-    )
-    # count per host first (map-side combine), then join one row per host:
-    # a host holding most pages never reaches the join whole
-    counts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
-    return counts.join(manifest, "host").select("host", "lazy", "n_pages")
+    """A control table of links with their lazy-render flag (also links
+    that no page answers) joined to the landed pages; pages without a link
+    are not read further."""
+    from gazette.plans.publications import manifest_join
+
+    pages = _pages(spark, sf_dir).select("page_id", "url")
+    listed = pages.filter(F.col("page_id") % 3 == 0).select("url", (F.col("page_id") % 2 == 0).alias("lazy"))
+    gone = pages.filter(F.col("page_id") % 5 == 0).select(F.concat("url", F.lit("/gone")).alias("url"), F.lit(True).alias("lazy"))
+    return manifest_join(pages, listed.unionByName(gone).distinct()).select("page_id", "url", "lazy")
 
 
 # --------------------------------------------------------------------------
@@ -327,14 +331,18 @@ def q_source_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def q_lookup_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing rows left-joined to their detail rows, only where
-    the gates hold (type gate: English; file gate: not a PDF)."""
+    the gates hold (type gate: English; file gate: a third of the links are
+    PDFs, written in several ways)."""
     from gazette.operators.enrich import gated_lookup
 
-    listing = read_table(spark, sf_dir, "documents", "doc_id", "lang", "source")
+    links = F.array(*map(F.lit, ["/a.pdf", "/a.html", "/b.PDF?v=1", "/b?f=x.pdf", "/c", "/d.pdf.html"]))
+    listing = read_table(spark, sf_dir, "documents", "doc_id", "lang").withColumn(
+        "link", F.concat(F.lit("https://www.example.com"), F.element_at(links, (F.col("doc_id") % 6 + 1).cast("int")))
+    )
     details = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic").withColumnRenamed(
         "doc_id", "detail_id"
     )
-    gate = (listing["lang"] == F.lit("en")) & ~U.path_ends_with(listing["source"], ".pdf")
+    gate = (listing["lang"] == F.lit("en")) & ~U.path_ends_with(listing["link"], ".pdf")
     joined = gated_lookup(listing, details, [("doc_id", "detail_id")], gate)
     return joined.select(
         "doc_id", "lang", "quality", "toxic", F.col("detail_id").isNotNull().alias("enriched")
@@ -393,10 +401,10 @@ def q_union_namespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 @register
 def q_short_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listings with fewer than 10 rows."""
+    """Listings (a customer's orders) with fewer than 10 rows."""
     from gazette.operators.runs import short_groups
 
-    return short_groups(read_table(spark, sf_dir, "conversations", "conv_id"), "conv_id")
+    return short_groups(read_table(spark, sf_dir, "orders", "o_custkey"), "o_custkey")
 
 
 @register
@@ -506,6 +514,31 @@ def q_fetch_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def q_fetch_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1, the rule of listings: OK status and a non-empty body within three
+    attempts (here a ``view`` event has no body)."""
+    from gazette import constants as K
+    from gazette.operators.runs import listing_success, resolve_fetches
+    from gazette.operators.select import top_n_per_group
+
+    ev = _events(spark, sf_dir, "user_id", "ts", "event_id", "event_type")
+    attempts = top_n_per_group(ev, ["user_id"], [F.col("ts"), F.col("event_id")], 6, "attempt").select(
+        F.col("user_id").alias("url"),
+        "attempt",
+        F.when(F.col("event_type") == "error", 500).otherwise(200).alias("status"),
+        F.when(F.col("event_type") == "view", "").otherwise(F.col("event_id").cast("string")).alias("body"),
+    )
+    res = resolve_fetches(attempts, success=listing_success(), max_attempts=K.LISTING_MAX_ATTEMPTS)
+    return res.select(
+        F.col("url").alias("user_id"),
+        F.col("attempt_used").cast("bigint").alias("attempt_used"),
+        F.col("body").cast("bigint").alias("first_ok_event"),
+        F.col("attempts_seen").cast("bigint").alias("attempts_seen"),
+        "status",
+    )
+
+
 AS_OF = "2024-01-15 00:00:00"
 
 
@@ -544,12 +577,15 @@ def q_display(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 @register
 def q_first_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Position semantics — the first entry per key (lowest key order),
-    not the maximum; ``min_by`` combines map-side."""
-    o = read_table(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_orderstatus")
-    return o.groupBy("o_custkey").agg(
-        F.min("o_orderkey").alias("first_orderkey"),
-        F.min_by("o_orderstatus", "o_orderkey").alias("first_status"),
+    """The first entry of a version document, by position and not the
+    largest; an empty document has none."""
+    from gazette.sources.chunkdb import first_listed
+
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus")
+    entry = lambda n: F.struct((F.col("o_orderkey") + n).cast("string").alias("version"), F.col("o_orderstatus").alias("hash"))
+    doc = F.when(F.col("o_orderkey") % 10 == 0, "[]").otherwise(F.to_json(F.array(entry(0), entry(5), entry(-3))))
+    return o.select("o_orderkey", first_listed(doc).alias("v")).select(
+        "o_orderkey", F.col("v.version").alias("version"), F.col("v.hash").alias("hash")
     )
 
 
@@ -612,6 +648,22 @@ def q_dimension_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("s_suppkey", "n_name", "r_name", F.col("n_name").isNotNull().alias("matched"))
 
 
+@register
+def q_regulator_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C17: regulator codes in any case against the dimension; unknown codes
+    become rejects, rows without a code are left alone."""
+    from gazette.operators.enrich import reject_unknown_regulators
+
+    codes = F.array(*[F.lit(c) for c in ("ECB", "ecb", "MAS", "Mas", "BOE", "", None)])
+    rows = read_table(spark, sf_dir, "documents", "doc_id").select(
+        "doc_id",
+        F.element_at(codes, (F.col("doc_id") % 7 + 1).cast("int")).alias("regulator"),
+        F.when(F.col("doc_id") % 2 == 0, F.array(F.lit("title_length"))).otherwise(F.array().cast("array<string>")).alias("reasons"),
+    )
+    judged = reject_unknown_regulators(rows, spark)
+    return judged.select("doc_id", "regulator", F.array_join("reasons", ",").alias("reasons"))
+
+
 @register
 def q_dictionary_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dictionary-encoded column decoded by a broadcast equi-join to

@@ -76,6 +76,32 @@ def q_index_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _type_index(spark, sf_dir).withColumnRenamed("value", "event_type")
 
 
+@register
+def q_index_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index document of ``event_type``, written as JSON and read
+    through the index schema: position, totals, first and last sort ids."""
+    stats = _type_index(spark, sf_dir)
+    per_value = stats.groupBy("value").agg(
+        F.sum("n_records").alias("total_records"),
+        F.array_sort(F.collect_list(F.struct("index_chunk", "first_sort_id", "last_sort_id"))).alias("cut"),
+    )
+    entry = F.struct(
+        "value",
+        "total_records",
+        F.transform("cut", lambda c: c["first_sort_id"]).alias("first_sort_id_per_chunk"),
+        F.transform("cut", lambda c: c["last_sort_id"]).alias("last_sort_id_per_chunk"),
+    )
+    doc = per_value.agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("doc"))
+    return C.index_rows(doc, "event_type").select(
+        F.col("value").alias("event_type"),
+        "index_value_id",
+        "total_records",
+        "number_of_chunks",
+        F.get("first_sort_id_per_chunk", 0).alias("first_sort_id"),
+        F.element_at("last_sort_id_per_chunk", -1).alias("last_sort_id"),
+    )
+
+
 PRUNE_BLOCK = 250  # records of one value of the clustered key
 PRUNE_VALUE = 3
 

@@ -122,28 +122,25 @@ def _pages_of_ten(
     render,
     spark: SparkSession,
     wrap: tuple[str, str],
+    items: int = DL_PAGE_ITEMS,
 ) -> DataFrame:
-    """Rows → listing pages of ten items per ``key`` (document order =
+    """Rows → listing pages of ten (``items``) items per ``key`` (document order =
     ``order``) as ``(key, page_no, url, html)``.
 
     Only the raw ``fields`` cross the shuffle; ``render`` turns each item's
     struct into markup after the group-by.  In-key positions come from the
     skew-safe ordinal (a key holding a third of all rows is still numbered
-    across many tasks); each page group holds at most ten items; an explicit
-    partition count keeps AQE from squeezing the CPU-bound Python stage that
-    reads the pages onto a few cores (the aggregation reuses this
-    partitioning, so it adds no exchange)."""
+    across many tasks); each page group holds at most ``items`` items."""
     from gazette.operators.select import ordinal_within
 
     ranked = ordinal_within(df, [key], order, order, out="rn")
     keyed = ranked.select(
         key,
-        F.floor((F.col("rn") - 1) / F.lit(DL_PAGE_ITEMS)).cast("bigint").alias("page_no"),
+        T.int_div(F.col("rn") - 1, items).alias("page_no"),
         F.struct(F.col("rn"), *[c.alias(name) for name, c in fields.items()]).alias("s"),
     )
     body = F.array_join(F.transform(F.array_sort(F.collect_list("s")), render), "")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pages = keyed.repartition(n, key, "page_no").groupBy(key, "page_no").agg(
+    pages = keyed.groupBy(key, "page_no").agg(
         F.concat(F.lit(wrap[0]), body, F.lit(wrap[1])).alias("html")
     )
     return pages.select(
@@ -243,3 +240,115 @@ def q_search_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "category",
         F.array_join("reasons", ",").alias("reasons"),
     )
+
+
+_LINK_WRAP = (
+    "<html><body><div id='main-content'><div><div><main><nav><ul>",
+    "</ul></nav></main></div></div></div></body></html>",
+)
+
+
+@register
+def q_related_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attachment lists of detail pages (sixty line items of a supplier
+    each) through the link-list flow: first link of each item, relative links
+    resolved, items without a link skipped, order kept, cut at fifty."""
+    from gazette.plans.publications import detail_links
+
+    li = read_table(spark, sf_dir, "lineitem", "l_suppkey", "l_orderkey", "l_linenumber")
+    li = li.withColumn("item", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    k = F.col("item")
+    fields = {
+        "a": F.when(k % 7 == 0, F.lit("none")).otherwise(
+            F.concat(
+                F.lit('<a href="'),
+                F.when(k % 3 == 0, F.lit("https://files.example.net/")).otherwise(F.lit("/files/")),
+                k.cast("string"),
+                F.lit('.pdf">file</a> <a href="/second">other</a>'),
+            )
+        )
+    }
+
+    def render(s):
+        return F.concat(F.lit("<li>"), s["a"], F.lit("</li>"))
+
+    pages = _pages_of_ten(li, "l_suppkey", "item", fields, render, spark, _LINK_WRAP, items=60).select("url", "html")
+    lists = detail_links(pages, SITE).select("detail_url", F.posexplode("related_urls").alias("pos0", "related_url"))
+    return lists.select(
+        F.regexp_extract("detail_url", r"/listing/([0-9]+)/", 1).cast("bigint").alias("l_suppkey"),
+        F.regexp_extract("detail_url", r"/([0-9]+)$", 1).cast("bigint").alias("page_no"),
+        (F.col("pos0") + 1).cast("bigint").alias("pos"),
+        "related_url",
+    )
+
+
+@register
+def q_related_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail pages of search results (ten orders of a customer each)
+    through the related-cards flow: PDF links first, then links of related
+    cards, order kept; other links are not taken."""
+    from gazette.plans.publications import related_cards
+
+    o = read_table(spark, sf_dir, "orders", "o_custkey", "o_orderkey")
+    fields = {"k": F.col("o_orderkey").cast("string"), "kind": F.col("o_orderkey") % 3}
+
+    def render(s):
+        card = F.concat(
+            F.lit('<div class="box related-to-this-regulation-listing--result"><h1 class="mas-search-card__title"><a href="/r/'),
+            s["k"], F.lit('">r</a></h1></div>'),
+        )
+        pdf = F.concat(F.lit('<p><a href="/f/'), s["k"], F.lit('.pdf?v=1">f</a></p>'))
+        plain = F.concat(F.lit('<h1 class="mas-search-card__title"><a href="/n/'), s["k"], F.lit('">n</a></h1>'))
+        return F.when(s["kind"] == 0, pdf).when(s["kind"] == 1, card).otherwise(plain)
+
+    pages = _pages_of_ten(o, "o_custkey", "o_orderkey", fields, render, spark, ("<html><body>", "</body></html>"))
+    cards = related_cards(pages.select("url", "html"), SITE).select(
+        "detail_url", F.posexplode("related_urls").alias("pos0", "url")
+    )
+    return cards.select(
+        F.regexp_extract("detail_url", r"/listing/([0-9]+)/", 1).cast("bigint").alias("o_custkey"),
+        F.regexp_extract("detail_url", r"/([0-9]+)$", 1).cast("bigint").alias("page_no"),
+        (F.col("pos0") + 1).cast("bigint").alias("pos"),
+        "url",
+    )
+
+
+def _dl_rows(cands: DataFrame) -> DataFrame:
+    return cands.select(
+        F.regexp_extract("listing_url", r"/listing/([0-9]+)/", 1).cast("bigint").alias("o_custkey"),
+        F.regexp_extract("listing_url", r"/([0-9]+)$", 1).cast("bigint").alias("page_no"),
+        "item_pos",
+        "web_title",
+        "published_at",
+        "web_url",
+        F.array_join("reasons", ",").alias("reasons"),
+    )
+
+
+@register
+def q_dl_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first listing form: every dt of the page with every dd, nested
+    ones too; a nested pair has no date and is rejected for it."""
+    from gazette.plans.publications import dl_publications
+    from gazette.sources.specs import DL_DESCENDANTS
+
+    pages = _dl_pages(spark, sf_dir).select("url", "html")
+    return _dl_rows(dl_publications(pages, SITE, "news", "ECB", DL_DESCENDANTS, as_of=dt.datetime(2024, 6, 1)))
+
+
+@register
+def q_dl_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: pages that begin with a dt right in the body, without a list."""
+    from gazette.plans.publications import dl_publications
+
+    o = read_table(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_orderdate")
+    fields = {"k": F.col("o_orderkey").cast("string"), "day": F.date_format("o_orderdate", "d MMMM yyyy")}
+
+    def render(s):
+        return F.concat(
+            F.lit("<dt>"), s["day"], F.lit('</dt><dd><a href="/orders/'), s["k"], F.lit('.en.html">Order '), s["k"],
+            F.lit("</a></dd>"),
+        )
+
+    pages = _pages_of_ten(o, "o_custkey", "o_orderkey", fields, render, spark, ("<html><body>", "</body></html>"))
+    return _dl_rows(dl_publications(pages.select("url", "html"), SITE, "news", "ECB", as_of=dt.datetime(2024, 6, 1)))

@@ -148,7 +148,9 @@ FROM (SELECT p.*, {_HREFS} AS h FROM ({_PAGE_FIELDS.replace('FROM pages', ', htm
 ORACLES["q_path_suffix"] = f"""
 SELECT page_id,
        coalesce(ends_with(lower({_bare_path('url')}), '.html'), false) AS path_ends_html,
-       contains(url, '.html') AS contains_html
+       contains(url, '.html') AS contains_html,
+       page_id % 4 <> 2 AS link_ends_html,
+       page_id % 4 <> 1 AS link_contains_html
 FROM pages
 """
 
@@ -159,20 +161,23 @@ SELECT DISTINCT {_HOST} AS host, split_part(url, '?', 1) AS clean_url
 FROM pages WHERE contains(split_part(url, '?', 1), '/en/')
 """
 
-ORACLES["q_related_capped"] = f"""
-SELECT page_id, CAST(pos AS BIGINT) AS pos, related_url FROM (
-  SELECT page_id, unnest(range(1, len(r) + 1)) AS pos, unnest(r) AS related_url
-  FROM (SELECT page_id, related[1:5] AS r FROM ({_PAGE_FIELDS})))
+ORACLES["q_related_capped"] = """
+WITH p AS (SELECT l_suppkey, l_orderkey * 8 + l_linenumber AS k,
+                  row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey * 8 + l_linenumber) - 1 AS r FROM lineitem),
+     n AS (SELECT l_suppkey, r // 60 AS page_no, k,
+                  row_number() OVER (PARTITION BY l_suppkey, r // 60 ORDER BY k) AS pos FROM p WHERE k % 7 <> 0)
+SELECT CAST(l_suppkey AS BIGINT) AS l_suppkey, CAST(page_no AS BIGINT) AS page_no, CAST(pos AS BIGINT) AS pos,
+       CASE WHEN k % 3 = 0 THEN 'https://files.example.net/' ELSE 'https://www.example.com/files/' END || k || '.pdf' AS related_url
+FROM n WHERE pos <= 50
 """
 
-ORACLES["q_related_concat"] = f"""
-SELECT page_id, CAST(pos AS BIGINT) AS pos, url FROM (
-  SELECT page_id, unnest(range(1, len(c) + 1)) AS pos, unnest(c) AS url FROM (
-    SELECT page_id, list_transform(
-             list_concat(list_filter(h, lambda x: regexp_matches(x, '^/[A-Z]')),
-                         list_filter(h, lambda x: NOT regexp_matches(x, '^/[A-Z]'))),
-             lambda x: {_resolve(_strip('x'), 'root')}) AS c
-    FROM (SELECT page_id, {_root('url')} AS root, {_HREFS} AS h FROM pages)))
+ORACLES["q_related_concat"] = """
+WITH p AS (SELECT o_custkey, o_orderkey AS k,
+                  (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 10 AS page_no FROM orders)
+SELECT CAST(o_custkey AS BIGINT) AS o_custkey, CAST(page_no AS BIGINT) AS page_no,
+       CAST(row_number() OVER (PARTITION BY o_custkey, page_no ORDER BY k % 3, k) AS BIGINT) AS pos,
+       'https://www.example.com' || CASE k % 3 WHEN 0 THEN '/f/' || k || '.pdf?v=1' ELSE '/r/' || k END AS url
+FROM p WHERE k % 3 < 2
 """
 
 ORACLES["q_related_valid"] = f"""
@@ -182,9 +187,10 @@ SELECT page_id, CAST(len(related) AS BIGINT) AS n_related,
 FROM ({_PAGE_FIELDS})
 """
 
-ORACLES["q_manifest_join"] = f"""
-SELECT host, (starts_with(host, 'm.') OR starts_with(host, 'blog.')) AS lazy, count(*) AS n_pages
-FROM (SELECT {_HOST} AS host FROM pages) GROUP BY host
+ORACLES["q_manifest_join"] = """
+SELECT p.page_id, p.url, m.lazy FROM pages p JOIN (
+  SELECT url, page_id % 2 = 0 AS lazy FROM pages WHERE page_id % 3 = 0
+  UNION SELECT url || '/gone', true FROM pages WHERE page_id % 5 = 0) m ON p.url = m.url
 """
 
 # --------------------------------------------------------------------------
@@ -239,12 +245,10 @@ ORACLES["q_nfkc"] = """
 SELECT p_partkey, p_name AS name_nfkc, p_type || ' 1 fi' AS type_nfkc, p_name AS name_plain FROM part
 """
 
-ORACLES["q_lookup_enrich"] = f"""
+ORACLES["q_lookup_enrich"] = """
 SELECT d.doc_id, d.lang, l.quality, l.toxic, l.doc_id IS NOT NULL AS enriched
 FROM documents d LEFT JOIN labels l
-  ON d.lang = 'en'
- AND NOT coalesce(ends_with(lower({_bare_path('d.source')}), '.pdf'), false)
- AND d.doc_id = l.doc_id
+  ON d.lang = 'en' AND d.doc_id % 6 NOT IN (0, 2) AND d.doc_id = l.doc_id
 """
 
 ORACLES["q_run_report"] = f"""
@@ -274,7 +278,7 @@ GROUP BY namespace
 # conversations
 # --------------------------------------------------------------------------
 ORACLES["q_short_pages"] = """
-SELECT conv_id, count(*) AS n_rows FROM conversations GROUP BY conv_id HAVING count(*) < 10
+SELECT o_custkey, count(*) AS n_rows FROM orders GROUP BY o_custkey HAVING count(*) < 10
 """
 
 ORACLES["q_page_atomic"] = f"""
@@ -359,8 +363,9 @@ FROM events
 # orders
 # --------------------------------------------------------------------------
 ORACLES["q_first_version"] = """
-SELECT o_custkey, min(o_orderkey) AS first_orderkey, arg_min(o_orderstatus, o_orderkey) AS first_status
-FROM orders GROUP BY o_custkey
+SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS version,
+       CASE WHEN o_orderkey % 10 <> 0 THEN o_orderstatus END AS hash
+FROM orders
 """
 
 ORACLES["q_parse_dates"] = """
@@ -522,3 +527,82 @@ SELECT user_id, CAST((rn - 1) // 10 AS BIGINT) AS page_no, CAST((rn - 1) % 10 +
        CASE WHEN event_type = 'error' THEN 'missing:category' ELSE '' END AS reasons
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events)
 """
+
+def _branches() -> str:
+    """What the standard library makes of each href, with the root left open."""
+    from urllib.parse import urljoin
+
+    from gazette.plans.catalog import HREF_BRANCHES
+
+    cases = []
+    for i, href in enumerate(HREF_BRANCHES):
+        value = []
+        for scheme in ("https", "http"):
+            out, root = urljoin(f"{scheme}://h.example", href), f"{scheme}://h.example"
+            value.append(f"root || '{out.removeprefix(root)}'" if out.startswith(root) else f"'{out}'")
+        value = f"CASE WHEN starts_with(root, 'https:') THEN {value[0]} ELSE {value[1]} END"
+        cases.append(f"WHEN {i} THEN {value}")
+    return f"CASE page_id % {len(HREF_BRANCHES)} {' '.join(cases)} END"
+
+
+def _hrefs() -> str:
+    from gazette.plans.catalog import HREF_BRANCHES
+
+    return ", ".join(f"'{h}'" for h in HREF_BRANCHES)
+
+
+ORACLES["q_resolve_branches"] = f"""
+SELECT page_id, [{_hrefs()}][page_id % len([{_hrefs()}]) + 1] AS href, {_branches()} AS resolved_url
+FROM (SELECT page_id, {_root('url')} AS root FROM pages)
+"""
+
+ORACLES["q_regulator_lookup"] = """
+SELECT doc_id, ['ECB', 'ecb', 'MAS', 'Mas', 'BOE', '', NULL][doc_id % 7 + 1] AS regulator,
+       array_to_string(list_filter([CASE WHEN doc_id % 2 = 0 THEN 'title_length' END,
+                                    CASE WHEN doc_id % 7 IN (4, 5) THEN 'unknown_regulator' END],
+                                   lambda x: x IS NOT NULL), ',') AS reasons
+FROM documents
+"""
+
+ORACLES["q_fetch_listing"] = """
+WITH a AS (SELECT user_id, event_id, event_type NOT IN ('error', 'view') AS ok,
+                  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS attempt FROM events),
+     b AS (SELECT * FROM a WHERE attempt <= 3)
+SELECT user_id, CAST(min(attempt) FILTER (WHERE ok) AS BIGINT) AS attempt_used,
+       first(event_id ORDER BY attempt) FILTER (WHERE ok) AS first_ok_event,
+       count(*) AS attempts_seen,
+       CASE WHEN bool_or(ok) THEN 'ok' ELSE 'failed' END AS status
+FROM b GROUP BY user_id
+"""
+
+ORACLES["q_index_document"] = """
+SELECT event_type, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS BIGINT) AS index_value_id,
+       count(*) AS total_records, CAST(ceil(count(*) / 100) AS BIGINT) AS number_of_chunks,
+       min(event_id) AS first_sort_id, max(event_id) AS last_sort_id
+FROM events GROUP BY event_type
+"""
+
+_ORDER_PAGES = """
+  SELECT o_custkey, o_orderkey AS k, o_orderdate, o_orderpriority,
+         (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 10 AS page_no,
+         (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) % 10 AS r
+  FROM orders
+"""
+
+ORACLES["q_dl_descendants"] = f"""
+SELECT CAST(o_custkey AS BIGINT) AS o_custkey, CAST(page_no AS BIGINT) AS page_no, CAST(2 * r + 1 AS BIGINT) AS item_pos,
+       'Order ' || k || ' ' || o_orderpriority AS web_title, CAST(o_orderdate AS TIMESTAMP) AS published_at,
+       'https://www.example.com/orders/' || k || '.en.html' AS web_url, '' AS reasons
+FROM ({_ORDER_PAGES})
+UNION ALL
+SELECT CAST(o_custkey AS BIGINT), CAST(page_no AS BIGINT), CAST(2 * r + 2 AS BIGINT), 'pdf', NULL,
+       'https://www.example.com/pdf/' || k || '.en.pdf?v=1', 'invalid_date'
+FROM ({_ORDER_PAGES})
+"""
+
+ORACLES["q_dl_body"] = f"""
+SELECT CAST(o_custkey AS BIGINT) AS o_custkey, CAST(page_no AS BIGINT) AS page_no, CAST(r + 1 AS BIGINT) AS item_pos,
+       'Order ' || k AS web_title, CAST(o_orderdate AS TIMESTAMP) AS published_at,
+       'https://www.example.com/orders/' || k || '.en.html' AS web_url, '' AS reasons
+FROM ({_ORDER_PAGES})
+"""

@@ -71,7 +71,7 @@ def _finish(df: DataFrame, as_of: _dt.datetime | None, parse_reasons: Column | N
     return out.select(*CANDIDATE_COLUMNS)
 
 
-def _ordered_list(df: DataFrame, key: str, pos: str, value: str, out: str) -> DataFrame:
+def ordered_list(df: DataFrame, key: str, pos: str, value: str, out: str) -> DataFrame:
     """(key, pos, value) rows → (key, [values in pos order]); one group is
     one page's links, so its size is bounded by the page."""
     return df.groupBy(key).agg(
@@ -98,7 +98,7 @@ def detail_links(detail_pages: DataFrame, base_url: str, spec: SourceSpec = LINK
     links = items.filter(href.isNotNull() & (href != "")).select(
         F.col("url").alias("detail_url"), "item_pos", resolved.alias("link")
     )
-    lists = _ordered_list(links, "detail_url", "item_pos", "link", "related_urls")
+    lists = ordered_list(links, "detail_url", "item_pos", "link", "related_urls")
     return lists.withColumn("related_urls", F.slice("related_urls", 1, K.MAX_RELATED_URLS))
 
 
@@ -122,11 +122,13 @@ def card_publications(
         "item_pos",
         "page_status",
         T.nullif_empty(T.strip_ws("link")).alias("_link"),
-        T.nfkc(T.nullif_empty(T.strip_ws("title"))).alias("web_title"),
+        T.nullif_empty(T.strip_ws("title")).alias("_title"),
         T.strip_ws("description").alias("_desc"),
     )
     resolved = clean.select(
-        "*", F.when(F.col("_link").isNotNull(), U.resolve_url("_link", base)).alias("web_url")
+        "*",
+        T.nfkc("_title").alias("web_title"),
+        F.when(F.col("_link").isNotNull(), U.resolve_url("_link", base)).alias("web_url"),
     )
     df = resolved.select(
         "source", "listing_url", "item_pos", "page_status", "web_url", "web_title",

@@ -86,11 +86,17 @@ def _json_doc(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("value").alias("doc"))
 
 
+def first_listed(doc: Column | str) -> Column:
+    """First ``{version, hash}`` of a version document, by position; null if
+    it lists none."""
+    return F.get(F.from_json(col(doc), "array<struct<version:string,hash:string>>"), 0)
+
+
 def first_version(spark: SparkSession, root: str) -> DataFrame:
     """The first listed version (position semantics, not the maximum)."""
-    arr = F.from_json("doc", "array<struct<version:string,hash:string>>")
+    first = first_listed("doc")
     return _json_doc(spark, f"{root.rstrip('/')}/versions.json").select(
-        F.get(arr, 0)["version"].alias("version"), F.get(arr, 0)["hash"].alias("hash")
+        first["version"].alias("version"), first["hash"].alias("hash")
     )
 
 
@@ -121,7 +127,11 @@ INDEX_SCHEMA = (
 
 def read_index(spark: SparkSession, versioned_root: str, key: str) -> DataFrame:
     """Index values of one key: position = ``index_value_id``."""
-    doc = _json_doc(spark, f"{versioned_root.rstrip('/')}/indexes/{key}/index.json")
+    return index_rows(_json_doc(spark, f"{versioned_root.rstrip('/')}/indexes/{key}/index.json"), key)
+
+
+def index_rows(doc: DataFrame, key: str) -> DataFrame:
+    """An index document ``(doc)`` as rows, one for each value."""
     return doc.select(F.posexplode(F.from_json("doc", INDEX_SCHEMA)).alias("index_value_id", "e")).select(
         F.lit(key).alias("index_key"),
         F.col("index_value_id").cast("bigint").alias("index_value_id"),

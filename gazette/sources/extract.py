@@ -14,6 +14,8 @@ raising.
 
 from __future__ import annotations
 
+import html
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -32,6 +34,11 @@ _CLOSES_P = frozenset(
 )
 _LIST_SCOPE = frozenset(("ul", "ol"))
 _DEF_SCOPE = frozenset(("dl",))
+_P_SCOPE = frozenset(("div", "td", "th", "li", "dd", "body"))
+_LI, _DT_DD, _P = frozenset(("li",)), frozenset(("dt", "dd")), frozenset(("p",))
+
+#: Pages whose items are handed on together.
+_SLICE = 256
 
 
 class Node:
@@ -136,11 +143,11 @@ class _TreeBuilder(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if tag == "li":
-            self._close_open(frozenset(("li",)), _LIST_SCOPE)
+            self._close_open(_LI, _LIST_SCOPE)
         elif tag in ("dt", "dd"):
-            self._close_open(frozenset(("dt", "dd")), _DEF_SCOPE)
+            self._close_open(_DT_DD, _DEF_SCOPE)
         if tag in _CLOSES_P:
-            self._close_open(frozenset(("p",)), frozenset(("div", "td", "th", "li", "dd", "body")))
+            self._close_open(_P, _P_SCOPE)
         node = self._new(tag, attrs)
         if tag not in _VOID:
             self.stack.append(node)
@@ -158,18 +165,81 @@ class _TreeBuilder(HTMLParser):
         self.stack[-1].content.append(data)
 
 
+_TAG = re.compile(
+    r"""<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\s+[^\s"'<>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'=<>`/]+))?)*)\s*(/?)>"""
+)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'=<>`/]+))?""")
+_COMMENT = re.compile(r"<!--(?!-?>)[^-]*(?:-(?!-!?>)[^-]*)*-->|<!(?i:doctype)[^<>\[\]\"']*>")
+# elements whose content is not markup
+_RAW = frozenset("iframe noembed noframes plaintext script style textarea title xmp".split())
+
+
+def _attributes(text: str) -> list[tuple[str, str]]:
+    found = []
+    for name, value in _ATTRIBUTE.findall(text):
+        if value[:1] in ('"', "'") and value:
+            value = value[1:-1]
+        found.append((name.lower(), html.unescape(value) if "&" in value else value))
+    return found
+
+
+def _feed_regular(b: _TreeBuilder, text: str) -> bool:
+    """Build the tree of a page whose markup is regular throughout (plain
+    tags, comments, raw elements that end) from one expression per tag; False
+    as soon as something else occurs."""
+    at, size = 0, len(text)
+    while at < size:
+        tag_at = text.find("<", at)
+        if tag_at != at:
+            data = text[at:] if tag_at < 0 else text[at:tag_at]
+            b.handle_data(html.unescape(data) if "&" in data else data)
+            if tag_at < 0:
+                return True
+        m = _TAG.match(text, tag_at)
+        if m is None:
+            m = _COMMENT.match(text, tag_at)
+            if m is None:
+                return False
+            at = m.end()
+            continue
+        at = m.end()
+        close, tag, attributes, empty = m.groups()
+        tag = tag.lower()
+        if close:
+            if attributes or empty:
+                return False
+            b.handle_endtag(tag)
+        elif empty:
+            if attributes and attributes[-1] not in "\"'":
+                return False  # the slash belongs to an unquoted value
+            b.handle_startendtag(tag, _attributes(attributes) if attributes else ())
+        else:
+            b.handle_starttag(tag, _attributes(attributes) if attributes else ())
+            if tag in _RAW:
+                end = text.lower().find(f"</{tag}>", at)
+                if end < 0 or (tag not in ("script", "style") and "<" in text[at:end]) or "<!--" in text[at:end]:
+                    return False
+                data = text[at:end]
+                if data:
+                    b.handle_data(data if tag in ("script", "style") or "&" not in data else html.unescape(data))
+                at = end
+    return True
+
+
 _BUILDER: _TreeBuilder | None = None
 
 
 def parse_html(text: str | None) -> Node:
-    """Parse one page.  One builder per Python worker is reused (workers
-    run one task at a time), which saves its set-up on every small page."""
+    """Parse one page, by the short way if its markup is regular.  One builder
+    per Python worker is reused (workers run one task at a time), which saves
+    its set-up on every small page."""
     global _BUILDER
     if _BUILDER is None:
         _BUILDER = _TreeBuilder()
     b = _BUILDER
     b.start()
-    if text:
+    if text and not _feed_regular(b, text):
+        b.start()
         b.feed(text)
         b.close()
     return b.root
@@ -371,7 +441,7 @@ def extract(df: DataFrame, spec: SourceSpec, html_col: str = "html", keys: Seque
     field_names = [f.name for f in spec.fields]
 
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(at, _SLICE) for b in batches for at in range(0, b.num_rows, _SLICE)):
             cols: dict[str, list] = {n: [] for n in arrow_schema.names}
             key_vals = [batch.column(k).to_pylist() for k in key_names]
             pages = batch.column(html_col).to_pylist()

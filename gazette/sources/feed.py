@@ -46,7 +46,8 @@ def entries_to_candidates(entries: DataFrame, as_of: _dt.datetime | None = None)
     """Feed entries → ``(web_title, published_at, web_url, related_urls,
     reasons)``.  Required: title, link, pubDate.  A link without http(s) rejects
     the entry; an enclosure without it is only skipped."""
-    title = T.nfkc(T.strip_ws("title"))
+    entries = entries.withColumn("title", T.strip_ws("title"))
+    title = T.nfkc("title")
     enclosures = F.coalesce(F.col("enclosure"), F.array().cast("array<struct<_url:string>>"))
     related = F.filter(F.transform(enclosures, lambda e: e["_url"]), lambda u: U.has_http_prefix(u))
     out = entries.select(

@@ -138,3 +138,44 @@ def test_hrefs_equal_the_extractor(spark):
         if r.href is not None:  # an anchor without one is no link
             want[r.page_id].append(r.href)
     assert {i: h or [] for i, h in got.items()} == want
+
+
+def _shape(node):
+    """A tree as nested tuples, adjacent texts merged."""
+    out, text = [], ""
+    for c in node.content:
+        if isinstance(c, str):
+            text += c
+            continue
+        if text:
+            out.append(text)
+        text = ""
+        out.append(_shape(c))
+    return (node.tag, tuple(sorted(node.attrs.items())), tuple(out + [text] if text else out))
+
+
+def test_short_way_builds_the_parsers_tree(spark):
+    """Regular markup takes the short way; both ways give one tree, on random
+    markup of regular and odd parts and on landed pages."""
+    import random
+
+    from gazette.sources import extract as X
+
+    parts = ["<div>", "</div>", "<p class='a b'>", "</p>", "<li>", "<ul>", "</ul>", "<br/>", "<br>", "text", " &amp; ", "&copy",
+             '<a href="/x?a=1&amp;b=2">', "</a>", "<!-- c -->", "<!DOCTYPE html>", "<dt>", "<dd>", "<dl>", "</dl>", "<IMG SRC=a.png>",
+             "<title>T &lt; <b></title>", "<title>plain &amp;</title>", "<script>if (a<b) { '</p>' }</script>", "<style>p{}</style>",
+             "< ", "<3", "<a b=c/>", "<?pi?>", "<![CDATA[x]]>", "</ div>", "<a href='q\"'>", "<input disabled>", "<!-->", "<!---->",
+             "<textarea><p></textarea>", "<x-y>", "<a\nhref = '/n'\n>", "</p x>", "<a href=/u/>", "<!-- a -- b -->", "<!-- a --!>"]
+    rng = random.Random(6)
+    pages = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(6000)]
+    pages += [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect()]
+    short = 0
+    for page in pages:
+        tree = _shape(X.parse_html(page))
+        b = X._TreeBuilder()
+        b.feed(page)
+        b.close()
+        assert tree == _shape(b.root), page
+        b.start()
+        short += X._feed_regular(b, page)
+    assert short > 1000

@@ -27,7 +27,7 @@ def _tree(df):
 
 
 @pytest.mark.parametrize(
-    "name", ["q_page_publications", "q_url_parts", "q_related_capped", "q_collect_links", "q_first_link"]
+    "name", ["q_page_publications", "q_url_parts", "q_resolve_branches", "q_first_version", "q_first_link"]
 )
 def test_row_local_queries_have_no_exchange(spark, name):
     plan, _ = _plan(spark, name)
@@ -51,7 +51,7 @@ def test_fetch_resolution_limits_attempts_before_shuffle(spark):
     assert _formatted(df).count("WindowGroupLimit") >= 2
 
 
-@pytest.mark.parametrize("name", ["q_first_version", "q_time_bucket", "q_union_namespaces", "q_short_pages"])
+@pytest.mark.parametrize("name", ["q_time_bucket", "q_union_namespaces", "q_short_pages"])
 def test_aggregations_combine_map_side(spark, name):
     _, df = _plan(spark, name)
     text = _formatted(df)
