@@ -11,8 +11,9 @@ family of near copies) are never expanded into all pairs.  The classes whose
 sketch could consist of such values alone are joined exactly by prefix: under
 a rarest-first order two sets can only be similar if the first sixth of the
 smaller and the first quarter of the larger share a shingle.  Prefix lists
-that are still long are resolved against their smallest member first; only
-members that remain in other components are compared with each other.
+that are still long are resolved against their smallest members first, ``PIVOTS`` in
+each of ``ROUNDS`` rounds; then the members that are still in different
+components are compared with each other.
 
 A pair of similarity 0.75 shares fewer than ``SHARED`` of its listed values,
 or estimates under ``LEAST_ESTIMATE``, with a chance below 1e-7.
@@ -25,7 +26,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazette.llm.common import byte_list, materialise, name_of
@@ -39,6 +41,11 @@ SHARED = 6
 LEAST_ESTIMATE = 0.4
 #: Counters of the shingle frequency summary that orders prefixes.
 SUMMARY = 1 << 20
+SECTIONS, BRANCHES = 64, 64
+#: Members that a long prefix list is resolved against in each of the rounds before its others meet.
+PIVOTS, ROUNDS = 16, 3
+#: Lists of a class that suppress repeated pairs.
+FIRST_LISTS = 64
 
 
 def _sets(id_type: str, carry_type: str):
@@ -146,14 +153,49 @@ def _candidates(lists: DataFrame, long_counts: DataFrame) -> DataFrame:
     )
 
 
+_PARTIAL = "section bigint, branch bigint, slots binary, counts binary"
+
+
+def _partial(section: int, branch: int, counts: np.ndarray) -> pa.RecordBatch:
+    slots = np.flatnonzero(counts)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([section], pa.int64()),
+            pa.array([branch], pa.int64()),
+            pa.array([slots.astype(np.int32).tobytes()], pa.binary()),
+            pa.array([counts[slots].astype(np.int64).tobytes()], pa.binary()),
+        ],
+        ["section", "branch", "slots", "counts"],
+    )
+
+
 def _count_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial shingle counts by hash slot, in sections of the slots."""
+    total = np.zeros(SUMMARY, np.int64)
     for batch in batches:
-        parts = [np.frombuffer(s, np.uint64) for s in batch.column("set").to_pylist()]
-        if parts:
-            slots, counts = np.unique(
-                (np.concatenate(parts) % np.uint64(SUMMARY)).astype(np.int64), return_counts=True
-            )
-            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(counts)], ["slot", "c"])
+        for data in batch.column("set").to_pylist():
+            np.add.at(total, (np.frombuffer(data, np.uint64) % np.uint64(SUMMARY)).astype(np.int64), 1)
+    for section, part in enumerate(total.reshape(SECTIONS, -1)):
+        if part.any():
+            yield _partial(section, TaskContext.get().partitionId() % BRANCHES, part)
+
+
+def _add_partials(table: pa.Table) -> pa.Table:
+    total = np.zeros(SUMMARY // SECTIONS, np.int64)
+    for slots, counts in zip(table.column("slots").to_pylist(), table.column("counts").to_pylist()):
+        total[np.frombuffer(slots, np.int32)] += np.frombuffer(counts, np.int64)
+    return pa.Table.from_batches([_partial(table.column("section")[0].as_py(), 0, total)])
+
+
+def _summary(sets: DataFrame) -> np.ndarray:
+    """How often each hash slot is met by the sets' shingles; added up in two
+    steps, so that no task gathers the parts of all tasks."""
+    parts = sets.mapInArrow(_count_shingles, _PARTIAL)
+    parts = parts.groupBy("section", "branch").applyInArrow(_add_partials, _PARTIAL)
+    total = np.zeros((SECTIONS, SUMMARY // SECTIONS), np.int64)
+    for r in parts.groupBy("section").applyInArrow(_add_partials, _PARTIAL).collect():  # SECTIONS rows
+        total[r["section"], np.frombuffer(r["slots"], np.int32)] = np.frombuffer(r["counts"], np.int64)
+    return total.ravel()
 
 
 def _prefixes(summary: np.ndarray):
@@ -192,15 +234,20 @@ def _reach(n: str, left: str) -> Column:
 
 
 def _prefix_pairs(probe: DataFrame, index: DataFrame) -> DataFrame:
-    x = probe.select("value", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("left").alias("la"))
-    y = index.select("value", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("left").alias("lb"))
-    return x.join(y, "value").filter(
-        (F.col("a") != F.col("b"))
-        & (F.col("nb") <= F.col("na"))
-        & _size_fits(F.col("na"), F.col("nb"))
-        & (F.col("nb") <= _reach("na", "la"))
-        & (F.col("na") <= _reach("nb", "lb"))
-    ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    """Pairs that meet in a list and can still be similar, apart by ``root``.
+    Of the lists that both meet in, those after the first are passed over."""
+
+    def side(df: DataFrame, x: str) -> DataFrame:
+        return df.select("value", *[F.col(c).alias(c + x) for c in ("cls", "n", "left", "root", "earlier")])
+
+    return side(probe, "_x").join(side(index, "_y"), "value").filter(
+        (F.col("root_x") != F.col("root_y"))
+        & (F.col("n_y") <= F.col("n_x"))
+        & _size_fits(F.col("n_x"), F.col("n_y"))
+        & (F.col("n_y") <= _reach("n_x", "left_x"))
+        & (F.col("n_x") <= _reach("n_y", "left_y"))
+        & ~F.arrays_overlap("earlier_x", "earlier_y")
+    ).select(F.least("cls_x", "cls_y").alias("a"), F.greatest("cls_x", "cls_y").alias("b"))
 
 
 def near_dedup(
@@ -317,45 +364,55 @@ def _full_sets(rows: DataFrame, classes: DataFrame) -> DataFrame:
 def _rich_links(spark: SparkSession, sets: DataFrame, known: DataFrame, confirm) -> DataFrame:
     """All links among classes whose sketches may share long lists only."""
     sets = materialise(spark, sets, "rich-sets")
-    counted = (
-        sets.mapInArrow(_count_shingles, "slot bigint, c bigint").groupBy("slot").agg(F.sum("c").alias("c")).toPandas()
-    )
-    summary = np.zeros(SUMMARY, np.int64)
-    summary[counted["slot"].to_numpy(np.int64)] = counted["c"].to_numpy(np.int64)
     prefixes = sets.mapInArrow(
-        _prefixes(summary), "value bigint, cls bigint, n bigint, left bigint, indexed boolean"
+        _prefixes(_summary(sets)), "value bigint, cls bigint, n bigint, left bigint, indexed boolean"
     )
     sizes = (
         prefixes.groupBy("value")
-        .agg(
-            F.count(F.lit(1)).alias("size"),
-            F.min(F.when(F.col("indexed"), F.struct("n", "cls", "left"))).alias("pivot"),
-        )
-        .filter("size > 1 AND pivot IS NOT NULL")
+        .agg(F.count(F.lit(1)).alias("size"), F.count_if("indexed").alias("indexes"))
+        .filter("size > 1 AND indexes > 0")
     )
     lists = materialise(spark, prefixes.join(sizes, "value"), "prefix-lists")
-    short, long = lists.filter(F.col("size") <= LONG_LIST), lists.filter(F.col("size") > LONG_LIST)
-    pivots = long.select("value", "pivot").distinct().select("value", "pivot.*")
-    pairs = _prefix_pairs(short, short.filter("indexed")).unionByName(_prefix_pairs(long, pivots)).distinct()
-    links = confirm(pairs, "rich-links")
-    if long.isEmpty():
-        return links
-    roots = components(spark, known.unionByName(links))
-    rooted = long.join(roots, long["cls"] == roots["node"], "left").select(
-        "value", "cls", "n", "left", "indexed", F.coalesce("root", "cls").alias("root")
+    # a class has at most a quarter of its shingles here
+    first = lists.groupBy("cls").agg(
+        F.slice(F.array_sort(F.collect_list(F.struct((-F.col("left")).alias("at"), "value"))), 1, FIRST_LISTS).alias("first")
     )
-    spread = rooted.groupBy("value").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
-    rooted = materialise(spark, rooted.join(spread.select("value"), "value", "left_semi"), "open-lists")
-    pairs = _prefix_pairs(rooted, rooted.filter("indexed"))
-    of = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-    apart = (
-        pairs.distinct()
-        .join(of("a"), "a", "left")
-        .join(of("b"), "b", "left")
-        .filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
-        .select("a", "b")
+    earlier = F.transform(F.filter("first", lambda f: f["at"] < -F.col("left")), lambda f: f["value"])
+    lists = materialise(
+        spark, lists.join(first, "cls").withColumn("earlier", earlier).withColumn("root", F.col("cls")).drop("first"), "prefix-lists"
     )
-    return links.unionByName(confirm(apart, "rest-links"))
+    smallest = Window.partitionBy("value").orderBy("n", "cls")
+    short, long = lists.filter(F.col("size") <= LONG_LIST), lists.filter(F.col("size") > LONG_LIST)
+    pivots = materialise(
+        spark,
+        long.filter("indexed")
+        .withColumn("rank", F.row_number().over(smallest))
+        .filter(F.col("rank") <= PIVOTS * ROUNDS),
+        "pivots",
+    )
+    links = confirm(_prefix_pairs(short, short.filter("indexed")).distinct(), "rich-links")
+    for last in range(PIVOTS, PIVOTS * (ROUNDS + 1) + 1, PIVOTS):
+        roots = components(spark, known.unionByName(links)).withColumnRenamed("root", "found")
+
+        def rooted(rows: DataFrame) -> DataFrame:
+            return (
+                rows.join(roots, rows["cls"] == roots["node"], "left")
+                .withColumn("root", F.coalesce("found", "root"))
+                .drop("node", "found")
+            )
+
+        open_lists = rooted(long)
+        spread = open_lists.groupBy("value").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
+        spread = spread.filter("r0 <> r1").select("value")
+        open_lists = materialise(spark, open_lists.join(spread, "value", "left_semi"), "open-lists")
+        if open_lists.isEmpty():
+            break
+        if last <= PIVOTS * ROUNDS:
+            met = rooted(pivots.filter((F.col("rank") > last - PIVOTS) & (F.col("rank") <= last)))
+        else:
+            met = open_lists.filter("indexed")
+        links = links.unionByName(confirm(_prefix_pairs(open_lists, met).distinct(), "long-links"))
+    return links
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
