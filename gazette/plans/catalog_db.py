@@ -227,6 +227,29 @@ def q_type_latest_db(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("update_type", F.col("record_id").alias("event_id"))
 
 
+@register
+def q_nested_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both nested lists of a record decoded; empty strings and short
+    rows are dropped from either."""
+    part = read_table(spark, sf_dir, "part", "p_partkey", "p_size")
+    key = F.col("p_partkey").cast("string")
+    full = lambda prefix: F.concat(F.lit(prefix), key, F.lit(",1700000000,2024,05,15"))
+    short = F.concat(F.lit("S"), key, F.lit(",1"))
+    lists = part.select(
+        "p_partkey",
+        F.to_json(F.array(F.lit(""), short, full("R"))).alias("relatedPublications"),
+        F.to_json(F.slice(F.array(full("C"), full("D"), short), 1, F.col("p_size") % 4)).alias("childrenPublication"),
+    )
+    rows = C.decode_nested(lists)
+    return rows.select(
+        "p_partkey",
+        F.size("relatedPublications").cast("bigint").alias("n_related"),
+        F.get("relatedPublications", 0)["publicationId"].alias("first_related"),
+        F.size("childrenPublication").cast("bigint").alias("n_children"),
+        F.get("childrenPublication", 0)["publicationId"].alias("first_child"),
+    )
+
+
 @register
 def q_child_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Child CSV strings inside a JSON list; short rows dropped,

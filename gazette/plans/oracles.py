@@ -606,3 +606,10 @@ SELECT CAST(o_custkey AS BIGINT) AS o_custkey, CAST(page_no AS BIGINT) AS page_n
        'https://www.example.com/orders/' || k || '.en.html' AS web_url, '' AS reasons
 FROM ({_ORDER_PAGES})
 """
+
+ORACLES["q_nested_decode"] = """
+SELECT p_partkey, CAST(1 AS BIGINT) AS n_related, 'R' || p_partkey AS first_related,
+       CAST(least(p_size % 4, 2) AS BIGINT) AS n_children,
+       CASE WHEN p_size % 4 > 0 THEN 'C' || p_partkey END AS first_child
+FROM part
+"""

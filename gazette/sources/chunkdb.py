@@ -246,6 +246,15 @@ def decode_children(raw_list: Column | str) -> Column:
     return F.filter(F.transform(parsed, _child_record), lambda c: c.isNotNull())
 
 
+NESTED_FIELDS = ("relatedPublications", "childrenPublication")
+
+
+def decode_nested(records: DataFrame) -> DataFrame:
+    """Records with the nested publication lists they carry decoded in place;
+    all other fields stay raw."""
+    return records.withColumns({f: decode_children(f) for f in NESTED_FIELDS if f in records.columns})
+
+
 def db_type_code(update_type: str) -> int:
     return K.DB_TYPE_CODE_REGULATION if update_type == "regulation" else K.DB_TYPE_CODE_NEWS
 
