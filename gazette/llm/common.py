@@ -49,6 +49,35 @@ def byte_list(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.to_pylist()]
 
 
+#: Bytes that Spark hands to a Python worker at a time; texts may be long.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch hold many long texts (a session setting)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+#: Rows that a task holds as Python objects at a time.
+SLICE = 512
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in small slices, so that only few rows are Python objects
+    at once; an empty batch stays one slice."""
+    for batch in batches:
+        for at in range(0, max(batch.num_rows, 1), rows):
+            yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()  # workers outlive their tasks
+
+
+def each(values: pa.Array, rows: int = SLICE) -> Iterator:
+    """The values of an array as Python objects, few at a time."""
+    for at in range(0, len(values), rows):
+        yield from values.slice(at, rows).to_pylist()
+    pa.default_memory_pool().release_unused()
+
+
 def blocks(data: bytes, size: int = 1 << 20, overlap: int = 0) -> Iterator[np.ndarray]:
     """Consecutive byte blocks of a text; each begins ``overlap`` bytes early."""
     view = np.frombuffer(data, np.uint8)

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.common import ascii_lower, materialise, name_of
+from gazette.llm.common import ascii_lower, bounded_batches, materialise, name_of
 
 FIRST = 32
 WIDTHS = (4096, 1 << 16, 1 << 20, 1 << 24, 1 << 28)
@@ -44,6 +44,7 @@ def exact_dedup(
     rows) exactly one stays.  An empty table gives no rows.  Extra columns
     travel inside ``row`` only, so their names cannot clash.
     """
+    bounded_batches(spark)
     text = docs[name_of(text_col)]
     body = ascii_lower(text)
     scan = docs.select(

@@ -14,13 +14,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LinearSVC
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazette.llm.common import blocks, fold, materialise, name_of
+from gazette.llm.common import blocks, bounded_batches, each, fold, materialise, name_of
 
 #: Bound of the training sample, documents per label.
 TRAIN_PER_LANGUAGE = 400
@@ -63,7 +61,7 @@ def gram_vector(text: str) -> np.ndarray:
 
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
 def _vectors(texts: pa.Array) -> pa.Array:
-    return pa.array([gram_vector(t or "") for t in texts.to_pylist()], pa.list_(pa.float64()))
+    return pa.array([gram_vector(t or "") for t in each(texts)], pa.list_(pa.float64()))
 
 
 @dataclass(frozen=True)
@@ -123,6 +121,8 @@ def _sample(spark: SparkSession, rows: DataFrame, per_language: int) -> DataFram
 
 
 def _fit(data: DataFrame, yes: str, no: str) -> Machine:
+    from pyspark.ml.classification import LinearSVC  # workers do without it
+
     fitted = LinearSVC(maxIter=25, regParam=1e-3, standardization=False).fit(data)
     return Machine(yes, no, np.asarray(fitted.coefficients.toArray()), float(fitted.intercept))
 
@@ -137,6 +137,7 @@ def train(
 ) -> LanguageModel:
     """Fit the two levels on labelled rows; rows without a label or a letter
     teach nothing, and without any such row the model predicts ``und``."""
+    bounded_batches(spark)
     rows = labelled.select(
         labelled[name_of(id_col)].cast("string").alias("id"),
         labelled[name_of(text_col)].alias("text"),
@@ -150,6 +151,8 @@ def train(
     languages = tuple(sorted(r["lang"] for r in table.select("lang").distinct().collect()))
     family = F.create_map(*[F.lit(x) for code in languages for x in (code, family_of(code))]) if languages else None
 
+    from pyspark.ml.functions import array_to_vector
+
     def machines(names: list[str], key: Column) -> tuple[Machine, ...]:
         return tuple(
             _fit(
@@ -184,7 +187,7 @@ def predictor(model: LanguageModel):
     def predict(texts: pa.Array) -> pa.Array:
         out = [
             (UNKNOWN, 0.0) if t is None or not model.languages else model.predict(gram_vector(t))
-            for t in texts.to_pylist()
+            for t in each(texts)
         ]
         return pa.StructArray.from_arrays(
             [pa.array([x for x, _ in out], pa.string()), pa.array([y for _, y in out], pa.float64())],

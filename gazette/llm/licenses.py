@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.common import byte_list, name_of
+from gazette.llm.common import bounded_batches, byte_list, name_of, slices
 from gazette.llm.shingles import word_blocks
 
 # FIXED VALUES: base phrases and their labels.
@@ -192,11 +192,12 @@ def license_scan(
     through, one result each; an empty table gives no rows; other columns are
     not read.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(docs[name_of(id_col)].alias("id"), docs[name_of(text_col)].alias("text"))
     fixed, marked = tuple(phrases.items()), tuple(templates.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             counts, matches = [], []
             for text in byte_list(batch.column("text")):
                 n, found = scan_text(text, fixed, marked)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.common import byte_list, fold, materialise, name_of
+from gazette.llm.common import bounded_batches, byte_list, fold, materialise, name_of, slices
 from gazette.llm.shingles import word_blocks
 
 DEPTH = 2
@@ -53,7 +53,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     counts: Counter = Counter()
-    for batch in batches:
+    for batch in slices(batches):
         for text in byte_list(batch.column("text")):
             for words in word_blocks(text.lower()):
                 counts.update(words)
@@ -268,37 +268,35 @@ def _score(tree):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = tree.value
         base = np.log10(model.counts + 1.0)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                out: list[list] = [[] for _ in range(7)]
-                origin: list[int] = []
-                for i, text in enumerate(byte_list(batch.column("text"))):
-                    h = xxhash.xxh3_64_intdigest(text) - (1 << 63)
-                    tokens = model.numbers(text)
-                    known = tokens[tokens >= 0]
-                    rare: Counter = Counter()
-                    for words in word_blocks(text.lower()):
-                        rare.update(w for w in words if w not in model.number)
-                    # a word with a space stands in no text and meets no count
-                    name = END + h.to_bytes(8, "little", signed=True)
-                    head = (h, name, 0, len(tokens), len(known), float(base[known].sum()), float(model.logs(tokens).sum()))
-                    for column, value in zip(out, head):
-                        column.append(value)
-                    origin.append(i)
-                    if rare:
-                        for column, values in zip(out, ([h] * len(rare), rare, rare.values())):
-                            column.extend(values)
-                        for column, zero in zip(out[3:], (0, 0, 0.0, 0.0)):
-                            column.extend([zero] * len(rare))
-                        origin.extend([i] * len(rare))
-                take = pa.array(origin, pa.int64())
-                kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-                columns = [pa.array(c, k) for c, k in zip(out, kinds)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(take), columns[0], batch.column("held_out").take(take), *columns[1:]],
-                    ["id", "h", "held_out", "word", "tf", "n_tokens", "n_known", "base", "score"],
-                )
+        for batch in slices(batches):
+            out: list[list] = [[] for _ in range(7)]
+            origin: list[int] = []
+            for i, text in enumerate(byte_list(batch.column("text"))):
+                h = xxhash.xxh3_64_intdigest(text) - (1 << 63)
+                tokens = model.numbers(text)
+                known = tokens[tokens >= 0]
+                rare: Counter = Counter()
+                for words in word_blocks(text.lower()):
+                    rare.update(w for w in words if w not in model.number)
+                # a word with a space stands in no text and meets no count
+                name = END + h.to_bytes(8, "little", signed=True)
+                head = (h, name, 0, len(tokens), len(known), float(base[known].sum()), float(model.logs(tokens).sum()))
+                for column, value in zip(out, head):
+                    column.append(value)
+                origin.append(i)
+                if rare:
+                    for column, values in zip(out, ([h] * len(rare), rare, rare.values())):
+                        column.extend(values)
+                    for column, zero in zip(out[3:], (0, 0, 0.0, 0.0)):
+                        column.extend([zero] * len(rare))
+                    origin.extend([i] * len(rare))
+            take = pa.array(origin, pa.int64())
+            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            columns = [pa.array(c, k) for c, k in zip(out, kinds)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(take), columns[0], batch.column("held_out").take(take), *columns[1:]],
+                ["id", "h", "held_out", "word", "tf", "n_tokens", "n_known", "base", "score"],
+            )
 
     return run
 
@@ -314,6 +312,7 @@ def lm_score(
     one result each; an empty table gives no rows; without training documents
     all tokens are unknown, for certain (score 0); other columns are not read.
     """
+    bounded_batches(spark)
     rows = docs.select(docs[name_of(id_col)].alias("id"), docs[name_of(text_col)].alias("text")).withColumn(
         "held_out", held_out(F.col("id"))
     )

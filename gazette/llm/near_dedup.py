@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gazette.llm.common import byte_list, materialise, name_of
+from gazette.llm.common import bounded_batches, byte_list, materialise, name_of, slices
 from gazette.llm.components import components
 from gazette.llm.shingles import shingle_set
 
@@ -50,7 +50,7 @@ FIRST_LISTS = 64
 
 def _sets(id_type: str, carry_type: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sizes, digests, sketches = [], [], []
             for text in byte_list(batch.column("text")):
                 s = shingle_set(text.lower())
@@ -103,7 +103,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 def _keep_pairs(test):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             left, right = batch.column("x").to_pylist(), batch.column("y").to_pylist()
             keep = [
                 test(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
@@ -205,7 +205,7 @@ def _prefixes(summary: np.ndarray):
     counts once meet nobody and are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows: list[list[np.ndarray]] = [[], [], [], [], []]
             for cls, data in zip(batch.column("cls").to_pylist(), batch.column("set").to_pylist()):
                 s = np.frombuffer(data, np.uint64)
@@ -265,6 +265,7 @@ def near_dedup(
     component (repeated rows) one stays.  An empty table gives no rows; extra
     columns travel inside ``row`` only.
     """
+    bounded_batches(spark)
     rows = docs.select(
         F.struct(*[docs[name_of(c)].alias(c) for c in carry]).alias("row"),
         docs[name_of(id_col)].alias("id"),
@@ -345,7 +346,7 @@ def _full_sets(rows: DataFrame, classes: DataFrame) -> DataFrame:
     digest picks the right one where rows share an id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, sets = [], []
             for cls, digest, text in zip(
                 batch.column("cls").to_pylist(), batch.column("digest").to_pylist(), byte_list(batch.column("text"))

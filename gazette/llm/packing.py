@@ -10,6 +10,7 @@ into powers of two, which need no padding.
 from __future__ import annotations
 
 import base64
+import json
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,14 +22,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazette.llm.common import bigram_counts, materialise, name_of
+from gazette.llm.common import bigram_counts, bounded_batches, each, materialise, name_of, slices
 from gazette.llm.pretokens import split
 
 SEQUENCE = 2048
 END_ID = 1
 VOCABULARY = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
-MAX_WORDS = 400_000
+#: Pretokens that a worker remembers, twice over (the younger and the older ones).
+MAX_WORDS = 80_000
 
 DIMENSIONS = 3
 BITS = 16
@@ -69,7 +71,7 @@ def _projection() -> np.ndarray:
 @F.arrow_udf(T.LongType())
 def curve_key(texts: pa.Array) -> pa.Array:
     """Hilbert key of each whole text; null reads as empty."""
-    vectors = np.array([np.sqrt(bigram_counts((t or "").encode())) for t in texts.to_pylist()])
+    vectors = np.array([np.sqrt(bigram_counts((t or "").encode())) for t in each(texts)])
     if not len(vectors):
         return pa.array([], pa.int64())
     length = np.linalg.norm(vectors, axis=1, keepdims=True)
@@ -86,19 +88,24 @@ class Encoder:
     def __init__(self, vocabulary: str, ranks: str) -> None:
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pieces = tiktoken.Encoding(
             "pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}
         )
-        self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.vocabulary, self.tokenizer = vocabulary, None
+        with open(vocabulary, encoding="utf-8") as f:
+            self.specials = [t["content"] for t in json.load(f)["added_tokens"]]
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
         if any(s in text for s in self.specials):
+            if self.tokenizer is None:
+                from tokenizers import Tokenizer
+
+                self.tokenizer = Tokenizer.from_file(self.vocabulary)
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(ids, "<u2").tobytes()
         words = split(text)
@@ -112,10 +119,12 @@ class Encoder:
             return b"".join(found)
 
     def _new(self, word: bytes) -> bytes:
-        ids = np.array(self.pieces.encode_ordinary(word.decode()), "<u2").tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            ids = np.array(self.pieces.encode_ordinary(word.decode()), "<u2").tobytes()
         if len(word) <= 64:
             if len(self.known) >= MAX_WORDS:
-                self.known.clear()
+                self.known, self.older = {}, self.known
             self.known[word] = ids
         return ids
 
@@ -132,7 +141,7 @@ def _encode(vocabulary: str | None, ranks: str | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, at = _encoder(vocabulary, ranks), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in slices(batches):
             ids, starts, sizes = [], [], []
             for text in batch.column("text").to_pylist():
                 data = encoder(text or "") + END_ID.to_bytes(2, "little")
@@ -176,7 +185,7 @@ def _cut(base: dict[int, int], total: int, sequence: int):
         return full // sequence + i, tails[i], [*tails, total][i + 1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows: list[list] = [[], [], [], [], [], []]
             origin: list[int] = []
             columns = [batch.column(c).to_pylist() for c in ("part", "start", "n", "ids")]
@@ -222,6 +231,7 @@ def pack(
     packed once each.  An empty table gives no rows; other columns are not
     read.
     """
+    bounded_batches(spark)
     rows = docs.select(docs[name_of(id_col)].alias("id"), docs[name_of(text_col)].alias("text"))
     kind = dict(rows.dtypes)["id"]
     along = rows.withColumn("key", curve_key("text")).repartitionByRange("key", "id").sortWithinPartitions("key", "id")

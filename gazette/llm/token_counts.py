@@ -23,14 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.common import name_of
+from gazette.llm.common import bounded_batches, name_of, slices
 from gazette.llm.pretokens import certain_cuts, split
 
 VOCABULARY = "byte_bpe_50k.json"
 CHUNK = 1 << 16
-MAX_TRANSITIONS = 600_000
-MAX_PAIRS = 400_000
-MAX_WORDS = 400_000
+MAX_TRANSITIONS = 500_000
+MAX_PAIRS = 300_000
+MAX_WORDS = 200_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -256,11 +256,12 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pass through, one result each; an empty table gives no rows; other columns
     are not read.  ``path`` names the vocabulary file on the workers.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(docs[name_of(id_col)].alias("id"), docs[name_of(text_col)].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _machine(path or vocabulary_path())
-        for batch in batches:
+        for batch in slices(batches):
             counts = [count_tokens(t, machine) if t else 0 for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("n_bytes"), pa.array(counts, pa.int64())],
