@@ -19,22 +19,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazette.llm.common import name_of
+from gazette.llm.common import bounded_batches, each, name_of
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-MAX_WORDS = 300_000
-MAX_PAIRS = 600_000
-BLOCK = 1 << 16
-
-
-class Path:
-    """Best encoding of a prefix: its last ids and the path before them."""
-
-    __slots__ = ("at", "piece", "ids", "before")
-
-    def __init__(self, at: int, piece: str | None, ids: tuple[int, ...], before: Path | None) -> None:
-        self.at, self.piece, self.ids, self.before = at, piece, ids, before
+MAX_WORDS = 250_000
+MAX_PAIRS = 300_000
+MAX_MOVES = 400_000
+#: Characters of a text that are taken up at a time.
+BLOCK = 1 << 18
 
 
 class Pieces:
@@ -74,9 +67,19 @@ class Pieces:
                     self.ends.append(None)
                 node = to
             self.ends[node] = piece
+        # characters of longer pieces by number, and which stand side by side in a piece
+        letters = sorted({c for piece in self.ids if len(piece) > 1 for c in piece})
+        self.kind = np.zeros(0x110000, np.int32)
+        self.kind[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.beside = np.zeros((len(letters) + 1,) * 2, bool)
+        for piece in self.ids:
+            for x, y in zip(piece, piece[1:]):
+                self.beside[self.kind[ord(x)], self.kind[ord(y)]] = True
         self.pairs: dict[tuple[str | None, str], bool] = {}
         self.made: dict[str, tuple[float, str, str] | None] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self._forget()
 
     def merged(self, text: str) -> list[str]:
         """Byte-pair merging by its definition: best score first, then leftmost."""
@@ -145,85 +148,126 @@ class Pieces:
     def fallback(self, char: str) -> tuple[int, ...]:
         return tuple(self.byte.get(b, self.unknown) for b in char.encode())
 
-    def viterbi(self, stream: Iterator[str]) -> Iterator[tuple[int, ...]]:
-        """Ids of a stream of characters, committed as early as they are sure."""
-        here = done = Path(0, None, (), None)
-        alive: list[tuple[int, Path]] = [(0, here)]
-        children, ends, ids, pairs = self.children, self.ends, self.ids, self.pairs
-        for at, char in enumerate(stream, 1):
-            grown, best = [], None
-            for node, start in alive:
-                to = children[node].get(char)
-                if to is None:
-                    continue
-                if best is None:
-                    piece = ends[to]
-                    if piece is not None:
-                        before = start.piece
-                        fits = pairs.get((before, piece))
-                        if fits if fits is not None else self.follows(before, piece):
-                            best = Path(at, piece, (ids[piece],), start)
-                if children[to]:
-                    grown.append((to, start))
-            if best is None:  # no piece holds this character
-                best = Path(at, None, self.fallback(char), here)
-                grown = []
-            here = best
-            grown.append((0, here))
-            alive = grown
-            if at - done.at > self.longest and alive[0][1].at > done.at:
+    def _move(self, state: int, char: str) -> tuple[int, tuple[int, ...], int, str | None]:
+        """What a character does to the open starts of a state (each a trie
+        node and the piece before it): the next state, which starts stay open,
+        and the start and piece of the best path to here (-1: bytes)."""
+        grown, kept, best, piece = [], [], -1, None
+        for i, (node, before) in enumerate(self.states[state]):
+            to = self.children[node].get(char)
+            if to is None:
+                continue
+            ended = self.ends[to]
+            if best < 0 and ended is not None and self.follows(before, ended):
+                best, piece = i, ended
+            if self.children[to]:
+                grown.append((to, before))
+                kept.append(i)
+        if best < 0:  # no piece holds this character
+            grown, kept = [], []
+        new = (*grown, (0, piece))
+        number = self.number.setdefault(new, len(self.states))
+        if number == len(self.states):
+            self.states.append(new)
+        found = self.moves[state, char] = number, tuple(kept), best, piece
+        return found
+
+    def viterbi(self, stream: Iterator[str]) -> Iterator[int]:
+        """Ids of a stream of characters, committed as early as they are sure.
+        What a character does depends on the open starts' nodes and pieces
+        alone and is remembered."""
+        if len(self.moves) >= MAX_MOVES:
+            self._forget()
+        before: dict[int, int] = {}  # where the best path to a position comes from
+        last: dict[int, tuple[int, ...]] = {}  # and its last ids
+        moves, ids, longest = self.moves, self.ids, self.longest
+        done, state, starts, at = 0, 0, [0], 0
+        for char in stream:
+            at += 1
+            state, kept, best, piece = moves.get((state, char)) or self._move(state, char)
+            if best < 0:
+                before[at], last[at], starts = at - 1, self.fallback(char), [at]
+            else:
+                before[at], last[at] = starts[best], (ids[piece],)
+                starts = [starts[i] for i in kept]
+                starts.append(at)
+            if at - done > longest and starts[0] > done:
                 # the window is full: the boundary that all open paths run through
-                sure = here
-                for _, start in alive:
-                    while sure is not start:
-                        if sure.at > start.at:
-                            sure = sure.before
+                sure = at
+                for start in starts:
+                    while sure != start:
+                        if sure > start:
+                            sure = before[sure]
                         else:
-                            start = start.before
-                if sure.at > done.at:
-                    yield from self._ids(sure, done)
+                            start = before[start]
+                if sure > done:
+                    yield from self._path(before, last, sure, done)
+                    for old in range(done, sure):  # no open path needs them
+                        before.pop(old, None)
+                        last.pop(old, None)
                     done = sure
-        yield from self._ids(here, done)
+        yield from self._path(before, last, at, done)
 
     @staticmethod
-    def _ids(path: Path, done: Path) -> Iterator[tuple[int, ...]]:
+    def _path(before: dict[int, int], last: dict[int, tuple[int, ...]], end: int, done: int) -> list[int]:
+        out: list[tuple[int, ...]] = []
+        while end != done:
+            out.append(last[end])
+            end = before[end]
+        return [i for ids in reversed(out) for i in ids]
+
+    def _forget(self) -> None:
+        """Start the remembered moves anew."""
+        self.states: list[tuple[tuple[int, str | None], ...]] = [((0, None),)]
+        self.number = {self.states[0]: 0}
+        self.moves: dict[tuple[int, str], tuple[int, tuple[int, ...], int, str | None]] = {}
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a whole text.  Spaces become ``SPACE`` and one goes in front.
+        Two characters that stand side by side in no piece are parted for
+        certain, so the stream is fed unit by unit and frequent units are
+        remembered."""
         out = []
-        step = path
-        while step is not done:
-            out.append(step.ids)
-            step = step.before
-        path.before = None  # what is committed needs no way back
-        return reversed(out)
-
-    def encode(self, text: str) -> list[int]:
-        """Ids of a whole text.  Spaces become ``SPACE`` and one goes in front;
-        no piece spans the front of a run of spaces, so the stream is fed run
-        by run and frequent ones are remembered."""
-        out: list[int] = []
-        for word in self._runs(text):
-            ids = self.words.get(word)
-            if ids is None:
-                ids = tuple(i for some in self.viterbi(iter(word)) for i in some)
-                if len(word) <= 48:
-                    if len(self.words) >= MAX_WORDS:
-                        self.words.clear()
-                    self.words[word] = ids
-            out += ids
-        return out
-
-    @staticmethod
-    def _runs(text: str) -> Iterator[str]:
-        if not text:
-            return
-        parts = (SPACE + text.replace(" ", SPACE)).split(SPACE)
-        spaces = 0
-        for part in parts[1:]:
-            spaces += 1
-            if part:
-                yield SPACE * spaces + part
-                spaces = 0
-        if spaces:
-            yield SPACE * spaces
+        for units in self._units(text):
+            found = list(map(self.words.get, units))
+            for i, ids in enumerate(found):
+                if ids is None:
+                    found[i] = self._new(units[i])
+            out += found
+        return np.frombuffer(b"".join(out), "<u4")
+
+    def _new(self, unit: bytes) -> bytes:
+        """Ids of a unit that the younger memory lacks; when that is full it
+        becomes the older one, so frequent units stay known."""
+        ids = self.older.get(unit)
+        if ids is None:
+            ids = np.array(list(self.viterbi(unit.decode())), "<u4").tobytes()
+        if len(unit) <= 64:
+            if len(self.words) >= MAX_WORDS:
+                self.words, self.older = {}, self.words
+            self.words[unit] = ids
+        return ids
+
+    def _units(self, text: str) -> Iterator[list[bytes]]:
+        """The parts of a text between certain cuts, block by block."""
+        rest = SPACE if text else ""
+        for at in range(0, len(text), BLOCK):
+            part = rest + text[at : at + BLOCK].replace(" ", SPACE)
+            data = part.encode()
+            view = np.frombuffer(data, np.uint8)
+            kind = self.kind[np.frombuffer(part.encode("utf-32-le"), "<u4")]
+            mark = np.zeros(len(view), bool)
+            mark[(view & 0xC0) != 0x80] = np.concatenate([[False], ~self.beside[kind[:-1], kind[1:]]])
+            # a byte that UTF-8 never holds goes before each cut, then one split cuts all
+            place = np.cumsum(mark)
+            out = np.full(len(view) + int(place[-1]), 0xFF, np.uint8)
+            place += np.arange(len(view))
+            out[place] = view
+            units = out.tobytes().split(b"\xff")
+            rest = units.pop().decode()
+            yield units
+        if rest:
+            yield [rest.encode()]
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids; the space in front goes."""
@@ -246,7 +290,7 @@ def encoder(path: str | None = None):
     def encode(texts: pa.Array) -> pa.Array:
         model = _pieces(path)
         return pa.array(
-            [np.array(model.encode(t), "<u4").tobytes() if t else b"" for t in texts.to_pylist()], pa.binary()
+            [model.encode(t).tobytes() if t else b"" for t in each(texts)], pa.binary()
         )
 
     return encode
@@ -258,7 +302,7 @@ def decoder(path: str | None = None):
     @F.arrow_udf(T.StringType())
     def decode(ids: pa.Array) -> pa.Array:
         model = _pieces(path)
-        return pa.array([model.decode(np.frombuffer(x or b"", "<u4")) for x in ids.to_pylist()], pa.string())
+        return pa.array([model.decode(np.frombuffer(x or b"", "<u4")) for x in each(ids)], pa.string())
 
     return decode
 
@@ -270,6 +314,7 @@ def sentence_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pass through, one result each; an empty table gives no rows; other columns
     are not read.  A ``SPACE`` character in a text decodes as a space.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(
         docs[name_of(id_col)].alias("id"), F.coalesce(docs[name_of(text_col)], F.lit("")).alias("text")
     )
