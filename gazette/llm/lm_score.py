@@ -4,15 +4,21 @@ A token is a word, or the end that closes every document.  The tree's root
 holds the counts of all training tokens, absolutely discounted; the discount
 is the chance of an unknown token, one class as in the base score.  A longer
 context (one or two tokens back, ``DEPTH``) is a candidate if some next token
-follows it in at least ``LEAST_SHARE`` of all training tokens, which bounds
-each depth by 1 / LEAST_SHARE entries, and it is retained if a
-likelihood-ratio test tells its next-token distribution from that of its
+follows it ``LEAST`` times, whatever the size of the corpus, and it is retained
+if a likelihood-ratio test tells its next-token distribution from that of its
 suffix.  Distributions are smoothed towards the suffix's; a token scores in
 the longest retained suffix of what stands before it.
 
-Every training document counts.  Words with at least ``COMMON_SHARE`` of the
-training tokens (at most 1 / COMMON_SHARE words) are broadcast; occurrences of
-all others meet their counts in a join, which no frequent word can skew.
+The tree is a written table that grows with the corpus.  The log of a token's
+chance is a sum over n-grams that end at it or before it: that of an unknown
+token, what the word adds, what its retained contexts' back-offs add, and what
+entries (context, token) add.  So the table has one number for each such
+n-gram.  The ``HEAD_KEYS`` most frequent n-grams are broadcast; occurrences of
+all others meet their numbers in a join, which no frequent n-gram can skew.
+A bitmap, which only ever saves rows, tells which n-grams are surely in no table.
+
+Every training document counts.  Words and n-grams are told apart by 64-bit
+hashes (a hundred million of them share one with a chance of about 3e-4).
 """
 
 from __future__ import annotations
@@ -24,20 +30,28 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazette.llm.common import bounded_batches, byte_list, fold, materialise, name_of, slices
-from gazette.llm.shingles import word_blocks
+from gazette.llm.shingles import _scramble, word_blocks
 
 DEPTH = 2
-LEAST_SHARE = 1e-5
+#: Occurrences that make an entry (context, next token); the same for any corpus.
+LEAST = 2
+#: Bound of the broadcast part of the table, in n-grams.
+HEAD_KEYS = 1_000_000
+#: Words with this share of the training tokens (at most 1 / COMMON_SHARE) are joined by broadcast.
 COMMON_SHARE = 2e-6
+#: Bits of a bitmap of hashes, as a power of two.
+BITS = 28
+#: Tokens that a task looks up at a time.
+PIECE = 200_000
 #: Weight of the suffix's distribution, in observations.
 PRIOR = 4.0
 #: Standard deviations by which a likelihood ratio must exceed chance.
 SIGMAS = 4.0
-#: Words or contexts that a task counts before it hands them on.
+#: Words or n-grams that a task counts before it hands them on.
 HELD = 400_000
 
 #: Stands for the end among words; no word holds a space.
@@ -64,6 +78,99 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows(counts)
 
 
+_LAST = np.array([xxhash.xxh3_64_intdigest(END)], np.uint64)
+
+# FIXED VALUES: odd multipliers that tell the kinds of n-grams and their positions apart.
+_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+BACK_OFF, ENTRY = 1, 2
+
+
+def key_of(kind: int, *words: np.ndarray) -> np.ndarray:
+    """Key of n-grams of word hashes; a word alone is its own key."""
+    out = np.uint64(kind * 8 + len(words))
+    for word, mix in zip(words, _MIX):
+        out = _scramble(out ^ (word.view(np.uint64) * mix))
+    return out
+
+
+def runs(text: bytes) -> Iterator[tuple[np.ndarray, int]]:
+    """Word hashes of a text, block by block, the end included; the second
+    number says how many at the start only repeat what stood before."""
+    tail = np.empty(0, np.uint64)
+    parts = word_blocks(text.lower())
+    words = next(parts, [])
+    while words is not None:
+        after = next(parts, None)
+        found = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        whole = np.concatenate([tail, found] if after is not None else [tail, found, _LAST])
+        yield whole, len(tail)
+        tail = whole[-DEPTH:]
+        words = after
+
+
+@dataclass
+class Tokens:
+    """Tokens of several runs: hash, number of the text, and place in the run
+    (so many tokens before it are known), without those that repeat."""
+
+    words: np.ndarray
+    text: np.ndarray
+    place: np.ndarray
+    new: np.ndarray
+
+    def at(self, depth: int) -> np.ndarray:
+        """Tokens that have ``depth`` tokens before them."""
+        return np.flatnonzero(self.new & (self.place >= depth))
+
+
+def pieces(texts: list[bytes], size: int) -> Iterator[Tokens]:
+    """The tokens of texts, about ``size`` of them at a time."""
+    held: list[tuple[int, np.ndarray, int]] = []
+    n = 0
+
+    def whole() -> Tokens:
+        sizes = [len(w) for _, w, _ in held]
+        place = np.concatenate([np.arange(k) for k in sizes])
+        lead = np.repeat([x for _, _, x in held], sizes)
+        return Tokens(
+            np.concatenate([w for _, w, _ in held]), np.repeat([i for i, _, _ in held], sizes), place, place >= lead
+        )
+
+    for i, text in enumerate(texts):
+        for words, lead in runs(text):
+            held.append((i, words, lead))
+            n += len(words)
+            if n >= size:
+                yield whole()
+                held.clear()
+                n = 0
+    if held:
+        yield whole()
+
+
+def bitmap(rows: DataFrame, key: str) -> np.ndarray:
+    """One bit for the top ``BITS`` bits of each key."""
+    words, each = 1 << (BITS - 6), 1 << 12
+
+    def section(key: tuple, found: pa.Table) -> pa.Table:
+        out = np.zeros(each, np.int64)
+        out[found["at"].to_numpy() % each] = found["bits"].to_numpy()
+        return pa.table({"part": [key[0].as_py()], "section": [out.tobytes()]})
+
+    place = rows.select(F.shiftrightunsigned(F.col(key), 64 - BITS).alias("place"))
+    bits = place.selectExpr("shiftright(place, 6) AS at", "shiftleft(1L, CAST(place & 63 AS INT)) AS bit")
+    bits = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).withColumn("part", F.shiftright("at", 12))
+    out = np.zeros(words, np.uint64)
+    for row in bits.groupBy("part").applyInArrow(section, "part bigint, section binary").toLocalIterator():
+        out[row["part"] * each : (row["part"] + 1) * each] = np.frombuffer(row["section"], np.uint64)
+    return out
+
+
+def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = keys >> np.uint64(64 - BITS)
+    return (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
 def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of keys in an ascending table, and whether they are there."""
     if not len(table):
@@ -74,155 +181,140 @@ def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Level:
-    """Candidate contexts of one depth.  A context is the place of its suffix
-    context among the candidates before, and the token one further back; its
-    entries are (context, next token)."""
+    """The candidate contexts of one depth that are in the head."""
 
-    names: np.ndarray  # suffix << 32 | token before it, ascending
     retained: np.ndarray
-    back_off: np.ndarray  # log10 of the factor for tokens without an entry
-    keys: np.ndarray  # context << 32 | next, ascending
-    counts: np.ndarray
-    logs: np.ndarray
-
-    def occurrences(self, suffix: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """How often pairs (``before``, the context ``suffix``) occurred, for a
-        first level: as often as the second token followed the first."""
-        place, _ = _find(self.names, before)
-        entry, _ = _find(self.keys, place << 32 | (self.names[suffix] & 0xFFFFFFFF))
-        return self.counts[entry]
 
 
 @dataclass
 class SuffixTree:
-    """Common tokens by number, their root scores, and the deeper levels."""
+    """The head of the table (keys ascending, what each adds, word counts) and
+    a bitmap of the keys of the rest, ``tail`` (key, adds, c)."""
 
-    number: dict[bytes, int]
-    counts: np.ndarray
     total: int
     unknown: float
     discount: float
+    keys: np.ndarray
+    adds: np.ndarray
+    counts: np.ndarray
+    bits: np.ndarray
+    number: dict[bytes, int] = field(default_factory=dict)
     levels: list[Level] = field(default_factory=list)
-
-    def __post_init__(self) -> None:
-        self.root = self.root_log(self.counts)
-
-    def root_log(self, counts):
-        """log10 P of tokens by their training count, without context."""
-        if not self.total:
-            return np.zeros(np.shape(counts))
-        return np.log10(np.where(counts > 0, np.maximum(counts - self.discount, 1e-9), self.unknown) / self.total)
-
-    def numbers(self, text: bytes) -> np.ndarray:
-        """Token numbers of a text, the end included; -1 for words that are not common."""
-        parts = [
-            np.fromiter((self.number.get(w, -1) for w in words), np.int64, len(words))
-            for words in word_blocks(text.lower())
-        ]
-        return np.concatenate([*parts, [self.number[END]] if END in self.number else [-1]]).astype(np.int64)
-
-    def contexts(self, tokens: np.ndarray) -> list[np.ndarray]:
-        """For each depth, the candidate context before every token, or -1."""
-        out, place = [], np.zeros(len(tokens), np.int64)
-        for depth, level in enumerate(self.levels, 1):
-            before = np.full(len(tokens), -1, np.int64)
-            before[depth:] = tokens[:-depth]
-            ask = np.flatnonzero((place >= 0) & (before >= 0))
-            at, known = _find(level.names, place[ask] << 32 | before[ask])
-            place = np.full(len(tokens), -1, np.int64)
-            place[ask[known]] = at[known]
-            out.append(place)
-        return out
-
-    def logs(self, tokens: np.ndarray) -> np.ndarray:
-        """log10 P of each token in its longest retained context; of tokens
-        that are not common, the back-off alone."""
-        out = np.where(tokens >= 0, self.root[tokens], 0.0) if len(self.root) else np.zeros(len(tokens))
-        for level, place in zip(self.levels, self.contexts(tokens)):
-            use = np.flatnonzero(place >= 0)
-            use = use[level.retained[place[use]]]
-            at, seen = _find(level.keys, np.where(tokens[use] >= 0, place[use] << 32 | tokens[use], -1))
-            out[use] = np.where(seen, level.logs[at] if len(level.logs) else 0.0, out[use] + level.back_off[place[use]])
-        return out
-
-    def grow(self, suffix: np.ndarray, before: np.ndarray, token: np.ndarray, c: np.ndarray, n: np.ndarray) -> None:
-        """Add a depth: ``c`` times ``token`` followed the context of
-        ``before`` and candidate ``suffix``, which occurred ``n`` times."""
-        names, first, group = np.unique(suffix << 32 | before, return_index=True, return_inverse=True)
-        keys = group.astype(np.int64) << 32 | token
-        order = np.argsort(keys)
-        keys, group, token, c = keys[order], group[order], token[order], c[order].astype(float)
-        size, many = n[first].astype(float), len(names)
-        shorter = 10.0 ** self._shorter(suffix[order], token)
-        chance = (c + PRIOR * shorter) / (size[group] + PRIOR)
-        sums = lambda x: np.bincount(group, x, many).astype(float)
-        rest, rest_shorter = np.maximum(1 - sums(chance), 1e-12), np.maximum(1 - sums(shorter), 1e-12)
-        left = np.maximum(size - sums(c), 0)
-        ratio = 2 * sums(c * np.log(c / size[group] / shorter))
-        ratio += 2 * left * np.log(np.maximum(left / size, 1e-12) / rest_shorter)
-        free = sums(np.ones(len(c)))
-        retained = ratio > free + SIGMAS * np.sqrt(2 * free)
-        self.levels.append(Level(names, retained, np.log10(rest / rest_shorter), keys, c.astype(np.int64), np.log10(chance)))
-
-    def _shorter(self, suffix: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """log10 P of tokens in the candidate suffix contexts of the last level."""
-        out = self.root[token]
-        if self.levels:
-            chain, place = [], suffix
-            for level in reversed(self.levels):
-                chain.append((level, place))
-                place = level.names[place] >> 32
-            for level, place in reversed(chain):
-                at, seen = _find(level.keys, place << 32 | token)
-                deeper = np.where(seen, level.logs[at], out + level.back_off[place])
-                out = np.where(level.retained[place], deeper, out)
-        return out
-
-
-def _count_contexts(tree):
-    """Partial counts (suffix, before, token, c) of the next depth, where the
-    suffix is a candidate that has an entry for the token (a longer context
-    cannot be more frequent) and the token before it is common."""
+    tail: DataFrame | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"tail": None, "number": {}, "levels": []}
+
+    @property
+    def unknown_log(self) -> float:
+        return float(np.log10(max(self.unknown, 1e-9) / self.total)) if self.total else 0.0
+
+    def grams(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of all n-grams that add to the tokens' logs, and the tokens."""
+        keys, where = [tokens.words[tokens.new]], [np.flatnonzero(tokens.new)]
+        for depth in range(1, DEPTH + 1):
+            at = tokens.at(depth)
+            context = [tokens.words[at - k] for k in range(depth, 0, -1)]
+            keys += [key_of(BACK_OFF, *context), key_of(ENTRY, *context, tokens.words[at])]
+            where += [at, at]
+        return np.concatenate(keys), np.concatenate(where)
+
+    def logs(self, numbers: np.ndarray) -> np.ndarray:
+        """log10 P of each of consecutive tokens, given by ``number``, as far as
+        the head tells; of tokens without a number (-1), the back-off alone."""
+        names = np.array([xxhash.xxh3_64_intdigest(w) for w in self.number] + [1], np.uint64)
+        size = len(numbers)
+        place = np.arange(size)
+        keys, where = self.grams(Tokens(names[numbers], np.zeros(size, int), place, place >= 0))
+        at, seen = _find(self.keys, keys)
+        out = np.bincount(where, np.where(seen, self.adds[at] if len(self.adds) else 0.0, 0.0), size)
+        return out + np.where(numbers >= 0, self.unknown_log, 0.0)
+
+
+def _count_grams(bits, depth: int):
+    """Partial counts of (context, next token); n-grams one shorter that are
+    surely not frequent enough are in no ``bits``."""
+    names = ["w0", "w1", "w2"][: depth + 1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = tree.value
-        depth = len(model.levels) + 1
-        held: dict[str, np.ndarray] = {k: np.empty(0, np.int64) for k in ("high", "low", "c")}
-
-        def fold_in(high: list[np.ndarray], low: list[np.ndarray]) -> None:
-            h, w = np.concatenate([held["high"], *high]), np.concatenate([held["low"], *low])
-            c = np.concatenate([held["c"], np.ones(len(h) - len(held["c"]), np.int64)])
-            order = np.lexsort((w, h))
-            h, w, c = h[order], w[order], c[order]
-            new = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (w[1:] != w[:-1])]) if len(h) else np.empty(0, int)
-            held.update(high=h[new], low=w[new], c=np.add.reduceat(c, new) if len(new) else c)
-
-        def rows() -> pa.RecordBatch:
-            h, w = held["high"], held["low"]
-            out = [h >> 32, h & 0xFFFFFFFF, w, held["c"]]
-            held.update({k: np.empty(0, np.int64) for k in held})
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["suffix", "before", "token", "c"])
-
+        often = bits.value
         for batch in batches:
-            high, low = [], []
-            for text in byte_list(batch.column("text")):
-                tokens = model.numbers(text)
-                place = model.contexts(tokens)[-1] if model.levels else np.zeros(len(tokens), np.int64)
-                before = np.full(len(tokens), -1, np.int64)
-                before[depth:] = tokens[:-depth]
-                use = np.flatnonzero((place >= 0) & (before >= 0) & (tokens >= 0))
-                if model.levels:
-                    use = use[_find(model.levels[-1].keys, place[use] << 32 | tokens[use])[1]]
-                high.append(place[use] << 32 | before[use])
-                low.append(tokens[use])
-            fold_in(high, low)
-            if len(held["c"]) > HELD:
-                yield rows()
-        yield rows()
+            for tokens in pieces(byte_list(batch.column("text")), HELD):
+                at = tokens.at(depth)
+                words = [tokens.words[at - k] for k in range(depth, -1, -1)]
+                if depth == 1:
+                    use = in_bitmap(often, words[0]) & in_bitmap(often, words[1])
+                else:
+                    use = in_bitmap(often, key_of(ENTRY, *words[:-1])) & in_bitmap(often, key_of(ENTRY, *words[1:]))
+                words = [w[use] for w in words]
+                _, first, c = np.unique(key_of(ENTRY, *words), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(w[first].view(np.int64)) for w in words), pa.array(c.astype(np.int64))], [*names, "c"]
+                )
+        pa.default_memory_pool().release_unused()
 
     return run
 
 
+def _with_keys(rows: DataFrame, keys: dict[str, tuple[int, tuple[str, ...]]]) -> DataFrame:
+    """Rows with the keys of n-grams of their word columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [
+                key_of(kind, *(batch.column(w).to_numpy(zero_copy_only=False).view(np.uint64) for w in words)).view(np.int64)
+                for kind, words in keys.values()
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, made)], [*batch.schema.names, *keys])
+
+    kinds = ", ".join(f"{c} {k}" for c, k in rows.dtypes)
+    return rows.mapInArrow(run, ", ".join([kinds, *(f"{k} bigint" for k in keys)]))
+
+
+def _hashed(counted: DataFrame) -> DataFrame:
+    """(w, c) of the words' hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("word").to_pylist()
+            found = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(found), batch.column("c")], ["w", "c"])
+
+    return counted.select("word", "c").mapInArrow(run, "w bigint, c bigint")
+
+
+def _meet(rows: DataFrame, column: str, table: DataFrame, often: Column, values: list[str]) -> DataFrame:
+    """Rows with ``values`` of the table's row whose ``w`` is ``column``.  The
+    few frequent ones are broadcast; rows that met them are dealt by all they hold."""
+    few = table.filter(often).select(F.col("w").alias(column), *[F.col(v).alias(f"few_{v}") for v in values])
+    rest = table.filter(~often).select(F.col("w").alias("rest_w"), *[F.col(v).alias(f"rest_{v}") for v in values])
+    rest = rest.withColumn("rest_met", F.lit(False))
+    both = rows.join(F.broadcast(few), column, "left").withColumn("met", F.col(f"few_{values[0]}").isNotNull())
+    both = both.withColumn("deal", F.when(F.col("met"), F.xxhash64(*rows.columns)).otherwise(F.col(column)))
+    both = both.join(rest, (F.col("deal") == F.col("rest_w")) & (F.col("met") == F.col("rest_met")), "left")
+    return both.select(*rows.columns, *[F.coalesce(f"few_{v}", f"rest_{v}").alias(v) for v in values])
+
+
+def _contexts(entries: DataFrame, sizes: DataFrame, names: list[str]) -> DataFrame:
+    """(context, n, retained, back_off, key) from entries with ``c`` and
+    ``shorter``, the chance in the suffix context, and contexts' sizes ``n``."""
+    seen, n, low, free = F.col("seen"), F.col("n"), F.col("low"), F.col("free")
+    sums = entries.groupBy(*names).agg(
+        F.sum("c").alias("seen"),
+        F.sum("shorter").alias("low"),
+        F.sum(F.col("c") * F.log(F.col("c") / F.col("shorter"))).alias("gain"),
+        F.count(F.lit(1)).cast("double").alias("free"),
+    )
+    rest = F.greatest(1 - (seen + PRIOR * low) / (n + PRIOR), F.lit(1e-12))
+    rest_low = F.greatest(1 - low, F.lit(1e-12))
+    left = F.greatest(n - seen, F.lit(0))
+    ratio = 2 * (F.col("gain") - seen * F.log(n)) + 2 * left * F.log(F.greatest(left / n, F.lit(1e-12)) / rest_low)
+    found = sums.join(sizes, names).select(
+        *names, "n", (ratio > free + SIGMAS * F.sqrt(2 * free)).alias("retained"), F.log10(rest / rest_low).alias("back_off")
+    )
+    return _with_keys(found, {"key": (BACK_OFF, tuple(names))})
+
+
 def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tuple[SuffixTree, int, int, int]:
     """The tree, N, V and the number of training documents, from the training
     texts and their (word, c) table."""
@@ -233,74 +325,137 @@ def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tup
         F.count_if(F.col("c") == 1),
         F.count_if(F.col("c") == 2),
     ).first()
-    often = counted.filter((F.col("c") >= max(1.0, COMMON_SHARE * n)) | (F.col("word") == END)).toPandas()
-    often = often.sort_values(["c", "word"], ascending=[False, True])
     discount = min(0.9, max(0.1, once / max(once + 2 * twice, 1)))
-    counts = often["c"].to_numpy(np.int64)
-    tree = SuffixTree(dict(zip(map(bytes, often["word"]), range(len(often)))), counts, int(n), discount * v, discount)
-    least = max(2.0, LEAST_SHARE * n)
-    # only tokens frequent enough to stand in an entry are numbered for counting
-    for depth in range(1, DEPTH + 1):
-        numbers = {w: i for w, i in tree.number.items() if counts[i] >= least}
-        counter = spark.sparkContext.broadcast(
-            SuffixTree(numbers, counts, tree.total, tree.unknown, discount, tree.levels)
-        )
-        found = (
-            texts.mapInArrow(_count_contexts(counter), "suffix bigint, before bigint, token bigint, c bigint")
-            .groupBy("suffix", "before", "token")
-            .agg(F.sum("c").alias("c"))
-            .filter(F.col("c") >= least)
-            .toPandas()
+    unknown, total = discount * v, float(max(n, 1))
+    common = F.col("c") >= max(1.0, COMMON_SHARE * n)
+    words = materialise(spark, _hashed(counted), "word-hashes")
+    chance = (F.col("c") - discount) / total
+
+    def counts(depth: int, bits: np.ndarray) -> DataFrame:
+        names = [f"w{i}" for i in range(depth + 1)]
+        found = texts.mapInArrow(
+            _count_grams(spark.sparkContext.broadcast(bits), depth), ", ".join(f"{x} bigint" for x in [*names, "c"])
         )
-        suffix, before, token, c = (found[x].to_numpy(np.int64) for x in ("suffix", "before", "token", "c"))
-        size = tree.levels[0].occurrences(suffix, before) if tree.levels else counts[before]
-        tree.grow(suffix, before, token, c, size)
+        return found.groupBy(*names).agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST)
+
+    smooth = F.log10((F.col("c") + PRIOR * F.col("shorter")) / (F.col("n") + PRIOR))
+    longer = F.log10("shorter")
+
+    # first level: contexts of one token
+    pairs = counts(1, bitmap(words.filter(F.col("c") >= LEAST), "w"))
+    entries = _meet(pairs, "w1", words.select("w", chance.alias("shorter"), "c"), common, ["shorter"])
+    entries = materialise(spark, entries, "entries-1")
+    first = materialise(spark, _contexts(entries, words.select(F.col("w").alias("w0"), F.col("c").alias("n")), ["w0"]), "contexts-1")
+    known = first.select(F.col("w0").alias("w"), F.col("n").alias("c"), "n", "retained", "back_off")
+    full = _meet(entries, "w0", known, common, ["n", "retained", "back_off"])
+    log = F.when(F.col("retained"), smooth).otherwise(longer)
+    full = full.select("w0", "w1", "c", "retained", log.alias("log"), (log - longer - F.col("back_off")).alias("adds"))
+    pairs = materialise(spark, _with_keys(full, {"key": (ENTRY, ("w0", "w1"))}), "pairs")
+
+    # second level: contexts of two tokens
+    suffix = pairs.select(F.col("w0").alias("w1"), F.col("w1").alias("w2"), F.pow(F.lit(10.0), "log").alias("shorter"))
+    entries = materialise(spark, counts(2, bitmap(pairs, "key")).join(suffix, ["w1", "w2"]), "entries-2")
+    second = materialise(
+        spark, _contexts(entries, pairs.select("w0", "w1", F.col("c").alias("n")), ["w0", "w1"]), "contexts-2"
+    )
+    deeper = entries.join(second.filter("retained").select("w0", "w1", "n", "back_off"), ["w0", "w1"])
+    deeper = deeper.select("w0", "w1", "w2", "c", (smooth - longer - F.col("back_off")).alias("adds"))
+    triples = _with_keys(deeper, {"key": (ENTRY, ("w0", "w1", "w2"))}).select("key", "adds", "c")
+    triples = materialise(spark, triples, "triples")
+
+    # one table: key, what it adds, how often it occurs, and the count of a word
+    unknown_log = float(np.log10(max(unknown, 1e-9) / total))
+    zero = F.lit(0).cast("bigint").alias("count")
+    parts = [words.select(F.col("w").alias("key"), (F.log10(chance) - unknown_log).alias("adds"), "c", F.col("c").alias("count"))]
+    parts += [x.filter("retained").select("key", F.col("back_off").alias("adds"), F.col("n").alias("c"), zero) for x in (first, second)]
+    parts += [pairs.filter("retained").select("key", "adds", "c", zero), triples.select("key", "adds", "c", zero)]
+    table = parts[0]
+    for part in parts[1:]:
+        table = table.unionByName(part)
+    step = F.floor(8 * F.log2("c")).cast("int")
+    table = table.withColumn("step", step)
+    least, held = 1 << 30, 0
+    for row in sorted(table.groupBy("step").count().collect(), key=lambda r: -r["step"]):
+        held += row["count"]
+        if held > HEAD_KEYS:
+            break
+        least = row["step"]
+    head = table.filter(F.col("step") >= least).select("key", "adds", "count").toPandas()
+    keys = head["key"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    tail = table.filter(F.col("step") < least).select("key", "adds", "count")
+    tree = SuffixTree(
+        int(n),
+        unknown,
+        discount,
+        keys[order],
+        head["adds"].to_numpy(float)[order],
+        head["count"].to_numpy(np.int64)[order],
+        bitmap(tail, "key"),
+        tail=tail,
+    )
+    often = counted.filter(common | (F.col("word") == END)).select("word", "c").toPandas()
+    often = often.sort_values(["c", "word"], ascending=[False, True])
+    tree.number = dict(zip(map(bytes, often["word"]), range(len(often))))
+    for contexts in (first, second):
+        some = contexts.filter(F.floor(8 * F.log2("n")) >= least).select("retained").toPandas()
+        tree.levels.append(Level(some["retained"].to_numpy(bool)))
     return tree, int(n), int(v), int(ends)
 
 
-_ROWS = "id {kind}, h bigint, held_out boolean, word binary, tf bigint, n_tokens bigint, n_known bigint, base double, score double"
+_ROWS = "id {kind}, d bigint, held_out boolean, key bigint, tf bigint, n_tokens bigint, n_known bigint, base double, score double"
 
 
 def _score(tree):
     """For every document one row with what is known here, and one for each
-    distinct word that is not common."""
+    distinct n-gram that may be in the tail."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = tree.value
-        base = np.log10(model.counts + 1.0)
         for batch in slices(batches):
-            out: list[list] = [[] for _ in range(7)]
-            origin: list[int] = []
-            for i, text in enumerate(byte_list(batch.column("text"))):
-                h = xxhash.xxh3_64_intdigest(text) - (1 << 63)
-                tokens = model.numbers(text)
-                known = tokens[tokens >= 0]
-                rare: Counter = Counter()
-                for words in word_blocks(text.lower()):
-                    rare.update(w for w in words if w not in model.number)
-                # a word with a space stands in no text and meets no count
-                name = END + h.to_bytes(8, "little", signed=True)
-                head = (h, name, 0, len(tokens), len(known), float(base[known].sum()), float(model.logs(tokens).sum()))
-                for column, value in zip(out, head):
-                    column.append(value)
-                origin.append(i)
-                if rare:
-                    for column, values in zip(out, ([h] * len(rare), rare, rare.values())):
-                        column.extend(values)
-                    for column, zero in zip(out[3:], (0, 0, 0.0, 0.0)):
-                        column.extend([zero] * len(rare))
-                    origin.extend([i] * len(rare))
-            take = pa.array(origin, pa.int64())
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            columns = [pa.array(c, k) for c, k in zip(out, kinds)]
+            size = batch.num_rows
+            sums = {k: np.zeros(size) for k in ("n_tokens", "n_known", "base", "score")}
+            far: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            for tokens in pieces(byte_list(batch.column("text")), PIECE):
+                sums["n_tokens"] += np.bincount(tokens.text[tokens.new], minlength=size)
+                keys, where = model.grams(tokens)
+                text = tokens.text[where]
+                order = np.lexsort((text, keys))
+                keys, text = keys[order], text[order]
+                new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])])
+                tf = np.diff(np.r_[new, len(keys)])
+                keys, text = keys[new], text[new]
+                at, seen = _find(model.keys, keys)
+                here, found = at[seen], text[seen]
+                c = model.counts[here]
+                sums["score"] += np.bincount(found, tf[seen] * model.adds[here], size)
+                sums["base"] += np.bincount(found, tf[seen] * np.log10(c + 1.0), size)
+                sums["n_known"] += np.bincount(found, tf[seen] * (c > 0), size)
+                ask = np.flatnonzero(~seen)
+                ask = ask[in_bitmap(model.bits, keys[ask])]
+                far.append((text[ask], keys[ask].view(np.int64), tf[ask]))
+            sums["score"] += sums["n_tokens"] * model.unknown_log
+            d = batch.column("d")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(take), columns[0], batch.column("held_out").take(take), *columns[1:]],
-                ["id", "h", "held_out", "word", "tf", "n_tokens", "n_known", "base", "score"],
-            )
+                [batch.column("id"), d, batch.column("held_out"), d, pa.array(np.zeros(size, np.int64)),
+                 *(pa.array(sums[k].astype(np.int64)) for k in ("n_tokens", "n_known")),
+                 *(pa.array(sums[k]) for k in ("base", "score"))],
+                _NAMES,
+            )
+            for text, keys, tf in far:
+                empty = pa.nulls(len(keys), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(len(keys), batch.column("id").type), d.take(pa.array(text)), pa.nulls(len(keys), pa.bool_()),
+                     pa.array(keys), pa.array(tf), empty, empty, *[pa.nulls(len(keys), pa.float64())] * 2],
+                    _NAMES,
+                )
 
     return run
 
 
+_NAMES = ["id", "d", "held_out", "key", "tf", "n_tokens", "n_known", "base", "score"]
+
+
 def lm_score(
     spark: SparkSession, docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -323,23 +478,25 @@ def lm_score(
         "word-counts",
     )
     tree, n, v, ends = train_tree(spark, texts, counted)
-    scored = rows.mapInArrow(_score(spark.sparkContext.broadcast(tree)), _ROWS.format(kind=dict(rows.dtypes)["id"]))
-    seldom = counted.filter((F.col("c") < max(1.0, COMMON_SHARE * n)) & (F.col("word") != END)).select(
-        F.col("word").alias("counted"), "c"
+    # equal rows have the same number and are told apart at the end
+    asked = rows.withColumn(
+        "d", F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("id").isNull(), F.coalesce("text", F.lit("")))
     )
-    met = scored.join(seldom, scored["word"] == seldom["counted"], "left")
-    tf, c = F.col("tf"), F.coalesce("c", F.lit(0))
-    if n:
-        rare_log = F.log10(F.when(c > 0, c - tree.discount).otherwise(max(tree.unknown, 1e-9)) / float(n))
-    else:
-        rare_log = F.lit(0.0)
-    times = F.count_if(F.col("n_tokens") > 0)
-    whole = met.groupBy("id", "h", "held_out").agg(
+    scored = asked.mapInArrow(_score(spark.sparkContext.broadcast(tree)), _ROWS.format(kind=dict(rows.dtypes)["id"]))
+    met = scored.join(tree.tail.select(F.col("key").alias("known"), "adds", "count"), F.col("key") == F.col("known"), "left")
+    # a document's own row has no n-gram
+    tf = F.when(F.col("known").isNotNull(), F.col("tf")).otherwise(0)
+    adds, c = F.coalesce("adds", F.lit(0.0)), F.coalesce("count", F.lit(0))
+    times = F.count("n_tokens")
+    add = lambda own, more: F.sum(F.coalesce(own, F.lit(0)) + tf * more) / times
+    whole = met.groupBy("d").agg(
+        F.first("id", ignorenulls=True).alias("id"),
+        F.first("held_out", ignorenulls=True).alias("held_out"),
         times.alias("times"),
-        (F.sum("n_tokens") / times).cast("bigint").alias("n_tokens"),
-        (F.sum(F.col("n_known") + F.when(c > 0, tf).otherwise(0)) / times).cast("bigint").alias("n_known"),
-        (F.sum(F.col("base") + tf * F.log10(c + 1)) / times).alias("base"),
-        (F.sum(F.col("score") + tf * rare_log) / times).alias("score"),
+        add("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens"),
+        add("n_known", (c > 0).cast("int")).cast("bigint").alias("n_known"),
+        add("base", F.log10(c + 1)).alias("base"),
+        add("score", adds).alias("score"),
     )
     return whole.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(
         "id",
