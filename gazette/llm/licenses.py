@@ -28,22 +28,46 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-# FIXED VALUES: templates; the wording of the licences is public.
+# FIXED VALUES: what the BSD licences share, with the place of the third clause.
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+      that the following conditions are met: [[1.]] Redistributions of source code must retain the above copyright
+      notice, this list of conditions and the following disclaimer. [[2.]] Redistributions in binary form must
+      reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+      documentation and/or other materials provided with the distribution. CLAUSE This software is provided by
+      {{holder:1-12}} "as is" and any express or implied warranties, including, but not limited to, the implied
+      warranties of merchantability and fitness for a particular purpose are disclaimed. In no event shall
+      {{holder:1-12}} be liable for any direct, indirect, incidental, special, exemplary, or consequential damages
+      (including, but not limited to, procurement of substitute goods or services; loss of use, data, or profits;
+      or business interruption) however caused and on any theory of liability, whether in contract, strict
+      liability, or tort (including negligence or otherwise) arising in any way out of the use of this software,
+      even if advised of the possibility of such damage."""
+
+# FIXED VALUES: whole templates, disclaimers included; the wording of the licences is public.
 TEMPLATES = {
     "mit-text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this
       software and associated documentation files [[(the "Software")]], to deal in the Software without
       restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute,
       sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
       to do so, subject to the following conditions: The above copyright notice and this permission notice
-      [[(including the next paragraph)]] shall be included in all copies or substantial portions of the Software.""",
+      [[(including the next paragraph)]] shall be included in all copies or substantial portions of the Software.
+      The Software is provided "as is", without warranty of any kind, express or implied, including but not
+      limited to the warranties of merchantability, fitness for a particular purpose and noninfringement. In no
+      event shall {{holder:1-12}} be liable for any claim, damages or other liability, whether in an action of
+      contract, tort or otherwise, arising from, out of or in connection with the Software or the use or other
+      dealings in the Software.""",
     "isc-text": """Permission to use, copy, modify, and[[/or]] distribute this software for any purpose with or
       without fee is hereby granted, provided that the above copyright notice and this permission notice appear
-      in all copies.""",
-    "bsd-2-text": """Redistribution and use in source and binary forms, with or without modification, are
-      permitted provided that the following conditions are met: [[1.]] Redistributions of source code must retain
-      the above copyright notice, this list of conditions and the following disclaimer. [[2.]] Redistributions in
-      binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer
-      in the documentation and/or other materials provided with the distribution.""",
+      in all copies. The software is provided "as is" and {{holder:1-12}} disclaims all warranties with regard to
+      this software including all implied warranties of merchantability and fitness. In no event shall
+      {{holder:1-12}} be liable for any special, direct, indirect, or consequential damages or any damages
+      whatsoever resulting from loss of use, data or profits, whether in an action of contract, negligence or
+      other tortious action, arising out of or in connection with the use or performance of this software.""",
+    "bsd-2-text": _BSD.replace("CLAUSE", ""),
+    "bsd-3-text": _BSD.replace(
+        "CLAUSE",
+        """[[3.]] Neither the name of {{holder:1-12}} nor the names of [[its]] contributors may be used to endorse
+      or promote products derived from this software without specific prior written permission.""",
+    ),
     "apache-2-notice": "Licensed under the Apache License[[,]] Version 2[[.0]]",
     "mit-notice": "Released under the [[terms of the]] MIT License",
     "cc-by-nc-notice": "Licensed under [[a]] [[the]] [[Creative Commons]] CC BY NC [[SA]] [[4.0]]",
