@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gazette.llm.common import materialise, name_of
 from gazette.llm.exact_dedup import exact_dedup
-from gazette.llm.language_id import UNKNOWN, held_out, predictor, train
+from gazette.llm.language_id import UNKNOWN, has_letter, held_out, predictor, train
 from gazette.llm.near_dedup import near_dedup
 from gazette.llm.packing import pieces
 
@@ -22,8 +22,11 @@ def _kept(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language is undetermined (no letter at all)."""
+    """Drops documents whose language is undetermined (no letter at all).  If
+    no label taught a language, that is decided without a model."""
     model = train(spark, docs.filter(~held_out(docs["doc_id"])))
+    if not model.languages:
+        return docs.filter(has_letter(docs["text"]))
     whole = docs.select(
         F.struct(*[docs[name_of(c)].alias(c) for c in docs.columns]).alias("row"),
         predictor(model)(docs["text"]).alias("guess"),
