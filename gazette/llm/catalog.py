@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gazette.llm import (
     exact_dedup,
+    importance,
     language_id,
     licenses,
     lm_score,
@@ -30,9 +31,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": licenses.op8_license_scan,
     "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op13_importance_resampling": importance.op13_importance_resampling,
 }
 
 ORACLES: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op5_topk_search": topk_search.ORACLE,
+    "op13_importance_resampling": importance.ORACLE,
 }
