@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gazette.llm import (
+    cover_tree,
+    divergence,
     exact_dedup,
     importance,
     language_id,
@@ -31,11 +33,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": licenses.op8_license_scan,
     "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_source_divergence": divergence.op11_source_divergence,
+    "op12_embedding_near_dedup": cover_tree.op12_embedding_near_dedup,
     "op13_importance_resampling": importance.op13_importance_resampling,
 }
 
 ORACLES: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op5_topk_search": topk_search.ORACLE,
+    "op11_source_divergence": divergence.ORACLE,
+    "op12_embedding_near_dedup": cover_tree.ORACLE,
     "op13_importance_resampling": importance.ORACLE,
 }

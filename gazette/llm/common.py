@@ -96,3 +96,17 @@ def bigram_counts(data: bytes) -> np.ndarray:
             ids = (block[:-1].astype(np.uint16) * np.uint16(37) + block[1:]) & np.uint16(_BIGRAM_BUCKETS - 1)
             out += np.bincount(ids, minlength=_BIGRAM_BUCKETS)
     return out
+
+
+#: Rows of a table that may be broadcast, and copies of a larger one that spread a frequent key.
+SMALL_TABLE, SALTS = 100_000, 16
+
+
+def look_up(rows: DataFrame, table: DataFrame, on: list[str], size: int) -> DataFrame:
+    """Inner join with a table of ``size`` rows, whatever key is frequent in
+    ``rows``: a small table is broadcast, a larger one is copied to salted keys."""
+    if size <= SMALL_TABLE:
+        return rows.join(F.broadcast(table), on)
+    spread = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64(*[F.col(name_of(c)) for c in rows.columns]), F.lit(SALTS)).cast("int")
+    return rows.withColumn("salt", salt).join(spread, [*on, "salt"]).drop("salt")
