@@ -6,8 +6,8 @@ chunk database, and the namespace it publishes to.  ``run_job`` restricts
 the landed captures to the link manifest (nothing is fetched), then to the
 latest of each URL, runs each flow once over its links, looks up only the
 detail pages that listings point to, keeps the ten latest valid items per
-link, and replaces the namespace's folder.  Its outcome (rows, valid rows,
-rejects, items cut, empty and short listings) is a table beside it.
+link, and publishes them as the namespace's live run.  Its outcome (rows, valid
+rows, rejects, items cut, empty and short listings) is part of that run.
 """
 
 from __future__ import annotations
@@ -170,12 +170,8 @@ def run_outcome(candidates: DataFrame, kept: DataFrame, expected: DataFrame) ->
 
 
 def read_outcome(spark: SparkSession, out_path: str) -> DataFrame:
-    """The outcomes that ``run_job`` wrote beside ``out_path``."""
-    return spark.read.parquet(_outcome_path(out_path))
-
-
-def _outcome_path(out_path: str) -> str:
-    return out_path.rstrip("/") + "-runs"
+    """The outcomes that ``run_job`` published with the live runs of ``out_path``."""
+    return S.read_live(spark, out_path, S.OUTCOMES)
 
 
 def run_job(
@@ -242,6 +238,5 @@ def run_job(
     if job.strict:
         require_healthy(outcome, "listing_url")
     if out_path:
-        PUB.publish([(job.namespace, kept)], out_path)
-        outcome.write.mode("overwrite").parquet(f"{_outcome_path(out_path)}/namespace={job.namespace}")
+        PUB.publish([(job.namespace, kept)], out_path, {job.namespace: outcome})
     return kept

@@ -367,26 +367,32 @@ def split(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pubs, rejects
 
 
-def publish(frames: Sequence[tuple[str, DataFrame]], path: str) -> None:
-    """Write candidate frames to their namespaces; frames of one namespace
-    are united.  A namespace is replaced whole, also by an empty run."""
+def publish(
+    frames: Sequence[tuple[str, DataFrame]], path: str, outcomes: dict[str, DataFrame] | None = None
+) -> dict[str, str]:
+    """Publish candidate frames to their namespaces, each as one run (with its
+    outcome, if given) that replaces the namespace's former run at once, also
+    an empty one; frames of one namespace are united.  Returns the runs."""
     by_namespace: dict[str, list[DataFrame]] = {}
     for namespace, df in frames:
         by_namespace.setdefault(namespace, []).append(df)
-    for namespace, parts in by_namespace.items():
-        S.write_namespace(S.union_sources(*parts), path, namespace)
+    return {
+        namespace: S.write_namespace(S.union_sources(*parts), path, namespace, (outcomes or {}).get(namespace))
+        for namespace, parts in by_namespace.items()
+    }
 
 
-def read_publications(spark: SparkSession, path: str) -> DataFrame:
+def read_publications(spark: SparkSession, path: str, runs: dict[str, str] | None = None) -> DataFrame:
+    """The valid rows of the live runs (or of ``runs``, see ``sinks.live_runs``)."""
     return (
-        spark.read.parquet(path)
+        S.read_live(spark, path, runs=runs)
         .filter(F.col("status") == "valid")
         .select(*S.PUBLICATION_COLUMNS, "source", "listing_url", "namespace")
     )
 
 
-def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.parquet(path).filter(F.col("status") == "rejected")
+def read_rejects(spark: SparkSession, path: str, runs: dict[str, str] | None = None) -> DataFrame:
+    df = S.read_live(spark, path, runs=runs).filter(F.col("status") == "rejected")
     return V.reject_rows(df.drop("status"), "source", F.coalesce("web_url", "listing_url")).withColumn(
         "namespace", F.get_json_object("detail", "$.namespace")
     )

@@ -21,8 +21,13 @@ from gazette.functions.text import col
 
 TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
 H1_RE = r"(?is)<h1[^>]*>(.*?)</h1>"
-# an anchor's href with its quotes, if any; other attributes may hold ">" in quotes
-HREF_RE = r"""(?i)<a(?:\s+[^\s=>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)*?\s+href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+# an anchor's href with its quotes, if any; other attributes may hold ">" in quotes.
+# Every loop is possessive, so Java neither recurses nor turns back on long tags, and
+# a name ends at "<", so a page of stray "<a" is read once.
+HREF_RE = (
+    r"""(?i)<a(?:\s++(?!href\s*+=)[^\s=<>"']++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']++))?+)*+"""
+    r"""\s++href\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++)"""
+)
 TAG_RE = r"<[^>]*>"
 #: What a browser does not read as markup.
 UNREAD_RE = r"(?is)<!--.*?(?:-->|$)|<(script|style)\b[^>]*>.*?</\1\s*>"
@@ -47,10 +52,13 @@ def page_hrefs(html: Column | str) -> Column:
     """All anchor hrefs in document order (ARRAY<STRING>): any quotes or none,
     any case, entities decoded; not those in comments or scripts."""
     html = col(html)
-    read = F.when(html.rlike("<!--|(?i:<script|<style)"), F.regexp_replace(html, UNREAD_RE, " ")).otherwise(html)
+    read = F.when(html.rlike("(?i)<(?:!--|script|style)"), F.regexp_replace(html, UNREAD_RE, " ")).otherwise(html)
     quoted = F.regexp_extract_all(read, F.lit(HREF_RE), 1)
-    bare = F.transform(quoted, lambda h: F.regexp_replace(h, "^[\"']|[\"']$", ""))
-    return F.transform(bare, lambda h: F.when(h.contains("&"), T.unescape_basic(h)).otherwise(h))
+
+    def bare(h: Column) -> Column:
+        return F.when(h.startswith('"') | h.startswith("'"), F.substring(h, F.lit(2), F.length(h) - 2)).otherwise(h)
+
+    return F.transform(quoted, lambda h: F.when(h.contains("&"), T.unescape_basic(bare(h))).otherwise(bare(h)))
 
 
 def read_landed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

@@ -179,3 +179,22 @@ def test_short_way_builds_the_parsers_tree(spark):
         b.start()
         short += X._feed_regular(b, page)
     assert short > 1000
+
+
+def test_long_tags_and_stray_anchors(spark):
+    """A crawl holds pages that no browser made; none may end the job."""
+    from gazette.sources.pages import page_hrefs
+
+    words = "word " * 100_000
+    attributes = " ".join(f'k{i}="v{i}"' for i in range(20_000))
+    pages = [
+        "<a " + words,
+        f'<a {attributes} href="/x">y</a>',
+        "<a " * 50_000 + "<a href=/z>",
+        f"<a title='{words}' href=/quoted>x</a>",
+        "<!-- " + words + "<a href=/c>",
+        '<a title="' + words,
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id int, html string")
+    got = {r.page_id: r.h for r in df.select("page_id", page_hrefs("html").alias("h")).collect()}
+    assert got == {0: [], 1: ["/x"], 2: ["/z"], 3: ["/quoted"], 4: [], 5: []}

@@ -47,3 +47,17 @@ def test_local_mode_gets_a_private_folder():
     d = checkpoint_dir(s)
     assert d and s.sparkContext.dir == d
     assert checkpoint_dir(s) == d  # reused, not re-created
+
+
+def test_entry_survives_a_missing_package():
+    """Without a package of the corpus operators, all other queries are there."""
+    import subprocess
+    import sys
+
+    code = (
+        "import sys; sys.modules['xxhash'] = None\n"
+        "import __spark_entry__ as e\n"
+        "from gazette.plans.registry import all_queries\n"
+        "assert set(e.queries()) == set(all_queries()) == set(e.oracle_sql())"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
