@@ -613,3 +613,9 @@ SELECT p_partkey, CAST(1 AS BIGINT) AS n_related, 'R' || p_partkey AS first_rela
        CASE WHEN p_size % 4 > 0 THEN 'C' || p_partkey END AS first_child
 FROM part
 """
+
+ORACLES["q_publish_runs"] = f"""
+SELECT CASE WHEN lang = 'en' THEN 'english' ELSE 'other' END AS namespace, doc_id, title,
+       CASE WHEN len(reasons) = 0 THEN 'valid' ELSE 'rejected' END AS status, CAST(len(reasons) AS BIGINT) AS n_reasons
+FROM ({_DOC_CANDIDATES}) WHERE lang IS DISTINCT FROM 'en' OR doc_id % 2 = 0
+"""

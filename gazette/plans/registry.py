@@ -17,6 +17,6 @@ def register(fn: Query) -> Query:
 
 def all_queries() -> dict[str, Query]:
     """Import every catalog module, then return the registry."""
-    from gazette.plans import catalog, catalog_db, catalog_formats  # noqa: F401
+    from gazette.plans import catalog, catalog_db, catalog_formats, catalog_runs  # noqa: F401
 
     return dict(REGISTRY)

@@ -9,6 +9,7 @@ from fixtures import DL_BODY_PAGE, DL_PAGE, RELATED_DETAIL, SEARCH_PAGE
 from pyspark.sql import functions as F
 from test_flows import HEADER, _rec, _write_db
 
+from gazette.operators import sinks as S
 from gazette.plans import jobs as J
 from gazette.plans import publications as PUB
 
@@ -127,7 +128,7 @@ def test_a_run_replaces_its_whole_namespace(spark, scratch):
     PUB.publish([("mas-news", rejected)], out)
     assert PUB.read_publications(spark, out).filter("namespace = 'mas-news'").count() == 0
     PUB.publish([("mas-news", base.limit(0))], out)
-    assert spark.read.parquet(out).filter("namespace = 'mas-news'").count() == 0
+    assert S.read_live(spark, out).filter("namespace = 'mas-news'").count() == 0
     assert PUB.read_publications(spark, out).filter("namespace = 'ecb-news'").count() == valid.count()
 
 
