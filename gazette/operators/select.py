@@ -16,11 +16,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazette import constants as K
 from gazette.functions.text import col, int_div
+from gazette.session import written
 
 
 def top_n_per_group(
@@ -64,6 +65,24 @@ def ordinal_within(
     )
 
 
+def global_ordinal(
+    spark: SparkSession, df: DataFrame, order: Sequence[Column], out: str = "ordinal", rows_per_part: int = 1 << 20
+) -> DataFrame:
+    """0-based position of each row in a total order over all rows.  Rows are
+    range-partitioned, sorted and written with their place in their partition;
+    only the partitions' sizes (one row for each) are summed in one task."""
+    df = written(spark, df, "unordered")
+    parts = max(1, -(-df.count() // rows_per_part))
+    laid = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    laid = written(spark, laid.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_at", 33)
+    sizes = laid.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)
+    return laid.withColumn("_part", part).join(sizes, "_part").withColumn(out, place).drop("_part", "_before", "_at")
+
+
 def zip_pairs(
     left: DataFrame,
     right: DataFrame,

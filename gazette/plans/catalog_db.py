@@ -4,15 +4,20 @@ so every step runs on the whole table."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazette import constants as K
 from gazette.functions import dates as D
 from gazette.functions.text import int_div
+from gazette.operators.select import global_ordinal
 from gazette.plans.registry import register
 from gazette.plans import chunk_writer as W
+from gazette.session import checkpoint_dir, written
 from gazette.sources import chunkdb as C
+from gazette.sources.chunk_source import read_chunkdb
 from gazette.sources.tables import read_table
 
 CHUNK_SIZE = 100
@@ -78,57 +83,57 @@ def q_index_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def q_index_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An index document of ``event_type``, written as JSON and read
-    through the index schema: position, totals, first and last sort ids."""
-    stats = _type_index(spark, sf_dir)
-    per_value = stats.groupBy("value").agg(
-        F.sum("n_records").alias("total_records"),
-        F.array_sort(F.collect_list(F.struct("index_chunk", "first_sort_id", "last_sort_id"))).alias("cut"),
-    )
-    entry = F.struct(
-        "value",
-        "total_records",
-        F.transform("cut", lambda c: c["first_sort_id"]).alias("first_sort_id_per_chunk"),
-        F.transform("cut", lambda c: c["last_sort_id"]).alias("last_sort_id_per_chunk"),
-    )
-    doc = per_value.agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("doc"))
-    return C.index_rows(doc, "event_type").select(
-        F.col("value").alias("event_type"),
-        "index_value_id",
-        "total_records",
-        "number_of_chunks",
-        F.get("first_sort_id_per_chunk", 0).alias("first_sort_id"),
-        F.element_at("last_sort_id_per_chunk", -1).alias("last_sort_id"),
-    )
+    """The index of ``event_type`` written as rows (one JSON line for each
+    value and index chunk) and read back: positions of the values, totals,
+    first and last sort ids."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/gazette-index-{uuid.uuid4().hex}"
+    C.write_index_rows(_type_index(spark, sf_dir), folder)
+    return C.index_values(spark, C.read_index_rows(spark, folder)).withColumnRenamed("value", "event_type")
 
 
 PRUNE_BLOCK = 250  # records of one value of the clustered key
 PRUNE_VALUE = 3
+PRUNE_HEADER = ["event_id", "user_id", "event_type", "block"]
+
+
+def _clustered_database(spark: SparkSession, sf_dir: str) -> str:
+    """``events`` as a chunk database with indexes of ``block``, which is
+    clustered in storage order, and ``event_type``, which is not."""
+    ev = read_table(spark, sf_dir, "events", "event_id", "user_id", "event_type")
+    ev = ev.withColumn("block", int_div("event_id", PRUNE_BLOCK).cast("string"))
+    raw = [F.col("event_id").cast("string"), F.col("user_id").cast("string"), W.json_value("event_type"), W.json_value("block")]
+    indexes = {k: C.index_chunk_stats(ev.select(k, "event_id"), k, "event_id", CHUNK_SIZE) for k in ("block", "event_type")}
+    root = f"{checkpoint_dir(spark).rstrip('/')}/gazette-chunkdb-{uuid.uuid4().hex}"
+    chunks = W.encode_chunks(ev, "event_id", raw, CHUNK_SIZE)
+    return W.write_database(spark, chunks, root, PRUNE_HEADER, CHUNK_SIZE, GROUP_SIZE, ev.count(), indexes)
 
 
 @register
 def q_index_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of a key that is clustered in storage order, read only the data
-    chunks that the index ranges of one value touch, decode them and keep
-    that value's records; ``n_chunks`` is how many were read."""
-    ev = read_table(spark, sf_dir, "events", "event_id")
-    block = int_div("event_id", PRUNE_BLOCK)
-    index = C.index_chunk_stats(ev.select(block.alias("block"), "event_id"), "block", "event_id", CHUNK_SIZE)
-    manifest = ev.select(int_div("event_id", CHUNK_SIZE).alias("chunk_id")).distinct()
-    wanted = C.chunks_for_ranges(index.filter(F.col("value") == PRUNE_VALUE), manifest, CHUNK_SIZE)
-    # the writer's rows are pruned too: no other chunk is built
-    chunks = _event_chunks(spark, sf_dir, wanted)
-    recs = C.decode_chunks(chunks, EVENT_HEADER, CHUNK_SIZE, fields=["event_id", "user_id", "event_type"])
-    read = chunks.agg(F.count(F.lit(1)).alias("n_chunks"))
-    kept = recs.withColumn("id", F.col("event_id").try_cast("bigint")).filter(int_div("id", PRUNE_BLOCK) == PRUNE_VALUE)
-    return kept.select(
+    """``events`` written as a chunk database and read through the source
+    by a value of an indexed key: only the chunks that the index names for it
+    are read (``n_chunks``)."""
+    records = read_chunkdb(spark, _clustered_database(spark, sf_dir), where={"block": [str(PRUNE_VALUE)]})
+    rows = written(spark, records, "pruned")
+    return rows.select(
         "record_id",
-        F.col("id").alias("event_id"),
+        F.col("event_id").try_cast("bigint").alias("event_id"),
         F.col("user_id").try_cast("bigint").alias("user_id"),
-        read.scalar().alias("n_chunks"),
+        rows.agg(F.count_distinct("chunk_id").alias("n")).scalar().alias("n_chunks"),
     )
 
 
+@register
+def q_chunk_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Version list, metadata, index and chunks of a database read
+    by the source: two values of an index and a bound on the record id."""
+    root, fields = _clustered_database(spark, sf_dir), ["event_id", "event_type"]
+    last = read_chunkdb(spark, root, fields).agg(F.max("record_id")).first()[0]
+    half = (-1 if last is None else last) // 2
+    chosen = read_chunkdb(spark, root, fields, {"event_type": ["purchase", "error"]}, (0, half))
+    return chosen.select("record_id", "chunk_id", F.col("event_id").try_cast("bigint").alias("event_id"), "event_type")
+
+
 @register
 def q_chunk_locator(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The address of every data chunk (group = id div group size) and
@@ -142,8 +147,8 @@ def q_chunk_locator(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # index_value_id = position of the value in the key's index document
     stats = _type_index(spark, sf_dir)
-    document = stats.agg(F.sort_array(F.collect_set("value")).alias("values"))
-    value_ids = document.select(F.posexplode("values").alias("value_id", "value"))
+    values = stats.select("value").distinct()
+    value_ids = global_ordinal(spark, values, [F.col("value")], "value_id")
     idx = stats.join(value_ids, "value").select(
         F.lit("index_chunk").alias("kind"),
         F.col("value").alias("key"),

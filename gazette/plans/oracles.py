@@ -619,3 +619,8 @@ SELECT CASE WHEN lang = 'en' THEN 'english' ELSE 'other' END AS namespace, doc_i
        CASE WHEN len(reasons) = 0 THEN 'valid' ELSE 'rejected' END AS status, CAST(len(reasons) AS BIGINT) AS n_reasons
 FROM ({_DOC_CANDIDATES}) WHERE lang IS DISTINCT FROM 'en' OR doc_id % 2 = 0
 """
+
+ORACLES["q_chunk_source"] = """
+SELECT event_id AS record_id, CAST(event_id // 100 AS BIGINT) AS chunk_id, event_id, event_type FROM events
+WHERE event_type IN ('purchase', 'error') AND event_id <= (SELECT max(event_id) // 2 FROM events)
+"""

@@ -316,8 +316,12 @@ def db_publications(
         raise ValueError(f"no version listed under {db_root}")
     root = f"{db_root.rstrip('/')}/{ver['version']}/{ver['hash']}"
     meta = C.read_metadata(spark, root)
-    paths = C.leading_chunk_paths(spark, root, meta, [C.db_type_code(t) for t in types], n)
-    records = C.decode_chunks(C.read_data_chunks(spark, root, paths), meta["header"], int(meta["chunk_size"]))
+    wanted = C.leading_chunks(spark, root, meta, [C.db_type_code(t) for t in types], n)
+    if wanted is None:
+        chunks = C.read_data_chunks(spark, root)
+    else:
+        chunks = C.read_chunk_rows(wanted, root, int(meta["chunk_group_size"]))
+    records = C.decode_chunks(chunks, meta["header"], int(meta["chunk_size"]))
     chosen = C.latest_of_types(records, types, n)
     pubs = C.record_to_publication(chosen, base_url, "", regulator).withColumn("type", F.col("update_type"))
     df = pubs.select(

@@ -18,8 +18,9 @@ the metadata document (one small row) is read on the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ from gazette.functions import dates as D
 from gazette.functions import text as T
 from gazette.functions import urls as U
 from gazette.functions.text import col, int_div
+from gazette.operators.select import global_ordinal
+from gazette.sources.chunk_source import INDEX_BUCKETS, file_bytes
 
 CHILD_FIELDS = 11  # id, timestamp, year, month, day, 4 unused, pdf list, metadata
 
@@ -143,11 +146,40 @@ def index_rows(doc: DataFrame, key: str) -> DataFrame:
     )
 
 
-def read_data_chunks(spark: SparkSession, versioned_root: str, paths: Sequence[str] | None = None) -> DataFrame:
-    """Data chunk files → ``(chunk_id, chunk)``; one task per file, the id
-    taken from the file name."""
-    src = list(paths) if paths else [f"{versioned_root.rstrip('/')}/data/*/chunk_*.json"]
-    df = spark.read.text(src, wholetext=True)
+INDEX_ROW_SCHEMA = "value string, index_chunk bigint, first_sort_id bigint, last_sort_id bigint, n_records bigint"
+
+
+def write_index_rows(stats: DataFrame, path: str) -> None:
+    """An index as rows: one JSON line for each value and index chunk
+    (``index_chunk_stats``), dealt to buckets by the value, so that looking one
+    value up reads one bucket and no index is ever one document."""
+    bucket = F.pmod(F.crc32(F.col("value").cast("string").cast("binary")), F.lit(INDEX_BUCKETS)).cast("int")
+    rows = stats.select(F.col("value").cast("string").alias("value"), "index_chunk", "first_sort_id", "last_sort_id", "n_records")
+    rows.withColumn("bucket", bucket).write.partitionBy("bucket").json(path)
+
+
+def read_index_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of an index, as ``index_chunk_stats`` made them."""
+    return spark.read.schema(f"{INDEX_ROW_SCHEMA}, bucket int").json(path).drop("bucket")
+
+
+def index_values(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """An index's rows → one for each value: its position among the values
+    (``index_value_id``), totals, and the first and last sort id.  Values are
+    combined before the shuffle, and numbered by range, not in one task."""
+    values = rows.groupBy("value").agg(
+        F.sum("n_records").alias("total_records"),
+        F.count(F.lit(1)).alias("number_of_chunks"),
+        F.min("first_sort_id").alias("first_sort_id"),
+        F.max("last_sort_id").alias("last_sort_id"),
+    )
+    return global_ordinal(spark, values, [F.col("value")], "index_value_id")
+
+
+def read_data_chunks(spark: SparkSession, versioned_root: str) -> DataFrame:
+    """All data chunk files → ``(chunk_id, chunk)``, the id taken from the
+    file name."""
+    df = spark.read.text(f"{versioned_root.rstrip('/')}/data/*/chunk_*.json", wholetext=True)
     return df.select(
         F.regexp_extract(F.input_file_name(), r"chunk_([0-9]+)\.json$", 1).cast("bigint").alias("chunk_id"),
         F.col("value").alias("chunk"),
@@ -357,16 +389,16 @@ def chunks_for_ranges(stats: DataFrame, chunks: DataFrame, chunk_size: int) -> D
     )
 
 
-def leading_chunk_paths(
+def leading_chunks(
     spark: SparkSession, versioned_root: str, meta: dict, codes: Sequence[int], n: int, key: str = "type"
-) -> list[str] | None:
-    """Files of the data chunks that can hold the first ``n`` records of each
+) -> DataFrame | None:
+    """Ids of the data chunks that can hold the first ``n`` records of each
     code, by the index of ``key``; None without such an index.  An index chunk
     names its first and last sort id, so the leading index chunks that hold
     ``n`` records bound them: at most n + 1 ranges of sort ids per code."""
     if key not in (meta.get("indexes") or []):
         return None
-    size, group = int(meta["chunk_size"]), int(meta["chunk_group_size"])
+    size = int(meta["chunk_size"])
     index = read_index(spark, versioned_root, key).filter(F.col("value").isin([str(c) for c in codes]))
     cut = index.select("total_records", F.posexplode(F.arrays_zip("first_sort_id_per_chunk", "last_sort_id_per_chunk")).alias("item", "r"))
     leading = cut.filter(F.col("item") * size < n).select(
@@ -374,9 +406,18 @@ def leading_chunk_paths(
     )
     total = meta.get("total_records") or 0
     chunks = spark.range(0, -(-int(total) // size)).withColumnRenamed("id", "chunk_id")
-    wanted = chunks_for_ranges(leading, chunks, size)
+    return chunks_for_ranges(leading, chunks, size)
+
+
+def read_chunk_rows(chunks: DataFrame, versioned_root: str, group_size: int) -> DataFrame:
+    """``(chunk_id, chunk)`` of the chunks named by rows: each task opens the
+    files of its own ids, so their paths never gather on the driver."""
     root = versioned_root.rstrip("/")
-    named = wanted.select(
-        F.format_string(f"{root}/data/%d/chunk_%d.json", chunk_group("chunk_id", group), "chunk_id").alias("path")
-    )
-    return sorted(r["path"] for r in named.collect())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk_id in batch.column("chunk_id").to_pylist():
+                text = file_bytes(f"{root}/data/{chunk_id // group_size}/chunk_{chunk_id}.json").decode("utf-8", "replace")
+                yield pa.RecordBatch.from_arrays([pa.array([chunk_id], pa.int64()), pa.array([text])], ["chunk_id", "chunk"])
+
+    return chunks.select("chunk_id").mapInArrow(run, "chunk_id bigint, chunk string")
