@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gazette import constants as K
 from gazette.operators import sinks as S
+from gazette.operators import validate as V
 from gazette.plans.catalog import _doc_candidates
 from gazette.plans.registry import register
 from gazette.session import checkpoint_dir, written
+from gazette.sources import pages as P
+from gazette.sources.tables import read_table
+from gazette.streaming import poll as L
+from gazette.streaming.incremental import landing_stream
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -29,3 +35,60 @@ def q_publish_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     S.write_namespace(candidates.filter(english & (F.col("doc_id") % 2 == 0)), table, "english")
     rows = S.read_live(spark, table)
     return rows.select("namespace", "doc_id", "title", "status", F.size("reasons").cast("bigint").alias("n_reasons"))
+
+
+def _landed_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as captures of the users' pages: the page says which event it shows."""
+    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    title = F.concat(F.lit("Event "), F.col("event_id").cast("string"), F.lit(" "), "event_type")
+    return ev.select(
+        F.concat(F.lit("https://www.example.com/users/"), F.col("user_id").cast("string")).alias("url"),
+        F.concat(F.lit("<html><title>"), title, F.lit("</title></html>")).alias("html"),
+        F.col("ts").cast("timestamp").alias("fetched_at"),
+        (F.col("event_id") % 3).alias("landing"),
+    )
+
+
+@register
+def q_poll_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2.10: captures land in files that overlap in time; a poll reads some of
+    them file by file, stops, and a second poll goes on from its checkpoint and
+    state.  What is left is the newest capture of each page, late ones included."""
+    landing, table, checkpoint = (_folder(spark, x) for x in ("landing", "latest", "poll"))
+
+    def transform(pages: DataFrame) -> DataFrame:
+        title = P.page_title("html")
+        return pages.select(
+            F.col("url").alias("listing_url"),
+            F.lit(1).cast("bigint").alias("item_pos"),
+            title.alias("web_title"),
+            F.lit(None).cast("timestamp_ntz").alias("published_at"),
+            F.array_compact(F.array(F.when(~V.title_ok(title), F.lit("title_length")))).alias("reasons"),
+        )
+
+    captures = _landed_captures(spark, sf_dir)
+    for landings in ((1,), (0, 2)):
+        some = captures.filter(F.col("landing").isin(*landings))
+        some.repartition(len(landings), "landing").drop("landing").write.mode("append").parquet(landing)
+        latest = L.poll_pages(spark, landing_stream(spark, landing, max_files_per_trigger=1), transform, table, "users", checkpoint)
+    return L.latest_items(latest).select(
+        "listing_url", "web_title", F.size("reasons").cast("bigint").alias("n_reasons")
+    )
+
+
+@register
+def q_poll_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3/2.10: the ten latest items of each link, kept by polls: each poll adds
+    what it found, cut to ten a link, and deltas are merged into bases."""
+    landing, table, checkpoint = (_folder(spark, x) for x in ("landing", "latest", "poll"))
+    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id")
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint"
+    order = [F.col("ts").desc_nulls_last(), F.col("event_id").asc()]
+    for half in (1, 0):
+        some = ev.filter(F.col("event_id") % 2 == half).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id")
+        some.repartition(3, "event_id").write.mode("append").parquet(landing)
+        stream = landing_stream(spark, landing, schema, max_files_per_trigger=1)
+        latest = L.poll_items(spark, stream, table, "items", "user_id", order, checkpoint)
+    latest.compact()
+    rank = F.row_number().over(Window.partitionBy("user_id").orderBy(*order))
+    return latest.read().select("user_id", rank.cast("bigint").alias("rn"), "event_id").filter(F.col("rn") <= K.PER_LINK_LATEST)

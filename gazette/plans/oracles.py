@@ -624,3 +624,11 @@ ORACLES["q_chunk_source"] = """
 SELECT event_id AS record_id, CAST(event_id // 100 AS BIGINT) AS chunk_id, event_id, event_type FROM events
 WHERE event_type IN ('purchase', 'error') AND event_id <= (SELECT max(event_id) // 2 FROM events)
 """
+
+ORACLES["q_poll_pages"] = """
+SELECT 'https://www.example.com/users/' || user_id AS listing_url,
+       arg_max('Event ' || event_id || ' ' || event_type, ts) AS web_title, CAST(0 AS BIGINT) AS n_reasons
+FROM events GROUP BY user_id
+"""
+
+ORACLES["q_poll_items"] = ORACLES["q_latest_per_link"]
