@@ -8,14 +8,13 @@ terms by one product.
 ``CountVectorizer`` holds its vocabulary on the driver, and that grows with
 the corpus.  So terms are dealt by their hash to as many shards as keep each
 vocabulary within ``SHARD_TERMS``, and each shard is fitted by itself; terms carry
-their language, so one fit serves all languages.  A document has one row in a
+their language (``lang word``), so one fit serves all languages.  A document has one row in a
 shard, so document counts are exact.
 """
 
 from __future__ import annotations
 
 import uuid
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,48 +26,90 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazette.llm.common import bounded_batches, look_up, materialise, name_of
-from gazette.llm.words import NOT_LETTER, words_of
+from gazette.llm.words import NOT_LETTER
 from gazette.session import checkpoint_dir
 
 #: Documents of a language that must hold a term; rows of part ``term`` for each group.
 LEAST_DOCUMENTS, TERMS = 3, 200
 #: CountVectorizer's largest vocabulary.
 NO_LIMIT = 2**31 - 1
-#: Distinct terms that a shard has, about; also what the driver holds of the vocabulary.
-SHARD_TERMS = 1 << 20
+#: Distinct terms that a shard may have, about; the driver holds those of them that are
+#: kept.  One of so many documents is looked at to choose the number of shards.
+SHARD_TERMS, LOOKED_AT = 1 << 20, 8
 UNIT = 1_000_000_000
 
-_DEALT = "lang string, source string, shard int, terms array<string>"
+_DEALT = "lang string, source string, shard int, terms string"
+_LETTER = np.array([c >= 128 or chr(c).isalpha() for c in range(256)])
+
+
+def _escaped(lang: Column) -> Column:
+    """A language without line breaks, which part the terms."""
+    return F.replace(F.replace(lang, F.lit("%"), F.lit("%25")), F.lit("\n"), F.lit("%0A"))
+
+
+def _restored(lang: Column) -> Column:
+    return F.replace(F.replace(lang, F.lit("%0A"), F.lit("\n")), F.lit("%25"), F.lit("%"))
+
+
+def _words(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """The row of each word and the words, in the texts' order; words are runs of
+    letters (all beyond ASCII count as such), A-Z lower-cased."""
+    whole = pc.ascii_lower(texts.cast(pa.large_string()))
+    ends = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset : whole.offset + len(whole) + 1]
+    data = np.frombuffer(whole.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    rows = ends - ends[0]
+    letter = np.concatenate([[False], _LETTER[data], [False]])
+    opens = letter[1:-1] & ~letter[:-2]
+    closes = letter[1:-1] & ~letter[2:]
+    filled = rows[:-1][np.diff(rows) > 0]  # a text's first letter opens a word, its last one closes one
+    opens[filled] = letter[1:-1][filled]
+    lasts = rows[1:][np.diff(rows) > 0] - 1
+    closes[lasts] = letter[1:-1][lasts]
+    starts, stops = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    offsets = np.concatenate([[0], np.cumsum(stops - starts)])
+    letters = pa.py_buffer(data[letter[1:-1]].tobytes())
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets.tobytes()), letters)
+    return np.searchsorted(rows, starts, "right") - 1, words.dictionary_encode()
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    """A hash of each word's bytes."""
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    data = np.frombuffer(words.buffers()[2], np.uint8)[ends[0] : ends[-1]].astype(np.uint64)
+    starts, sizes = ends[:-1] - ends[0], np.diff(ends)
+    powers = np.cumprod(np.full(sizes.max(), 0x9E3779B97F4A7C15, np.uint64))
+    place = np.arange(len(data)) - np.repeat(starts, sizes)
+    mixed = np.add.reduceat((data + np.uint64(1)) * powers[place], starts)
+    return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(17)
 
 
 def _dealt(shards: int):
-    """One row for each document and shard: the document's terms there, each as ``lang term``."""
+    """One row for each document and shard: the document's terms there, one a line, each as ``lang word``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = batch.column("lang").dictionary_encode()
-            lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            owners, words = [np.zeros(0, np.int64)], [pa.array([], pa.string())]
-            for w in words_of(batch.column("text"), NOT_LETTER):
-                owners.append(w.owner[w.segment])
-                words.append(pa.array(w.dictionary, pa.binary()).cast(pa.string()).take(pa.array(w.index)))
-            owner, coded = np.concatenate(owners), pa.concat_arrays(words).dictionary_encode()
-            word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            size = max(len(coded.dictionary), 1)
-            distinct, term = np.unique(lang[owner] * size + word, return_inverse=True)
-            names = pc.binary_join_element_wise(
-                langs.dictionary.cast(pa.string()).take(pa.array(distinct // size)), coded.dictionary.take(pa.array(distinct % size)), " "
-            )
-            home = np.fromiter((zlib.crc32(n.encode()) % shards for n in names.to_pylist()), np.int64, len(names))
-            place = owner * shards + home[term]
-            order = np.argsort(place, kind="stable")
-            rows, starts = np.unique(place[order], return_index=True)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.append(starts, len(order)).astype(np.int32)), names.take(pa.array(term[order]))
-            )
-            row = pa.array(rows // shards)
+            owner, coded = _words(batch.column("text"))
+            names = coded.dictionary
+            word = coded.indices.to_numpy(zero_copy_only=False)
+            home = (_hashes(names) % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)[word]
+            order = np.argsort(home, kind="stable")  # the words of a shard stay in the documents' order
+            home, owner, word = home[order].astype(np.int64), owner[order], word[order]
+            starts = np.flatnonzero((np.diff(home, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0))
+            lists = pa.LargeListArray.from_arrays(pa.array(np.append(starts, len(order))), names.take(pa.array(word)))
+            row = pa.array(owner[starts])
+            none, blank, line = (pa.scalar(x, pa.large_string()) for x in ("", " ", "\n"))
+            prefix = pc.binary_join_element_wise(batch.column("key").take(row).cast(pa.large_string()), none, blank)
+            between = pc.binary_join_element_wise(none, prefix, line)
+            terms = pc.binary_join_element_wise(prefix, pc.binary_join(lists, between), none)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("lang").take(row), batch.column("source").take(row), pa.array((rows % shards).astype(np.int32)), lists],
+                [
+                    batch.column("lang").take(row),
+                    batch.column("source").take(row),
+                    pa.array(home[starts].astype(np.int32)),
+                    terms.cast(pa.string()),
+                ],
                 ["lang", "source", "shard", "terms"],
             )
         pa.default_memory_pool().release_unused()
@@ -77,34 +118,39 @@ def _dealt(shards: int):
 
 
 def _shards(docs: DataFrame) -> int:
-    """Enough shards for the distinct terms of all documents (capitals apart, so not too few)."""
-    words = docs.select("lang", F.explode(F.split("text", NOT_LETTER)).alias("word"))
+    """Enough shards for the distinct terms of all documents.  Every term stands
+    in some document, so among one of ``LOOKED_AT`` documents there are at least
+    that share of all terms, as a rule far more: the product is an upper estimate."""
+    some = docs.filter(F.pmod(F.xxhash64("text"), F.lit(LOOKED_AT)) == 0)
+    words = some.select("lang", F.explode(F.split(F.lower("text"), NOT_LETTER)).alias("word"))
     distinct = words.agg(F.approx_count_distinct(F.xxhash64("lang", "word"), 0.02)).first()[0]
-    return max(1, -(-int(1.1 * distinct) // SHARD_TERMS))
+    return max(1, -(-distinct * LOOKED_AT // SHARD_TERMS))
 
 
 def _sums(vectors: DataFrame) -> DataFrame:
-    """Sums of sparse vectors by group, as (lang, source, idx, n)."""
+    """Sums of sparse vectors by group, as (gid, idx, n)."""
     entry = F.explode(F.arrays_zip(F.col("v.indices").alias("idx"), F.col("v.values").alias("n"))).alias("entry")
-    cells = vectors.select("lang", "source", F.unwrap_udt("vector").alias("v")).select("lang", "source", entry)
-    return cells.groupBy("lang", "source", F.col("entry.idx").alias("idx")).agg(
-        F.sum(F.col("entry.n").cast("bigint")).alias("n")
-    )
+    cells = vectors.select("gid", F.unwrap_udt("vector").alias("v")).select("gid", entry)
+    return cells.groupBy("gid", F.col("entry.idx").alias("idx")).agg(F.sum(F.col("entry.n").cast("bigint")).alias("n"))
 
 
-def group_sums(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(shard, idx, lang, term)`` of all kept terms, and ``(shard, idx, lang,
-    source, n)`` of their occurrences in the groups that have them."""
+_NAMED, _COUNTED = "idx int, name string", "gid bigint, idx int, n bigint"
+
+
+def group_sums(spark: SparkSession, docs: DataFrame, groups: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """``(shard, idx, lang, term)`` of all kept terms, and ``(shard, idx, gid,
+    n)`` of their occurrences in the groups ``(gid, lang, source)`` that have them."""
     bounded_batches(spark)
     shards = _shards(docs)
     root = f"{checkpoint_dir(spark).rstrip('/')}/terms-{uuid.uuid4().hex}"
     spread = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // shards))
-    dealt = docs.select("lang", "source", "text").mapInArrow(_dealt(shards), _DEALT)
+    dealt = docs.select("lang", "source", "text", _escaped(F.col("lang")).alias("key")).mapInArrow(_dealt(shards), _DEALT)
     dealt = dealt.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(spread)))
     dealt = dealt.repartition(shards * spread, "shard", "salt").drop("salt")
     dealt.write.partitionBy("shard").option("compression", "zstd").parquet(f"{root}/dealt")
     for shard in range(shards):  # a few jobs for each SHARD_TERMS terms
         rows = spark.read.schema(_DEALT).parquet(f"{root}/dealt").filter(F.col("shard") == shard)
+        rows = rows.withColumn("terms", F.split("terms", "\n"))
         counter = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(LEAST_DOCUMENTS), vocabSize=NO_LIMIT)
         try:
             model = counter.fit(rows)
@@ -112,25 +158,28 @@ def group_sums(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFra
             if "vocabulary size" not in str(e):
                 raise
             continue  # no term of this shard is in enough documents
-        terms = model.vocabulary
-        named = spark.createDataFrame(pa.table({"idx": pa.array(range(len(terms)), pa.int32()), "name": pa.array(terms)}))
-        named.write.parquet(f"{root}/vocabulary/shard={shard}")
-        _sums(model.transform(rows)).write.parquet(f"{root}/counts/shard={shard}")
-    for kind, schema in (("vocabulary", "idx int, name string"), ("counts", "lang string, source string, idx int, n bigint")):
+        model.save(f"{root}/models/{shard}")
+        names = spark.read.parquet(f"{root}/models/{shard}/data").select(F.posexplode("vocabulary").alias("idx", "name"))
+        names.write.parquet(f"{root}/vocabulary/shard={shard}")
+        vectors = model.transform(look_up(rows, groups, ["lang", "source"], size))
+        _sums(vectors).write.parquet(f"{root}/counts/shard={shard}")
+    for kind, schema in (("vocabulary", _NAMED), ("counts", _COUNTED)):
         # a shard without rows, so that the folder is there
         spark.createDataFrame([], schema).write.parquet(f"{root}/{kind}/shard=-1")
-    vocabulary = spark.read.schema("idx int, name string, shard int").parquet(f"{root}/vocabulary")
-    counts = spark.read.schema("lang string, source string, idx int, n bigint, shard int").parquet(f"{root}/counts")
+    vocabulary = spark.read.schema(f"{_NAMED}, shard int").parquet(f"{root}/vocabulary")
+    counts = spark.read.schema(f"{_COUNTED}, shard int").parquet(f"{root}/counts")
     term = F.substring_index("name", " ", -1)  # terms hold no blank
     lang = F.expr("left(name, char_length(name) - char_length(substring_index(name, ' ', -1)) - 1)")
-    return vocabulary.select("shard", "idx", lang.alias("lang"), term.alias("term")), counts
+    return vocabulary.select("shard", "idx", _restored(lang).alias("lang"), term.alias("term")), counts
 
 
-def share(n: Column | str, total: Column | str, terms: Column | str) -> Column:
+def share(n: str, total: str, terms: str) -> Column:
     """1 + floor(UNIT * (n + 1) / (total + terms)), without overflow; 1 where there are no terms."""
-    n, total, terms = (F.col(c) if isinstance(c, str) else c for c in (n, total, terms))
-    ratio = F.floor(((n + 1).cast("decimal(19,0)") * UNIT) / F.greatest(total + terms, F.lit(1)).cast("decimal(19,0)"))
-    return F.when(terms > 0, 1 + ratio.cast("bigint")).otherwise(F.lit(1).cast("bigint"))
+    below = f"greatest({total} + {terms}, 1)"
+    plain = F.expr(f"({UNIT} * ({n} + 1)) div {below}")
+    large = F.expr(f"cast({UNIT} * cast({n} + 1 as decimal(19, 0)) div cast({below} as decimal(19, 0)) as bigint)")
+    ratio = F.when(F.expr(f"{n} < 9000000000"), plain).otherwise(large)
+    return F.when(F.col(terms) > 0, 1 + ratio).otherwise(F.lit(1).cast("bigint"))
 
 
 def distance(p: str, q: str) -> Column:
@@ -150,55 +199,58 @@ def audit(spark: SparkSession, docs: DataFrame) -> DataFrame:
     fewer than 1e9 terms.
     """
     docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    vocabulary, counts = group_sums(spark, docs)
-
-    terms = vocabulary.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"))
-    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = docs.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(terms, "lang", "left")
-    groups = groups.na.fill(0, ["total", "terms"])
-    overall = F.sum("total").over(Window.partitionBy("lang"))
-    groups = groups.withColumn("overall", overall).withColumn("none", share(F.lit(0), "total", "terms"))
+    groups = docs.select("lang", "source").distinct().withColumn("gid", F.monotonically_increasing_id())
     groups = materialise(spark, groups, "groups")
     size = groups.count()
+    vocabulary, counts = group_sums(spark, docs, groups, size)
 
-    everywhere = F.sum("n").over(Window.partitionBy("lang", "shard", "idx"))
-    cells = look_up(counts.withColumn("all_n", everywhere), groups, ["lang", "source"], size)
-    cells = cells.select(
-        "lang", "source", "shard", "idx", "none", share("n", "total", "terms").alias("p"), share("all_n", "overall", "terms").alias("q")
-    )
+    terms = vocabulary.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"))
+    totals = counts.groupBy("gid").agg(F.sum("n").alias("total"))
+    sized = groups.join(totals, "gid", "left").join(terms, "lang", "left").na.fill(0, ["total", "terms"])
+    overall = F.sum("total").over(Window.partitionBy("lang"))
+    sized = sized.withColumn("overall", overall).withColumn("zero", F.lit(0).cast("bigint"))
+    groups = materialise(spark, sized.withColumn("none", share("zero", "total", "terms")).drop("zero"), "sizes")
+
+    # a term belongs to one language, so (shard, idx) is enough to know it
+    everywhere = F.sum("n").over(Window.partitionBy("shard", "idx"))
+    sizes = groups.select("gid", "none", "total", "overall", "terms")
+    cells = look_up(counts.withColumn("all_n", everywhere), sizes, ["gid"], size)
+    cells = cells.select("gid", "shard", "idx", "none", share("n", "total", "terms").alias("p"), share("all_n", "overall", "terms").alias("q"))
     cells = materialise(spark, cells, "cells")
 
     # terms: those of a group beyond their share in the language
-    above = cells.filter("p > q").join(vocabulary, ["lang", "shard", "idx"])
-    above = above.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), distance("p", "q").alias("value"))
-    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
+    above = cells.filter("p > q").join(vocabulary.select("shard", "idx", "term"), ["shard", "idx"])
+    above = above.select("gid", F.col("term").alias("item"), distance("p", "q").alias("value"))
+    order = Window.partitionBy("gid").orderBy(F.desc("value"), "item")
     above = above.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TERMS)
+    above = above.withColumn("part", F.lit("term"))
 
     # pairs: all terms as if absent from both, corrected for what each holds, and for what both hold
-    other = groups.select("lang", F.col("source").alias("item"), F.col("none").alias("other_none"))
-    pair = ["lang", "source", "item"]
+    other = groups.select("lang", F.col("gid").alias("other"), F.col("none").alias("other_none"))
     absent = distance("none", "other_none")
-    grid = look_up(groups.select("lang", "source", "none", "terms"), other, ["lang"], size).filter("source <> item")
-    grid = grid.select(*pair, (F.col("terms") * absent).alias("value"))
-    levels = cells.groupBy("lang", "source", "none", "p").agg(F.count(F.lit(1)).alias("m"))
-    levels = look_up(materialise(spark, levels, "levels"), other, ["lang"], size).filter("source <> item")
-    mine = levels.select(*pair, (F.col("m") * (distance("p", "other_none") - absent)).alias("value"))
+    grid = look_up(groups.select("lang", "gid", "none", "terms"), other, ["lang"], size).filter("gid <> other")
+    grid = grid.select("gid", "other", (F.col("terms") * absent).alias("value"))
+    levels = cells.groupBy("gid", "none", "p").agg(F.count(F.lit(1)).alias("m"))
+    levels = look_up(levels, groups.select("gid", "lang"), ["gid"], size)
+    levels = look_up(materialise(spark, levels, "levels"), other, ["lang"], size).filter("gid <> other")
+    mine = levels.select("gid", "other", (F.col("m") * (distance("p", "other_none") - absent)).alias("value"))
     theirs = levels.select(
-        "lang",
-        F.col("item").alias("source"),
-        F.col("source").alias("item"),
+        F.col("other").alias("gid"),
+        F.col("gid").alias("other"),
         (F.col("m") * (distance("other_none", "p") - distance("other_none", "none"))).alias("value"),
     )
-    held = cells.select("lang", "shard", "idx", F.col("source").alias("item"), F.col("p").alias("other_p"), F.col("none").alias("other_none"))
-    both = cells.join(held, ["lang", "shard", "idx"]).filter("source <> item")
+    held = cells.select("shard", "idx", F.col("gid").alias("other"), F.col("p").alias("other_p"), F.col("none").alias("other_none"))
+    both = cells.select("shard", "idx", "gid", "none", "p").join(held, ["shard", "idx"]).filter("gid <> other")
     shared = distance("p", "other_p") - distance("p", "other_none") - distance("none", "other_p") + absent
-    parts = [x.groupBy(*pair).agg(F.sum("value").alias("value")) for x in (mine, theirs, both.select(*pair, shared.alias("value")))]
     pairs = grid
-    for part in parts:
-        pairs = pairs.unionByName(part)
-    pairs = pairs.groupBy(*pair).agg(F.sum("value").alias("value"))
-    pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value")
-    return pairs.withColumn("rank", F.row_number().over(order)).unionByName(above)
+    for part in (mine, theirs, both.select("gid", "other", shared.alias("value"))):
+        pairs = pairs.unionByName(part.groupBy("gid", "other").agg(F.sum("value").alias("value")))
+    pairs = pairs.groupBy("gid", "other").agg(F.sum("value").alias("value"))
+    named = groups.select(F.col("gid").alias("other"), F.col("source").alias("item"))
+    pairs = look_up(pairs, named, ["other"], size).select("gid", "item", "value")
+    pairs = pairs.withColumn("rank", F.row_number().over(order)).withColumn("part", F.lit("pair"))
+    found = look_up(pairs.unionByName(above), groups.select("gid", "lang", "source"), ["gid"], size)
+    return found.select("lang", "source", "part", "item", "value", "rank")
 
 
 ORACLE = r"""

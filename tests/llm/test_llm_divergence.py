@@ -68,6 +68,9 @@ ROWS = [
     ("Ünïcode 日本語 İ", "x y", ""),
     ("Ünïcode 日本語", "x y", "é"),
     ("alone", "one", "a"),
+    *[("zeile zeile", "a\nb", s) for s in "abc"],
+    *[("zeile wort", "a%0Ab", s) for s in "abc"],
+    *[("zeile", "a%", s) for s in "abc"],
     ("the " * 30_000 + "cat " * 20_000, "en", "a"),
 ]
 
