@@ -86,16 +86,22 @@ def live_runs(spark: SparkSession, table: str, namespaces: Sequence[str] | None
 
 
 def read_live(
-    spark: SparkSession, table: str, kind: str = CANDIDATES, runs: dict[str, str] | None = None
+    spark: SparkSession,
+    table: str,
+    kind: str = CANDIDATES,
+    runs: dict[str, str] | None = None,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """All rows of the live runs (or of ``runs``, resolved before, so that
-    several reads see one state), with their ``namespace``."""
+    several reads see one state), with their ``namespace``.  ``merge_schema``
+    also reads columns that only some namespaces have."""
     runs = live_runs(spark, table) if runs is None else runs
     if not runs:
         raise FileNotFoundError(f"nothing is published under {table}")
     folders = [_folder(table, kind, n, r) for n, r in sorted(runs.items())]
     base = f"{table.rstrip('/')}/{kind}".rstrip("/")
-    return spark.read.option("basePath", base).parquet(*folders).drop("run")
+    reader = spark.read.option("basePath", base).option("mergeSchema", str(merge_schema).lower())
+    return reader.parquet(*folders).drop("run")
 
 
 def stage(df: DataFrame, table: str, namespace: str, run: str, kind: str = CANDIDATES) -> None:

@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazette import constants as K
+from gazette.functions import dates as D
+from gazette.functions import text as T
+from gazette.functions import variant as J
 from gazette.operators import sinks as S
 from gazette.operators import validate as V
 from gazette.plans.catalog import _doc_candidates
+from gazette.plans.publications import latest_captures
 from gazette.plans.registry import register
 from gazette.session import checkpoint_dir, written
+from gazette.sources import captures as CP
+from gazette.sources import feed as FD
+from gazette.sources import files as FL
 from gazette.sources import pages as P
+from gazette.sources.chunk_source import opened
 from gazette.sources.tables import read_table
 from gazette.streaming import poll as L
 from gazette.streaming.incremental import landing_stream
@@ -92,3 +103,109 @@ def q_poll_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest.compact()
     rank = F.row_number().over(Window.partitionBy("user_id").orderBy(*order))
     return latest.read().select("user_id", rank.cast("bigint").alias("rn"), "event_id").filter(F.col("rn") <= K.PER_LINK_LATEST)
+
+
+# --------------------------------------------------------------------------
+# landed files and free-form JSON
+# --------------------------------------------------------------------------
+def _land(folder: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, path = opened(folder)
+        for batch in batches:
+            for name, content in zip(batch.column("name").to_pylist(), batch.column("content").to_pylist()):
+                fs.create_dir(f"{path}/{name[:2]}")
+                with fs.open_output_stream(f"{path}/{name[:2]}/{name}") as f:  # a retry writes the same bytes
+                    f.write(content)
+            yield pa.RecordBatch.from_arrays([batch.column("name")], ["name"])
+
+    return run
+
+
+@register
+def q_landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents landed as files, a third with a PDF head and all
+    with bytes that are no UTF-8.  Links to some of them, and to some that never
+    landed, meet the listing; only those files are opened, for kind and repaired text."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    number = F.col("doc_id").cast("string")
+    head = F.when(F.col("doc_id") % 3 == 0, F.lit("%PDF-1.4 ")).otherwise(F.lit("page "))
+    content = F.concat(F.concat(head, F.coalesce("text", F.lit(""))).cast("binary"), F.unhex(F.lit("20E9FF20")))
+    folder = _folder(spark, "files")
+    named = docs.select(F.concat(F.lpad(number, 12, "0"), F.lit(".bin")).alias("name"), content.alias("content"))
+    named.mapInArrow(_land(folder), "name string").agg(F.count(F.lit(1))).first()
+
+    url = F.concat(F.lit("https://www.example.com/files/"), number, F.when(F.col("doc_id") % 2 == 0, F.lit("")).otherwise(F.lit("-gone")))
+    links = docs.filter(F.col("doc_id") % 4 < 2).select("doc_id", url.alias("url"))
+    linked = F.nullif(F.regexp_extract("url", "files/([0-9]+)$", 1), F.lit(""))
+    name = F.concat(F.lpad(linked, 12, "0"), F.lit(".bin"))
+    found = FL.linked_files(FL.list_files(spark, folder), links, name)
+    text = T.valid_utf8("content")
+    rows = FL.with_contents(found).withColumn("text", text)
+    return rows.select(
+        "doc_id",
+        F.col("path").isNotNull().alias("found"),
+        F.col("length").alias("n_bytes"),
+        FL.file_kind(F.substring("content", 1, FL.HEAD)).alias("kind"),
+        F.char_length("text").cast("bigint").alias("n_chars"),
+        F.right("text", F.lit(4)).alias("ending"),
+    )
+
+
+@register
+def q_variant_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free-form JSON parsed once as VARIANT and read by typed paths; the
+    texts are ``events.props`` as they are, nested, cut short, as lists and as plain values."""
+    ev = read_table(spark, sf_dir, "events", "event_id", "event_type", "props")
+    case = F.col("event_id") % 5
+    props = (
+        F.when(case == 0, F.col("props"))
+        .when(case == 1, F.concat(F.lit('{"meta": '), "props", F.lit(', "tags": ["'), "event_type", F.lit('", 7]}')))
+        .when(case == 2, F.expr("left(props, char_length(props) - 1)"))
+        .when(case == 3, F.concat(F.lit("["), "props", F.lit(", null]")))
+        .otherwise(F.concat(F.lit('"'), "event_type", F.lit('"')))
+    )
+    fields = {"k": (["$.k", "$.meta.k", "$[0].k"], "bigint"), "tag": ("$.tags[0]", "string"), "n": ("$.tags[1]", "bigint")}
+    return J.decode(ev.select("event_id", props.alias("props")), "props", fields).drop("props")
+
+
+@register
+def q_feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed files in which every seventh item is malformed (a wrong end
+    tag, a bare ampersand, no end at all): the others are candidates as ever, the
+    malformed ones rejects with their text."""
+    pages = read_table(spark, sf_dir, "pages", "page_id", "url", "html").select("page_id", "url", P.page_title("html").alias("title"))
+    pub_date = D.rss_format(F.timestamp_add("HOUR", F.col("page_id") % 300, D.ntz_lit(dt.datetime(2024, 1, 1))))
+    guid = F.concat(F.lit("page-"), F.col("page_id").cast("string"))
+    item = F.to_xml(
+        F.struct(F.col("title"), guid.alias("guid"), F.col("url").alias("link"), pub_date.alias("pubDate")), {"rowTag": "item"}
+    )
+    broken = (
+        F.when(F.col("page_id") % 3 == 0, F.replace(item, F.lit("</link>"), F.lit("</lnk>")))
+        .when(F.col("page_id") % 3 == 1, F.replace(item, F.lit("</link>"), F.lit(" & more</link>")))
+        .otherwise(F.replace(item, F.lit("</item>"), F.lit("")))
+    )
+    folder = _folder(spark, "feeds")
+    pages.select(F.when(F.col("page_id") % 7 == 3, broken).otherwise(item).alias("value")).write.text(folder)
+    rows = FD.entries_to_candidates(FD.read_feeds(spark, folder), dt.datetime(2024, 1, 20))
+    return rows.select(
+        F.col("web_url"),
+        F.col("web_title"),
+        F.array_join("reasons", ",").alias("reasons"),
+        F.regexp_extract("malformed", "<guid>page-([0-9]+)</guid>", 1).try_cast("bigint").alias("malformed_page"),
+    )
+
+
+@register
+def q_bucketed_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2/2.10: captures of users' pages kept in buckets of their URL; the links
+    of some users are restricted to them, and each item looks up the newest
+    capture of its page.  No capture is shuffled after it is written."""
+    name = f"captures_{uuid.uuid4().hex}"
+    captures = _landed_captures(spark, sf_dir).drop("landing")
+    table = CP.write_captures(captures, name, _folder(spark, "captures"), buckets=8)
+    customers = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    url = F.concat(F.lit("https://www.example.com/users/"), F.col("c_custkey").cast("string"))
+    items = customers.filter(F.col("c_nationkey") < 12).select(F.col("c_custkey").cast("bigint").alias("c_custkey"), url.alias("link"))
+    pages = latest_captures(CP.wanted_captures(table, items.select(F.col("link").alias("url"))))
+    found = CP.lookup_captures(pages, items, "link")
+    return found.select("c_custkey", P.page_title("detail_html").alias("web_title"))

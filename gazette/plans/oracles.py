@@ -632,3 +632,39 @@ FROM events GROUP BY user_id
 """
 
 ORACLES["q_poll_items"] = ORACLES["q_latest_per_link"]
+
+ORACLES["q_landed_files"] = """
+SELECT doc_id, doc_id % 2 = 0 AS found,
+       CASE WHEN doc_id % 2 = 0 THEN strlen(body) + 4 END AS n_bytes,
+       CASE WHEN doc_id % 2 = 0 THEN CASE WHEN doc_id % 3 = 0 THEN 'pdf' ELSE 'text' END END AS kind,
+       CASE WHEN doc_id % 2 = 0 THEN length(body) + 4 END AS n_chars,
+       CASE WHEN doc_id % 2 = 0 THEN ' ' || chr(65533) || chr(65533) || ' ' END AS ending
+FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '%PDF-1.4 ' ELSE 'page ' END || coalesce(text, '') AS body
+      FROM documents WHERE doc_id % 4 < 2)
+"""
+
+ORACLES["q_variant_props"] = """
+SELECT event_id,
+       CASE WHEN event_id % 5 IN (0, 1, 3) THEN TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
+       CASE WHEN event_id % 5 = 1 THEN event_type END AS tag,
+       CASE WHEN event_id % 5 = 1 THEN CAST(7 AS BIGINT) END AS n,
+       CASE event_id % 5 WHEN 0 THEN 'object' WHEN 1 THEN 'object' WHEN 3 THEN 'array' WHEN 4 THEN 'string' END AS json_kind
+FROM events
+"""
+
+ORACLES["q_feed_rejects"] = f"""
+SELECT CASE WHEN bad THEN NULL ELSE url END AS web_url, CASE WHEN bad THEN NULL ELSE title END AS web_title,
+       CASE WHEN bad THEN 'malformed_item'
+            ELSE concat_ws(',', CASE WHEN title IS NULL THEN 'missing:title' END,
+                                CASE WHEN title IS NOT NULL AND NOT length(title) BETWEEN 3 AND 500 THEN 'title_length' END) END AS reasons,
+       CASE WHEN bad THEN page_id END AS malformed_page
+FROM (SELECT page_id, url, {_title('html')} AS title, page_id % 7 = 3 AS bad FROM pages)
+"""
+
+ORACLES["q_bucketed_captures"] = """
+SELECT CAST(c_custkey AS BIGINT) AS c_custkey, t.web_title
+FROM customer LEFT JOIN (
+  SELECT user_id, arg_max('Event ' || event_id || ' ' || event_type, ts) AS web_title FROM events GROUP BY user_id) t
+  ON t.user_id = c_custkey
+WHERE c_nationkey < 12
+"""

@@ -171,6 +171,7 @@ def feed_publications(entries: DataFrame, as_of: _dt.datetime | None = None, sou
         F.lit(None).cast("string").alias("ai_topic"),
         "related_urls",
         "reasons",
+        *[F.col(x) for x in ("malformed",) if x in c.columns],
     )
 
 
@@ -396,7 +397,7 @@ def read_publications(spark: SparkSession, path: str, runs: dict[str, str] | Non
 
 
 def read_rejects(spark: SparkSession, path: str, runs: dict[str, str] | None = None) -> DataFrame:
-    df = S.read_live(spark, path, runs=runs).filter(F.col("status") == "rejected")
+    df = S.read_live(spark, path, runs=runs, merge_schema=True).filter(F.col("status") == "rejected")
     return V.reject_rows(df.drop("status"), "source", F.coalesce("web_url", "listing_url")).withColumn(
         "namespace", F.get_json_object("detail", "$.namespace")
     )

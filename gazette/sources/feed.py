@@ -1,9 +1,11 @@
 """RSS feeds: landed feed files (or a text column of feed items) → entries →
 publication candidates with reasons.
 
-Spark's XML source does the parsing (``rowTag=item``), with an explicit
-schema so nothing is inferred per file.  An empty feed is reported by the
-source-health report, never raised from inside a task.
+A feed file is cut into its ``<item>`` texts by one expression, and Spark's XML
+parser reads each text by itself with an explicit schema.  So a malformed item is
+one reject, with its text; Spark's own file scan would give up the rest of the
+file with it.  An empty feed is reported by the source-health report, never
+raised from inside a task.
 """
 
 from __future__ import annotations
@@ -23,29 +25,60 @@ ITEM_SCHEMA = (
     "title string, link string, pubDate string, description string, "
     "enclosure array<struct<_url:string>>"
 )
+ITEM_FIELDS = ("title", "link", "pubDate", "description", "enclosure")
+
+
+#: An item up to its end, the next item or the end of the file; CDATA is passed over whole.
+#: Possessive loops: no recursion and no turning back, however long an item is.
+ITEM_RE = r"(?s)<item(?=[\s/>])(?:<!\[CDATA\[.*?\]\]>|(?!</item\s*>|(?!\A)<item[\s/>]).)*+(?:</item\s*>)?+"
+_COMMENT_RE = r"(?s)<!--.*?-->"
+_LATIN = r"(?i)^[^>]{0,100}?encoding\s*=\s*[\"'](?:iso-8859-1|latin-?1)[\"']"
+
+
+def feed_text(content: Column | str) -> Column:
+    """A feed file's bytes as text: Latin-1 if its declaration says so, else
+    UTF-8 with invalid sequences repaired."""
+    content = col(content)
+    head = F.decode(F.substring(content, 1, 200), "ISO-8859-1")
+    return F.when(head.rlike(_LATIN), F.decode(content, "ISO-8859-1")).otherwise(T.valid_utf8(content))
+
+
+def feed_items(text: Column | str) -> Column:
+    """The texts of a feed's items in their order (ARRAY<STRING>)."""
+    text = col(text)
+    read = F.when(text.contains("<!--"), F.regexp_replace(text, _COMMENT_RE, "")).otherwise(text)
+    return F.regexp_extract_all(read, F.lit(ITEM_RE), 0)
+
+
+def feed_entries(files: DataFrame) -> DataFrame:
+    """Feed files ``(path, content)`` → one row for each item, tagged with its
+    feed; a malformed one has no fields but its text in ``malformed``."""
+    texts = files.select(F.col("path").alias("feed"), feed_text("content").alias("_text"))
+    items = texts.select("feed", F.explode(feed_items("_text")).alias("_item"))
+    return items.withColumn("_e", parse_item("_item")).select("_e.*", "feed")
 
 
 def read_feeds(spark: SparkSession, path: str) -> DataFrame:
-    """Feed files → one row per ``<item>``, tagged with its feed file."""
-    return (
-        spark.read.format("xml")
-        .option("rowTag", "item")
-        .option("attributePrefix", "_")
-        .schema(ITEM_SCHEMA)
-        .load(path)
-        .withColumn("feed", F.input_file_name())
-    )
+    """Feed files → one row per ``<item>`` (see ``feed_entries``)."""
+    return feed_entries(spark.read.format("binaryFile").load(path).withColumn("path", F.input_file_name()))
 
 
 def parse_item(xml: Column | str) -> Column:
-    """One ``<item>…</item>`` string → the item struct."""
-    return F.from_xml(col(xml), ITEM_SCHEMA)
+    """One ``<item>…</item>`` string → the item struct; of a malformed one only its text in ``malformed``."""
+    parsed = F.from_xml(col(xml), f"{ITEM_SCHEMA}, malformed string", {"columnNameOfCorruptRecord": "malformed"})
+
+    def whole(e: Column) -> Column:
+        fields = [F.when(e["malformed"].isNull(), e[f]).alias(f) for f in ITEM_FIELDS]
+        return F.struct(*fields, e["malformed"].alias("malformed"))
+
+    return F.transform(F.array(parsed), whole)[0]
 
 
 def entries_to_candidates(entries: DataFrame, as_of: _dt.datetime | None = None) -> DataFrame:
     """Feed entries → ``(web_title, published_at, web_url, related_urls,
     reasons)``.  Required: title, link, pubDate.  A link without http(s) rejects
-    the entry; an enclosure without it is only skipped."""
+    the entry; an enclosure without it is only skipped.  A malformed item is
+    rejected as such, with its text in ``malformed``."""
     entries = entries.withColumn("title", T.strip_ws("title"))
     title = T.nfkc("title")
     enclosures = F.coalesce(F.col("enclosure"), F.array().cast("array<struct<_url:string>>"))
@@ -64,4 +97,6 @@ def entries_to_candidates(entries: DataFrame, as_of: _dt.datetime | None = None)
     parse_reasons = F.concat(F.col("_missing"), F.array_compact(F.array(bad_date, F.col("_bad_link"))))
     record_reasons = V.publication_reasons("web_title", "published_at", "web_url", "related_urls", as_of)
     reasons = F.when(F.size(parse_reasons) > 0, parse_reasons).otherwise(record_reasons)
+    if "malformed" in entries.columns:
+        reasons = F.when(F.col("malformed").isNotNull(), F.array(F.lit("malformed_item"))).otherwise(reasons)
     return out.withColumn("reasons", reasons).drop("_missing", "_pub_raw", "_bad_link")

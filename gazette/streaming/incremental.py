@@ -29,6 +29,7 @@ from gazette.plans.publications import latest_captures
 from gazette.session import checkpoint_dir
 
 LANDED_PAGE_SCHEMA = "url string, html string, fetched_at timestamp"
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def landing_stream(
@@ -47,14 +48,14 @@ def landing_stream(
 
 
 def feed_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """New feed files as a stream of ``<item>`` rows (Spark's XML file
-    source, explicit schema), each tagged with its feed file."""
-    from gazette.sources.feed import ITEM_SCHEMA
+    """New feed files as a stream of ``<item>`` rows, each tagged with its feed
+    file; malformed items are rows too (``sources.feed.feed_entries``)."""
+    from gazette.sources.feed import feed_entries
 
-    reader = spark.readStream.format("xml").option("rowTag", "item").option("attributePrefix", "_").schema(ITEM_SCHEMA)
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(landing_dir).withColumn("feed", F.input_file_name())
+    return feed_entries(reader.load(landing_dir).withColumn("path", F.input_file_name()))
 
 
 def _write_batch(df: DataFrame, epoch_id: int, out_path: str, namespace: str) -> None:
