@@ -23,6 +23,18 @@ def missing_fields(**fields: Column | str) -> Column:
     )
 
 
+def typed_fields(df: DataFrame, types: dict[str, str], reasons: str = "reasons") -> DataFrame:
+    """Text fields as their declared types; a value that is there but is not of
+    its type becomes NULL with the reason ``type:<name>`` (beside the rows' other
+    ``reasons``, if they have any), so it is told apart from a missing one."""
+    cast = {name: col(name).try_cast(kind) for name, kind in types.items()}
+    wrong = F.array_compact(
+        F.array(*[F.when(col(n).isNotNull() & c.isNull(), F.lit(f"type:{n}")) for n, c in cast.items()])
+    )
+    known = F.col(reasons) if reasons in df.columns else F.array().cast("array<string>")
+    return df.withColumn(reasons, F.concat(known, wrong)).withColumns(cast)
+
+
 def title_ok(title: Column | str) -> Column:
     n = F.length(col(title))
     return F.coalesce(n.between(K.MIN_TITLE_LENGTH, K.MAX_TITLE_LENGTH), F.lit(False))

@@ -209,3 +209,24 @@ def q_bucketed_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = latest_captures(CP.wanted_captures(table, items.select(F.col("link").alias("url"))))
     found = CP.lookup_captures(pages, items, "link")
     return found.select("c_custkey", P.page_title("detail_html").alias("web_title"))
+
+
+@register
+def q_field_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text fields read as their declared types; a missing value, one of
+    another type and a good one are told apart."""
+    ev = read_table(spark, sf_dir, "events", "event_id", "user_id", "ts", "value")
+    number = F.col("event_id")
+    raw = ev.select(
+        "event_id",
+        F.when(number % 7 == 0, F.concat(F.lit("u"), F.col("user_id").cast("string")))
+        .when(number % 7 != 1, F.col("user_id").cast("string"))
+        .alias("user_id"),
+        F.when(number % 5 == 0, F.lit("yesterday")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("ts"),
+        F.when(number % 3 == 0, F.lit("n/a")).otherwise(F.lit("12.50")).alias("value"),
+    )
+    typed = V.typed_fields(raw, {"user_id": "bigint", "ts": "timestamp_ntz", "value": "decimal(10,2)"})
+    reasons = F.concat(V.missing_fields(user_id="user_id"), F.col("reasons"))
+    # a value of the wrong type is missing, too, but has its own reason
+    own = F.filter(reasons, lambda r: ~(r.startswith("missing:") & F.array_contains(reasons, F.replace(r, F.lit("missing:"), F.lit("type:")))))
+    return typed.select("event_id", "user_id", "ts", F.col("value").isNull().alias("no_value"), F.array_join(own, ",").alias("reasons"))

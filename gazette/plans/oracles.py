@@ -668,3 +668,11 @@ FROM customer LEFT JOIN (
   ON t.user_id = c_custkey
 WHERE c_nationkey < 12
 """
+
+ORACLES["q_field_types"] = """
+SELECT event_id, CASE WHEN event_id % 7 > 1 THEN user_id END AS user_id,
+       CASE WHEN event_id % 5 <> 0 THEN date_trunc('second', ts) END AS ts, event_id % 3 = 0 AS no_value,
+       concat_ws(',', CASE WHEN event_id % 7 = 1 THEN 'missing:user_id' END, CASE WHEN event_id % 7 = 0 THEN 'type:user_id' END,
+                 CASE WHEN event_id % 5 = 0 THEN 'type:ts' END, CASE WHEN event_id % 3 = 0 THEN 'type:value' END) AS reasons
+FROM events
+"""
