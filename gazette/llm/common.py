@@ -28,7 +28,16 @@ def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for tables that nothing lazy reads any more."""
+    for table in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @F.arrow_udf(T.BinaryType())

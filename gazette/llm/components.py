@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.common import materialise
+from gazette.llm.common import materialise, release
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -43,7 +43,9 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
 
     before = mark(edges)
     while before[0]:
-        edges = materialise(spark, _star(_star(edges, True), False), "stars")
+        former = edges
+        edges = materialise(spark, _star(_star(former, True), False), "stars")
+        release(spark, former)
         after = mark(edges)
         if after == before:
             break
@@ -51,3 +53,16 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
+
+
+def extend(spark: SparkSession, roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` as ``components`` gave them (and as a written table), with more
+    links: only these are contracted, between the roots that they connect."""
+    name = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+    between = links.join(name("a"), "a", "left").join(name("b"), "b", "left").select(
+        F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")
+    )
+    merged = components(spark, between).withColumnRenamed("root", "top")
+    moved = roots.join(merged.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    known = roots.select("node")
+    return moved.unionByName(merged.join(known, "node", "left_anti").select("node", F.col("top").alias("root")))

@@ -30,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gazette.llm.common import bounded_batches, byte_list, materialise, name_of, slices
-from gazette.llm.components import components
+from gazette.llm.common import bounded_batches, byte_list, materialise, name_of, release, slices
+from gazette.llm.components import components, extend
 from gazette.llm.shingles import shingle_set
 
 SKETCH = 64
@@ -44,6 +44,8 @@ SUMMARY = 1 << 20
 SECTIONS, BRANCHES = 64, 64
 #: Members that a long prefix list is resolved against in each of the rounds before its others meet.
 PIVOTS, ROUNDS = 16, 3
+#: Bits of the bitmap of wanted ids, as a power of two.
+ID_BITS = 22
 #: Lists of a class that suppress repeated pairs.
 FIRST_LISTS = 64
 
@@ -320,9 +322,12 @@ def near_dedup(
         )
 
     links = confirm(guessed, "links")
+    release(spark, lists, guessed)
+    roots = materialise(spark, components(spark, links), "roots")
+    release(spark, links)
     if not rich.isEmpty():
-        links = links.unionByName(_rich_links(spark, sets.join(rich, "cls"), links, confirm))
-    roots = components(spark, links)
+        roots = _rich_roots(spark, sets.join(rich, "cls"), roots, confirm)
+    release(spark, long_counts, sets)
     rooted = classes.join(roots, classes["cls"] == roots["node"], "left").select(
         "n", "digest", "best", F.coalesce("root", "cls").alias("root")
     )
@@ -358,12 +363,39 @@ def _full_sets(rows: DataFrame, classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["cls", "set"])
 
     first = classes.select("cls", "digest", F.col("best.id").alias("first_id"))
-    texts = rows.select("id", "text").join(first, F.col("id").eqNullSafe(F.col("first_id")))
+    texts = rows.select("id", "text").filter(_among(first.select(F.xxhash64("first_id").alias("hash")), F.xxhash64("id")))
+    texts = texts.join(first, F.col("id").eqNullSafe(F.col("first_id")))
     return texts.select("cls", "digest", "text").mapInArrow(run, "cls bigint, set binary").dropDuplicates(["cls"])
 
 
-def _rich_links(spark: SparkSession, sets: DataFrame, known: DataFrame, confirm) -> DataFrame:
-    """All links among classes whose sketches may share long lists only."""
+def _among(hashes: DataFrame, of: Column) -> Column:
+    """Whether a hash may be among ``hashes``, by a bitmap of fixed size: what is
+    surely not stays out of a shuffle.  The more hashes, the less it saves."""
+    place = hashes.select(F.shiftrightunsigned("hash", 64 - ID_BITS).alias("place"))
+    bits = place.selectExpr("shiftright(place, 6) AS at", "shiftleft(1L, CAST(place & 63 AS INT)) AS bit")
+    rows = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toLocalIterator()  # at most 2 ** (ID_BITS - 6) rows
+    bitmap = np.zeros(1 << (ID_BITS - 6), np.int64)
+    for r in rows:
+        bitmap[r["at"]] = r["bits"]
+    words = bitmap.view(np.uint64)
+
+    @F.arrow_udf("boolean")
+    def seen(hash: pa.Array) -> pa.Array:
+        at = hash.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) >> np.uint64(64 - ID_BITS)
+        return pa.array((words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool))
+
+    return seen(of)
+
+
+def _rich_roots(spark: SparkSession, sets: DataFrame, roots: DataFrame, confirm) -> DataFrame:
+    """Roots after all links among classes whose sketches may share long lists only."""
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        links = confirm(pairs.distinct(), name)
+        out = materialise(spark, extend(spark, roots, links), "roots")
+        release(spark, links, roots)
+        return out
+
     sets = materialise(spark, sets, "rich-sets")
     prefixes = sets.mapInArrow(
         _prefixes(_summary(sets)), "value bigint, cls bigint, n bigint, left bigint, indexed boolean"
@@ -373,15 +405,16 @@ def _rich_links(spark: SparkSession, sets: DataFrame, known: DataFrame, confirm)
         .agg(F.count(F.lit(1)).alias("size"), F.count_if("indexed").alias("indexes"))
         .filter("size > 1 AND indexes > 0")
     )
-    lists = materialise(spark, prefixes.join(sizes, "value"), "prefix-lists")
+    found = materialise(spark, prefixes.join(sizes, "value"), "prefix-lists")
     # a class has at most a quarter of its shingles here
-    first = lists.groupBy("cls").agg(
+    first = found.groupBy("cls").agg(
         F.slice(F.array_sort(F.collect_list(F.struct((-F.col("left")).alias("at"), "value"))), 1, FIRST_LISTS).alias("first")
     )
     earlier = F.transform(F.filter("first", lambda f: f["at"] < -F.col("left")), lambda f: f["value"])
     lists = materialise(
-        spark, lists.join(first, "cls").withColumn("earlier", earlier).withColumn("root", F.col("cls")).drop("first"), "prefix-lists"
+        spark, found.join(first, "cls").withColumn("earlier", earlier).withColumn("root", F.col("cls")).drop("first"), "prefix-lists"
     )
+    release(spark, found)
     smallest = Window.partitionBy("value").orderBy("n", "cls")
     short, long = lists.filter(F.col("size") <= LONG_LIST), lists.filter(F.col("size") > LONG_LIST)
     pivots = materialise(
@@ -391,13 +424,13 @@ def _rich_links(spark: SparkSession, sets: DataFrame, known: DataFrame, confirm)
         .filter(F.col("rank") <= PIVOTS * ROUNDS),
         "pivots",
     )
-    links = confirm(_prefix_pairs(short, short.filter("indexed")).distinct(), "rich-links")
+    roots = linked(_prefix_pairs(short, short.filter("indexed")), "rich-links")
     for last in range(PIVOTS, PIVOTS * (ROUNDS + 1) + 1, PIVOTS):
-        roots = components(spark, known.unionByName(links)).withColumnRenamed("root", "found")
+        known = roots.withColumnRenamed("root", "found")
 
         def rooted(rows: DataFrame) -> DataFrame:
             return (
-                rows.join(roots, rows["cls"] == roots["node"], "left")
+                rows.join(known, rows["cls"] == known["node"], "left")
                 .withColumn("root", F.coalesce("found", "root"))
                 .drop("node", "found")
             )
@@ -412,8 +445,10 @@ def _rich_links(spark: SparkSession, sets: DataFrame, known: DataFrame, confirm)
             met = rooted(pivots.filter((F.col("rank") > last - PIVOTS) & (F.col("rank") <= last)))
         else:
             met = open_lists.filter("indexed")
-        links = links.unionByName(confirm(_prefix_pairs(open_lists, met).distinct(), "long-links"))
-    return links
+        roots = linked(_prefix_pairs(open_lists, met), "long-links")
+        release(spark, open_lists)
+    release(spark, sets, lists, pivots)
+    return roots
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,3 +160,18 @@ def test_no_text_in_a_shuffle_of_singletons(spark):
     """Only the first split moves texts; later levels see survivors."""
     docs = spark.range(50).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
     assert exact.exact_dedup(spark, docs).filter("kept AND group_size = 1").count() == 50
+
+
+def test_extend_equals_components_of_all_links(spark):
+    """Links added in steps, also between new nodes, give the roots of all together."""
+    from gazette.llm.common import materialise
+    from gazette.llm.components import components, extend
+
+    rng = np.random.default_rng(12)
+    steps = [[(int(a), int(b)) for a, b in rng.integers(0, 60, (n, 2))] for n in (14, 9, 0, 12)]
+    schema = "a long, b long"
+    roots = materialise(spark, components(spark, spark.createDataFrame(steps[0], schema)), "r")
+    for i, links in enumerate(steps[1:], 2):
+        roots = materialise(spark, extend(spark, roots, spark.createDataFrame(links, schema)), "r")
+        whole = components(spark, spark.createDataFrame(sum(steps[:i], []), schema))
+        assert sorted(map(tuple, roots.collect())) == sorted(map(tuple, whole.collect()))
