@@ -13,12 +13,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.common import materialise, name_of
+from gazette.llm.common import materialise, name_of, release
 
 DAMPING = 0.85
-ROUNDS = 12
-#: Lineage is cut (a written table) after so many rounds.
-CUT = 4
+#: Lineage is cut (a written table) after so many rounds, and the ranks are settled when over
+#: these no host's trust or distrust changed by more than this share of it, nor came up.
+CUT, SETTLED = 5, 1e-4
+#: A seed's mass is below every double after so many rounds (``DAMPING`` ** 4400 < 1e-308).
+MOST_ROUNDS = 4400
 #: A host is blocked if its distrust is more than this share of trust and distrust.
 THRESHOLD = 0.5
 
@@ -90,9 +92,16 @@ def host_edges(pages: DataFrame) -> DataFrame:
     )
 
 
-def propagate(spark: SparkSession, seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def _change(now: str, before: str) -> Column:
+    """Change of a mass as a share of the larger one; 1 for one that came up."""
+    a, b = F.col(now), F.col(before)
+    return F.when(a == b, F.lit(0.0)).otherwise(F.abs(a - b) / F.greatest(a, b))
+
+
+def propagate(spark: SparkSession, seeds: DataFrame, edges: DataFrame) -> DataFrame:
     """(host, trust, distrust) of all hosts, from seeds (host, trust, distrust)
-    and edges (src, dst, w)."""
+    and edges (src, dst, w).  Rounds go on until the ranks are settled, however
+    long a chain of links from a seed is."""
     edges = materialise(spark, edges, "host-edges")
     out_w = edges.groupBy("src").agg(F.sum("w").alias("out_w"))
     in_w = edges.groupBy("dst").agg(F.sum("w").alias("in_w"))
@@ -113,7 +122,8 @@ def propagate(spark: SparkSession, seeds: DataFrame, edges: DataFrame, rounds: i
     )
     rank = nodes.select("host", F.col("trust0").alias("trust"), F.col("distrust0").alias("distrust"))
     keep = 1 - DAMPING
-    for step in range(1, rounds + 1):
+    former = rank = materialise(spark, rank, "host-ranks")
+    for step in range(1, MOST_ROUNDS + 1):
         sent = edges.join(rank, edges["src"] == rank["host"]).select(
             F.col("dst").alias("host"), (F.col("trust") * F.col("ahead")).alias("t"), F.lit(0.0).alias("d")
         )
@@ -129,8 +139,15 @@ def propagate(spark: SparkSession, seeds: DataFrame, edges: DataFrame, rounds: i
             .groupBy("host")
             .agg((F.sum("t") * DAMPING).alias("trust"), (F.sum("d") * DAMPING).alias("distrust"))
         )
-        if step % CUT == 0 or step == rounds:
-            rank = materialise(spark, rank, f"host-ranks-{step}")
+        if step % CUT == 0:
+            rank = materialise(spark, rank, "host-ranks")
+            before = former.select("host", F.col("trust").alias("trust_was"), F.col("distrust").alias("distrust_was"))
+            moved = F.greatest(_change("trust", "trust_was"), _change("distrust", "distrust_was"))
+            largest = rank.join(before, "host").agg(F.max(moved)).first()[0]
+            release(spark, former)
+            former = rank
+            if largest is None or largest <= SETTLED:
+                break
     return rank
 
 

@@ -222,11 +222,28 @@ def test_propagation_matches_brute_force(spark):
         spark.createDataFrame([(h, *s) for h, s in seeds.items()], "host string, trust double, distrust double"),
         spark.createDataFrame([(a, b, w) for (a, b), w in edges.items()], "src string, dst string, w double"),
     )
-    want = brute_ranks(seeds, edges, urls.ROUNDS)
+    want = brute_ranks(seeds, edges, 600)
     rows = {r.host: (r.trust, r.distrust) for r in got.collect()}
     assert rows.keys() == want.keys()
     for host, pair in want.items():
-        assert rows[host] == pytest.approx(pair, abs=1e-12)
+        assert rows[host] == pytest.approx(pair, rel=1e-3, abs=1e-12)
+
+
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    """Thirty links from the only blocked seed, and a ring that settles slowly."""
+    edges = {(f"h{i + 1}", f"h{i}"): 1.0 for i in range(30)}
+    edges |= {("r0", "r1"): 1.0, ("r1", "r0"): 1.0, ("r1", "h30"): 1.0}
+    seeds = {"h0": (0.0, 1.0), "r0": (0.2, 0.0)}
+    got = urls.propagate(
+        spark,
+        spark.createDataFrame([(h, *s) for h, s in seeds.items()], "host string, trust double, distrust double"),
+        spark.createDataFrame([(a, b, w) for (a, b), w in edges.items()], "src string, dst string, w double"),
+    )
+    want = brute_ranks(seeds, edges, 600)
+    rows = {r.host: (r.trust, r.distrust) for r in got.collect()}
+    assert rows["h29"][1] > 0 and rows["r1"][1] > 0
+    for host, pair in want.items():
+        assert rows[host] == pytest.approx(pair, rel=1e-3, abs=1e-12)
 
 
 def test_links_decide_hosts_without_rules(spark):
