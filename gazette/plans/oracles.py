@@ -676,3 +676,5 @@ SELECT event_id, CASE WHEN event_id % 7 > 1 THEN user_id END AS user_id,
                  CASE WHEN event_id % 5 = 0 THEN 'type:ts' END, CASE WHEN event_id % 3 = 0 THEN 'type:value' END) AS reasons
 FROM events
 """
+
+ORACLES["q_index_source"] = ORACLES["q_index_prune"]
