@@ -74,8 +74,7 @@ def _hrefs_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 @register
 def q_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One stdlib-parser pass per page (mapInArrow) → every anchor with
-    its position and text."""
+    """Each page's nodes, then every anchor with its position and text."""
     from gazette.sources.extract import extract
     from gazette.sources.specs import ANCHORS
 

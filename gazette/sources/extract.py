@@ -1,10 +1,11 @@
-"""Structural HTML extraction: one parse per page inside ``mapInArrow``.
+"""Structural HTML extraction as column expressions over a page's nodes.
 
-Real pages are not XML (unclosed tags), so Spark's ``xpath*`` functions fail
-on them.  Each page is parsed once with the standard-library HTML parser into
-a small element tree; the fields a *source spec* names are read from it and
-emitted as rows.  Selectors are plain data (tuples of ``Step``), so a new
-site is a new spec, not new code.
+``sources.nodes`` turns each page into one array of nodes; here Spark selects
+from it.  Selectors are plain data (tuples of ``Step``), so a new site is a new
+spec, not new code: every step becomes a ``filter`` over the slice of the array
+that holds a node's descendants, first matches, pairing by position and item
+numbers are array functions, and ``inline_outer`` makes the rows.  A page is
+one row until then, so nothing is shuffled.
 
 Every page yields at least one row: item rows with ``page_status = 'ok'``,
 or one row whose status says why there are none (``no_container`` /
@@ -14,235 +15,13 @@ raising.
 
 from __future__ import annotations
 
-import html
-import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
-from html.parser import HTMLParser
-
-import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import types as ST
-
-# HTML elements that never have content, and implicit-close rules.
-_VOID = frozenset(
-    "area base br col embed hr img input link meta param source track wbr".split()
-)
-_CLOSES_P = frozenset(
-    "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 "
-    "header hr main nav ol p pre section table ul".split()
-)
-_LIST_SCOPE = frozenset(("ul", "ol"))
-_DEF_SCOPE = frozenset(("dl",))
-_P_SCOPE = frozenset(("div", "td", "th", "li", "dd", "body"))
-_LI, _DT_DD, _P = frozenset(("li",)), frozenset(("dt", "dd")), frozenset(("p",))
-
-#: Pages whose items are handed on together.
-_SLICE = 256
-
-
-class Node:
-    __slots__ = ("tag", "attrs", "content", "parent", "order")
-
-    def __init__(self, tag: str, attrs: dict, parent: Node | None, order: int):
-        self.tag = tag
-        self.attrs = attrs
-        self.content: list = []  # str and Node, in document order
-        self.parent = parent
-        self.order = order
-
-    def elements(self) -> list[Node]:
-        return [c for c in self.content if isinstance(c, Node)]
-
-    def descendants(self) -> Iterator[Node]:
-        """Element descendants in document order (iterative: real pages can
-        nest unclosed tags deeper than Python's recursion limit)."""
-        stack = [iter(self.content)]
-        while stack:
-            for c in stack[-1]:
-                if isinstance(c, Node):
-                    yield c
-                    stack.append(iter(c.content))
-                    break
-            else:
-                stack.pop()
-
-    def text_nodes(self) -> list[str]:
-        """XPath ``text()``: direct text children (adjacent chunks merged)."""
-        out, buf = [], []
-        for c in self.content:
-            if isinstance(c, str):
-                buf.append(c)
-            elif buf:
-                out.append("".join(buf))
-                buf = []
-        if buf:
-            out.append("".join(buf))
-        return out
-
-    def lead_text(self) -> str | None:
-        """The element's text before its first child element."""
-        buf = []
-        for c in self.content:
-            if isinstance(c, Node):
-                break
-            buf.append(c)
-        return "".join(buf) if buf else None
-
-    def all_text_nodes(self) -> list[str]:
-        """XPath ``.//text()`` in document order (adjacent chunks of one
-        parent merged)."""
-        out: list[str] = []
-        stack = [iter(self.content)]
-        bufs: list[list[str]] = [[]]
-        while stack:
-            for c in stack[-1]:
-                if isinstance(c, str):
-                    bufs[-1].append(c)
-                else:
-                    if bufs[-1]:
-                        out.append("".join(bufs[-1]))
-                        bufs[-1] = []
-                    stack.append(iter(c.content))
-                    bufs.append([])
-                    break
-            else:
-                stack.pop()
-                last = bufs.pop()
-                if last:
-                    out.append("".join(last))
-        return out
-
-
-class _TreeBuilder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.start()
-
-    def start(self):
-        """Fresh tree; the parser object itself is reused across pages."""
-        self.reset()
-        self.count = 0
-        self.root = Node("#root", {}, None, 0)
-        self.stack = [self.root]
-
-    def _new(self, tag, attrs):
-        self.count += 1
-        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.stack[-1], self.count)
-        self.stack[-1].content.append(node)
-        return node
-
-    def _close_open(self, tags: frozenset, scope: frozenset):
-        for i in range(len(self.stack) - 1, 0, -1):
-            t = self.stack[i].tag
-            if t in scope:
-                return
-            if t in tags:
-                del self.stack[i:]
-                return
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "li":
-            self._close_open(_LI, _LIST_SCOPE)
-        elif tag in ("dt", "dd"):
-            self._close_open(_DT_DD, _DEF_SCOPE)
-        if tag in _CLOSES_P:
-            self._close_open(_P, _P_SCOPE)
-        node = self._new(tag, attrs)
-        if tag not in _VOID:
-            self.stack.append(node)
-
-    def handle_startendtag(self, tag, attrs):
-        self._new(tag, attrs)
-
-    def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                del self.stack[i:]
-                return
-
-    def handle_data(self, data):
-        self.stack[-1].content.append(data)
-
-
-_TAG = re.compile(
-    r"""<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\s+[^\s"'<>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'=<>`/]+))?)*)\s*(/?)>"""
-)
-_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'=<>`/]+))?""")
-_COMMENT = re.compile(r"<!--(?!-?>)[^-]*(?:-(?!-!?>)[^-]*)*-->|<!(?i:doctype)[^<>\[\]\"']*>")
-# elements whose content is not markup
-_RAW = frozenset("iframe noembed noframes plaintext script style textarea title xmp".split())
-
-
-def _attributes(text: str) -> list[tuple[str, str]]:
-    found = []
-    for name, value in _ATTRIBUTE.findall(text):
-        if value[:1] in ('"', "'") and value:
-            value = value[1:-1]
-        found.append((name.lower(), html.unescape(value) if "&" in value else value))
-    return found
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-def _feed_regular(b: _TreeBuilder, text: str) -> bool:
-    """Build the tree of a page whose markup is regular throughout (plain
-    tags, comments, raw elements that end) from one expression per tag; False
-    as soon as something else occurs."""
-    at, size = 0, len(text)
-    while at < size:
-        tag_at = text.find("<", at)
-        if tag_at != at:
-            data = text[at:] if tag_at < 0 else text[at:tag_at]
-            b.handle_data(html.unescape(data) if "&" in data else data)
-            if tag_at < 0:
-                return True
-        m = _TAG.match(text, tag_at)
-        if m is None:
-            m = _COMMENT.match(text, tag_at)
-            if m is None:
-                return False
-            at = m.end()
-            continue
-        at = m.end()
-        close, tag, attributes, empty = m.groups()
-        tag = tag.lower()
-        if close:
-            if attributes or empty:
-                return False
-            b.handle_endtag(tag)
-        elif empty:
-            if attributes and attributes[-1] not in "\"'":
-                return False  # the slash belongs to an unquoted value
-            b.handle_startendtag(tag, _attributes(attributes) if attributes else ())
-        else:
-            b.handle_starttag(tag, _attributes(attributes) if attributes else ())
-            if tag in _RAW:
-                end = text.lower().find(f"</{tag}>", at)
-                if end < 0 or (tag not in ("script", "style") and "<" in text[at:end]) or "<!--" in text[at:end]:
-                    return False
-                data = text[at:end]
-                if data:
-                    b.handle_data(data if tag in ("script", "style") or "&" not in data else html.unescape(data))
-                at = end
-    return True
-
-
-_BUILDER: _TreeBuilder | None = None
-
-
-def parse_html(text: str | None) -> Node:
-    """Parse one page, by the short way if its markup is regular.  One builder
-    per Python worker is reused (workers run one task at a time), which saves
-    its set-up on every small page."""
-    global _BUILDER
-    if _BUILDER is None:
-        _BUILDER = _TreeBuilder()
-    b = _BUILDER
-    b.start()
-    if text and not _feed_regular(b, text):
-        b.start()
-        b.feed(text)
-        b.close()
-    return b.root
+from gazette.sources.nodes import TEXT, page_nodes
 
 
 # ---------------------------------------------------------------------------
@@ -263,23 +42,10 @@ class Step:
     text_contains: str | None = None  # on the first direct text node
     nth: int | None = None
 
-    def matches(self, n: Node) -> bool:
-        if self.tag != "*" and n.tag != self.tag:
-            return False
-        cls = n.attrs.get("class")
-        if self.class_contains is not None and (cls is None or self.class_contains not in cls):
-            return False
-        if self.class_equals is not None and cls != self.class_equals:
-            return False
-        if self.id is not None and n.attrs.get("id") != self.id:
-            return False
-        if self.href_contains is not None and self.href_contains not in n.attrs.get("href", "\0"):
-            return False
-        if self.text_contains is not None:
-            texts = n.text_nodes()
-            if not texts or self.text_contains not in texts[0]:
-                return False
-        return True
+    @property
+    def attributes(self) -> set[str]:
+        asked = (("class", self.class_contains), ("class", self.class_equals), ("id", self.id), ("href", self.href_contains))
+        return {name for name, value in asked if value is not None}
 
 
 def child(tag: str = "*", **kw) -> Step:
@@ -290,21 +56,6 @@ def desc(tag: str = "*", **kw) -> Step:
     return Step(tag=tag, axis="desc", **kw)
 
 
-def select(nodes: Sequence[Node], steps: Sequence[Step]) -> list[Node]:
-    cur = list(nodes)
-    for st in steps:
-        found: dict[int, Node] = {}
-        for n in cur:
-            pool = n.elements() if st.axis == "child" else n.descendants()
-            hits = [c for c in pool if st.matches(c)]
-            if st.nth is not None:
-                hits = hits[st.nth - 1 : st.nth]
-            for h in hits:
-                found[h.order] = h
-        cur = [found[k] for k in sorted(found)]
-    return cur
-
-
 @dataclass(frozen=True)
 class Field:
     """``value``: ``text`` (text before the first child), ``text()`` (first
@@ -318,29 +69,6 @@ class Field:
     side: str = "item"  # for pair specs: "left" or "right"
 
 
-def _value(n: Node, how: str) -> str | None:
-    if how == "text":
-        return n.lead_text()
-    if how == "text()":
-        t = n.text_nodes()
-        return t[0] if t else None
-    if how == "alltext":
-        t = n.all_text_nodes()
-        return t[0] if t else None
-    if how.startswith("@"):
-        return n.attrs.get(how[1:])
-    raise ValueError(f"unknown value kind {how!r}")
-
-
-def _read(item: Node, f: Field):
-    hits = select([item], f.steps) if f.steps else [item]
-    if f.many:
-        return [v for v in (_value(h, f.value) for h in hits) if v is not None]
-    for h in hits:
-        return _value(h, f.value)
-    return None
-
-
 @dataclass(frozen=True)
 class SourceSpec:
     """Where the items of a page are and which fields each item has.
@@ -365,99 +93,140 @@ class SourceSpec:
     def paired(self) -> bool:
         return bool(self.left)
 
+    @property
+    def attributes(self) -> set[str]:
+        """The attributes that the spec's steps and fields read."""
+        steps = [*self.container, *self.items, *self.left, *self.right, *(s for f in self.fields for s in f.steps)]
+        read = {f.value[1:] for f in self.fields if f.value.startswith("@")}
+        return read.union(*(s.attributes for s in steps))
+
+
+# ---------------------------------------------------------------------------
+# selection over the node array; nodes are named by their place in it
+# ---------------------------------------------------------------------------
+def _below(nodes: Column, at: Column) -> Column:
+    """The descendants of a node."""
+    return F.slice(nodes, at + 2, F.get(nodes, at)["last"] - at)
+
+
+def _own_text(nodes: Column, at: Column) -> Column:
+    """First direct text."""
+    return F.get(F.filter(_below(nodes, at), lambda t: (t["tag"] == TEXT) & (t["parent"] == at)), F.lit(0))["text"]
+
+
+def _matches(nodes: Column, e: Column, step: Step) -> Column:
+    asked = (e["tag"] == step.tag) if step.tag != "*" else (e["tag"] != TEXT)
+    if step.class_contains is not None:
+        asked &= e["@class"].contains(step.class_contains)
+    if step.class_equals is not None:
+        asked &= e["@class"] == step.class_equals
+    if step.id is not None:
+        asked &= e["@id"] == step.id
+    if step.href_contains is not None:
+        asked &= e["@href"].contains(step.href_contains)
+    if step.text_contains is not None:
+        asked &= _own_text(nodes, e["at"]).contains(step.text_contains)
+    return asked
+
+
+def _hits(nodes: Column, at: Column, step: Step) -> Column:
+    """Places of the nodes that one step finds from a node, in document order."""
+
+    def fits(e: Column) -> Column:
+        found = _matches(nodes, e, step)
+        return (e["parent"] == at) & found if step.axis == "child" else found
+
+    found = F.filter(_below(nodes, at), fits)
+    if step.nth is not None:
+        found = F.slice(found, step.nth, 1)
+    return F.transform(found, lambda e: e["at"])
+
+
+def select(nodes: Column, at: Column, steps: Sequence[Step]) -> Column:
+    """Places of the nodes that the steps find from the node at ``at``, in
+    document order, each once."""
+    if not steps:
+        return F.array(at)
+    found = _hits(nodes, at, steps[0])
+    for step in steps[1:]:
+        found = _from_each(nodes, found, step)
+    return found
+
+
+def _from_each(nodes: Column, places: Column, step: Step) -> Column:
+    each = F.flatten(F.transform(places, lambda p: _hits(nodes, p, step)))
+    return F.sort_array(F.array_distinct(each))
+
+
+def _value(nodes: Column, at: Column, how: str) -> Column:
+    if how == "text":
+        after = F.get(nodes, at + 1)
+        return F.when((after["tag"] == TEXT) & (after["parent"] == at), after["text"])
+    if how == "text()":
+        return _own_text(nodes, at)
+    if how == "alltext":
+        return F.get(F.filter(_below(nodes, at), lambda t: t["tag"] == TEXT), F.lit(0))["text"]
+    if how.startswith("@"):
+        return F.get(nodes, at)[how]
+    raise ValueError(f"unknown value kind {how!r}")
+
 
-def _body(root: Node) -> Node:
-    for n in root.descendants():
-        if n.tag == "body":
-            return n
-    for n in root.descendants():
-        if n.tag == "html":
-            return n
-    return root
+def _read(nodes: Column, at: Column, field: Field) -> Column:
+    found = select(nodes, at, field.steps)
+    if field.many:
+        return F.filter(F.transform(found, lambda p: _value(nodes, p, field.value)), lambda v: v.isNotNull())
+    # the first match is looked up once, though its value names it often
+    return F.get(F.transform(F.slice(found, 1, 1), lambda p: _value(nodes, p, field.value)), F.lit(0))
 
 
-def _container(spec: SourceSpec, root: Node) -> Node | None:
+def _container(spec: SourceSpec, nodes: Column) -> Column:
+    """Place of the node that holds the items; null without one."""
+    root = F.lit(0)
+    first = lambda *steps: F.get(select(nodes, root, steps), root)
     if spec.container_rule == "dl_or_body":
-        body = _body(root)
-        first = body.elements()[:1]
-        if first and first[0].tag == "dt":
-            return body
-        hits = select([root], (desc("dl"),))
-        return hits[0] if hits else None
-    if not spec.container:
-        return root
-    hits = select([root], spec.container)
-    return hits[0] if hits else None
-
-
-def extract_page(spec: SourceSpec, html: str | None) -> tuple[str, list[dict]]:
-    """→ (page_status, [item dicts with ``item_pos`` and every field])."""
-    root = parse_html(html)
-    box = _container(spec, root)
-    if box is None:
-        return "no_container", []
-    items: list[dict] = []
+        body = F.coalesce(first(desc("body")), first(desc("html")), root)
+        bare = F.transform(
+            F.array(body), lambda b: F.get(F.filter(_below(nodes, b), lambda e: (e["parent"] == b) & (e["tag"] != TEXT)), root)
+        )
+        return F.when(F.get(bare, root)["tag"] == "dt", body).otherwise(first(desc("dl")))
+    return first(*spec.container) if spec.container else root
+
+
+def extract(df: DataFrame, spec: SourceSpec, html_col: str = "html", keys: Sequence[str] = ("url",)) -> DataFrame:
+    """Pages ``(keys..., html)`` → one row per extracted item: the keys,
+    ``page_status``, ``item_pos`` and the spec's fields.  The ``html`` column
+    never reaches a shuffle."""
+    pages = page_nodes(df, html_col, keys, spec.attributes)
+    nodes, box = F.col("nodes"), F.col("box")
+    pages = pages.withColumn("box", _container(spec, nodes))
     if spec.whole_page:
-        rec = {f.name: _read(box, f) for f in spec.fields}
-        rec["item_pos"] = 1
-        return "ok", [rec]
-    if spec.paired:
-        lefts, rights = select([box], spec.left), select([box], spec.right)
-        for i, (l, r) in enumerate(zip(lefts, rights), start=1):
-            rec = {f.name: _read(l if f.side == "left" else r, f) for f in spec.fields}
-            rec["item_pos"] = i
-            items.append(rec)
+        lefts = rights = F.array(box)
+    elif spec.paired:
+        lefts, rights = select(nodes, box, spec.left), select(nodes, box, spec.right)
     else:
-        for i, it in enumerate(select([box], spec.items), start=1):
-            rec = {f.name: _read(it, f) for f in spec.fields}
-            rec["item_pos"] = i
-            items.append(rec)
-    return ("ok" if items else "no_items"), items
+        lefts = rights = select(nodes, box, spec.items)
+    pages = pages.withColumn("lefts", lefts).withColumn("rights", rights if spec.paired else F.lit(None))
 
+    def record(left: Column, i: Column) -> Column:
+        right = F.get(F.col("rights"), i)
+        own = [_read(nodes, right if f.side == "right" else left, f).alias(f.name) for f in spec.fields]
+        return F.struct(F.lit("ok").alias("page_status"), (i + 1).cast("bigint").alias("item_pos"), *own)
 
-# ---------------------------------------------------------------------------
-# Spark side
-# ---------------------------------------------------------------------------
-def output_schema(spec: SourceSpec, keys: ST.StructType) -> ST.StructType:
-    fields = list(keys.fields) + [
-        ST.StructField("page_status", ST.StringType(), False),
-        ST.StructField("item_pos", ST.LongType(), True),
-    ]
-    for f in spec.fields:
-        t = ST.ArrayType(ST.StringType()) if f.many else ST.StringType()
-        fields.append(ST.StructField(f.name, t, True))
-    return ST.StructType(fields)
-
+    def without(status: str) -> Column:
+        none = [F.lit(None).cast("array<string>" if f.many else "string").alias(f.name) for f in spec.fields]
+        return F.array(F.struct(F.lit(status).alias("page_status"), F.lit(None).cast("bigint").alias("item_pos"), *none))
 
-def extract(df: DataFrame, spec: SourceSpec, html_col: str = "html", keys: Sequence[str] = ("url",)) -> DataFrame:
-    """Pages ``(keys..., html)`` → one row per extracted item.  The ``html``
-    column is consumed here and never reaches a shuffle."""
-    key_schema = ST.StructType([df.schema[k] for k in keys])
-    out_schema = output_schema(spec, key_schema)
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow_schema = to_arrow_schema(out_schema)
-    key_names = list(keys)
-    field_names = [f.name for f in spec.fields]
-
-    def run(batches):
-        for batch in (b.slice(at, _SLICE) for b in batches for at in range(0, b.num_rows, _SLICE)):
-            cols: dict[str, list] = {n: [] for n in arrow_schema.names}
-            key_vals = [batch.column(k).to_pylist() for k in key_names]
-            pages = batch.column(html_col).to_pylist()
-            for i, page in enumerate(pages):
-                try:
-                    status, items = extract_page(spec, page)
-                except Exception:  # noqa: BLE001 - one bad page must not fail the job
-                    status, items = "parse_error", []
-                rows = items or [None]
-                for rec in rows:
-                    for k, vals in zip(key_names, key_vals):
-                        cols[k].append(vals[i])
-                    cols["page_status"].append(status)
-                    cols["item_pos"].append(rec["item_pos"] if rec else None)
-                    for name in field_names:
-                        cols[name].append(rec.get(name) if rec else None)
-            yield pa.RecordBatch.from_pydict(cols, schema=arrow_schema)
-
-    return df.select(*key_names, html_col).mapInArrow(run, out_schema)
+    # the status is part of the rows: a condition on it is asked of the rows,
+    # not of every page's selection once more
+    items = F.col("lefts")
+    if spec.paired:
+        items = F.slice(items, 1, F.least(F.size("lefts"), F.size("rights")))
+    pages = pages.withColumn("items", items).select(
+        *keys,
+        F.when(nodes.isNull(), without("parse_error"))
+        .when(box.isNull(), without("no_container"))
+        .when(F.size("items") == 0, without("no_items"))
+        .otherwise(F.transform("items", record))
+        .alias("rows"),
+    )
+    return pages.select(*keys, F.inline_outer("rows"))

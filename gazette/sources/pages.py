@@ -4,8 +4,8 @@ Two ways to get fields out of HTML:
 
 * this module — Java regexes for flat fields (``<title>``, ``<h1>``, anchors).
   Stays inside whole-stage codegen, no Python; used on the hot path.
-* ``sources.extract`` — one stdlib-parser pass per page inside ``mapInArrow``
-  for structural selectors (cards, definition lists, nested lists).
+* ``sources.extract`` — structural selectors (cards, definition lists, nested
+  lists) as column expressions over the nodes that one parser pass per page finds.
 
 Both drop the ``html`` column as early as possible: only keys and extracted
 fields ever reach a shuffle.
