@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.common import bounded_batches, byte_list, fold, materialise, name_of, slices
+from gazette.llm.common import bounded_batches, byte_list, fold, materialise, name_of, release, slices
 from gazette.llm.shingles import _scramble, word_blocks
 
 DEPTH = 2
@@ -45,6 +45,8 @@ HEAD_KEYS = 1_000_000
 COMMON_SHARE = 2e-6
 #: Bits of a bitmap of hashes, as a power of two.
 BITS = 28
+#: Bits that tell n-grams of one section apart until they are counted, and n-grams of a section.
+PRINT, SECTION = 40, 1 << 21
 #: Tokens that a task looks up at a time.
 PIECE = 200_000
 #: Weight of the suffix's distribution, in observations.
@@ -150,6 +152,12 @@ def pieces(texts: list[bytes], size: int) -> Iterator[Tokens]:
 
 def bitmap(rows: DataFrame, key: str) -> np.ndarray:
     """One bit for the top ``BITS`` bits of each key."""
+    place = rows.select(F.shiftrightunsigned(F.col(key), 64 - BITS).alias("place"))
+    return gather(place.selectExpr("shiftright(place, 6) AS at", "shiftleft(1L, CAST(place & 63 AS INT)) AS bits"))
+
+
+def gather(bits: DataFrame) -> np.ndarray:
+    """The bitmap of (at, bits), words of 64 bits and their places."""
     words, each = 1 << (BITS - 6), 1 << 12
 
     def section(key: tuple, found: pa.Table) -> pa.Table:
@@ -157,9 +165,7 @@ def bitmap(rows: DataFrame, key: str) -> np.ndarray:
         out[found["at"].to_numpy() % each] = found["bits"].to_numpy()
         return pa.table({"part": [key[0].as_py()], "section": [out.tobytes()]})
 
-    place = rows.select(F.shiftrightunsigned(F.col(key), 64 - BITS).alias("place"))
-    bits = place.selectExpr("shiftright(place, 6) AS at", "shiftleft(1L, CAST(place & 63 AS INT)) AS bit")
-    bits = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).withColumn("part", F.shiftright("at", 12))
+    bits = bits.groupBy("at").agg(F.bit_or("bits").alias("bits")).withColumn("part", F.shiftright("at", 12))
     out = np.zeros(words, np.uint64)
     for row in bits.groupBy("part").applyInArrow(section, "part bigint, section binary").toLocalIterator():
         out[row["part"] * each : (row["part"] + 1) * each] = np.frombuffer(row["section"], np.uint64)
@@ -231,31 +237,96 @@ class SuffixTree:
         return out + np.where(numbers >= 0, self.unknown_log, 0.0)
 
 
-def _count_grams(bits, depth: int):
-    """Partial counts of (context, next token); n-grams one shorter that are
-    surely not frequent enough are in no ``bits``."""
-    names = ["w0", "w1", "w2"][: depth + 1]
+def _grams(tokens: Tokens, depth: int) -> list[np.ndarray]:
+    """Columns of the n-grams of ``depth`` tokens and the next one."""
+    at = tokens.at(depth)
+    return [tokens.words[at - k] for k in range(depth, -1, -1)]
+
+
+def _keys_seen(bits, split: int):
+    """For every section of the keys' top ``split`` bits the next ``PRINT``
+    bits of the n-grams in it, in blocks; a key that a block holds more often
+    comes up to ``LEAST`` times.  N-grams of a word that is surely seldom are
+    left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = bits.value
         for batch in batches:
             for tokens in pieces(byte_list(batch.column("text")), HELD):
-                at = tokens.at(depth)
-                words = [tokens.words[at - k] for k in range(depth, -1, -1)]
-                if depth == 1:
-                    use = in_bitmap(often, words[0]) & in_bitmap(often, words[1])
-                else:
-                    use = in_bitmap(often, key_of(ENTRY, *words[:-1])) & in_bitmap(often, key_of(ENTRY, *words[1:]))
-                words = [w[use] for w in words]
-                _, first, c = np.unique(key_of(ENTRY, *words), return_index=True, return_counts=True)
+                usable = in_bitmap(often, tokens.words)
+                found = []
+                for depth in range(1, DEPTH + 1):
+                    at = tokens.at(depth)
+                    at = at[np.logical_and.reduce([usable[at - k] for k in range(depth + 1)])]
+                    found.append(key_of(ENTRY, *(tokens.words[at - k] for k in range(depth, -1, -1))))
+                keys, c = np.unique(np.concatenate(found) >> np.uint64(64 - split - PRINT), return_counts=True)
+                keys = np.repeat(keys, np.minimum(c, LEAST))
+                parts = keys >> np.uint64(PRINT)
+                starts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]]) if len(keys) else np.empty(0, int)
+                low = np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : PRINT // 8])
+                held = [x.tobytes() for x in np.split(low, starts[1:])] if len(keys) else []
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(w[first].view(np.int64)) for w in words), pa.array(c.astype(np.int64))], [*names, "c"]
+                    [pa.array(parts[starts].astype(np.int64)), pa.array(held, pa.binary())], ["part", "keys"]
                 )
         pa.default_memory_pool().release_unused()
 
     return run
 
 
+def _keys_often(split: int):
+    """Of one section, the bits of the keys that come ``LEAST`` times."""
+
+    def run(key: tuple, found: pa.Table) -> pa.Table:
+        low = np.frombuffer(b"".join(found["keys"].to_pylist()), np.uint8).reshape(-1, PRINT // 8)
+        keys = np.zeros((len(low), 8), np.uint8)
+        keys[:, : PRINT // 8] = low
+        keys = np.sort(keys.view("<u8").ravel())
+        keys = keys[LEAST - 1 :][keys[LEAST - 1 :] == keys[: len(keys) - LEAST + 1]]
+        whole = keys.astype(np.uint64) | np.uint64(key[0].as_py() << PRINT)
+        place = np.unique(whole >> np.uint64(split + PRINT - BITS))
+        at, bit = place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63))
+        starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.empty(0, int)
+        bits = np.bitwise_or.reduceat(bit, starts) if len(at) else bit
+        return pa.table({"at": at[starts].astype(np.int64), "bits": bits.view(np.int64)})
+
+    return run
+
+
+def often_grams(spark: SparkSession, texts: DataFrame, words: np.ndarray, total: int) -> np.ndarray:
+    """A bitmap of the n-grams that occur ``LEAST`` times, and of few others.
+
+    Most n-grams of a corpus occur once.  To find the others, ``PRINT`` bits of
+    each travel, in sections of about ``SECTION`` keys at any size of the corpus;
+    only n-grams in the bitmap are counted with all their words.
+    """
+    split = min(max(6, int(np.ceil(np.log2(max(DEPTH * total, 1) / SECTION)))), 64 - PRINT)
+    seen = texts.mapInArrow(_keys_seen(spark.sparkContext.broadcast(words), split), "part bigint, keys binary")
+    return gather(seen.groupBy("part").applyInArrow(_keys_often(split), "at bigint, bits bigint"))
+
+
+def _count_grams(bits):
+    """Partial counts of (context, next token) of all depths; n-grams that are
+    surely not frequent enough are in no ``bits``."""
+    names = [f"w{i}" for i in range(DEPTH + 1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = bits.value
+        for batch in batches:
+            for tokens in pieces(byte_list(batch.column("text")), HELD):
+                for depth in range(1, DEPTH + 1):
+                    words = _grams(tokens, depth)
+                    keys = key_of(ENTRY, *words)
+                    use = np.flatnonzero(in_bitmap(often, keys))
+                    _, first, c = np.unique(keys[use], return_index=True, return_counts=True)
+                    first = use[first]
+                    columns = [pa.array(w[first].view(np.int64)) for w in words]
+                    columns += [pa.nulls(len(first), pa.int64())] * (DEPTH - depth)
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(c.astype(np.int64))], [*names, "c"])
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def _with_keys(rows: DataFrame, keys: dict[str, tuple[int, tuple[str, ...]]]) -> DataFrame:
     """Rows with the keys of n-grams of their word columns."""
 
@@ -331,18 +402,19 @@ def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tup
     words = materialise(spark, _hashed(counted), "word-hashes")
     chance = (F.col("c") - discount) / total
 
-    def counts(depth: int, bits: np.ndarray) -> DataFrame:
-        names = [f"w{i}" for i in range(depth + 1)]
-        found = texts.mapInArrow(
-            _count_grams(spark.sparkContext.broadcast(bits), depth), ", ".join(f"{x} bigint" for x in [*names, "c"])
-        )
-        return found.groupBy(*names).agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST)
+    names = [f"w{i}" for i in range(DEPTH + 1)]
+    often = often_grams(spark, texts, bitmap(words.filter(F.col("c") >= LEAST), "w"), int(n))
+    grams = texts.mapInArrow(
+        _count_grams(spark.sparkContext.broadcast(often)), ", ".join(f"{x} bigint" for x in [*names, "c"])
+    )
+    grams = grams.groupBy(*names).agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST)
+    grams = materialise(spark, grams, "grams")
 
     smooth = F.log10((F.col("c") + PRIOR * F.col("shorter")) / (F.col("n") + PRIOR))
     longer = F.log10("shorter")
 
     # first level: contexts of one token
-    pairs = counts(1, bitmap(words.filter(F.col("c") >= LEAST), "w"))
+    pairs = grams.filter("w2 IS NULL").select("w0", "w1", "c")
     entries = _meet(pairs, "w1", words.select("w", chance.alias("shorter"), "c"), common, ["shorter"])
     entries = materialise(spark, entries, "entries-1")
     first = materialise(spark, _contexts(entries, words.select(F.col("w").alias("w0"), F.col("c").alias("n")), ["w0"]), "contexts-1")
@@ -351,10 +423,12 @@ def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tup
     log = F.when(F.col("retained"), smooth).otherwise(longer)
     full = full.select("w0", "w1", "c", "retained", log.alias("log"), (log - longer - F.col("back_off")).alias("adds"))
     pairs = materialise(spark, _with_keys(full, {"key": (ENTRY, ("w0", "w1"))}), "pairs")
+    release(spark, entries)
 
     # second level: contexts of two tokens
     suffix = pairs.select(F.col("w0").alias("w1"), F.col("w1").alias("w2"), F.pow(F.lit(10.0), "log").alias("shorter"))
-    entries = materialise(spark, counts(2, bitmap(pairs, "key")).join(suffix, ["w1", "w2"]), "entries-2")
+    entries = materialise(spark, grams.filter("w2 IS NOT NULL").join(suffix, ["w1", "w2"]), "entries-2")
+    release(spark, grams)
     second = materialise(
         spark, _contexts(entries, pairs.select("w0", "w1", F.col("c").alias("n")), ["w0", "w1"]), "contexts-2"
     )
@@ -362,6 +436,7 @@ def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tup
     deeper = deeper.select("w0", "w1", "w2", "c", (smooth - longer - F.col("back_off")).alias("adds"))
     triples = _with_keys(deeper, {"key": (ENTRY, ("w0", "w1", "w2"))}).select("key", "adds", "c")
     triples = materialise(spark, triples, "triples")
+    release(spark, entries)
 
     # one table: key, what it adds, how often it occurs, and the count of a word
     unknown_log = float(np.log10(max(unknown, 1e-9) / total))
