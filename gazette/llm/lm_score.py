@@ -46,7 +46,7 @@ COMMON_SHARE = 2e-6
 #: Bits of a bitmap of hashes, as a power of two.
 BITS = 28
 #: Bits that tell n-grams of one section apart until they are counted, and n-grams of a section.
-PRINT, SECTION = 40, 1 << 21
+PRINT, SECTION = 32, 1 << 21
 #: Tokens that a task looks up at a time.
 PIECE = 200_000
 #: Weight of the suffix's distribution, in observations.
@@ -243,6 +243,21 @@ def _grams(tokens: Tokens, depth: int) -> list[np.ndarray]:
     return [tokens.words[at - k] for k in range(depth, -1, -1)]
 
 
+LOW = np.uint64((1 << PRINT) - 1)
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Ascending numbers below 2^``PRINT`` as the bytes of their gaps, place by
+    place: most high bytes are zero, which the shuffle's compression takes."""
+    gaps = np.diff(keys, prepend=np.uint64(0))
+    return gaps.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    gaps = np.frombuffer(data, np.uint8).reshape(4, -1).T
+    return np.cumsum(np.ascontiguousarray(gaps).view("<u4").ravel(), dtype=np.uint64)
+
+
 def _keys_seen(bits, split: int):
     """For every section of the keys' top ``split`` bits the next ``PRINT``
     bits of the n-grams in it, in blocks; a key that a block holds more often
@@ -263,8 +278,7 @@ def _keys_seen(bits, split: int):
                 keys = np.repeat(keys, np.minimum(c, LEAST))
                 parts = keys >> np.uint64(PRINT)
                 starts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]]) if len(keys) else np.empty(0, int)
-                low = np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : PRINT // 8])
-                held = [x.tobytes() for x in np.split(low, starts[1:])] if len(keys) else []
+                held = [_packed(x) for x in np.split(keys & LOW, starts[1:])] if len(keys) else []
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(parts[starts].astype(np.int64)), pa.array(held, pa.binary())], ["part", "keys"]
                 )
@@ -277,12 +291,9 @@ def _keys_often(split: int):
     """Of one section, the bits of the keys that come ``LEAST`` times."""
 
     def run(key: tuple, found: pa.Table) -> pa.Table:
-        low = np.frombuffer(b"".join(found["keys"].to_pylist()), np.uint8).reshape(-1, PRINT // 8)
-        keys = np.zeros((len(low), 8), np.uint8)
-        keys[:, : PRINT // 8] = low
-        keys = np.sort(keys.view("<u8").ravel())
+        keys = np.sort(np.concatenate([_unpacked(x) for x in found["keys"].to_pylist()]))
         keys = keys[LEAST - 1 :][keys[LEAST - 1 :] == keys[: len(keys) - LEAST + 1]]
-        whole = keys.astype(np.uint64) | np.uint64(key[0].as_py() << PRINT)
+        whole = keys | np.uint64(key[0].as_py() << PRINT)
         place = np.unique(whole >> np.uint64(split + PRINT - BITS))
         at, bit = place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63))
         starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.empty(0, int)
@@ -448,7 +459,8 @@ def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tup
     for part in parts[1:]:
         table = table.unionByName(part)
     step = F.floor(8 * F.log2("c")).cast("int")
-    table = table.withColumn("step", step)
+    table = materialise(spark, table.withColumn("step", step).drop("c"), "suffix-tree")
+    release(spark, words, pairs, triples)
     least, held = 1 << 30, 0
     for row in sorted(table.groupBy("step").count().collect(), key=lambda r: -r["step"]):
         held += row["count"]
@@ -475,6 +487,7 @@ def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tup
     for contexts in (first, second):
         some = contexts.filter(F.floor(8 * F.log2("n")) >= least).select("retained").toPandas()
         tree.levels.append(Level(some["retained"].to_numpy(bool)))
+    release(spark, first, second)
     return tree, int(n), int(v), int(ends)
 
 
@@ -495,7 +508,7 @@ def _score(tree):
                 sums["n_tokens"] += np.bincount(tokens.text[tokens.new], minlength=size)
                 keys, where = model.grams(tokens)
                 text = tokens.text[where]
-                order = np.lexsort((text, keys))
+                order = np.lexsort((keys, text))  # a text's rows stay together, so its number compresses
                 keys, text = keys[order], text[order]
                 new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])])
                 tf = np.diff(np.r_[new, len(keys)])
