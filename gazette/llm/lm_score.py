@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.common import bounded_batches, byte_list, fold, materialise, name_of, release, slices
+from gazette.llm.common import bounded_batches, byte_list, drop_shuffles, fold, materialise, name_of, release, slices
 from gazette.llm.shingles import _scramble, word_blocks
 
 DEPTH = 2
@@ -420,6 +420,7 @@ def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tup
     )
     grams = grams.groupBy(*names).agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST)
     grams = materialise(spark, grams, "grams")
+    drop_shuffles(spark)
 
     smooth = F.log10((F.col("c") + PRIOR * F.col("shorter")) / (F.col("n") + PRIOR))
     longer = F.log10("shorter")
@@ -566,6 +567,8 @@ def lm_score(
         "word-counts",
     )
     tree, n, v, ends = train_tree(spark, texts, counted)
+    release(spark, counted)
+    drop_shuffles(spark)
     # equal rows have the same number and are told apart at the end
     asked = rows.withColumn(
         "d", F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("id").isNull(), F.coalesce("text", F.lit("")))
