@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 from collections.abc import Iterator
 
@@ -41,14 +40,6 @@ def release(spark: SparkSession, *tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def drop_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffles behind tables that are written by
-    now.  It does so when the driver collects garbage, which Spark itself asks for
-    only every ``spark.cleaner.periodicGC.interval`` (30 minutes)."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 @F.arrow_udf(T.BinaryType())
 def ascii_lower(texts: pa.Array) -> pa.Array:
     """UTF-8 bytes with A-Z alone lower-cased; null reads as empty."""
