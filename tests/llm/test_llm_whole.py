@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -99,3 +100,24 @@ def test_lm_runs_repeat_what_contexts_need(monkeypatch):
     tokens = [t for t in lm.pieces([text, b"", b"a b"], 100)]
     assert sum(int(t.new.sum()) for t in tokens) == 401 + 1 + 3
     assert sum(len(t.at(2)) for t in tokens) == 399 + 0 + 1
+
+
+def test_fingerprints_find_every_repeated_gram(spark):
+    """Every pair and triple that occurs twice is in the bitmap, within one
+    block or over many; of those that occur once hardly any is."""
+    rng = random.Random(3)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.6))}" for _ in range(rng.randint(0, 60))) for _ in range(400)] + [""]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    every = np.full(1 << (lm.BITS - 6), ~np.uint64(0), np.uint64)
+    bits = lm.often_grams(spark, rows.select(F.col("text")), every, 20_000)
+    counts = collections.Counter()
+    for tokens in lm.pieces([t.encode() for t in texts], 1 << 40):
+        for depth in (1, 2):
+            counts.update(lm.key_of(lm.ENTRY, *lm._grams(tokens, depth)).tolist())
+    keys = np.array(list(counts), np.uint64)
+    twice = np.array(list(counts.values())) >= lm.LEAST
+    found = lm.in_bitmap(bits, keys)
+    assert twice.sum() > 500 and found[twice].all()
+    assert found[~twice].mean() < 0.01
+    for sizes in ([], [0], [0, 0, 5], sorted(rng.randrange(1 << lm.PRINT) for _ in range(1000))):
+        assert lm._unpacked(lm._packed(np.array(sizes, np.uint64))).tolist() == sizes
