@@ -29,6 +29,8 @@ SEQUENCE = 2048
 END_ID = 1
 VOCABULARY = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
+#: Texts of so many characters at most are encoded in one call, longer ones pretoken by pretoken.
+WHOLE = 100_000
 #: Pretokens that a worker remembers, twice over (the younger and the older ones).
 MAX_WORDS = 80_000
 
@@ -81,9 +83,10 @@ def curve_key(texts: pa.Array) -> pa.Array:
 
 
 class Encoder:
-    """Ids of the byte-level vocabulary as little-endian 16-bit bytes, with a
-    bounded memory of pretokens.  Texts that hold a special string go through
-    the tokenizer itself."""
+    """Ids of the byte-level vocabulary as little-endian 16-bit bytes.  Long texts
+    are cut into pretokens, with a bounded memory of them, so that no run of
+    characters is too long for the pattern.  Texts that hold a special string go
+    through the tokenizer itself."""
 
     def __init__(self, vocabulary: str, ranks: str) -> None:
         import public_tokenizers
@@ -108,6 +111,8 @@ class Encoder:
                 self.tokenizer = Tokenizer.from_file(self.vocabulary)
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(ids, "<u2").tobytes()
+        if len(text) <= WHOLE:
+            return np.array(self.pieces.encode_ordinary(text), "<u2").tobytes()
         words = split(text)
         found = list(map(self.known.get, words))
         try:

@@ -118,6 +118,25 @@ def test_packing_awkward(spark, awkward, library):
     assert {(r.doc_tokens, r.length) for r in rows if r.id == 4} == {(1, 1)}
 
 
+def test_texts_are_encoded_in_one_call(library, monkeypatch):
+    """Texts of usual length need one call each; pretoken by pretoken gives the same ids."""
+    encoder = packing._encoder(None, None)
+    texts = [*scraps(500, 3), "", " ", "it's  \n\t x\u2003y", "new words " + " ".join(f"w{i}q" for i in range(300))]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    calls, pieces = [], encoder.pieces
+
+    class Counted:
+        def encode_ordinary(self, text):
+            calls.append(text)
+            return pieces.encode_ordinary(text)
+
+    monkeypatch.setattr(encoder, "pieces", Counted())
+    assert [encoder(t) for t in texts] == want
+    assert calls == [t for t in texts if "<|endoftext|>" not in t]  # those go through the library
+    monkeypatch.setattr(packing, "WHOLE", -1)
+    assert [encoder(t) for t in texts] == want
+
+
 def test_tail_is_cut_into_powers_of_two():
     assert packing.tail_starts(2048 * 3, 2048) == []
     assert packing.tail_starts(2048 + 13, 2048) == [2048, 2056, 2060]
