@@ -9,7 +9,10 @@ terms by one product.
 the corpus.  So terms are dealt by their hash to as many shards as keep each
 vocabulary within ``SHARD_TERMS``, and each shard is fitted by itself; terms carry
 their language (``lang word``), so one fit serves all languages.  A document has one row in a
-shard, so document counts are exact.
+shard, so document counts are exact; it holds each term once, since only these counts matter to
+the fit.  What a group's documents of a block hold is counted first and transformed as rows of
+distinct terms, one row for each binary digit of the counts: the vectors times their weights
+add up to the same sums as the documents' own.
 """
 
 from __future__ import annotations
@@ -38,7 +41,8 @@ NO_LIMIT = 2**31 - 1
 SHARD_TERMS, LOOKED_AT = 1 << 20, 8
 UNIT = 1_000_000_000
 
-_DEALT = "lang string, source string, shard int, terms string"
+#: Rows of documents have weight 0.
+_DEALT = "lang string, source string, shard int, counted boolean, weight bigint, terms string"
 _LETTER = np.array([c >= 128 or chr(c).isalpha() for c in range(256)])
 
 
@@ -85,33 +89,70 @@ def _hashes(words: pa.Array) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(17)
 
 
+def _distinct(*columns: np.ndarray, times: np.ndarray | None = None) -> list[np.ndarray]:
+    """The distinct rows of columns of numbers, ascending, and how often each occurs."""
+    sizes = [int(c.max()) + 1 if len(c) else 1 for c in columns]
+    keys = np.zeros(len(columns[0]), np.int64)
+    for column, size in zip(columns, sizes):
+        keys = keys * size + column
+    if times is None:
+        keys, times = np.unique(keys, return_counts=True)
+    else:
+        order = np.argsort(keys)
+        keys = keys[order]
+        starts = np.flatnonzero(np.diff(keys, prepend=-1) != 0)
+        times = np.add.reduceat(times[order], starts) if len(starts) else times
+        keys = keys[starts]
+    out = [times]
+    for size in sizes[::-1]:
+        keys, column = np.divmod(keys, size)
+        out.insert(0, column)
+    return out
+
+
 def _dealt(shards: int):
-    """One row for each document and shard: the document's terms there, one a line, each as ``lang word``."""
+    """One row for each document and shard: the document's distinct terms there, one a
+    line, each as ``lang word``; and for each group of a batch, shard and binary digit of
+    the counts the terms whose count has that digit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owner, coded = _words(batch.column("text"))
             names = coded.dictionary
             word = coded.indices.to_numpy(zero_copy_only=False)
-            home = (_hashes(names) % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)[word]
-            order = np.argsort(home, kind="stable")  # the words of a shard stay in the documents' order
-            home, owner, word = home[order].astype(np.int64), owner[order], word[order]
-            starts = np.flatnonzero((np.diff(home, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0))
-            lists = pa.LargeListArray.from_arrays(pa.array(np.append(starts, len(order))), names.take(pa.array(word)))
-            row = pa.array(owner[starts])
-            none, blank, line = (pa.scalar(x, pa.large_string()) for x in ("", " ", "\n"))
-            prefix = pc.binary_join_element_wise(batch.column("key").take(row).cast(pa.large_string()), none, blank)
-            between = pc.binary_join_element_wise(none, prefix, line)
-            terms = pc.binary_join_element_wise(prefix, pc.binary_join(lists, between), none)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("lang").take(row),
-                    batch.column("source").take(row),
-                    pa.array(home[starts].astype(np.int32)),
-                    terms.cast(pa.string()),
-                ],
-                ["lang", "source", "shard", "terms"],
-            )
+            homes = (_hashes(names) % np.uint64(shards)).astype(np.int64)
+            codes = [batch.column(c).dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in ("lang", "source")]
+            _, firsts, group = np.unique(codes[0] * (batch.num_rows + 1) + codes[1], return_index=True, return_inverse=True)
+
+            def rows(home: np.ndarray, row: np.ndarray, word: np.ndarray, weight: int) -> pa.RecordBatch:
+                starts = np.flatnonzero((np.diff(home, prepend=-1) != 0) | (np.diff(row, prepend=-1) != 0))
+                lists = pa.LargeListArray.from_arrays(pa.array(np.append(starts, len(word))), names.take(pa.array(word)))
+                first = pa.array(row[starts])
+                none, blank, line = (pa.scalar(x, pa.large_string()) for x in ("", " ", "\n"))
+                prefix = pc.binary_join_element_wise(batch.column("key").take(first).cast(pa.large_string()), none, blank)
+                between = pc.binary_join_element_wise(none, prefix, line)
+                terms = pc.binary_join_element_wise(prefix, pc.binary_join(lists, between), none)
+                return pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("lang").take(first),
+                        batch.column("source").take(first),
+                        pa.array(home[starts].astype(np.int32)),
+                        pa.array(np.full(len(starts), weight > 0)),
+                        pa.array(np.full(len(starts), weight, np.int64)),
+                        terms.cast(pa.string()),
+                    ],
+                    ["lang", "source", "shard", "counted", "weight", "terms"],
+                )
+
+            owner, word, times = _distinct(owner, word)
+            order = np.argsort(homes[word].astype(np.uint16 if shards <= 1 << 16 else np.int64), kind="stable")
+            yield rows(homes[word[order]], owner[order], word[order], 0)
+            group, word, times = _distinct(group[owner], word, times=times)
+            order = np.argsort(homes[word].astype(np.uint16 if shards <= 1 << 16 else np.int64), kind="stable")
+            group, word, times = group[order], word[order], times[order]
+            for digit in range(int(times.max(initial=0)).bit_length()):
+                at = np.flatnonzero(times >> digit & 1)
+                yield rows(homes[word[at]], firsts[group[at]], word[at], 1 << digit)
         pa.default_memory_pool().release_unused()
 
     return run
@@ -128,10 +169,11 @@ def _shards(docs: DataFrame) -> int:
 
 
 def _sums(vectors: DataFrame) -> DataFrame:
-    """Sums of sparse vectors by group, as (gid, idx, n)."""
+    """Sums of sparse vectors, times their weights, by group, as (gid, idx, n)."""
     entry = F.explode(F.arrays_zip(F.col("v.indices").alias("idx"), F.col("v.values").alias("n"))).alias("entry")
-    cells = vectors.select("gid", F.unwrap_udt("vector").alias("v")).select("gid", entry)
-    return cells.groupBy("gid", F.col("entry.idx").alias("idx")).agg(F.sum(F.col("entry.n").cast("bigint")).alias("n"))
+    cells = vectors.select("gid", "weight", F.unwrap_udt("vector").alias("v")).select("gid", "weight", entry)
+    n = F.sum(F.col("entry.n").cast("bigint") * F.col("weight"))
+    return cells.groupBy("gid", F.col("entry.idx").alias("idx")).agg(n.alias("n"))
 
 
 _NAMED, _COUNTED = "idx int, name string", "gid bigint, idx int, n bigint"
@@ -147,13 +189,13 @@ def group_sums(spark: SparkSession, docs: DataFrame, groups: DataFrame, size: in
     dealt = docs.select("lang", "source", "text", _escaped(F.col("lang")).alias("key")).mapInArrow(_dealt(shards), _DEALT)
     dealt = dealt.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(spread)))
     dealt = dealt.repartition(shards * spread, "shard", "salt").drop("salt")
-    dealt.write.partitionBy("shard").option("compression", "zstd").parquet(f"{root}/dealt")
+    dealt.write.partitionBy("shard", "counted").option("compression", "zstd").parquet(f"{root}/dealt")
     for shard in range(shards):  # a few jobs for each SHARD_TERMS terms
         rows = spark.read.schema(_DEALT).parquet(f"{root}/dealt").filter(F.col("shard") == shard)
         rows = rows.withColumn("terms", F.split("terms", "\n"))
         counter = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(LEAST_DOCUMENTS), vocabSize=NO_LIMIT)
         try:
-            model = counter.fit(rows)
+            model = counter.fit(rows.filter("NOT counted"))
         except IllegalArgumentException as e:
             if "vocabulary size" not in str(e):
                 raise
@@ -161,7 +203,7 @@ def group_sums(spark: SparkSession, docs: DataFrame, groups: DataFrame, size: in
         model.save(f"{root}/models/{shard}")
         names = spark.read.parquet(f"{root}/models/{shard}/data").select(F.posexplode("vocabulary").alias("idx", "name"))
         names.write.parquet(f"{root}/vocabulary/shard={shard}")
-        vectors = model.transform(look_up(rows, groups, ["lang", "source"], size))
+        vectors = model.transform(look_up(rows.filter("counted"), groups, ["lang", "source"], size))
         _sums(vectors).write.parquet(f"{root}/counts/shard={shard}")
     for kind, schema in (("vocabulary", _NAMED), ("counts", _COUNTED)):
         # a shard without rows, so that the folder is there

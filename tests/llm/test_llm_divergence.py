@@ -3,6 +3,7 @@
 import collections
 import re
 
+import pyarrow as pa
 from pyspark.sql import types as T
 
 from gazette.llm import divergence
@@ -96,3 +97,21 @@ def test_shards_and_ranks(spark, monkeypatch):
 def test_larger_group_tables_are_salted(spark, monkeypatch):
     monkeypatch.setattr("gazette.llm.common.SMALL_TABLE", 0)
     assert run(spark, ROWS) == brute(ROWS)
+
+
+def test_terms_are_counted_before_they_are_transformed():
+    """A document's row holds each term once; a group's rows hold a term once for each
+    binary digit of its count, so that frequent terms cost no more than their digits."""
+    texts = ["the cat the", "the " * 1000 + "dog", "", "the"]
+    columns = [pa.array(x) for x in (["en"] * 4, ["a", "b", "b", "a"], texts, ["en"] * 4)]
+    batch = pa.RecordBatch.from_arrays(columns, ["lang", "source", "text", "key"])
+    found = [r for out in divergence._dealt(3)([batch]) for r in out.to_pylist()]
+    documents = collections.Counter(t for r in found if not r["counted"] for t in r["terms"].split("\n"))
+    assert documents == {"en the": 3, "en cat": 1, "en dog": 1}
+    sums, size = collections.Counter(), 0
+    for r in found:
+        for term in r["terms"].split("\n") if r["counted"] else []:
+            sums[r["source"], term] += r["weight"]
+            size += 1
+    assert sums == {("a", "en the"): 3, ("a", "en cat"): 1, ("b", "en the"): 1000, ("b", "en dog"): 1}
+    assert size == sum(n.bit_count() for n in sums.values())
