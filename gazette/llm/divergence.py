@@ -8,9 +8,12 @@ terms by one product.
 ``CountVectorizer`` holds its vocabulary on the driver, and that grows with
 the corpus.  So terms are dealt by their hash to as many shards as keep each
 vocabulary within ``SHARD_TERMS``, and each shard is fitted by itself; terms carry
-their language (``lang word``), so one fit serves all languages.  A document has one row in a
-shard, so document counts are exact; it holds each term once, since only these counts matter to
-the fit.  What a group's documents of a block hold is counted first and transformed as rows of
+their language (``lang word``), so one fit serves all languages.  The fit has to know of a term
+only whether ``LEAST_DOCUMENTS`` documents hold it.  So a block of documents gives each
+language's shard that many rows: the first row has the terms that any of its documents holds, the
+second one those that a second document holds, and so on.  A term has as many rows as documents
+of the block, up to that number, so over all blocks it has ``LEAST_DOCUMENTS`` rows exactly if
+so many documents hold it.  What a group's documents of a block hold is counted first and transformed as rows of
 distinct terms, one row for each binary digit of the counts: the vectors times their weights
 add up to the same sums as the documents' own.
 """
@@ -111,9 +114,9 @@ def _distinct(*columns: np.ndarray, times: np.ndarray | None = None) -> list[np.
 
 
 def _dealt(shards: int):
-    """One row for each document and shard: the document's distinct terms there, one a
-    line, each as ``lang word``; and for each group of a batch, shard and binary digit of
-    the counts the terms whose count has that digit."""
+    """For each language of a batch, shard and number up to ``LEAST_DOCUMENTS`` one row: the
+    terms there that so many documents hold, one a line, each as ``lang word``; and for each
+    group of a batch, shard and binary digit of the counts the terms whose count has that digit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,6 +125,7 @@ def _dealt(shards: int):
             word = coded.indices.to_numpy(zero_copy_only=False)
             homes = (_hashes(names) % np.uint64(shards)).astype(np.int64)
             codes = [batch.column(c).dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in ("lang", "source")]
+            _, speaks, tongue = np.unique(codes[0], return_index=True, return_inverse=True)
             _, firsts, group = np.unique(codes[0] * (batch.num_rows + 1) + codes[1], return_index=True, return_inverse=True)
 
             def rows(home: np.ndarray, row: np.ndarray, word: np.ndarray, weight: int) -> pa.RecordBatch:
@@ -144,12 +148,17 @@ def _dealt(shards: int):
                     ["lang", "source", "shard", "counted", "weight", "terms"],
                 )
 
+            def by_home(*columns: np.ndarray) -> list[np.ndarray]:
+                """Columns, of which the last but one is the word, in the order of the words' shards."""
+                order = np.argsort(homes[columns[-2]].astype(np.uint16 if shards <= 1 << 16 else np.int64), kind="stable")
+                return [c[order] for c in columns]
+
             owner, word, times = _distinct(owner, word)
-            order = np.argsort(homes[word].astype(np.uint16 if shards <= 1 << 16 else np.int64), kind="stable")
-            yield rows(homes[word[order]], owner[order], word[order], 0)
-            group, word, times = _distinct(group[owner], word, times=times)
-            order = np.argsort(homes[word].astype(np.uint16 if shards <= 1 << 16 else np.int64), kind="stable")
-            group, word, times = group[order], word[order], times[order]
+            lang, term, held = by_home(*_distinct(tongue[owner], word))
+            for least in range(1, min(int(held.max(initial=0)), LEAST_DOCUMENTS) + 1):
+                at = np.flatnonzero(held >= least)
+                yield rows(homes[term[at]], speaks[lang[at]], term[at], 0)
+            group, word, times = by_home(*_distinct(group[owner], word, times=times))
             for digit in range(int(times.max(initial=0)).bit_length()):
                 at = np.flatnonzero(times >> digit & 1)
                 yield rows(homes[word[at]], firsts[group[at]], word[at], 1 << digit)

@@ -115,3 +115,23 @@ def test_terms_are_counted_before_they_are_transformed():
             size += 1
     assert sums == {("a", "en the"): 3, ("a", "en cat"): 1, ("b", "en the"): 1000, ("b", "en dog"): 1}
     assert size == sum(n.bit_count() for n in sums.values())
+
+
+def test_rows_for_the_fit_do_not_grow_with_documents():
+    """A block gives a language's terms up to three rows, one for each document that holds
+    them, so a term has three rows over all blocks exactly if three documents hold it."""
+
+    def batch(texts, langs):
+        columns = [pa.array(x) for x in (langs, [""] * len(texts), texts, langs)]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "source", "text", "key"])
+
+    def fitted(*batches):
+        found = [r for out in divergence._dealt(1)(list(batches)) for r in out.to_pylist() if not r["counted"]]
+        return found, collections.Counter(t for r in found for t in r["terms"].split("\n"))
+
+    many = batch(["the cat"] * 500 + ["the dog"] * 2 + ["the the the"], ["en"] * 502 + ["de"])
+    found, rows = fitted(many)
+    assert rows == {"en the": 3, "en cat": 3, "en dog": 2, "de the": 1} and len(found) == 4
+    one = [batch([x], ["en"]) for x in ("the cat cat cat", "the dog", "the dog", "", "the")]
+    found, rows = fitted(*one)
+    assert rows == {"en the": 4, "en cat": 1, "en dog": 2}
