@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,21 @@ def release(spark: SparkSession, *tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Inside, a query's shuffle files are deleted when it ends, not when the driver
+    happens to collect garbage; for queries whose results are written or collected."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 @F.arrow_udf(T.BinaryType())
 def ascii_lower(texts: pa.Array) -> pa.Array:
     """UTF-8 bytes with A-Z alone lower-cased; null reads as empty."""

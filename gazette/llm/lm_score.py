@@ -13,8 +13,9 @@ The tree is a written table that grows with the corpus.  The log of a token's
 chance is a sum over n-grams that end at it or before it: that of an unknown
 token, what the word adds, what its retained contexts' back-offs add, and what
 entries (context, token) add.  So the table has one number for each such
-n-gram.  The ``HEAD_KEYS`` most frequent n-grams are broadcast; occurrences of
-all others meet their numbers in a join, which no frequent n-gram can skew.
+n-gram.  The ``HEAD_KEYS`` most frequent n-grams are broadcast; all others meet
+their numbers in sections of the keys, which no frequent n-gram can skew: a block
+of documents asks each section in one packed row.
 A bitmap, which only ever saves rows, tells which n-grams are surely in no table.
 
 Every training document counts.  Words and n-grams are told apart by 64-bit
@@ -26,14 +27,16 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.common import bounded_batches, byte_list, fold, materialise, name_of, release, slices
+from gazette.llm.common import bounded_batches, brief_shuffles, byte_list, fold, materialise, name_of, release, slices
 from gazette.llm.shingles import _scramble, word_blocks
 
 DEPTH = 2
@@ -47,6 +50,8 @@ COMMON_SHARE = 2e-6
 BITS = 28
 #: Bits that tell n-grams of one section apart until they are counted, and n-grams of a section.
 PRINT, SECTION = 32, 1 << 21
+#: Training tokens for each section of the table that documents ask, and its bits at least and at most.
+ASKED, ASKED_BITS = 1 << 22, (5, 16)
 #: Tokens that a task looks up at a time.
 PIECE = 200_000
 #: Weight of the suffix's distribution, in observations.
@@ -167,8 +172,9 @@ def gather(bits: DataFrame) -> np.ndarray:
 
     bits = bits.groupBy("at").agg(F.bit_or("bits").alias("bits")).withColumn("part", F.shiftright("at", 12))
     out = np.zeros(words, np.uint64)
-    for row in bits.groupBy("part").applyInArrow(section, "part bigint, section binary").toLocalIterator():
-        out[row["part"] * each : (row["part"] + 1) * each] = np.frombuffer(row["section"], np.uint64)
+    found = bits.groupBy("part").applyInArrow(section, "part bigint, section binary").toArrow()
+    for part, row in zip(found["part"].to_pylist(), found["section"]):
+        out[part * each : (part + 1) * each] = np.frombuffer(row.as_buffer(), np.uint64)
     return out
 
 
@@ -177,6 +183,29 @@ def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
+class Stowed:
+    """Arrays and numbers that travel compressed: what is broadcast lies as a file
+    on the driver and on every executor, and most of a bitmap is zero."""
+
+    def __getstate__(self) -> dict:
+        stow = lambda x: (x.dtype.str, x.nbytes, pa.compress(pa.py_buffer(np.ascontiguousarray(x)), "zstd", asbytes=True))
+        return {k: stow(v) if isinstance(v, np.ndarray) else v for k, v in self.__dict__.items()}
+
+    def __setstate__(self, state: dict) -> None:
+        for k, v in state.items():
+            if isinstance(v, tuple):
+                kind, size, data = v
+                v = np.frombuffer(pa.decompress(data, size, "zstd", asbytes=True), kind)
+            self.__dict__[k] = v
+
+
+class Bitmap(Stowed):
+    """A bitmap to broadcast."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+
 def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of keys in an ascending table, and whether they are there."""
     if not len(table):
@@ -193,7 +222,7 @@ class Level:
 
 
 @dataclass
-class SuffixTree:
+class SuffixTree(Stowed):
     """The head of the table (keys ascending, what each adds, word counts) and
     a bitmap of the keys of the rest, ``tail`` (key, adds, c)."""
 
@@ -204,12 +233,20 @@ class SuffixTree:
     adds: np.ndarray
     counts: np.ndarray
     bits: np.ndarray
-    number: dict[bytes, int] = field(default_factory=dict)
     levels: list[Level] = field(default_factory=list)
     tail: DataFrame | None = None
+    frequent: DataFrame | None = None
+
+    @cached_property
+    def number(self) -> dict[bytes, int]:
+        """Numbers of the ``frequent`` words, of which scoring needs none."""
+        rows = sorted(self.frequent.collect(), key=lambda r: (-r["c"], bytes(r["word"])))
+        return {bytes(r["word"]): i for i, r in enumerate(rows)}
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"tail": None, "number": {}, "levels": []}
+        state = super().__getstate__() | {"tail": None, "frequent": None, "levels": []}
+        state.pop("number", None)
+        return state
 
     @property
     def unknown_log(self) -> float:
@@ -246,16 +283,23 @@ def _grams(tokens: Tokens, depth: int) -> list[np.ndarray]:
 LOW = np.uint64((1 << PRINT) - 1)
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32 as their bytes, place by place: most high bytes are
+    zero, which the shuffle's compression takes."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _packed(keys: np.ndarray) -> bytes:
-    """Ascending numbers below 2^``PRINT`` as the bytes of their gaps, place by
-    place: most high bytes are zero, which the shuffle's compression takes."""
-    gaps = np.diff(keys, prepend=np.uint64(0))
-    return gaps.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Ascending numbers below 2^``PRINT`` as their gaps."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    gaps = np.frombuffer(data, np.uint8).reshape(4, -1).T
-    return np.cumsum(np.ascontiguousarray(gaps).view("<u4").ravel(), dtype=np.uint64)
+    return np.cumsum(_numbers(data), dtype=np.uint64)
 
 
 def _keys_seen(bits, split: int):
@@ -265,7 +309,7 @@ def _keys_seen(bits, split: int):
     left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = bits.value
+        often = bits.value.bits
         for batch in batches:
             for tokens in pieces(byte_list(batch.column("text")), HELD):
                 usable = in_bitmap(often, tokens.words)
@@ -311,7 +355,7 @@ def often_grams(spark: SparkSession, texts: DataFrame, words: np.ndarray, total:
     only n-grams in the bitmap are counted with all their words.
     """
     split = min(max(6, int(np.ceil(np.log2(max(DEPTH * total, 1) / SECTION)))), 64 - PRINT)
-    seen = texts.mapInArrow(_keys_seen(spark.sparkContext.broadcast(words), split), "part bigint, keys binary")
+    seen = texts.mapInArrow(_keys_seen(spark.sparkContext.broadcast(Bitmap(words)), split), "part bigint, keys binary")
     return gather(seen.groupBy("part").applyInArrow(_keys_often(split), "at bigint, bits bigint"))
 
 
@@ -321,7 +365,7 @@ def _count_grams(bits):
     names = [f"w{i}" for i in range(DEPTH + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = bits.value
+        often = bits.value.bits
         for batch in batches:
             for tokens in pieces(byte_list(batch.column("text")), HELD):
                 for depth in range(1, DEPTH + 1):
@@ -416,10 +460,11 @@ def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tup
     names = [f"w{i}" for i in range(DEPTH + 1)]
     often = often_grams(spark, texts, bitmap(words.filter(F.col("c") >= LEAST), "w"), int(n))
     grams = texts.mapInArrow(
-        _count_grams(spark.sparkContext.broadcast(often)), ", ".join(f"{x} bigint" for x in [*names, "c"])
+        _count_grams(spark.sparkContext.broadcast(Bitmap(often))), ", ".join(f"{x} bigint" for x in [*names, "c"])
     )
     grams = grams.groupBy(*names).agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST)
     grams = materialise(spark, grams, "grams")
+    del often
 
     smooth = F.log10((F.col("c") + PRIOR * F.col("shorter")) / (F.col("n") + PRIOR))
     longer = F.log10("shorter")
@@ -467,8 +512,8 @@ def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tup
         if held > HEAD_KEYS:
             break
         least = row["step"]
-    head = table.filter(F.col("step") >= least).select("key", "adds", "count").toPandas()
-    keys = head["key"].to_numpy(np.int64).view(np.uint64)
+    head = table.filter(F.col("step") >= least).select("key", "adds", "count").toArrow()
+    keys = head["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     tail = table.filter(F.col("step") < least).select("key", "adds", "count")
     tree = SuffixTree(
@@ -476,39 +521,64 @@ def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tup
         unknown,
         discount,
         keys[order],
-        head["adds"].to_numpy(float)[order],
-        head["count"].to_numpy(np.int64)[order],
+        head["adds"].to_numpy()[order],
+        head["count"].to_numpy()[order],
         bitmap(tail, "key"),
         tail=tail,
+        frequent=counted.filter(common | (F.col("word") == END)).select("word", "c"),
     )
-    often = counted.filter(common | (F.col("word") == END)).select("word", "c").toPandas()
-    often = often.sort_values(["c", "word"], ascending=[False, True])
-    tree.number = dict(zip(map(bytes, often["word"]), range(len(often))))
+    del head, keys, order
     for contexts in (first, second):
-        some = contexts.filter(F.floor(8 * F.log2("n")) >= least).select("retained").toPandas()
-        tree.levels.append(Level(some["retained"].to_numpy(bool)))
+        some = contexts.filter(F.floor(8 * F.log2("n")) >= least).select("retained").toArrow()
+        tree.levels.append(Level(some["retained"].to_numpy()))
     release(spark, first, second)
+    pa.default_memory_pool().release_unused()
     return tree, int(n), int(v), int(ends)
 
 
-_ROWS = "id {kind}, d bigint, held_out boolean, key bigint, tf bigint, n_tokens bigint, n_known bigint, base double, score double"
+_NAMES = ["id", "d", "held_out", "n_tokens", "n_known", "base", "score"]
+_SUMS = "id {kind}, d bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double"
+_ROWS = f"{_SUMS}, part int, asking binary, sizes binary, keys binary, tf binary"
+
+
+def _sections(total: int) -> int:
+    """Top bits of a key that say which section of the table it is in."""
+    return min(max(ASKED_BITS[0], int(np.ceil(np.log2(max(total, 1) / ASKED)))), ASKED_BITS[1])
 
 
-def _score(tree):
-    """For every document one row with what is known here, and one for each
-    distinct n-gram that may be in the tail."""
+def _questions(d: np.ndarray, keys: np.ndarray, tf: np.ndarray, split: int) -> list[tuple]:
+    """For each section (part, asking, sizes, keys, tf): the documents that ask it,
+    how many keys each asks, and all keys with their counts.  A document's keys
+    stand together in ``keys``."""
+    part = (keys >> np.uint64(64 - split)).astype(np.uint16)
+    order = np.argsort(part, kind="stable")
+    part, d, keys, tf = part[order], d[order], keys[order], tf[order]
+    new = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (d[1:] != d[:-1])][: len(part)])
+    starts = np.flatnonzero(np.diff(part[new].astype(np.int64), prepend=-1))
+    asking, sizes = np.split(d[new], starts[1:]), np.split(np.diff(np.r_[new, len(part)]), starts[1:])
+    keys, tf = np.split(keys, new[starts][1:]), np.split(tf, new[starts][1:])
+    return [
+        (int(p), asking[i].tobytes(), _planes(sizes[i]), keys[i].tobytes(), _planes(tf[i]))
+        for i, p in enumerate(part[new[starts]])
+    ]
+
+
+def _score(tree, split: int):
+    """For every document one row with what is known here, and for a block of them
+    and each section of the table one with the distinct n-grams that may be there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = tree.value
         for batch in slices(batches):
             size = batch.num_rows
+            d = batch.column("d").to_numpy(zero_copy_only=False)
             sums = {k: np.zeros(size) for k in ("n_tokens", "n_known", "base", "score")}
-            far: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            far: list[tuple] = []
             for tokens in pieces(byte_list(batch.column("text")), PIECE):
                 sums["n_tokens"] += np.bincount(tokens.text[tokens.new], minlength=size)
                 keys, where = model.grams(tokens)
                 text = tokens.text[where]
-                order = np.lexsort((keys, text))  # a text's rows stay together, so its number compresses
+                order = np.lexsort((keys, text))
                 keys, text = keys[order], text[order]
                 new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])])
                 tf = np.diff(np.r_[new, len(keys)])
@@ -521,27 +591,54 @@ def _score(tree):
                 sums["n_known"] += np.bincount(found, tf[seen] * (c > 0), size)
                 ask = np.flatnonzero(~seen)
                 ask = ask[in_bitmap(model.bits, keys[ask])]
-                far.append((text[ask], keys[ask].view(np.int64), tf[ask]))
+                far += _questions(d[text[ask]], keys[ask], tf[ask], split)
             sums["score"] += sums["n_tokens"] * model.unknown_log
-            d = batch.column("d")
+            home = (d.view(np.uint64) >> np.uint64(64 - split)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), d, batch.column("held_out"), d, pa.array(np.zeros(size, np.int64)),
+                [batch.column("id"), batch.column("d"), batch.column("held_out"),
                  *(pa.array(sums[k].astype(np.int64)) for k in ("n_tokens", "n_known")),
-                 *(pa.array(sums[k]) for k in ("base", "score"))],
-                _NAMES,
+                 *(pa.array(sums[k]) for k in ("base", "score")),
+                 pa.array(home), *[pa.nulls(size, pa.binary())] * 4],
+                [*_NAMES, *_ASKS],
             )
-            for text, keys, tf in far:
-                empty = pa.nulls(len(keys), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(keys), batch.column("id").type), d.take(pa.array(text)), pa.nulls(len(keys), pa.bool_()),
-                     pa.array(keys), pa.array(tf), empty, empty, *[pa.nulls(len(keys), pa.float64())] * 2],
-                    _NAMES,
-                )
+            kinds = [batch.column("id").type, pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            columns = [pa.array(x, k) for x, k in zip(zip(*far), [pa.int32(), *[pa.binary()] * 4])]
+            if far:
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(far), k) for k in kinds), *columns], [*_NAMES, *_ASKS])
 
     return run
 
 
-_NAMES = ["id", "d", "held_out", "key", "tf", "n_tokens", "n_known", "base", "score"]
+_ASKS = ["part", "asking", "sizes", "keys", "tf"]
+
+
+def _answer(asked: pa.Table, tail: pa.Table) -> pa.Table:
+    """One section: the documents' own rows as they are, and what the table's
+    n-grams there add to the documents that ask for them."""
+    order = np.argsort(tail["key"].to_numpy().view(np.uint64))
+    table = tail["key"].to_numpy().view(np.uint64)[order]
+    adds, count = tail["adds"].to_numpy()[order], tail["count"].to_numpy()[order]
+    own = asked.filter(pc.is_null(asked["keys"])).select(_NAMES)
+    found = [own]
+    for row in asked.filter(pc.is_valid(asked["keys"])).select(_ASKS).to_batches(max_chunksize=64):
+        for asking, sizes, keys, tf in zip(*(row.column(c) for c in _ASKS[1:])):
+            d, tf = np.frombuffer(asking.as_buffer(), np.int64), _numbers(tf.as_buffer())
+            at, seen = _find(table, np.frombuffer(keys.as_buffer(), np.uint64))
+            at, tf = at[seen], tf[seen]
+            text = np.repeat(np.arange(len(d)), _numbers(sizes.as_buffer()))[seen]
+            sums = {
+                "n_known": np.bincount(text, tf * (count[at] > 0), len(d)).astype(np.int64),
+                "base": np.bincount(text, tf * np.log10(count[at] + 1.0), len(d)),
+                "score": np.bincount(text, tf * adds[at], len(d)),
+            }
+            some = np.bincount(text, minlength=len(d)) > 0
+            columns = {"d": d} | sums
+            found.append(
+                pa.table(
+                    [pa.array(columns[c][some]) if c in columns else pa.nulls(some.sum(), own[c].type) for c in _NAMES], _NAMES
+                )
+            )
+    return pa.concat_tables(found)
 
 
 def lm_score(
@@ -560,31 +657,31 @@ def lm_score(
         "held_out", held_out(F.col("id"))
     )
     texts = rows.filter("NOT held_out").select("text")
-    counted = materialise(
-        spark,
-        texts.mapInArrow(_count_words, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c")),
-        "word-counts",
-    )
-    tree, n, v, ends = train_tree(spark, texts, counted)
+    words = texts.mapInArrow(_count_words, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+    with brief_shuffles(spark):
+        counted = materialise(spark, words, "word-counts")
+        tree, n, v, ends = train_tree(spark, texts, counted)
+    release(spark, counted)
+    split = _sections(n)
     # equal rows have the same number and are told apart at the end
     asked = rows.withColumn(
         "d", F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("id").isNull(), F.coalesce("text", F.lit("")))
     )
-    scored = asked.mapInArrow(_score(spark.sparkContext.broadcast(tree)), _ROWS.format(kind=dict(rows.dtypes)["id"]))
-    met = scored.join(tree.tail.select(F.col("key").alias("known"), "adds", "count"), F.col("key") == F.col("known"), "left")
-    # a document's own row has no n-gram
-    tf = F.when(F.col("known").isNotNull(), F.col("tf")).otherwise(0)
-    adds, c = F.coalesce("adds", F.lit(0.0)), F.coalesce("count", F.lit(0))
+    kind = dict(rows.dtypes)["id"]
+    scored = asked.mapInArrow(_score(spark.sparkContext.broadcast(tree), split), _ROWS.format(kind=kind))
+    tail = tree.tail.withColumn("part", F.shiftrightunsigned("key", 64 - split).cast("int"))
+    met = scored.groupBy("part").cogroup(tail.groupBy("part")).applyInArrow(_answer, _SUMS.format(kind=kind))
+    # only a document's own row has n_tokens
     times = F.count("n_tokens")
-    add = lambda own, more: F.sum(F.coalesce(own, F.lit(0)) + tf * more) / times
+    add = lambda column: F.sum(F.coalesce(column, F.lit(0))) / times
     whole = met.groupBy("d").agg(
         F.first("id", ignorenulls=True).alias("id"),
         F.first("held_out", ignorenulls=True).alias("held_out"),
         times.alias("times"),
-        add("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens"),
-        add("n_known", (c > 0).cast("int")).cast("bigint").alias("n_known"),
-        add("base", F.log10(c + 1)).alias("base"),
-        add("score", adds).alias("score"),
+        add("n_tokens").cast("bigint").alias("n_tokens"),
+        add("n_known").cast("bigint").alias("n_known"),
+        add("base").alias("base"),
+        add("score").alias("score"),
     )
     return whole.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(
         "id",

@@ -2,9 +2,11 @@
 
 import collections
 import math
+import pickle
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_ORACLE, SF_SMALL
 from llm_tables import awkward, nothing  # noqa: F401
@@ -15,7 +17,7 @@ from gazette.llm import licenses
 from gazette.llm import lm_score as lm
 from gazette.llm import topk_search as search
 from gazette.llm import url_filters as urls
-from gazette.llm.common import fold
+from gazette.llm.common import brief_shuffles, fold
 
 
 def remainder(doc_id, m):
@@ -100,6 +102,60 @@ def test_lm_awkward(spark, awkward, nothing):
     assert all(r.score == 0 and r.base_score == 0 and r.n_known == 0 and r.train_tokens == 0 for r in blind)
 
 
+def test_lm_asks_in_packed_rows():
+    """A block asks each section of the table in one row, which says for every document
+    what it asks; a section's answer is what looking up each key alone gives."""
+    rng = np.random.default_rng(1)
+    d = np.repeat(rng.integers(-(2**62), 2**62, 40), 25)
+    keys = rng.integers(0, 2**64, len(d), np.uint64)
+    tf = rng.integers(1, 100_000, len(d))
+    rows = lm._questions(d, keys, tf, 5)
+    assert len(rows) == 32 and lm._questions(d[:0], keys[:0], tf[:0], 5) == []
+    table = np.concatenate([keys[::3], rng.integers(0, 2**64, 500, np.uint64)])
+    adds, count = rng.normal(size=len(table)), rng.integers(0, 3, len(table))
+    own = {"id": [7], "d": [int(d[0])], "held_out": [True], "n_tokens": [4], "n_known": [1], "base": [-2.0], "score": [-1.0]}
+    score, known, base = collections.Counter(), collections.Counter(), collections.Counter()
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    for row in rows:
+        asked = pa.table(
+            [*(pa.array([*own[c], None], k) for c, k in zip(lm._NAMES, kinds)), pa.array([row[0]] * 2, pa.int32()),
+             *(pa.array([None, x], pa.binary()) for x in row[1:])],
+            [*lm._NAMES, *lm._ASKS],
+        )
+        here = table >> np.uint64(59) == row[0]
+        tail = pa.table({"key": table[here].view(np.int64), "adds": adds[here], "count": count[here]})
+        first, *answers = lm._answer(asked, tail).to_pylist()
+        assert first == {k: v[0] for k, v in own.items()}
+        for a in answers:
+            assert a["n_tokens"] is None
+            score[a["d"]] += a["score"]
+            known[a["d"]] += a["n_known"]
+            base[a["d"]] += a["base"]
+    at = {k: i for i, k in enumerate(table.tolist())}
+    want = [(x, n, at[k]) for x, k, n in zip(d.tolist(), keys.tolist(), tf.tolist()) if k in at]
+    for x in set(d.tolist()):
+        mine = [(n, i) for y, n, i in want if y == x]
+        assert math.isclose(score[x], sum(n * adds[i] for n, i in mine), rel_tol=1e-9, abs_tol=1e-6)
+        assert known[x] == sum(n for n, i in mine if count[i] > 0)
+        assert math.isclose(base[x], sum(n * math.log10(count[i] + 1) for n, i in mine), rel_tol=1e-9)
+
+
+def test_broadcast_bitmaps_travel_compressed():
+    bits = np.zeros(1 << 22, np.uint64)
+    bits[::1000] = np.uint64(1) << np.uint64(63)
+    data = pickle.dumps(lm.Bitmap(bits))
+    assert len(data) < bits.nbytes / 50 and (pickle.loads(data).bits == bits).all()
+
+
+def test_shuffle_files_end_with_their_query(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    with brief_shuffles(spark):
+        assert spark.conf.get(key) == "true"
+        assert spark.range(100).groupBy((F.col("id") % 7).alias("k")).count().count() == 7
+    assert spark.conf.get(key, None) == before
+
+
 def test_tree_sums_to_one(spark):
     """In any context the chances of all tokens, the unknown included, add up to 1."""
     texts = ["red sky at night " * 3 + "sailor delight", "red sky at dawn sailor warn " * 4, "blue sea at night", "x y z"] * 6
