@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -41,19 +41,26 @@ def release(spark: SparkSession, *tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
 @contextmanager
-def brief_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Inside, a query's shuffle files are deleted when it ends, not when the driver
-    happens to collect garbage; for queries whose results are written or collected."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting that holds inside."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def brief_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """Inside, a query's shuffle files are deleted when it ends, not when the driver
+    happens to collect garbage; for queries whose results are written or collected."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def hashed_joins(spark: SparkSession, mb: int) -> AbstractContextManager[None]:
+    """Inside, joins whose shuffled partitions all turn out smaller than this need no sorts."""
+    return setting(spark, "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", f"{mb}m")
 
 
 @F.arrow_udf(T.BinaryType())

@@ -12,10 +12,11 @@ the longest retained suffix of what stands before it.
 The tree is a written table that grows with the corpus.  The log of a token's
 chance is a sum over n-grams that end at it or before it: that of an unknown
 token, what the word adds, what its retained contexts' back-offs add, and what
-entries (context, token) add.  So the table has one number for each such
-n-gram.  The ``HEAD_KEYS`` most frequent n-grams are broadcast; all others meet
-their numbers in sections of the keys, which no frequent n-gram can skew: a block
-of documents asks each section in one packed row.
+entries (context, token) add.  Every n-gram but the end is a context of the token
+after it, so the table has one row for each n-gram: what it adds as an entry
+and, as a back-off, to the next token.  The ``HEAD_KEYS`` most frequent n-grams are
+broadcast; all others meet their numbers in sections of the keys, which no
+frequent n-gram can skew: a block of documents asks each section in one packed row.
 A bitmap, which only ever saves rows, tells which n-grams are surely in no table.
 
 Every training document counts.  Words and n-grams are told apart by 64-bit
@@ -24,7 +25,6 @@ hashes (a hundred million of them share one with a chance of about 3e-4).
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -36,8 +36,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.common import bounded_batches, brief_shuffles, byte_list, fold, materialise, name_of, release, slices
-from gazette.llm.shingles import _scramble, word_blocks
+from gazette.llm.common import bounded_batches, brief_shuffles, byte_list, fold, hashed_joins, materialise, name_of, release, slices
+from gazette.llm.shingles import _scramble, byte_blocks, word_array, word_blocks
 
 DEPTH = 2
 #: Occurrences that make an entry (context, next token); the same for any corpus.
@@ -48,6 +48,8 @@ HEAD_KEYS = 1_000_000
 COMMON_SHARE = 2e-6
 #: Bits of a bitmap of hashes, as a power of two.
 BITS = 28
+#: Bits of the parts in which a bitmap is put together, as a power of two.
+PART = 18
 #: Bits that tell n-grams of one section apart until they are counted, and n-grams of a section.
 PRINT, SECTION = 32, 1 << 21
 #: Training tokens for each section of the table that documents ask, and its bits at least and at most.
@@ -58,8 +60,10 @@ PIECE = 200_000
 PRIOR = 4.0
 #: Standard deviations by which a likelihood ratio must exceed chance.
 SIGMAS = 4.0
-#: Words or n-grams that a task counts before it hands them on.
-HELD = 400_000
+#: Tokens that a task looks at together, and words and n-grams that it counts before it hands them on.
+HELD, HELD_WORDS, HELD_GRAMS = 400_000, 3_000_000, 1_500_000
+#: MB of a shuffled partition that may be joined through a hash table, without sorts.
+HASHED_MB = 64
 
 #: Stands for the end among words; no word holds a space.
 END = b" "
@@ -68,28 +72,29 @@ END = b" "
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial token counts."""
 
-    def rows(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "c"]
-        )
+    def rows(held: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        found = pa.chunked_array(held, pa.binary()).value_counts()
+        yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "c"])
 
-    counts: Counter = Counter()
+    held: list[pa.Array] = []
+    n = 0
     for batch in slices(batches):
-        for text in byte_list(batch.column("text")):
-            for words in word_blocks(text.lower()):
-                counts.update(words)
-            counts[END] += 1
-            if len(counts) > HELD:
-                yield rows(counts)
-                counts = Counter()
-    yield rows(counts)
+        texts = byte_list(batch.column("text"))
+        for block in byte_blocks(b" ".join(texts).lower()):
+            held.append(word_array(block))
+            n += len(held[-1])
+            if n > HELD_WORDS:
+                yield from rows(held)
+                held, n = [], 0
+        held.append(pa.array([END] * len(texts), pa.binary()))
+    yield from rows(held)
 
 
 _LAST = np.array([xxhash.xxh3_64_intdigest(END)], np.uint64)
 
 # FIXED VALUES: odd multipliers that tell the kinds of n-grams and their positions apart.
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
-BACK_OFF, ENTRY = 1, 2
+ENTRY = 2
 
 
 def key_of(kind: int, *words: np.ndarray) -> np.ndarray:
@@ -155,24 +160,43 @@ def pieces(texts: list[bytes], size: int) -> Iterator[Tokens]:
         yield whole()
 
 
+def _packed_places(place: np.ndarray) -> pa.RecordBatch:
+    """Ascending distinct places of set bits as one packed row for each part of the bitmap."""
+    parts = place >> np.uint64(PART)
+    starts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]][: len(parts)])
+    held = [_packed(x) for x in np.split(place & np.uint64((1 << PART) - 1), starts[1:])] if len(parts) else []
+    return pa.RecordBatch.from_arrays([pa.array(parts[starts].astype(np.int64)), pa.array(held, pa.binary())], ["part", "places"])
+
+
 def bitmap(rows: DataFrame, key: str) -> np.ndarray:
     """One bit for the top ``BITS`` bits of each key."""
-    place = rows.select(F.shiftrightunsigned(F.col(key), 64 - BITS).alias("place"))
-    return gather(place.selectExpr("shiftright(place, 6) AS at", "shiftleft(1L, CAST(place & 63 AS INT)) AS bits"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - BITS))
+            n += len(held[-1])
+            if n > HELD_GRAMS:
+                yield _packed_places(np.unique(np.concatenate(held)))
+                held, n = [], 0
+        if held:
+            yield _packed_places(np.unique(np.concatenate(held)))
 
-def gather(bits: DataFrame) -> np.ndarray:
-    """The bitmap of (at, bits), words of 64 bits and their places."""
-    words, each = 1 << (BITS - 6), 1 << 12
+    return gather(rows.select(key).mapInArrow(run, "part bigint, places binary"))
 
-    def section(key: tuple, found: pa.Table) -> pa.Table:
-        out = np.zeros(each, np.int64)
-        out[found["at"].to_numpy() % each] = found["bits"].to_numpy()
-        return pa.table({"part": [key[0].as_py()], "section": [out.tobytes()]})
 
-    bits = bits.groupBy("at").agg(F.bit_or("bits").alias("bits")).withColumn("part", F.shiftright("at", 12))
-    out = np.zeros(words, np.uint64)
-    found = bits.groupBy("part").applyInArrow(section, "part bigint, section binary").toArrow()
+def gather(places: DataFrame) -> np.ndarray:
+    """The bitmap of (part, places), packed places of set bits."""
+
+    def section(key: tuple, found: pa.Table) -> pa.Table:
+        out = np.zeros(1 << PART, bool)
+        for x in found["places"]:
+            out[_unpacked(x.as_buffer()).astype(np.int64)] = True
+        return pa.table({"part": [key[0].as_py()], "section": [np.packbits(out, bitorder="little").tobytes()]})
+
+    each = 1 << (PART - 6)
+    out = np.zeros(1 << (BITS - 6), np.uint64)
+    found = places.groupBy("part").applyInArrow(section, "part bigint, section binary").toArrow()
     for part, row in zip(found["part"].to_pylist(), found["section"]):
         out[part * each : (part + 1) * each] = np.frombuffer(row.as_buffer(), np.uint64)
     return out
@@ -223,14 +247,16 @@ class Level:
 
 @dataclass
 class SuffixTree(Stowed):
-    """The head of the table (keys ascending, what each adds, word counts) and
-    a bitmap of the keys of the rest, ``tail`` (key, adds, c)."""
+    """The head of the table (keys ascending, what each adds to its own and to the
+    next token, word counts) and a bitmap of the keys of the rest, ``tail``
+    (key, what it adds to both, count)."""
 
     total: int
     unknown: float
     discount: float
     keys: np.ndarray
     adds: np.ndarray
+    back: np.ndarray
     counts: np.ndarray
     bits: np.ndarray
     levels: list[Level] = field(default_factory=list)
@@ -257,9 +283,8 @@ class SuffixTree(Stowed):
         keys, where = [tokens.words[tokens.new]], [np.flatnonzero(tokens.new)]
         for depth in range(1, DEPTH + 1):
             at = tokens.at(depth)
-            context = [tokens.words[at - k] for k in range(depth, 0, -1)]
-            keys += [key_of(BACK_OFF, *context), key_of(ENTRY, *context, tokens.words[at])]
-            where += [at, at]
+            keys.append(key_of(ENTRY, *_grams(tokens, depth)))
+            where.append(at)
         return np.concatenate(keys), np.concatenate(where)
 
     def logs(self, numbers: np.ndarray) -> np.ndarray:
@@ -270,7 +295,8 @@ class SuffixTree(Stowed):
         place = np.arange(size)
         keys, where = self.grams(Tokens(names[numbers], np.zeros(size, int), place, place >= 0))
         at, seen = _find(self.keys, keys)
-        out = np.bincount(where, np.where(seen, self.adds[at] if len(self.adds) else 0.0, 0.0), size)
+        at, where = at[seen], where[seen]
+        out = np.bincount(where, self.adds[at], size) + np.bincount(where + 1, self.back[at], size + 1)[:size]
         return out + np.where(numbers >= 0, self.unknown_log, 0.0)
 
 
@@ -338,15 +364,16 @@ def _keys_often(split: int):
         keys = np.sort(np.concatenate([_unpacked(x) for x in found["keys"].to_pylist()]))
         keys = keys[LEAST - 1 :][keys[LEAST - 1 :] == keys[: len(keys) - LEAST + 1]]
         whole = keys | np.uint64(key[0].as_py() << PRINT)
-        place = np.unique(whole >> np.uint64(split + PRINT - BITS))
-        at, bit = place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63))
-        starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.empty(0, int)
-        bits = np.bitwise_or.reduceat(bit, starts) if len(at) else bit
-        return pa.table({"at": at[starts].astype(np.int64), "bits": bits.view(np.int64)})
+        return pa.Table.from_batches([_packed_places(np.unique(whole >> np.uint64(split + PRINT - BITS)))])
 
     return run
 
 
+def _splits(total: int) -> int:
+    """Top bits of a key that say in which section it is counted."""
+    return min(max(6, int(np.ceil(np.log2(max(DEPTH * total, 1) / SECTION)))), 64 - PRINT)
+
+
 def often_grams(spark: SparkSession, texts: DataFrame, words: np.ndarray, total: int) -> np.ndarray:
     """A bitmap of the n-grams that occur ``LEAST`` times, and of few others.
 
@@ -354,47 +381,82 @@ def often_grams(spark: SparkSession, texts: DataFrame, words: np.ndarray, total:
     each travel, in sections of about ``SECTION`` keys at any size of the corpus;
     only n-grams in the bitmap are counted with all their words.
     """
-    split = min(max(6, int(np.ceil(np.log2(max(DEPTH * total, 1) / SECTION)))), 64 - PRINT)
+    split = _splits(total)
     seen = texts.mapInArrow(_keys_seen(spark.sparkContext.broadcast(Bitmap(words)), split), "part bigint, keys binary")
-    return gather(seen.groupBy("part").applyInArrow(_keys_often(split), "at bigint, bits bigint"))
-
-
-def _count_grams(bits):
-    """Partial counts of (context, next token) of all depths; n-grams that are
-    surely not frequent enough are in no ``bits``."""
-    names = [f"w{i}" for i in range(DEPTH + 1)]
+    return gather(seen.groupBy("part").applyInArrow(_keys_often(split), "part bigint, places binary"))
+
+
+def _count_grams(bits, split: int):
+    """For every section of the keys' top ``split`` bits the (context, next token)
+    of each depth in it with partial counts, packed: the words' hashes, word by
+    word, and the counts.  N-grams that are surely not frequent enough are in no ``bits``."""
+
+    def rows(held: dict[int, list[list[np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+        for depth, found in held.items():
+            keys, *words = map(np.concatenate, zip(*found))
+            order = np.argsort(keys)
+            keys = keys[order]
+            new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+            c = np.diff(np.r_[new, len(keys)])
+            words = np.stack(words)[:, order[new]]
+            parts = keys[new] >> np.uint64(64 - split)
+            starts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]][: len(parts)])
+            ends = [*starts[1:], len(parts)]
+            packed = [(words[:, a:b].tobytes(), _planes(c[a:b])) for a, b in zip(starts, ends)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(parts[starts].astype(np.int64)), pa.array([depth] * len(starts), pa.int32()),
+                 pa.array([w for w, _ in packed], pa.binary()), pa.array([c for _, c in packed], pa.binary())],
+                ["part", "depth", "words", "c"],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = bits.value.bits
+        held: dict[int, list[list[np.ndarray]]] = {}
+        n = 0
         for batch in batches:
             for tokens in pieces(byte_list(batch.column("text")), HELD):
                 for depth in range(1, DEPTH + 1):
                     words = _grams(tokens, depth)
                     keys = key_of(ENTRY, *words)
                     use = np.flatnonzero(in_bitmap(often, keys))
-                    _, first, c = np.unique(keys[use], return_index=True, return_counts=True)
-                    first = use[first]
-                    columns = [pa.array(w[first].view(np.int64)) for w in words]
-                    columns += [pa.nulls(len(first), pa.int64())] * (DEPTH - depth)
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(c.astype(np.int64))], [*names, "c"])
+                    held.setdefault(depth, []).append([keys[use], *(w[use] for w in words)])
+                    n += len(use)
+                if n >= HELD_GRAMS:
+                    yield from rows(held)
+                    held, n = {}, 0
+        yield from rows(held)
         pa.default_memory_pool().release_unused()
 
     return run
 
 
-def _with_keys(rows: DataFrame, keys: dict[str, tuple[int, tuple[str, ...]]]) -> DataFrame:
-    """Rows with the keys of n-grams of their word columns."""
+def _sum_grams(_: tuple, found: pa.Table) -> pa.Table:
+    """Of one section, the n-grams that occur ``LEAST`` times: depth, key, the key
+    of the context, that of the n-gram without its first word, and count."""
+    tables = []
+    for depth in range(1, DEPTH + 1):
+        packed = found.filter(pc.equal(found["depth"], depth))
+        if not packed.num_rows:
+            continue
+        blocks = [np.frombuffer(x.as_buffer(), np.uint64).reshape(depth + 1, -1) for x in packed["words"]]
+        words = [np.concatenate([b[i] for b in blocks]) for i in range(depth + 1)]
+        c = np.concatenate([_numbers(x.as_buffer()) for x in packed["c"]]).astype(np.int64)
+        keys = key_of(ENTRY, *words)
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+        c = np.add.reduceat(c[order], new) if len(new) else c
+        some = c >= LEAST
+        words = [w[order[new[some]]] for w in words]
+        context, suffix = (x[0] if depth == 1 else key_of(ENTRY, *x) for x in (words[:-1], words[1:]))
+        columns = [x.view(np.int64) for x in (keys[new[some]], context, suffix)]
+        tables.append(
+            pa.table([pa.array(np.full(some.sum(), depth, np.int32)), *map(pa.array, columns), pa.array(c[some])], _GRAM)
+        )
+    return pa.concat_tables(tables)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [
-                key_of(kind, *(batch.column(w).to_numpy(zero_copy_only=False).view(np.uint64) for w in words)).view(np.int64)
-                for kind, words in keys.values()
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, made)], [*batch.schema.names, *keys])
 
-    kinds = ", ".join(f"{c} {k}" for c, k in rows.dtypes)
-    return rows.mapInArrow(run, ", ".join([kinds, *(f"{k} bigint" for k in keys)]))
+_GRAM = ["depth", "key", "context", "suffix", "c"]
 
 
 def _hashed(counted: DataFrame) -> DataFrame:
@@ -421,11 +483,11 @@ def _meet(rows: DataFrame, column: str, table: DataFrame, often: Column, values:
     return both.select(*rows.columns, *[F.coalesce(f"few_{v}", f"rest_{v}").alias(v) for v in values])
 
 
-def _contexts(entries: DataFrame, sizes: DataFrame, names: list[str]) -> DataFrame:
-    """(context, n, retained, back_off, key) from entries with ``c`` and
-    ``shorter``, the chance in the suffix context, and contexts' sizes ``n``."""
+def _contexts(entries: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``sizes`` (key, n, more) with ``retained`` and ``back_off``, null for those that
+    are no context of entries with ``c`` and ``shorter``, the chance in the suffix context."""
     seen, n, low, free = F.col("seen"), F.col("n"), F.col("low"), F.col("free")
-    sums = entries.groupBy(*names).agg(
+    sums = entries.groupBy("context").agg(
         F.sum("c").alias("seen"),
         F.sum("shorter").alias("low"),
         F.sum(F.col("c") * F.log(F.col("c") / F.col("shorter"))).alias("gain"),
@@ -435,10 +497,11 @@ def _contexts(entries: DataFrame, sizes: DataFrame, names: list[str]) -> DataFra
     rest_low = F.greatest(1 - low, F.lit(1e-12))
     left = F.greatest(n - seen, F.lit(0))
     ratio = 2 * (F.col("gain") - seen * F.log(n)) + 2 * left * F.log(F.greatest(left / n, F.lit(1e-12)) / rest_low)
-    found = sums.join(sizes, names).select(
-        *names, "n", (ratio > free + SIGMAS * F.sqrt(2 * free)).alias("retained"), F.log10(rest / rest_low).alias("back_off")
+    return sizes.join(sums, F.col("key") == F.col("context"), "left").select(
+        *sizes.columns,
+        (ratio > free + SIGMAS * F.sqrt(2 * free)).alias("retained"),
+        F.when(seen.isNotNull(), F.log10(rest / rest_low)).alias("back_off"),
     )
-    return _with_keys(found, {"key": (BACK_OFF, tuple(names))})
 
 
 def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tuple[SuffixTree, int, int, int]:
@@ -457,12 +520,12 @@ def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tup
     words = materialise(spark, _hashed(counted), "word-hashes")
     chance = (F.col("c") - discount) / total
 
-    names = [f"w{i}" for i in range(DEPTH + 1)]
     often = often_grams(spark, texts, bitmap(words.filter(F.col("c") >= LEAST), "w"), int(n))
+    split = _splits(int(n))
     grams = texts.mapInArrow(
-        _count_grams(spark.sparkContext.broadcast(Bitmap(often))), ", ".join(f"{x} bigint" for x in [*names, "c"])
+        _count_grams(spark.sparkContext.broadcast(Bitmap(often)), split), "part bigint, depth int, words binary, c binary"
     )
-    grams = grams.groupBy(*names).agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST)
+    grams = grams.groupBy("part").applyInArrow(_sum_grams, "depth int, key bigint, context bigint, suffix bigint, c bigint")
     grams = materialise(spark, grams, "grams")
     del often
 
@@ -470,58 +533,57 @@ def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tup
     longer = F.log10("shorter")
 
     # first level: contexts of one token
-    pairs = grams.filter("w2 IS NULL").select("w0", "w1", "c")
-    entries = _meet(pairs, "w1", words.select("w", chance.alias("shorter"), "c"), common, ["shorter"])
+    pairs = grams.filter("depth = 1").select("key", "context", "suffix", "c")
+    entries = _meet(pairs, "suffix", words.select("w", chance.alias("shorter"), "c"), common, ["shorter"]).drop("suffix")
     entries = materialise(spark, entries, "entries-1")
-    first = materialise(spark, _contexts(entries, words.select(F.col("w").alias("w0"), F.col("c").alias("n")), ["w0"]), "contexts-1")
-    known = first.select(F.col("w0").alias("w"), F.col("n").alias("c"), "n", "retained", "back_off")
-    full = _meet(entries, "w0", known, common, ["n", "retained", "back_off"])
+    first = materialise(spark, _contexts(entries, words.select(F.col("w").alias("key"), F.col("c").alias("n"))), "contexts-1")
+    known = first.filter("retained IS NOT NULL").select(F.col("key").alias("w"), F.col("n").alias("c"), "n", "retained", "back_off")
+    full = _meet(entries, "context", known, common, ["n", "retained", "back_off"])
     log = F.when(F.col("retained"), smooth).otherwise(longer)
-    full = full.select("w0", "w1", "c", "retained", log.alias("log"), (log - longer - F.col("back_off")).alias("adds"))
-    pairs = materialise(spark, _with_keys(full, {"key": (ENTRY, ("w0", "w1"))}), "pairs")
-    release(spark, entries)
+    full = full.select("key", F.col("c").alias("n"), log.alias("log"), F.when(F.col("retained"), log - longer - F.col("back_off")).alias("adds"))
+    pairs = materialise(spark, full, "pairs")
+    release(spark, words, entries)
 
     # second level: contexts of two tokens
-    suffix = pairs.select(F.col("w0").alias("w1"), F.col("w1").alias("w2"), F.pow(F.lit(10.0), "log").alias("shorter"))
-    entries = materialise(spark, grams.filter("w2 IS NOT NULL").join(suffix, ["w1", "w2"]), "entries-2")
+    suffix = pairs.select(F.col("key").alias("suffix"), F.pow(F.lit(10.0), "log").alias("shorter"))
+    entries = grams.filter("depth = 2").select("key", "context", "suffix", "c").join(suffix, "suffix").drop("suffix")
+    entries = materialise(spark, entries, "entries-2")
     release(spark, grams)
-    second = materialise(
-        spark, _contexts(entries, pairs.select("w0", "w1", F.col("c").alias("n")), ["w0", "w1"]), "contexts-2"
-    )
-    deeper = entries.join(second.filter("retained").select("w0", "w1", "n", "back_off"), ["w0", "w1"])
-    deeper = deeper.select("w0", "w1", "w2", "c", (smooth - longer - F.col("back_off")).alias("adds"))
-    triples = _with_keys(deeper, {"key": (ENTRY, ("w0", "w1", "w2"))}).select("key", "adds", "c")
-    triples = materialise(spark, triples, "triples")
-    release(spark, entries)
+    second = materialise(spark, _contexts(entries, pairs.select("key", "n", "adds")), "contexts-2")
+    release(spark, pairs)
+    contexts = second.filter("retained").select(F.col("key").alias("context"), "n", "back_off")
+    triples = entries.join(contexts, "context").select("key", "c", (smooth - longer - F.col("back_off")).alias("adds"))
 
-    # one table: key, what it adds, how often it occurs, and the count of a word
+    # one table: key, how often it occurs, what it adds to its own and to the next token, and the count of a word
     unknown_log = float(np.log10(max(unknown, 1e-9) / total))
-    zero = F.lit(0).cast("bigint").alias("count")
-    parts = [words.select(F.col("w").alias("key"), (F.log10(chance) - unknown_log).alias("adds"), "c", F.col("c").alias("count"))]
-    parts += [x.filter("retained").select("key", F.col("back_off").alias("adds"), F.col("n").alias("c"), zero) for x in (first, second)]
-    parts += [pairs.filter("retained").select("key", "adds", "c", zero), triples.select("key", "adds", "c", zero)]
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
+    zero, nothing = F.lit(0).cast("bigint").alias("count"), F.lit(0.0)
+    back = F.when(F.col("retained"), F.col("back_off")).otherwise(nothing).alias("back")
+    c = F.col("n").alias("c")
+    own = (F.log10((F.col("n") - discount) / total) - unknown_log).alias("adds")
+    table = first.select("key", c, own, back, F.col("n").alias("count"))
+    some = second.filter("retained OR adds IS NOT NULL")
+    table = table.unionByName(some.select("key", c, F.coalesce("adds", nothing).alias("adds"), back, zero))
+    table = table.unionByName(triples.select("key", "c", "adds", nothing.alias("back"), zero))
     step = F.floor(8 * F.log2("c")).cast("int")
     table = materialise(spark, table.withColumn("step", step).drop("c"), "suffix-tree")
-    release(spark, words, pairs, triples)
+    release(spark, entries)
     least, held = 1 << 30, 0
     for row in sorted(table.groupBy("step").count().collect(), key=lambda r: -r["step"]):
         held += row["count"]
         if held > HEAD_KEYS:
             break
         least = row["step"]
-    head = table.filter(F.col("step") >= least).select("key", "adds", "count").toArrow()
+    head = table.filter(F.col("step") >= least).select("key", "adds", "back", "count").toArrow()
     keys = head["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    tail = table.filter(F.col("step") < least).select("key", "adds", "count")
+    tail = table.filter(F.col("step") < least).select("key", (F.col("adds") + F.col("back")).alias("adds"), "count")
     tree = SuffixTree(
         int(n),
         unknown,
         discount,
         keys[order],
         head["adds"].to_numpy()[order],
+        head["back"].to_numpy()[order],
         head["count"].to_numpy()[order],
         bitmap(tail, "key"),
         tail=tail,
@@ -529,7 +591,7 @@ def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tup
     )
     del head, keys, order
     for contexts in (first, second):
-        some = contexts.filter(F.floor(8 * F.log2("n")) >= least).select("retained").toArrow()
+        some = contexts.filter((F.floor(8 * F.log2("n")) >= least) & F.col("retained").isNotNull()).select("retained").toArrow()
         tree.levels.append(Level(some["retained"].to_numpy()))
     release(spark, first, second)
     pa.default_memory_pool().release_unused()
@@ -577,21 +639,26 @@ def _score(tree, split: int):
             for tokens in pieces(byte_list(batch.column("text")), PIECE):
                 sums["n_tokens"] += np.bincount(tokens.text[tokens.new], minlength=size)
                 keys, where = model.grams(tokens)
-                text = tokens.text[where]
-                order = np.lexsort((keys, text))
-                keys, text = keys[order], text[order]
-                new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])])
-                tf = np.diff(np.r_[new, len(keys)])
-                keys, text = keys[new], text[new]
-                at, seen = _find(model.keys, keys)
-                here, found = at[seen], text[seen]
+                order = np.argsort(keys)
+                keys, text = keys[order], tokens.text[where[order]]
+                new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+                one, n = keys[new], np.diff(np.r_[new, len(keys)])
+                at, seen = _find(model.keys, one)
+                here, n_here, found = at[seen], n[seen], text[np.repeat(seen, n)]
                 c = model.counts[here]
-                sums["score"] += np.bincount(found, tf[seen] * model.adds[here], size)
-                sums["base"] += np.bincount(found, tf[seen] * np.log10(c + 1.0), size)
-                sums["n_known"] += np.bincount(found, tf[seen] * (c > 0), size)
-                ask = np.flatnonzero(~seen)
-                ask = ask[in_bitmap(model.bits, keys[ask])]
-                far += _questions(d[text[ask]], keys[ask], tf[ask], split)
+                sums["score"] += np.bincount(found, np.repeat(model.adds[here] + model.back[here], n_here), size)
+                sums["base"] += np.bincount(found, np.repeat(np.log10(c + 1.0), n_here), size)
+                sums["n_known"] += np.bincount(found, np.repeat(c > 0, n_here), size)
+                asks = ~seen
+                asks[asks] = in_bitmap(model.bits, one[asks])
+                asks = np.repeat(asks, n)
+                keys, text = keys[asks], text[asks]
+                # by section and text, so that a text's equal keys stand together
+                top = keys >> np.uint64(64 - split) << np.uint64(64 - split)
+                order = np.argsort(top | text.astype(np.uint64) << np.uint64(48 - split) | keys << np.uint64(split) >> np.uint64(split + 16))
+                keys, text = keys[order], text[order]
+                new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])][: len(keys)])
+                far += _questions(d[text[new]], keys[new], np.diff(np.r_[new, len(keys)]), split)
             sums["score"] += sums["n_tokens"] * model.unknown_log
             home = (d.view(np.uint64) >> np.uint64(64 - split)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -621,23 +688,23 @@ def _answer(asked: pa.Table, tail: pa.Table) -> pa.Table:
     own = asked.filter(pc.is_null(asked["keys"])).select(_NAMES)
     found = [own]
     for row in asked.filter(pc.is_valid(asked["keys"])).select(_ASKS).to_batches(max_chunksize=64):
-        for asking, sizes, keys, tf in zip(*(row.column(c) for c in _ASKS[1:])):
-            d, tf = np.frombuffer(asking.as_buffer(), np.int64), _numbers(tf.as_buffer())
-            at, seen = _find(table, np.frombuffer(keys.as_buffer(), np.uint64))
-            at, tf = at[seen], tf[seen]
-            text = np.repeat(np.arange(len(d)), _numbers(sizes.as_buffer()))[seen]
-            sums = {
-                "n_known": np.bincount(text, tf * (count[at] > 0), len(d)).astype(np.int64),
-                "base": np.bincount(text, tf * np.log10(count[at] + 1.0), len(d)),
-                "score": np.bincount(text, tf * adds[at], len(d)),
-            }
-            some = np.bincount(text, minlength=len(d)) > 0
-            columns = {"d": d} | sums
-            found.append(
-                pa.table(
-                    [pa.array(columns[c][some]) if c in columns else pa.nulls(some.sum(), own[c].type) for c in _NAMES], _NAMES
-                )
-            )
+        read = lambda c, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in row.column(c)])
+        count_of = lambda c: np.concatenate([_numbers(x.as_buffer()) for x in row.column(c)])
+        d, keys, tf = read("asking", np.int64), read("keys", np.uint64), count_of("tf")
+        order = np.argsort(keys)
+        at, seen = _find(table, keys[order])
+        at, order = at[seen], order[seen]
+        text, tf = np.repeat(np.arange(len(d)), count_of("sizes"))[order], tf[order]
+        sums = {
+            "n_known": np.bincount(text, tf * (count[at] > 0), len(d)).astype(np.int64),
+            "base": np.bincount(text, tf * np.log10(count[at] + 1.0), len(d)),
+            "score": np.bincount(text, tf * adds[at], len(d)),
+        }
+        some = np.bincount(text, minlength=len(d)) > 0
+        columns = {"d": d} | sums
+        found.append(
+            pa.table([pa.array(columns[c][some]) if c in columns else pa.nulls(some.sum(), own[c].type) for c in _NAMES], _NAMES)
+        )
     return pa.concat_tables(found)
 
 
@@ -658,7 +725,7 @@ def lm_score(
     )
     texts = rows.filter("NOT held_out").select("text")
     words = texts.mapInArrow(_count_words, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
-    with brief_shuffles(spark):
+    with brief_shuffles(spark), hashed_joins(spark, HASHED_MB):
         counted = materialise(spark, words, "word-counts")
         tree, n, v, ends = train_tree(spark, texts, counted)
     release(spark, counted)

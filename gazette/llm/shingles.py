@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -18,19 +19,35 @@ _MIX = np.array(
 )
 
 
-def word_blocks(data: bytes) -> Iterator[list[bytes]]:
-    """Words of a text, block by block; ``bytes.split`` splits at exactly
-    space and 0x09-0x0D."""
+def byte_blocks(data: bytes) -> Iterator[bytes]:
+    """A text, block by block, cut where words end."""
     at = 0
     while at < len(data):
         end = at + _BLOCK
         if end < len(data):
             space = _SPACE.search(data, end)
             end = space.start() if space else len(data)
-        yield data[at:end].split()
+        yield data[at:end]
         at = end
 
 
+def word_blocks(data: bytes) -> Iterator[list[bytes]]:
+    """Words of a text, block by block; ``bytes.split`` splits at exactly
+    space and 0x09-0x0D."""
+    for block in byte_blocks(data):
+        yield block.split()
+
+
+def word_array(block: bytes) -> pa.BinaryArray:
+    """The words of ``bytes.split`` as an Arrow array."""
+    data = np.frombuffer(block, np.uint8)
+    inside = ~((data == 0x20) | ((data >= 0x09) & (data <= 0x0D)))
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    ends = np.cumsum(edges[1::2] - edges[::2])
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+
+
 def _scramble(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
