@@ -32,12 +32,11 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazette.llm.common import bounded_batches, brief_shuffles, byte_list, fold, hashed_joins, materialise, name_of, release, slices
-from gazette.llm.shingles import _scramble, byte_blocks, word_array, word_blocks
+from gazette.llm.shingles import _scramble, byte_blocks, word_array, word_hashes, word_places
 
 DEPTH = 2
 #: Occurrences that make an entry (context, next token); the same for any corpus.
@@ -54,8 +53,12 @@ PART = 18
 PRINT, SECTION = 32, 1 << 21
 #: Training tokens for each section of the table that documents ask, and its bits at least and at most.
 ASKED, ASKED_BITS = 1 << 22, (5, 16)
+#: Training tokens for each group of documents whose answers are summed, and its bits at least and at most.
+SUMMED, SUMMED_BITS = 1 << 20, (6, 16)
 #: Tokens that a task looks up at a time.
 PIECE = 200_000
+#: Bytes that a token takes, about, and bytes of a text that is read run by run.
+TOKEN_BYTES, LONG = 6, 1 << 20
 #: Weight of the suffix's distribution, in observations.
 PRIOR = 4.0
 #: Standard deviations by which a likelihood ratio must exceed chance.
@@ -90,7 +93,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from rows(held)
 
 
-_LAST = np.array([xxhash.xxh3_64_intdigest(END)], np.uint64)
+_LAST = word_hashes(pa.array([END], pa.binary()))
 
 # FIXED VALUES: odd multipliers that tell the kinds of n-grams and their positions apart.
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -109,11 +112,11 @@ def runs(text: bytes) -> Iterator[tuple[np.ndarray, int]]:
     """Word hashes of a text, block by block, the end included; the second
     number says how many at the start only repeat what stood before."""
     tail = np.empty(0, np.uint64)
-    parts = word_blocks(text.lower())
-    words = next(parts, [])
+    parts = map(word_array, byte_blocks(text.lower()))
+    words = next(parts, pa.array([], pa.binary()))
     while words is not None:
         after = next(parts, None)
-        found = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        found = word_hashes(words)
         whole = np.concatenate([tail, found] if after is not None else [tail, found, _LAST])
         yield whole, len(tail)
         tail = whole[-DEPTH:]
@@ -135,29 +138,41 @@ class Tokens:
         return np.flatnonzero(self.new & (self.place >= depth))
 
 
-def pieces(texts: list[bytes], size: int) -> Iterator[Tokens]:
-    """The tokens of texts, about ``size`` of them at a time."""
-    held: list[tuple[int, np.ndarray, int]] = []
-    n = 0
+def _together(texts: list[bytes], numbers: list[int]) -> Tokens:
+    """The tokens of whole texts, which are hashed at once."""
+    words, starts = word_places(b" ".join(texts).lower())
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    n = np.diff(np.searchsorted(starts, ends), prepend=0) + 1
+    last = np.cumsum(n) - 1
+    word = np.ones(n.sum(), bool)
+    word[last] = False
+    out = np.full(len(word), _LAST[0])
+    out[word] = word_hashes(words)
+    place = np.arange(len(word)) - np.repeat(last + 1 - n, n)
+    return Tokens(out, np.repeat(numbers, n), place, np.ones(len(word), bool))
 
-    def whole() -> Tokens:
-        sizes = [len(w) for _, w, _ in held]
-        place = np.concatenate([np.arange(k) for k in sizes])
-        lead = np.repeat([x for _, _, x in held], sizes)
-        return Tokens(
-            np.concatenate([w for _, w, _ in held]), np.repeat([i for i, _, _ in held], sizes), place, place >= lead
-        )
 
+def _in_runs(text: bytes, number: int) -> Iterator[Tokens]:
+    """The tokens of a long text, run by run."""
+    for words, lead in runs(text):
+        place = np.arange(len(words))
+        yield Tokens(words, np.full(len(words), number), place, place >= lead)
+
+
+def pieces(texts: list[bytes], size: int) -> Iterator[Tokens]:
+    """The tokens of texts, about ``size`` of them at a time."""
+    held, n = [], 0
     for i, text in enumerate(texts):
-        for words, lead in runs(text):
-            held.append((i, words, lead))
-            n += len(words)
-            if n >= size:
-                yield whole()
-                held.clear()
-                n = 0
+        if len(text) > LONG:
+            yield from _in_runs(text, i)
+            continue
+        held.append(i)
+        n += len(text)
+        if n >= TOKEN_BYTES * size:
+            yield _together([texts[i] for i in held], held)
+            held, n = [], 0
     if held:
-        yield whole()
+        yield _together([texts[i] for i in held], held)
 
 
 def _packed_places(place: np.ndarray) -> pa.RecordBatch:
@@ -290,7 +305,7 @@ class SuffixTree(Stowed):
     def logs(self, numbers: np.ndarray) -> np.ndarray:
         """log10 P of each of consecutive tokens, given by ``number``, as far as
         the head tells; of tokens without a number (-1), the back-off alone."""
-        names = np.array([xxhash.xxh3_64_intdigest(w) for w in self.number] + [1], np.uint64)
+        names = np.append(word_hashes(pa.array([*self.number], pa.binary())), np.uint64(1))
         size = len(numbers)
         place = np.arange(size)
         keys, where = self.grams(Tokens(names[numbers], np.zeros(size, int), place, place >= 0))
@@ -398,8 +413,13 @@ def _count_grams(bits, split: int):
             keys = keys[order]
             new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
             c = np.diff(np.r_[new, len(keys)])
-            words = np.stack(words)[:, order[new]]
-            parts = keys[new] >> np.uint64(64 - split)
+            keys, first = keys[new], order[new]
+            # by section and, there, by context: equal words side by side take little room
+            half = np.uint64(32 - split // 2)
+            near = (words[0][first] >> half << half | words[1][first] >> (np.uint64(64) - half)) >> np.uint64(split)
+            order = np.argsort(keys >> np.uint64(64 - split) << np.uint64(64 - split) | near)
+            keys, c, words = keys[order], c[order], np.stack([w[first[order]] for w in words])
+            parts = keys >> np.uint64(64 - split)
             starts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]][: len(parts)])
             ends = [*starts[1:], len(parts)]
             packed = [(words[:, a:b].tobytes(), _planes(c[a:b])) for a, b in zip(starts, ends)]
@@ -464,8 +484,7 @@ def _hashed(counted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            found = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
+            found = word_hashes(batch.column("word").cast(pa.binary())).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(found), batch.column("c")], ["w", "c"])
 
     return counted.select("word", "c").mapInArrow(run, "w bigint, c bigint")
@@ -600,12 +619,84 @@ def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tup
 
 _NAMES = ["id", "d", "held_out", "n_tokens", "n_known", "base", "score"]
 _SUMS = "id {kind}, d bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double"
+_PARTIALS = f"{_SUMS}, bundle int, ds binary, n_knowns binary, bases binary, scores binary"
 _ROWS = f"{_SUMS}, part int, asking binary, sizes binary, keys binary, tf binary"
 
 
-def _sections(total: int) -> int:
+def _sections(total: int, each: int = ASKED, bits: tuple[int, int] = ASKED_BITS) -> int:
     """Top bits of a key that say which section of the table it is in."""
-    return min(max(ASKED_BITS[0], int(np.ceil(np.log2(max(total, 1) / ASKED)))), ASKED_BITS[1])
+    return min(max(bits[0], int(np.ceil(np.log2(max(total, 1) / each)))), bits[1])
+
+
+def _by_top(numbers: np.ndarray, split: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """The order by the ``split`` top bits, what these are, and where each begins, and the end."""
+    part = (numbers.view(np.uint64) >> np.uint64(64 - split)).astype(np.uint16)
+    order = np.argsort(part, kind="stable")
+    starts = np.flatnonzero(np.diff(part[order].astype(np.int64), prepend=-1))
+    return order, part[order][starts].astype(np.int32), [*starts.tolist(), len(part)]
+
+
+def _sectioned(split: int):
+    """The table's n-grams as one packed row for each section."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_numpy() for c in _TAIL]
+            order, parts, at = _by_top(columns[0], split)
+            columns = [x[order] for x in columns]
+            packed = [pa.array([x[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary()) for x in columns]
+            yield pa.RecordBatch.from_arrays([pa.array(parts), *packed], ["part", *_TAIL])
+
+    return run
+
+
+_TAIL = ["key", "adds", "count"]
+
+
+def _unpack(packed: pa.Table, kinds: dict[str, type]) -> dict[str, np.ndarray]:
+    """Columns of numbers that stand packed in rows."""
+    return {c: np.concatenate([np.empty(0, k), *(np.frombuffer(x.as_buffer(), k) for x in packed[c])]) for c, k in kinds.items()}
+
+
+_PARTIAL = {"d": np.int64, "n_known": np.int64, "base": np.float64, "score": np.float64}
+
+
+def _met(bits: int):
+    """Of one section, the documents' own rows and, packed for each group of documents,
+    what the section adds to them."""
+
+    def run(asked: pa.Table, packed: pa.Table) -> pa.Table:
+        table = _unpack(packed, dict(zip(_TAIL, (np.int64, np.float64, np.int64))))
+        found = _answer(asked, pa.table({c: pa.array(x) for c, x in table.items()}))
+        mine = pc.is_valid(found["n_tokens"])
+        own = found.filter(mine)
+        added = found.filter(pc.invert(mine))
+        columns = {c: added[c].to_numpy() for c in _PARTIAL}
+        order, parts, at = _by_top(columns["d"], bits)
+        columns = {c: x[order] for c, x in columns.items()}
+        own = own.append_column("bundle", pa.array((own["d"].to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.int32)))
+        for c in _PARTIAL:
+            own = own.append_column(f"{c}s", pa.nulls(len(own), pa.binary()))
+        rest = {c: pa.nulls(len(parts), own[c].type) for c in _NAMES} | {"bundle": pa.array(parts)}
+        rest |= {f"{c}s": pa.array([x[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary()) for c, x in columns.items()}
+        return pa.concat_tables([own, pa.table(rest)])
+
+    return run
+
+
+def _summed(_: tuple, found: pa.Table) -> pa.Table:
+    """The rows of a group of documents, with what all sections add to them."""
+    mine = pc.is_valid(found["n_tokens"])
+    own = found.filter(mine)
+    added = _unpack(found.filter(pc.invert(mine)), {f"{c}s": k for c, k in _PARTIAL.items()})
+    # equal rows have the same number, and share what all of them asked
+    numbers, at, times = np.unique(own["d"].to_numpy(), return_inverse=True, return_counts=True)
+    to = np.searchsorted(numbers, added["ds"])
+    out = {c: own[c] for c in ("id", "held_out", "n_tokens")}
+    for c in ("n_known", "base", "score"):
+        more = np.bincount(to, added[f"{c}s"], len(numbers)) / times
+        out[c] = pa.array((own[c].to_numpy() + more[at]).astype(_PARTIAL[c]))
+    return pa.table(out)
 
 
 def _questions(d: np.ndarray, keys: np.ndarray, tf: np.ndarray, split: int) -> list[tuple]:
@@ -730,27 +821,19 @@ def lm_score(
         tree, n, v, ends = train_tree(spark, texts, counted)
     release(spark, counted)
     split = _sections(n)
-    # equal rows have the same number and are told apart at the end
+    # equal rows have the same number, and so the same results
     asked = rows.withColumn(
         "d", F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("id").isNull(), F.coalesce("text", F.lit("")))
     )
     kind = dict(rows.dtypes)["id"]
     scored = asked.mapInArrow(_score(spark.sparkContext.broadcast(tree), split), _ROWS.format(kind=kind))
-    tail = tree.tail.withColumn("part", F.shiftrightunsigned("key", 64 - split).cast("int"))
-    met = scored.groupBy("part").cogroup(tail.groupBy("part")).applyInArrow(_answer, _SUMS.format(kind=kind))
-    # only a document's own row has n_tokens
-    times = F.count("n_tokens")
-    add = lambda column: F.sum(F.coalesce(column, F.lit(0))) / times
-    whole = met.groupBy("d").agg(
-        F.first("id", ignorenulls=True).alias("id"),
-        F.first("held_out", ignorenulls=True).alias("held_out"),
-        times.alias("times"),
-        add("n_tokens").cast("bigint").alias("n_tokens"),
-        add("n_known").cast("bigint").alias("n_known"),
-        add("base").alias("base"),
-        add("score").alias("score"),
+    tail = tree.tail.mapInArrow(_sectioned(split), "part int, key binary, adds binary, count binary")
+    bits = _sections(n, SUMMED, SUMMED_BITS)
+    met = scored.groupBy("part").cogroup(tail.groupBy("part")).applyInArrow(_met(bits), _PARTIALS.format(kind=kind))
+    whole = met.groupBy("bundle").applyInArrow(
+        _summed, f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base double, score double"
     )
-    return whole.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(
+    return whole.select(
         "id",
         "held_out",
         "n_tokens",

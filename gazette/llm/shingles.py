@@ -38,14 +38,46 @@ def word_blocks(data: bytes) -> Iterator[list[bytes]]:
         yield block.split()
 
 
-def word_array(block: bytes) -> pa.BinaryArray:
-    """The words of ``bytes.split`` as an Arrow array."""
+def word_places(block: bytes) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The words of ``bytes.split`` as an Arrow array, and where they start."""
     data = np.frombuffer(block, np.uint8)
     inside = ~((data == 0x20) | ((data >= 0x09) & (data <= 0x0D)))
     edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     ends = np.cumsum(edges[1::2] - edges[::2])
     offsets = np.concatenate([[0], ends]).astype(np.int32)
-    return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+    words = pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+    return words, edges[::2]
+
+
+def word_array(block: bytes) -> pa.BinaryArray:
+    """The words of ``bytes.split`` as an Arrow array."""
+    return word_places(block)[0]
+
+
+#: Longest word, in bytes, that is hashed lane by lane.
+_LANES = 64
+
+
+def word_hashes(words: pa.BinaryArray) -> np.ndarray:
+    """64-bit hashes of words: of a word's length and its lanes of 8 bytes, each mixed
+    in reversibly; long words by xxhash."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    at, size = offsets[:-1], np.diff(offsets)
+    data = (words.buffers()[2] or pa.py_buffer(b"")).to_pybytes() + bytes(8)
+    lanes = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    out = size.astype(np.uint64) * _MIX[1]
+    here = np.arange(len(words))
+    for lane in range(0, _LANES, 8):
+        left = size[here] - lane
+        empty = np.maximum(8 - left, 0).astype(np.uint64) << np.uint64(3)
+        value = lanes[at[here] + lane] << empty
+        out[here] = _scramble(out[here] ^ (value * _MIX[0]))
+        here = here[left > 8]
+        if not len(here):
+            return out
+    long = np.flatnonzero(size > _LANES)
+    out[long] = [xxhash.xxh3_64_intdigest(w) for w in words.take(pa.array(long)).to_pylist()]
+    return out
 
 
 def _scramble(h: np.ndarray) -> np.ndarray:
