@@ -397,8 +397,11 @@ def often_grams(spark: SparkSession, texts: DataFrame, words: np.ndarray, total:
     only n-grams in the bitmap are counted with all their words.
     """
     split = _splits(total)
-    seen = texts.mapInArrow(_keys_seen(spark.sparkContext.broadcast(Bitmap(words)), split), "part bigint, keys binary")
-    return gather(seen.groupBy("part").applyInArrow(_keys_often(split), "part bigint, places binary"))
+    bits = spark.sparkContext.broadcast(Bitmap(words))
+    seen = texts.mapInArrow(_keys_seen(bits, split), "part bigint, keys binary")
+    found = gather(seen.groupBy("part").applyInArrow(_keys_often(split), "part bigint, places binary"))
+    bits.destroy()
+    return found
 
 
 def _count_grams(bits, split: int):
@@ -540,13 +543,12 @@ def train_tree(spark: SparkSession, texts: DataFrame, counted: DataFrame) -> tup
     chance = (F.col("c") - discount) / total
 
     often = often_grams(spark, texts, bitmap(words.filter(F.col("c") >= LEAST), "w"), int(n))
-    split = _splits(int(n))
-    grams = texts.mapInArrow(
-        _count_grams(spark.sparkContext.broadcast(Bitmap(often)), split), "part bigint, depth int, words binary, c binary"
-    )
+    bits = spark.sparkContext.broadcast(Bitmap(often))
+    del often
+    grams = texts.mapInArrow(_count_grams(bits, _splits(int(n))), "part bigint, depth int, words binary, c binary")
     grams = grams.groupBy("part").applyInArrow(_sum_grams, "depth int, key bigint, context bigint, suffix bigint, c bigint")
     grams = materialise(spark, grams, "grams")
-    del often
+    bits.destroy()
 
     smooth = F.log10((F.col("c") + PRIOR * F.col("shorter")) / (F.col("n") + PRIOR))
     longer = F.log10("shorter")
